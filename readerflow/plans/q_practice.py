@@ -1,0 +1,162 @@
+"""Queries over fx_attempts and fx_feedback: scoring and learner progress."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..functions.text import sql_literal
+from ..operators import dialogues as D
+from ..operators import practice as P
+from ..sources.fixtures import fx_attempts, fx_dialogues, fx_feedback, with_fixtures
+from . import sqlgen as S
+from .registry import query
+
+
+def _tokens(x: str) -> str:
+    return f"list_distinct({S.words(f'lower({x})')})"
+
+
+SQL_OVERLAP = (
+    f"CASE WHEN len({_tokens('target')}) = 0 THEN 0.0 "
+    f"ELSE len(list_intersect({_tokens('answer')}, {_tokens('target')})) / len({_tokens('target')}) * 100.0 END"
+)
+SQL_NONBLANK = f"{S.strip_ws('coalesce(answer, ' + chr(39) * 2 + ')')} <> ''"
+SQL_SCORE = "coalesce(accuracy_score, 0)"
+SQL_TS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+def _ts_text():
+    return F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_text")
+
+
+@query(
+    "word_overlap",
+    with_fixtures(
+        f"SELECT learner_id, book_id, dlg_ord, {SQL_OVERLAP} AS accuracy, "
+        f"CAST(round_even({SQL_OVERLAP}, 0) AS BIGINT) AS accuracy_display FROM fx_attempts WHERE {SQL_NONBLANK}",
+        "fx_attempts",
+    ),
+)
+def q_word_overlap(spark, sf):
+    return P.score_attempts(fx_attempts(spark, sf))
+
+
+@query(
+    "nonblank_answer",
+    with_fixtures(
+        f"SELECT learner_id, book_id, dlg_ord, {SQL_NONBLANK} AS scored FROM fx_attempts", "fx_attempts"
+    ),
+)
+def q_nonblank_answer(spark, sf):
+    return fx_attempts(spark, sf).select("learner_id", "book_id", "dlg_ord", P.nonblank("answer").alias("scored"))
+
+
+@query(
+    "attempt_target",
+    with_fixtures(
+        "SELECT a.learner_id, a.book_id, a.dlg_ord, d.speaker, d.line AS target, a.answer "
+        "FROM fx_attempts a JOIN fx_dialogues d ON a.book_id = d.book_id AND a.dlg_ord = d.dlg_ord",
+        "fx_attempts",
+        "fx_dialogues",
+    ),
+)
+def q_attempt_target(spark, sf):
+    j = P.attempt_target(fx_attempts(spark, sf), fx_dialogues(spark, sf))
+    return j.select("learner_id", "book_id", "dlg_ord", "speaker", "target", "answer")
+
+
+REC = f"mode = {sql_literal(P.RECORDED_MODE)}"
+
+
+@query(
+    "record_feedback",
+    with_fixtures(
+        f"SELECT learner_id, {SQL_TS} AS ts_text, accuracy_score, mode FROM fx_feedback WHERE {REC}", "fx_feedback"
+    ),
+)
+def q_record_feedback(spark, sf):
+    return P.recorded(fx_feedback(spark, sf)).select("learner_id", _ts_text(), "accuracy_score", "mode")
+
+
+@query(
+    "practice_count",
+    with_fixtures(
+        f"SELECT learner_id, count(*) AS n_practice FROM fx_feedback WHERE {REC} GROUP BY learner_id", "fx_feedback"
+    ),
+)
+def q_practice_count(spark, sf):
+    return P.learner_progress(fx_feedback(spark, sf)).select("learner_id", "n_practice")
+
+
+@query(
+    "avg_accuracy",
+    with_fixtures(
+        f"SELECT learner_id, count(*) AS n_practice, avg({SQL_SCORE}) AS avg_accuracy, "
+        f"CAST(round_even(avg({SQL_SCORE}), 0) AS BIGINT) AS avg_display "
+        f"FROM fx_feedback WHERE {REC} GROUP BY learner_id",
+        "fx_feedback",
+    ),
+)
+def q_avg_accuracy(spark, sf):
+    return P.learner_progress(fx_feedback(spark, sf))
+
+
+PROGRESS_SQL = f"""
+counts AS (SELECT book_id, count(*) AS n_dialogues FROM fx_dialogues GROUP BY book_id),
+per_learner AS (
+  SELECT learner_id, learner_id AS book_id,
+         count(*) FILTER (WHERE {REC}) AS n_practice,
+         avg(CASE WHEN {REC} THEN {SQL_SCORE} END) AS avg_accuracy
+  FROM fx_feedback GROUP BY learner_id)
+SELECT p.learner_id, c.n_dialogues, CAST(p.n_practice AS BIGINT) AS n_practice,
+  CASE WHEN p.n_practice > 0 THEN CAST(round_even(p.avg_accuracy, 0) AS BIGINT) END AS avg_display
+FROM per_learner p JOIN counts c ON p.book_id = c.book_id WHERE c.n_dialogues > 0
+"""
+
+
+@query("progress_summary", with_fixtures("", "fx_feedback", "fx_dialogues") + ",\n" + PROGRESS_SQL)
+def q_progress_summary(spark, sf):
+    # Learner n studies book n (fixture convention).
+    counts = D.count_dialogues(fx_dialogues(spark, sf))
+    return P.progress_summary(fx_feedback(spark, sf), counts, F.col("learner_id"))
+
+
+@query(
+    "issue_words",
+    with_fixtures(
+        f"SELECT learner_id, word, count(*) AS n FROM (SELECT learner_id, unnest(pronunciation_issues) AS word "
+        f"FROM fx_feedback WHERE {REC}) GROUP BY learner_id, word",
+        "fx_feedback",
+    ),
+)
+def q_issue_words(spark, sf):
+    return P.issue_words(fx_feedback(spark, sf))
+
+
+SQL_BAND = f"CASE WHEN {SQL_SCORE} >= {K.SCORE_BANDS[0][0]} THEN 'green' WHEN {SQL_SCORE} >= {K.SCORE_BANDS[1][0]} THEN 'yellow' ELSE 'red' END"
+SQL_COLOR = (
+    f"CASE WHEN {SQL_SCORE} >= {K.SCORE_BANDS[0][0]} THEN {sql_literal(K.SCORE_BANDS[0][1])} "
+    f"WHEN {SQL_SCORE} >= {K.SCORE_BANDS[1][0]} THEN {sql_literal(K.SCORE_BANDS[1][1])} "
+    f"ELSE {sql_literal(K.SCORE_BAND_LOW)} END"
+)
+
+
+@query(
+    "score_band",
+    with_fixtures(
+        f"SELECT learner_id, {SQL_TS} AS ts_text, {SQL_SCORE} AS score, {SQL_BAND} AS band, {SQL_COLOR} AS color, "
+        f"array_to_string(list_transform(pronunciation_issues, lambda w: '`' || w || '`'), "
+        f"{sql_literal(K.ISSUE_JOINER)}) AS issues FROM fx_feedback WHERE {REC}",
+        "fx_feedback",
+    ),
+)
+def q_score_band(spark, sf):
+    return P.recorded(fx_feedback(spark, sf)).select(
+        "learner_id",
+        _ts_text(),
+        P.score_value().alias("score"),
+        P.score_band().alias("band"),
+        P.score_color().alias("color"),
+        P.issue_text().alias("issues"),
+    )
