@@ -63,3 +63,34 @@ def ordered_positions(
         F.coalesce("__lag", "__prev_hi").alias(f"{prefix}prev"),
         F.coalesce("__lead", "__next_lo").alias(f"{prefix}next"),
     )
+
+
+def running_totals(
+    df: DataFrame,
+    key: str,
+    order: str,
+    values: dict[str, str],
+    block_size: int = DEFAULT_BLOCK,
+) -> DataFrame:
+    """Add exclusive running sums within ``key`` by ``order``: for each row,
+    ``out = sum(src)`` over the rows of the same key with a smaller ``order``
+    (``values`` maps out-name -> source column; source ``"*"`` counts rows).
+
+    Same blocking as :func:`ordered_positions`: bounded windows per block plus
+    a small per-block prefix table, so no key is processed by one task.
+    """
+    blk = "__blk"
+    srcs = {out: (F.lit(1) if src == "*" else F.col(src)) for out, src in values.items()}
+    rows = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_size)))
+    w_in = Window.partitionBy(key, blk).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    for out, s in srcs.items():
+        rows = rows.withColumn(f"__in_{out}", F.coalesce(F.sum(s).over(w_in), F.lit(0)))
+    blocks = rows.groupBy(key, blk).agg(*[F.sum(s).alias(f"__b_{out}") for out, s in srcs.items()])
+    w_b = Window.partitionBy(key).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        key, blk, *[F.coalesce(F.sum(f"__b_{out}").over(w_b), F.lit(0)).alias(f"__o_{out}") for out in srcs]
+    )
+    out_df = rows.join(blocks, [key, blk], "inner")
+    return out_df.select(
+        *df.columns, *[(F.col(f"__o_{o}") + F.col(f"__in_{o}")).alias(o) for o in srcs]
+    )

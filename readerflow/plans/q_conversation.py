@@ -1,0 +1,182 @@
+"""Queries over conversations (messages + setups) and dialogue transcripts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..functions.text import sql_literal, sql_render
+from ..operators import conversation as C
+from ..operators import dialogues as D
+from ..sources.fixtures import fx_dialogues, fx_messages, fx_setups, with_fixtures
+from .registry import query
+
+SQL_AI = f"coalesce(array_to_string(ai_roles, {sql_literal(K.CHAT_ROLES_JOINER)}), {sql_literal(K.DEFAULT_AI_ROLE)})"
+SQL_USER = f"coalesce(user_role, {sql_literal(K.DEFAULT_USER_ROLE)})"
+SQL_SYSTEM = sql_render(
+    K.CHAT_SYSTEM_PROMPT,
+    roles=f"coalesce(array_to_string(ai_roles, {sql_literal(K.CHAT_ROLES_JOINER)}), '')",
+    scenario="coalesce(scenario, '')",
+)
+
+
+def _ctes(*names: str, extra: str = "") -> str:
+    head = with_fixtures("", *names)
+    return head + (",\n" + extra if extra else "")
+
+
+# ------------------------------------------------------------------ C1
+TRANSCRIPT_LINE_SQL = sql_render(
+    K.TRANSCRIPT_LINE, speaker=f"coalesce(speaker, {sql_literal(K.UNKNOWN_SPEAKER)})", line="coalesce(line, '')"
+)
+TRANSCRIPT_SQL = _ctes("fx_dialogues") + f"""
+SELECT book_id, n_lines, context, transcript,
+  {sql_render(K.ROLEPLAY_PROMPT, context='context', dialogue='transcript')} AS prompt
+FROM (
+  SELECT book_id, count(*) AS n_lines, arg_min(coalesce(context, ''), dlg_ord) AS context,
+    string_agg({TRANSCRIPT_LINE_SQL}, chr(10) ORDER BY dlg_ord) AS transcript
+  FROM fx_dialogues WHERE dlg_ord >= 0 AND dlg_ord < {K.ROLEPLAY_MAX_LINES} AND dlg_ord < {K.MAX_ROLEPLAY_LINES}
+  GROUP BY book_id)
+"""
+
+
+@query("transcript", TRANSCRIPT_SQL)
+def q_transcript(spark, sf):
+    lines = D.first_lines(D.roleplay_slice(fx_dialogues(spark, sf), 0, K.ROLEPLAY_MAX_LINES), 0)
+    t = C.transcripts(lines)
+    return t.select("book_id", "n_lines", "context", "transcript", C.roleplay_prompt("context", "transcript").alias("prompt"))
+
+
+# ------------------------------------------------------------------ C2, C5, C6
+OPENING_SQL = f"""
+SELECT s.conv_id, CAST(-1 AS BIGINT) AS turn, 'assistant' AS role,
+  coalesce(s.opening_line, {sql_literal(K.DEFAULT_OPENING_LINE)}) AS content, {SQL_AI} AS display_role
+FROM fx_setups s WHERE s.conv_id NOT IN (SELECT conv_id FROM fx_messages)
+"""
+
+
+@query("opening_turn", _ctes("fx_setups", "fx_messages") + "\n" + OPENING_SQL)
+def q_opening_turn(spark, sf):
+    return C.opening_turns(fx_setups(spark, sf), fx_messages(spark, sf))
+
+
+@query(
+    "display_role",
+    _ctes("fx_setups", "fx_messages")
+    + f"""
+SELECT m.conv_id, m.turn, m.role,
+  CASE WHEN m.role = 'assistant' THEN coalesce({SQL_AI}, {sql_literal(K.DEFAULT_AI_ROLE)})
+       ELSE coalesce({SQL_USER}, {sql_literal(K.DEFAULT_USER_ROLE)}) END AS display_role
+FROM fx_messages m LEFT JOIN fx_setups s ON m.conv_id = s.conv_id
+""",
+)
+def q_display_role(spark, sf):
+    return C.display_roles(fx_messages(spark, sf), fx_setups(spark, sf)).select("conv_id", "turn", "role", "display_role")
+
+
+@query("system_prompt", _ctes("fx_setups") + f"\nSELECT conv_id, {SQL_SYSTEM} AS system_prompt FROM fx_setups")
+def q_system_prompt(spark, sf):
+    return C.system_prompt(fx_setups(spark, sf))
+
+
+# ------------------------------------------------------------------ C3
+CHAT_SQL = _ctes("fx_setups", "fx_messages") + f""",
+m AS (SELECT conv_id, turn, role, content, CAST(length(coalesce(content, '')) AS BIGINT) AS len FROM fx_messages),
+tot AS (SELECT *, count(*) OVER w AS n_prior, coalesce(sum(len) OVER w, 0) AS prior_chars FROM m
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+first AS (SELECT conv_id, min(turn) AS history_from FROM fx_messages GROUP BY conv_id),
+sp AS (SELECT conv_id, {SQL_SYSTEM} AS system_prompt FROM fx_setups)
+SELECT t.conv_id, t.turn, f.history_from, CAST(t.n_prior + 2 AS BIGINT) AS n_messages,
+  CAST(t.prior_chars + length(sp.system_prompt) + t.len AS BIGINT) AS n_chars,
+  sp.system_prompt, t.content AS user_content
+FROM tot t JOIN first f ON t.conv_id = f.conv_id LEFT JOIN sp ON t.conv_id = sp.conv_id
+WHERE t.role = 'user'
+"""
+
+
+@query("chat_history", CHAT_SQL)
+def q_chat_history(spark, sf):
+    return C.chat_requests(fx_messages(spark, sf), fx_setups(spark, sf))
+
+
+# ------------------------------------------------------------------ C4
+def _reply(col):
+    return F.concat(F.lit("Reply to: "), F.substring(col, 1, 20))
+
+
+APPEND_SQL = _ctes("fx_setups", "fx_messages") + f""",
+last_user AS (SELECT conv_id, max(turn) AS t FROM fx_messages WHERE role = 'user' GROUP BY conv_id),
+inputs AS (SELECT m.conv_id, m.content AS user_input, 'Reply to: ' || substring(m.content, 1, 20) AS ai_reply
+           FROM fx_messages m JOIN last_user l ON m.conv_id = l.conv_id AND m.turn = l.t),
+hist AS (SELECT m.* FROM fx_messages m LEFT JOIN last_user l ON m.conv_id = l.conv_id AND m.turn = l.t WHERE l.t IS NULL),
+lastt AS (SELECT conv_id, max(turn) AS lt FROM hist GROUP BY conv_id),
+j AS (SELECT i.*, coalesce(lastt.lt, -1) AS base, s.user_role, s.ai_roles FROM inputs i
+      LEFT JOIN lastt ON i.conv_id = lastt.conv_id LEFT JOIN fx_setups s ON i.conv_id = s.conv_id)
+SELECT conv_id, CAST(base + 1 AS BIGINT) AS turn, 'user' AS role, user_input AS content, {SQL_USER} AS display_role FROM j
+UNION ALL
+SELECT conv_id, CAST(base + 2 AS BIGINT) AS turn, 'assistant' AS role, ai_reply AS content, {SQL_AI} AS display_role FROM j
+"""
+
+
+@query("append_turn", APPEND_SQL)
+def q_append_turn(spark, sf):
+    msgs = fx_messages(spark, sf)
+    last_user = msgs.filter(F.col("role") == "user").groupBy("conv_id").agg(
+        F.max_by(F.struct("turn", "content"), "turn").alias("u")
+    )
+    inputs = last_user.select(
+        "conv_id", F.col("u.turn").alias("turn"), F.col("u.content").alias("user_input"), _reply(F.col("u.content")).alias("ai_reply")
+    )
+    history = msgs.join(inputs.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti")
+    return C.append_turns(history, inputs.drop("turn"), fx_setups(spark, sf))
+
+
+# ------------------------------------------------------------------ A7, F7, F8, X9
+@query(
+    "collect_user_lines",
+    _ctes("fx_messages")
+    + "\nSELECT conv_id, count(*) AS n_lines, to_json(list(content ORDER BY turn)) AS lines_json "
+    "FROM fx_messages WHERE role = 'user' GROUP BY conv_id",
+)
+def q_collect_user_lines(spark, sf):
+    return C.collect_user_lines(fx_messages(spark, sf))
+
+
+@query("role_filter", _ctes("fx_messages") + "\nSELECT conv_id, turn, content FROM fx_messages WHERE role = 'user'")
+def q_role_filter(spark, sf):
+    return C.user_messages(fx_messages(spark, sf)).select("conv_id", "turn", "content")
+
+
+def _with_openings(spark, sf):
+    msgs = fx_messages(spark, sf)
+    opening = C.opening_turns(fx_setups(spark, sf), msgs).select("conv_id", "turn", "role", "content")
+    return msgs.unionByName(opening)
+
+
+ALL_MSGS_SQL = f"""
+all_msgs AS (SELECT conv_id, turn, role, content FROM fx_messages
+             UNION ALL SELECT conv_id, turn, role, content FROM ({OPENING_SQL}))
+"""
+
+
+@query(
+    "min_messages",
+    _ctes("fx_setups", "fx_messages", extra=ALL_MSGS_SQL)
+    + f"\nSELECT conv_id, count(*) AS n_messages, count(*) >= {K.MIN_MESSAGES_FOR_ANALYSIS} AS analysable "
+    "FROM all_msgs GROUP BY conv_id",
+)
+def q_min_messages(spark, sf):
+    return C.message_counts(_with_openings(spark, sf))
+
+
+ANALYSIS_SQL = _ctes("fx_setups", "fx_messages", extra=ALL_MSGS_SQL) + f"""
+SELECT c.conv_id, {sql_render(K.ANALYSIS_PROMPT, lines="coalesce(u.lines_json, '[]')")} AS prompt
+FROM (SELECT conv_id FROM all_msgs GROUP BY conv_id HAVING count(*) >= {K.MIN_MESSAGES_FOR_ANALYSIS}) c
+LEFT JOIN (SELECT conv_id, to_json(list(content ORDER BY turn)) AS lines_json
+           FROM all_msgs WHERE role = 'user' GROUP BY conv_id) u ON c.conv_id = u.conv_id
+"""
+
+
+@query("analysis_prompt", ANALYSIS_SQL)
+def q_analysis_prompt(spark, sf):
+    return C.analysis_prompts(_with_openings(spark, sf))

@@ -251,12 +251,78 @@ FROM (
 """
 
 
+# ----------------------------------------------------------------------------
+# fx_messages(conv_id, turn, role, content): stored chat messages
+# fx_setups(conv_id, scenario, user_role, ai_roles, opening_line, vocabulary_tips)
+# ----------------------------------------------------------------------------
+
+def fx_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    return c.filter(F.col("role").isin("user", "assistant")).select(
+        "conv_id", "turn", "role", F.col("text").alias("content")
+    )
+
+
+FX_MESSAGES_SQL = """
+SELECT conv_id, turn, role, text AS content FROM conversations WHERE role IN ('user', 'assistant')
+"""
+
+
+def _setup_cols(cid, scenario):
+    m6 = cid % 6
+    roles = (
+        F.when(m6 == 0, F.lit(None).cast("array<string>"))
+        .when(m6 == 3, F.array().cast("array<string>"))
+        .when(m6.isin(1, 4), F.array(F.lit("Narrator")))
+        .otherwise(F.array(F.lit("Mr. A"), F.lit("Ms. B")))
+    )
+    return [
+        cid.alias("conv_id"),
+        scenario.alias("scenario"),
+        F.when(cid % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Learner "), cid.cast("string"))).alias("user_role"),
+        roles.alias("ai_roles"),
+        F.when(cid % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Welcome to scene "), cid.cast("string"))).alias("opening_line"),
+        F.array(F.concat(F.lit("tip "), cid.cast("string"))).alias("vocabulary_tips"),
+    ]
+
+
+def fx_setups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One setup per conversation (from its turn-0 row) plus three ids past the
+    largest one, which have no messages."""
+    c = table(spark, sf_dir, "conversations")
+    first = c.filter(F.col("turn") == 0).select(
+        *_setup_cols(F.col("conv_id"), F.when(F.col("role") == "system", F.substring("text", 1, 80)).otherwise(F.lit("A quiet scene.")))
+    )
+    extra = c.agg(F.max("conv_id").alias("m")).select(F.explode(F.sequence(F.col("m") + 1, F.col("m") + 3)).alias("conv_id"))
+    extra = extra.select(*_setup_cols(F.col("conv_id"), F.lit("Empty scene")))
+    return first.unionByName(extra)
+
+
+_SETUP_COLS_SQL = """
+  CASE WHEN cid % 4 = 0 THEN NULL ELSE 'Learner ' || CAST(cid AS VARCHAR) END AS user_role,
+  CASE WHEN cid % 6 = 0 THEN NULL WHEN cid % 6 = 3 THEN CAST([] AS VARCHAR[])
+       WHEN cid % 6 IN (1, 4) THEN ['Narrator'] ELSE ['Mr. A', 'Ms. B'] END AS ai_roles,
+  CASE WHEN cid % 5 = 0 THEN NULL ELSE 'Welcome to scene ' || CAST(cid AS VARCHAR) END AS opening_line,
+  ['tip ' || CAST(cid AS VARCHAR)] AS vocabulary_tips"""
+
+FX_SETUPS_SQL = f"""
+SELECT cid AS conv_id, scenario, {_SETUP_COLS_SQL}
+FROM (SELECT conv_id AS cid, CASE WHEN role = 'system' THEN substring(text, 1, 80) ELSE 'A quiet scene.' END AS scenario
+      FROM conversations WHERE turn = 0)
+UNION ALL
+SELECT cid AS conv_id, 'Empty scene' AS scenario, {_SETUP_COLS_SQL}
+FROM (SELECT unnest(range(max(conv_id) + 1, max(conv_id) + 4)) AS cid FROM conversations)
+"""
+
+
 FIXTURE_SQL = {
     "fx_books": FX_BOOKS_SQL,
     "fx_dialogues": FX_DIALOGUES_SQL,
     "fx_attempts": FX_ATTEMPTS_SQL,
     "fx_feedback": FX_FEEDBACK_SQL,
     "fx_responses": FX_RESPONSES_SQL,
+    "fx_messages": FX_MESSAGES_SQL,
+    "fx_setups": FX_SETUPS_SQL,
 }
 
 FIXTURE_DF = {
@@ -265,6 +331,8 @@ FIXTURE_DF = {
     "fx_attempts": fx_attempts,
     "fx_feedback": fx_feedback,
     "fx_responses": fx_responses,
+    "fx_messages": fx_messages,
+    "fx_setups": fx_setups,
 }
 
 
@@ -282,7 +350,9 @@ __all__ = [
     "fx_books",
     "fx_dialogues",
     "fx_feedback",
+    "fx_messages",
     "fx_responses",
+    "fx_setups",
     "table",
     "with_fixtures",
 ]
