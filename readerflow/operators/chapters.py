@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as T
+from .barrier import materialize
 
 CHAPTER_STRUCT = "struct<pos:int,title:string,body:string>"
 
@@ -26,74 +27,88 @@ def clean_books(
 ) -> DataFrame:
     """(book_id, raw_text) -> (book_id, text, n_chars)."""
     text = T.preprocess(T.strip_markers(F.col(text_col), footer), max_chars)
-    return (
-        books.select("book_id", text.alias("text"))
-        .withColumn("n_chars", F.length("text").cast("bigint"))
-    )
+    clean = materialize(books.select("book_id", text_col), text=text).drop(text_col)
+    return clean.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
-def chapter_array(text: Column | str, anchored: bool = False) -> Column:
-    """T8 as an array<struct<pos,title,body>> in text order.
+def with_chapter_array(df: DataFrame, text_col: str = "text", anchored: bool = False, out: str = "chapters") -> DataFrame:
+    """Add ``out`` = array<struct<pos,title,body>> in text order.
 
     Text before the first heading is dropped. Without any heading the whole
-    (unstripped) text becomes one chapter titled ``Full Text``.
+    (unstripped) text becomes one chapter titled ``Full Text``. Titles and
+    pieces are materialised as columns first and zipped (no random access
+    into an expensive array from inside a lambda).
     """
-    t = F.col(text) if isinstance(text, str) else text
-    titles = T.heading_titles(t, anchored)
-    pieces = T.heading_pieces(t, anchored)
+    d = df.withColumn("__titles", T.heading_titles(text_col, anchored)).withColumn(
+        "__pieces", T.heading_pieces(text_col, anchored)
+    )
+    n = F.size("__titles")
     split = F.transform(
-        titles,
-        lambda title, i: F.struct(
-            (i + 1).alias("pos"),
-            T.strip_ws(title).alias("title"),
-            T.strip_ws(F.element_at(pieces, i + 2)).alias("body"),
-        ),
+        F.arrays_zip(F.col("__titles").alias("t"), F.slice("__pieces", F.lit(2), F.greatest(n, F.lit(0))).alias("b")),
+        lambda e, i: F.struct((i + 1).alias("pos"), T.strip_ws(e["t"]).alias("title"), T.strip_ws(e["b"]).alias("body")),
     )
-    whole = F.array(F.struct(F.lit(1).alias("pos"), F.lit(K.FULL_TEXT_TITLE).alias("title"), t.alias("body")))
-    return F.when(F.size(titles) == 0, whole).otherwise(split)
+    whole = F.array(F.struct(F.lit(1).alias("pos"), F.lit(K.FULL_TEXT_TITLE).alias("title"), F.col(text_col).alias("body")))
+    return d.withColumn(out, F.when(n == 0, whole).otherwise(split)).drop("__titles", "__pieces")
 
 
-def dedup_chapter_array(chapters: Column | str) -> Column:
-    """T9 on the array: a repeated title keeps its first position and its last
-    body (insertion-ordered dict semantics); ``chapter_ord`` is 1-based.
+def dedup_chapter_array(df: DataFrame, col: str = "chapters", out: str = "chapters") -> DataFrame:
+    """T9 on the array column: a repeated title keeps its first position and its
+    last body (insertion-ordered dict semantics); ``chapter_ord`` is 1-based.
 
-    O(n log n) per book with no random access inside lambdas: sort by
-    (title, pos), flag group starts/ends against the neighbour arrays, zip the
-    starts with the ends, sort by first position.
+    O(n log n) per book: sort by (title, pos), flag group starts/ends against
+    the neighbour arrays, zip the starts with the ends, sort by first position.
+    Each step is its own column so the plan stays linear in size.
     """
-    arr = F.col(chapters) if isinstance(chapters, str) else chapters
-    srt = F.array_sort(F.transform(arr, lambda c: F.struct(c["title"].alias("title"), c["pos"].alias("pos"), c["body"].alias("body"))))
-    n = F.size(srt)
-    titles = F.transform(srt, lambda c: c["title"])
-    prev = F.concat(F.array(F.lit(None).cast("string")), F.slice(titles, F.lit(1), F.greatest(n - 1, F.lit(0))))
-    nxt = F.concat(F.slice(titles, F.lit(2), F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
-    z = F.arrays_zip(srt.alias("c"), prev.alias("p"), nxt.alias("q"))
-    starts = F.filter(z, lambda e: ~e["p"].eqNullSafe(e["c"]["title"]))
-    ends = F.filter(z, lambda e: ~e["q"].eqNullSafe(e["c"]["title"]))
+    d = df.withColumn(
+        "__srt",
+        F.array_sort(F.transform(col, lambda c: F.struct(c["title"].alias("title"), c["pos"].alias("pos"), c["body"].alias("body")))),
+    )
+    d = d.withColumn("__st", F.transform("__srt", lambda c: c["title"]))
+    m = F.greatest(F.size("__srt") - 1, F.lit(0))
+    prev = F.concat(F.array(F.lit(None).cast("string")), F.slice("__st", F.lit(1), m))
+    nxt = F.concat(F.slice("__st", F.lit(2), m), F.array(F.lit(None).cast("string")))
+    d = d.withColumn("__z", F.arrays_zip(F.col("__srt").alias("c"), prev.alias("p"), nxt.alias("q")))
+    d = d.withColumn("__starts", F.filter("__z", lambda e: ~e["p"].eqNullSafe(e["c"]["title"]))).withColumn(
+        "__ends", F.filter("__z", lambda e: ~e["q"].eqNullSafe(e["c"]["title"]))
+    )
     merged = F.transform(
-        F.arrays_zip(starts.alias("s"), ends.alias("e")),
-        lambda m: F.struct(
-            m["s"]["c"]["pos"].alias("first_pos"),
-            m["s"]["c"]["title"].alias("title"),
-            m["e"]["c"]["body"].alias("body"),
+        F.arrays_zip(F.col("__starts").alias("s"), F.col("__ends").alias("e")),
+        lambda x: F.struct(
+            x["s"]["c"]["pos"].alias("first_pos"), x["s"]["c"]["title"].alias("title"), x["e"]["c"]["body"].alias("body")
         ),
     )
-    return F.transform(
+    numbered = F.transform(
         F.array_sort(merged),
         lambda c, i: F.struct((i + 1).alias("chapter_ord"), c["title"].alias("title"), c["body"].alias("body")),
     )
+    return d.withColumn(out, numbered).drop("__srt", "__st", "__z", "__starts", "__ends")
+
+
+def explode_structs(df: DataFrame, col: str, keep: tuple[str, ...] = ("book_id",)) -> DataFrame:
+    """Rows from an array<struct> column, dropping rows whose array is null.
+
+    ``inline_outer`` is used on purpose: a plain ``inline`` makes the optimizer
+    infer ``size(array) > 0`` and push that predicate below every projection,
+    which inlines the whole text pipeline into one oversized Filter. The null
+    guard is applied to a generated column, which stays above the Generate.
+    """
+    fields = df.schema[col].dataType.elementType.fieldNames()
+    out = df.select(*keep, F.inline_outer(col))
+    return out.filter(F.col(fields[0]).isNotNull())
 
 
 def split_chapters(clean: DataFrame, anchored: bool = False) -> DataFrame:
     """T8 rows: (book_id, chapter_pos, title, body) before de-duplication."""
-    return clean.select("book_id", F.inline(chapter_array("text", anchored))).select(
+    arr = with_chapter_array(clean.select("book_id", "text"), anchored=anchored)
+    return explode_structs(arr, "chapters").select(
         "book_id", F.col("pos").cast("bigint").alias("chapter_pos"), "title", "body"
     )
 
 
 def chapters(clean: DataFrame, anchored: bool = False) -> DataFrame:
     """T8 + T9 rows: (book_id, chapter_ord, title, body), one per distinct title."""
-    return clean.select("book_id", F.inline(dedup_chapter_array(chapter_array("text", anchored)))).select(
+    arr = dedup_chapter_array(with_chapter_array(clean.select("book_id", "text"), anchored=anchored))
+    return explode_structs(arr, "chapters").select(
         "book_id", F.col("chapter_ord").cast("bigint").alias("chapter_ord"), "title", "body"
     )
 
@@ -146,3 +161,19 @@ def prompt_window(combined: Column | str, max_chars: int = K.MAX_PROMPT_CHARS) -
     """L4: the model sees the first ``max_chars`` characters."""
     c = F.col(combined) if isinstance(combined, str) else combined
     return F.substring(c, 1, max_chars)
+
+
+def with_default_combined(
+    clean: DataFrame,
+    n: int = K.DEFAULT_CHAPTERS,
+    max_chapter_chars: int = K.MAX_CHAPTER_CHARS,
+    anchored: bool = False,
+    out: str = "combined",
+) -> DataFrame:
+    """L1 + L3 inside the book row: add ``out`` = the first ``n`` chapters, each
+    cut, joined by a blank line, and ``has_headings`` (false for the Full Text
+    fallback). No shuffle: a book's chapters never leave its row."""
+    d = dedup_chapter_array(with_chapter_array(clean, anchored=anchored))
+    cut = F.transform(F.slice("chapters", 1, n), lambda c: F.substring(c["body"], 1, max_chapter_chars))
+    heads = F.element_at("chapters", 1)["title"] != F.lit(K.FULL_TEXT_TITLE)
+    return materialize(d, **{out: F.array_join(cut, K.CHAPTER_JOINER), "has_headings": heads}).drop("chapters")

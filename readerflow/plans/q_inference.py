@@ -1,0 +1,258 @@
+"""Queries over model prompts and responses."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..functions import model_json as J
+from ..functions.text import sql_literal, sql_render
+from ..operators import chapters as CH
+from ..operators import inference as I
+from ..sources.fixtures import fx_attempts, fx_books, fx_dialogues, fx_feedback, fx_responses, fx_setups, with_fixtures
+from . import sqlgen as S
+from .registry import query
+
+SEP = sql_literal(K.KEY_EXPRESSION_JOINER)
+
+# ------------------------------------------------------------------ X2, X3
+SQL_KIND = "CASE WHEN json_valid(raw) THEN json_type(raw) END"
+SQL_FIRST_KEY = "list_filter(json_keys(raw), lambda k: json_type(raw, '$.\"' || k || '\"') = 'ARRAY')[1]"
+UNWRAP_CTE = f"""
+u AS (
+  SELECT prompt_hash, book_id, turn, raw, {SQL_KIND} AS kind,
+    CASE WHEN {SQL_KIND} = 'OBJECT' THEN {SQL_FIRST_KEY} END AS first_key
+  FROM fx_responses),
+w AS (
+  SELECT *,
+    CASE WHEN kind = 'ARRAY' THEN 'ok' WHEN kind = 'OBJECT' AND first_key IS NOT NULL THEN 'ok'
+         WHEN kind = 'OBJECT' THEN 'empty' ELSE 'malformed' END AS status,
+    CASE WHEN kind = 'ARRAY' THEN CAST(raw AS JSON)
+         WHEN kind = 'OBJECT' AND first_key IS NOT NULL THEN json_extract(raw, '$."' || first_key || '"')
+         WHEN kind = 'OBJECT' THEN CAST('[]' AS JSON) END AS items
+  FROM u)
+"""
+
+
+@query(
+    "unwrap_dialogues",
+    with_fixtures("", "fx_responses") + ",\n" + UNWRAP_CTE
+    + "SELECT prompt_hash, book_id, turn, status, CAST(json_array_length(items) AS BIGINT) AS n_items FROM w",
+)
+def q_unwrap_dialogues(spark, sf):
+    r = fx_responses(spark, sf)
+    u = r.select("prompt_hash", "book_id", "turn", J.unwrap_dialogues("raw").alias("u"))
+    return u.select(
+        "prompt_hash", "book_id", "turn", F.col("u.status").alias("status"),
+        F.array_size("u.items").cast("bigint").alias("n_items"),
+    )
+
+
+EXPLODE_SQL = with_fixtures("", "fx_responses") + ",\n" + UNWRAP_CTE + f""",
+e AS (SELECT prompt_hash, unnest(json_extract(items, '$[*]')) AS item,
+             generate_subscripts(json_extract(items, '$[*]'), 1) - 1 AS pos
+      FROM w WHERE status = 'ok' AND json_array_length(items) > 0)
+SELECT prompt_hash, CAST(pos AS BIGINT) AS dlg_ord, json_type(item) = 'OBJECT' AS is_object,
+  CASE WHEN json_type(item) = 'OBJECT' THEN json_extract_string(item, '$.speaker') END AS speaker,
+  CASE WHEN json_type(item) = 'OBJECT' THEN json_extract_string(item, '$.line') END AS line,
+  CASE WHEN json_type(item) = 'OBJECT' THEN json_extract_string(item, '$.context') END AS context,
+  CASE WHEN json_type(item) = 'OBJECT' THEN json_extract_string(item, '$.difficulty') END AS difficulty,
+  CASE WHEN json_type(item) = 'OBJECT'
+       THEN coalesce(array_to_string(json_extract_string(item, '$.key_expressions[*]'), {SEP}), '') END AS key_text,
+  CASE WHEN json_type(item) <> 'OBJECT' THEN 'not an object' END AS reason
+FROM e
+"""
+
+
+@query("explode_dialogues", EXPLODE_SQL)
+def q_explode_dialogues(spark, sf):
+    r = fx_responses(spark, sf)
+    dlg, rej = I.explode_responses(r, ["prompt_hash"])
+    ok = dlg.select(
+        "prompt_hash", "dlg_ord", F.lit(True).alias("is_object"), "speaker", "line", "context", "difficulty",
+        F.coalesce(F.array_join("key_expressions", K.KEY_EXPRESSION_JOINER), F.lit("")).alias("key_text"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    bad = rej.filter(F.col("dlg_ord").isNotNull()).select(
+        "prompt_hash", "dlg_ord", F.lit(False).alias("is_object"),
+        *[F.lit(None).cast("string").alias(c) for c in ("speaker", "line", "context", "difficulty", "key_text")],
+        F.lit("not an object").alias("reason"),
+    )
+    return ok.unionByName(bad)
+
+
+# ------------------------------------------------------------------ X4
+
+
+FEEDBACK_RAW_SQL = """
+SELECT learner_id, ts, CASE WHEN accuracy_score IS NOT NULL AND accuracy_score % 13 = 0 THEN 'not json ' || CAST(accuracy_score AS VARCHAR)
+  ELSE CAST(json_object('accuracy_score', accuracy_score, 'pronunciation_issues', pronunciation_issues,
+       'fluency_feedback', fluency_feedback, 'grammar_note', grammar_note, 'encouragement', encouragement) AS VARCHAR) END AS raw
+FROM fx_feedback
+"""
+
+
+@query(
+    "parse_feedback",
+    with_fixtures("", "fx_feedback") + f""",
+r AS ({FEEDBACK_RAW_SQL})
+SELECT learner_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN 'ok' ELSE 'malformed' END AS status,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN TRY_CAST(json_extract_string(raw, '$.accuracy_score') AS INTEGER) END AS accuracy_score,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN CAST(coalesce(len(json_extract_string(raw, '$.pronunciation_issues[*]')), 0) AS BIGINT) END AS n_issues,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN json_extract_string(raw, '$.fluency_feedback') END AS fluency_feedback,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN json_extract_string(raw, '$.grammar_note') END AS grammar_note,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN json_extract_string(raw, '$.encouragement') END AS encouragement
+FROM r
+""",
+)
+def q_parse_feedback(spark, sf):
+    f = fx_feedback(spark, sf)
+    obj = F.to_json(F.struct("accuracy_score", "pronunciation_issues", "fluency_feedback", "grammar_note", "encouragement"))
+    raw = F.when(
+        F.col("accuracy_score").isNotNull() & (F.col("accuracy_score") % 13 == 0),
+        F.concat(F.lit("not json "), F.col("accuracy_score").cast("string")),
+    ).otherwise(obj)
+    p = f.select("learner_id", "ts", raw.alias("raw")).select(
+        "learner_id", "ts", J.parse_status("raw").alias("status"), J.parse_object("raw", J.FEEDBACK_SCHEMA).alias("fb")
+    )
+    ok = F.col("status") == J.STATUS_OK
+    return p.select(
+        "learner_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_text"),
+        "status",
+        F.col("fb.accuracy_score").alias("accuracy_score"),
+        F.when(ok, F.coalesce(F.array_size("fb.pronunciation_issues"), F.lit(0))).cast("bigint").alias("n_issues"),
+        F.col("fb.fluency_feedback").alias("fluency_feedback"),
+        F.col("fb.grammar_note").alias("grammar_note"),
+        F.col("fb.encouragement").alias("encouragement"),
+    )
+
+
+@query(
+    "feedback_prompt",
+    with_fixtures(
+        f"SELECT learner_id, book_id, dlg_ord, sha256(p) AS prompt_hash, CAST(length(p) AS BIGINT) AS n_chars "
+        f"FROM (SELECT *, {sql_render(K.FEEDBACK_PROMPT, target='target', user_input='answer')} AS p FROM fx_attempts)",
+        "fx_attempts",
+    ),
+)
+def q_feedback_prompt(spark, sf):
+    p = I.feedback_prompt("target", "answer")
+    return fx_attempts(spark, sf).select(
+        "learner_id", "book_id", "dlg_ord", I.prompt_hash(p).alias("prompt_hash"), F.length(p).cast("bigint").alias("n_chars")
+    )
+
+
+# ------------------------------------------------------------------ X5
+SETUP_RAW_SQL = """
+SELECT conv_id, CASE WHEN conv_id % 7 = 0 THEN '{"scenario": ' ELSE CAST(json_object('scenario', scenario, 'user_role', user_role,
+  'ai_roles', ai_roles, 'opening_line', opening_line, 'vocabulary_tips', vocabulary_tips) AS VARCHAR) END AS raw
+FROM fx_setups
+"""
+
+
+@query(
+    "parse_setup",
+    with_fixtures("", "fx_setups") + f""",
+r AS ({SETUP_RAW_SQL})
+SELECT conv_id, CASE WHEN {SQL_KIND} = 'OBJECT' THEN 'ok' ELSE 'malformed' END AS status,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN json_extract_string(raw, '$.scenario') END AS scenario,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN json_extract_string(raw, '$.user_role') END AS user_role,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN coalesce(array_to_string(json_extract_string(raw, '$.ai_roles[*]'), ', '), '') END AS ai_roles,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN json_extract_string(raw, '$.opening_line') END AS opening_line,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN coalesce(array_to_string(json_extract_string(raw, '$.vocabulary_tips[*]'), ', '), '') END AS vocabulary_tips
+FROM r
+""",
+)
+def q_parse_setup(spark, sf):
+    s = fx_setups(spark, sf)
+    obj = F.to_json(F.struct("scenario", "user_role", "ai_roles", "opening_line", "vocabulary_tips"))
+    raw = F.when(F.col("conv_id") % 7 == 0, F.lit('{"scenario": ')).otherwise(obj)
+    p = s.select("conv_id", raw.alias("raw")).select(
+        "conv_id", J.parse_status("raw").alias("status"), J.parse_object("raw", J.SETUP_SCHEMA).alias("s")
+    )
+    ok = F.col("status") == J.STATUS_OK
+
+    def joined(c):
+        return F.when(ok, F.coalesce(F.array_join(c, ", "), F.lit("")))
+
+    return p.select(
+        "conv_id", "status",
+        F.col("s.scenario").alias("scenario"),
+        F.col("s.user_role").alias("user_role"),
+        joined("s.ai_roles").alias("ai_roles"),
+        F.col("s.opening_line").alias("opening_line"),
+        joined("s.vocabulary_tips").alias("vocabulary_tips"),
+    )
+
+
+# ------------------------------------------------------------------ X1, X7, X8
+def _extraction_prompts(spark, sf):
+    comb = CH.with_default_combined(CH.clean_books(fx_books(spark, sf)).select("book_id", "text"))
+    return comb.select("book_id", "has_headings", I.extraction_prompt("combined").alias("prompt")).withColumn(
+        "prompt_hash", I.prompt_hash("prompt")
+    )
+
+
+EXTRACTION_SQL = (
+    with_fixtures("", "fx_books") + ",\n" + S.chapter_ctes() + f""",
+comb AS (SELECT book_id, string_agg(substring(body, 1, {K.MAX_CHAPTER_CHARS}), chr(10) || chr(10) ORDER BY chapter_ord) AS combined
+         FROM chapters WHERE chapter_ord <= {K.DEFAULT_CHAPTERS} GROUP BY book_id),
+prompts AS (SELECT book_id, {sql_render(K.EXTRACTION_PROMPT, text=f'substring(combined, 1, {K.MAX_PROMPT_CHARS})')} AS prompt FROM comb)
+"""
+)
+
+
+@query(
+    "extraction_prompt",
+    EXTRACTION_SQL + "SELECT book_id, sha256(prompt) AS prompt_hash, CAST(length(prompt) AS BIGINT) AS n_chars FROM prompts",
+)
+def q_extraction_prompt(spark, sf):
+    return _extraction_prompts(spark, sf).select("book_id", "prompt_hash", F.length("prompt").cast("bigint").alias("n_chars"))
+
+
+@query(
+    "modernise_prompt",
+    with_fixtures(
+        f"SELECT book_id, dlg_ord, {sql_render(K.MODERNISE_PROMPT, text='line')} AS prompt FROM fx_dialogues", "fx_dialogues"
+    ),
+)
+def q_modernise_prompt(spark, sf):
+    return fx_dialogues(spark, sf).select("book_id", "dlg_ord", I.modernise_prompt("line").alias("prompt"))
+
+
+@query(
+    "hint_prompt",
+    with_fixtures(f"SELECT book_id, dlg_ord, {sql_render(K.HINT_PROMPT, line='line')} AS prompt FROM fx_dialogues", "fx_dialogues"),
+)
+def q_hint_prompt(spark, sf):
+    return fx_dialogues(spark, sf).select("book_id", "dlg_ord", I.hint_prompt("line").alias("prompt"))
+
+
+# ------------------------------------------------------------------ U1, J5
+@query("batch_infer", None, note="external model: deterministic offline client; rows-only check")
+def q_batch_infer(spark, sf):
+    prompts = _extraction_prompts(spark, sf)
+    return I.batch_infer(
+        prompts, I.EchoClient, template="extraction", temperature=K.TEMPERATURES["extraction"], partitions=8
+    )
+
+
+def _cache(prompts):
+    """Results already held for books without chapter headings ("Full Text")."""
+    return prompts.filter(~F.col("has_headings")).select("prompt_hash")
+
+
+@query(
+    "infer_cache",
+    EXTRACTION_SQL + f""",
+cached AS (SELECT DISTINCT sha256(p.prompt) AS prompt_hash FROM prompts p
+           JOIN (SELECT book_id FROM split_rows GROUP BY book_id HAVING count(*) = 1 AND max(title) = {sql_literal(K.FULL_TEXT_TITLE)}) nh
+           ON p.book_id = nh.book_id)
+SELECT book_id, sha256(prompt) AS prompt_hash FROM prompts WHERE sha256(prompt) NOT IN (SELECT prompt_hash FROM cached)
+""",
+)
+def q_infer_cache(spark, sf):
+    prompts = _extraction_prompts(spark, sf)
+    return I.new_prompts(prompts, _cache(prompts)).select("book_id", "prompt_hash")
