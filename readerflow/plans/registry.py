@@ -40,6 +40,6 @@ def query(name: str, sql: str | None = None, note: str = ""):
 
 def load_all() -> dict[str, Query]:
     """Import every query module (registration happens on import)."""
-    from . import q_books, q_dialogues, q_practice, q_conversation, q_inference, q_streaming  # noqa: F401
+    from . import q_books, q_dialogues, q_practice, q_conversation, q_inference, q_sources, q_streaming  # noqa: F401
 
     return REGISTRY
