@@ -1,0 +1,51 @@
+"""Streaming queries (ST1, ST2). Each runs its stream to completion with an
+``availableNow`` trigger into a fresh folder under the session's shared
+checkpoint folder and returns the batch read of the sink; the oracle is the
+equivalent batch query."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
+from ..sources.fixtures import feedback_from_events, fx_books, with_fixtures
+from ..streaming import ingest as ST2
+from ..streaming import progress as ST1
+from . import sqlgen as S
+from .registry import query
+
+
+def events_stream(spark, sf_dir: str):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+@query(
+    "stream_progress",
+    with_fixtures(
+        "SELECT learner_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_practice, "
+        "avg(coalesce(accuracy_score, 0)) AS avg_accuracy FROM fx_feedback WHERE mode = 'shadowing' GROUP BY 1, 2",
+        "fx_feedback",
+    ),
+)
+def q_stream_progress(spark, sf):
+    base = scratch_path(spark, "stream_progress")
+    out, ckpt = f"{base}/out", f"{base}/checkpoint"
+    q = ST1.start_progress(feedback_from_events(events_stream(spark, sf)), out, ckpt)
+    q.awaitTermination()
+    return ST1.read_progress(spark, out).select("learner_id", "day", "n_practice", "avg_accuracy")
+
+
+@query(
+    "stream_ingest",
+    with_fixtures("", "fx_books") + ",\n" + S.chapter_ctes()
+    + "\nSELECT book_id, chapter_ord, title, CAST(length(body) AS BIGINT) AS n_chars FROM chapters",
+)
+def q_stream_ingest(spark, sf):
+    base = scratch_path(spark, "stream_ingest")
+    root, out, ckpt = f"{base}/landed", f"{base}/out", f"{base}/checkpoint"
+    ST2.land_books(fx_books(spark, sf), root)
+    q = ST2.start_ingest(spark, root, out, ckpt)
+    q.awaitTermination()
+    rows = spark.read.parquet(out)
+    return rows.select("book_id", "chapter_ord", "title", F.length("body").cast("bigint").alias("n_chars"))

@@ -159,7 +159,11 @@ FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn =
 # ----------------------------------------------------------------------------
 
 def fx_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return feedback_from_events(table(spark, sf_dir, "events"))
+
+
+def feedback_from_events(e: DataFrame) -> DataFrame:
+    """The fx_feedback projection of an events frame (batch or streaming)."""
     eid = F.col("event_id")
     issues = (
         F.when(F.col("value") >= 100, F.array(F.concat(F.lit("w"), (eid % 7).cast("string")),
