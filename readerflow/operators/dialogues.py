@@ -24,9 +24,20 @@ def difficulty_value(col: str = "difficulty") -> Column:
     return F.coalesce(F.col(col), F.lit(K.DEFAULT_DIFFICULTY))
 
 
+def _in_with_default(col: str, values: Sequence[str], default: str) -> Column:
+    """``coalesce(col, default) IN values`` written as ``col IN values [OR col IS
+    NULL]`` so that Parquet/ORC scans receive it as a pushed filter."""
+    values = list(values)
+    if not values:
+        return F.lit(False)
+    hit = F.col(col).isin(values)
+    return (hit | F.col(col).isNull()) if default in values else hit
+
+
 def difficulty_in(levels: Sequence[str], col: str = "difficulty") -> Column:
-    """difficulty in the chosen set; unknown values never match."""
-    return difficulty_value(col).isin(list(levels)) if levels else F.lit(False)
+    """difficulty in the chosen set (missing counts as Intermediate);
+    unknown values never match."""
+    return _in_with_default(col, levels, K.DEFAULT_DIFFICULTY)
 
 
 def speaker_value(col: str = "speaker") -> Column:
@@ -45,8 +56,9 @@ def speaker_in(speakers: Sequence[str], col: str = "speaker", missing_as_unknown
         return F.lit(True)
     if not speakers:
         return F.lit(False)
-    value = speaker_value(col) if missing_as_unknown else F.col(col)
-    return F.coalesce(value.isin(speakers), F.lit(False))
+    if missing_as_unknown:
+        return _in_with_default(col, speakers, K.UNKNOWN_SPEAKER)
+    return F.col(col).isin(speakers)
 
 
 def keyword_contains(keyword: str | None, col: str = "line") -> Column:

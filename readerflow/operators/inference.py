@@ -11,10 +11,12 @@ again, but nothing downstream re-evaluates the model.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,9 @@ from .. import constants as K
 from ..functions import model_json as J
 from ..functions import text as T
 
+# Ship this module's functions by value: executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RESULT_SCHEMA = "prompt_hash string, template string, raw string, status string, error string"
 
 
