@@ -44,7 +44,7 @@ def q_stream_progress(spark, sf):
 def q_stream_ingest(spark, sf):
     base = scratch_path(spark, "stream_ingest")
     root, out, ckpt = f"{base}/landed", f"{base}/out", f"{base}/checkpoint"
-    ST2.land_books(fx_books(spark, sf), root)
+    ST2.land_books(fx_books(spark, sf), root, files=spark.sparkContext.defaultParallelism)
     q = ST2.start_ingest(spark, root, out, ckpt)
     q.awaitTermination()
     rows = spark.read.parquet(out)

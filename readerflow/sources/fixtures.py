@@ -18,12 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Scan-parallelism guard for CPU-heavy per-row work (regex over whole
+    texts): when a scan yields fewer partitions than the cluster has cores
+    (e.g. one unsplittable row group), deal rows round-robin over all cores.
+    On large inputs the scan already has more splits than cores and this is
+    a no-op, so no full shuffle of the corpus is ever added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # ----------------------------------------------------------------------------
 # fx_books(book_id, raw_text)
 # ----------------------------------------------------------------------------
 
 def fx_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    d = spread(table(spark, sf_dir, "documents").filter(F.col("lang") == "en").select("doc_id", "text"))
     bid = F.col("doc_id").cast("string")
     text = F.col("text")
     half = F.floor(F.length(text) / 2).cast("int")

@@ -3,7 +3,9 @@
 Cleaning, splitting and de-duplicating happen inside each book's row (see
 ``operators.chapters``), so the streaming plan is map-only: append mode, no
 state, no shuffle. Files are laid out as ``<root>/book_id=<id>/<file>``; the
-book id comes from partition discovery.
+book id comes from partition discovery. ``land_books`` instead writes Parquet
+batches of (book_id, raw_text) -- many books per file, the layout to use at
+scale, where millions of one-book files would make listing the bottleneck.
 """
 
 from __future__ import annotations
@@ -18,26 +20,45 @@ from ..operators import chapters as CH
 BOOK_FILE_SCHEMA = "value string, book_id bigint"
 
 
-def land_books(books: DataFrame, root: str) -> None:
+BOOK_BATCH_SCHEMA = "book_id bigint, raw_text string"
+
+
+def land_book_files(books: DataFrame, root: str) -> None:
     """Write (book_id, raw_text) rows as one text file per book under ``root``."""
     books.select("book_id", "raw_text").repartition("book_id").write.mode("append").partitionBy("book_id").text(root)
 
 
+def land_books(books: DataFrame, root: str, files: int | None = None) -> None:
+    """Append (book_id, raw_text) rows to ``root`` as Parquet batches."""
+    b = books.select("book_id", "raw_text")
+    (b.repartition(files) if files else b).write.mode("append").parquet(root)
+
+
 def book_file_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of one-book text files (``land_book_files`` layout)."""
     r = spark.readStream.schema(BOOK_FILE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return r.text(root, wholetext=True).select("book_id", F.col("value").alias("raw_text"))
 
 
+def book_batch_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of Parquet book batches (``land_books`` layout)."""
+    r = spark.readStream.schema(BOOK_BATCH_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return r.parquet(root)
+
+
 def chapter_stream(books: DataFrame, footer: str = "exact", max_chars: int | None = K.MAX_BOOK_CHARS) -> DataFrame:
     """T1-T9 over a (streaming or batch) book frame."""
     return CH.chapters(CH.clean_books(books, footer, max_chars))
 
 
 def start_ingest(spark: SparkSession, root: str, out_path: str, checkpoint: str, available_now: bool = True,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    rows = chapter_stream(book_file_stream(spark, root, max_files_per_trigger))
+                 max_files_per_trigger: int | None = None, layout: str = "parquet") -> StreamingQuery:
+    source = book_batch_stream if layout == "parquet" else book_file_stream
+    rows = chapter_stream(source(spark, root, max_files_per_trigger))
     w = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start(out_path)

@@ -37,11 +37,18 @@ def test_progress_stream_shuffled_files_equals_batch(spark, tmp_path):
     assert sum(totals.values()) == fb.count()
 
 
-def test_ingest_stream_equals_batch(spark, tmp_path):
+import pytest
+
+
+@pytest.mark.parametrize("layout", ["parquet", "text"])
+def test_ingest_stream_equals_batch(spark, tmp_path, layout):
     books = fx_books(spark, SF)
     root = str(tmp_path / "landed")
-    ST2.land_books(books, root)
-    q = ST2.start_ingest(spark, root, str(tmp_path / "out"), str(tmp_path / "ck"), max_files_per_trigger=7)
+    if layout == "parquet":
+        ST2.land_books(books, root, files=5)
+    else:
+        ST2.land_book_files(books, root)
+    q = ST2.start_ingest(spark, root, str(tmp_path / "out"), str(tmp_path / "ck"), max_files_per_trigger=2, layout=layout)
     q.awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     exp = sorted(tuple(r) for r in CH.chapters(CH.clean_books(books)).collect())
