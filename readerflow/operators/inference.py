@@ -116,16 +116,17 @@ def batch_infer(
 ) -> DataFrame:
     """Run each distinct new prompt once through an injected model client.
 
-    ``prompts(prompt_hash, prompt)``. ``partitions`` bounds the number of
-    concurrent client sessions; the repartition by ``prompt_hash`` also
-    co-locates duplicates so de-duplication needs no further shuffle.
+    ``prompts(prompt_hash, prompt)``. Duplicates are removed first: the
+    de-duplication is a partial aggregate, so a prompt repeated in a third of
+    all rows collapses map-side instead of landing in one task. The unique
+    prompts are then dealt round-robin over ``partitions`` tasks, which is
+    also the number of concurrent client sessions.
     Returns ``RESULT_SCHEMA`` rows; with ``out_path`` they are appended to a
     Parquet table there and read back, which is what callers should use.
     """
-    todo = new_prompts(prompts.select("prompt_hash", "prompt"), cache)
+    todo = new_prompts(prompts.select("prompt_hash", "prompt"), cache).dropDuplicates(["prompt_hash"])
     if partitions:
-        todo = todo.repartition(int(partitions), "prompt_hash")
-    todo = todo.dropDuplicates(["prompt_hash"])
+        todo = todo.repartition(int(partitions))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
