@@ -23,6 +23,12 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK = 1 << 16
 
 
+def _blocked(df: DataFrame, order: str, block_size: int) -> DataFrame:
+    # non-nullable on purpose: the join's inferred isnotnull(__blk) then folds
+    # away, both join inputs stay identical and their exchange is reused
+    return df.withColumn("__blk", F.coalesce(F.floor(F.col(order) / F.lit(block_size)), F.lit(0).cast("bigint")))
+
+
 def ordered_positions(
     df: DataFrame,
     key: str,
@@ -33,31 +39,34 @@ def ordered_positions(
     """Add ``{prefix}position`` (1-based), ``{prefix}count``, ``{prefix}prev``
     and ``{prefix}next`` (neighbouring ``order`` values, null at the ends).
 
-    ``order`` must be unique within ``key`` and integral.
+    ``order`` must be unique within ``key`` and integral. Block statistics
+    are window aggregates over the same (key, block) partitioning as the row
+    windows, so both sides of the final join share one (reused) exchange and
+    the input is computed once.
     """
-    blk = "__blk"
-    rows = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_size)))
-    w_in = Window.partitionBy(key, blk).orderBy(order)
+    w_in = Window.partitionBy(key, "__blk").orderBy(order)
+    w_blk = Window.partitionBy(key, "__blk")
     rows = (
-        rows.withColumn("__rn", F.row_number().over(w_in))
+        _blocked(df, order, block_size)
+        .withColumn("__rn", F.row_number().over(w_in))
         .withColumn("__lag", F.lag(order).over(w_in))
         .withColumn("__lead", F.lead(order).over(w_in))
+        .withColumn("__n", F.count(F.lit(1)).over(w_blk))
+        .withColumn("__lo", F.min(order).over(w_blk))
+        .withColumn("__hi", F.max(order).over(w_blk))
     )
-    blocks = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_size))).groupBy(key, blk).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi")
-    )
-    w_b = Window.partitionBy(key).orderBy(blk)
-    blocks = blocks.select(
+    w_b = Window.partitionBy(key).orderBy("__blk")
+    blocks = rows.filter(F.col("__rn") == 1).select(
         key,
-        blk,
+        "__blk",
         F.coalesce(F.sum("__n").over(w_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
         F.sum("__n").over(Window.partitionBy(key)).alias("__total"),
         F.lag("__hi").over(w_b).alias("__prev_hi"),
         F.lead("__lo").over(w_b).alias("__next_lo"),
     )
-    out = rows.join(blocks, [key, blk], "inner")
+    out = rows.join(blocks, [key, "__blk"], "inner")
     return out.select(
-        *[c for c in df.columns],
+        *df.columns,
         (F.col("__off") + F.col("__rn")).cast("bigint").alias(f"{prefix}position"),
         F.col("__total").cast("bigint").alias(f"{prefix}count"),
         F.coalesce("__lag", "__prev_hi").alias(f"{prefix}prev"),
@@ -79,18 +88,17 @@ def running_totals(
     Same blocking as :func:`ordered_positions`: bounded windows per block plus
     a small per-block prefix table, so no key is processed by one task.
     """
-    blk = "__blk"
     srcs = {out: (F.lit(1) if src == "*" else F.col(src)) for out, src in values.items()}
-    rows = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_size)))
-    w_in = Window.partitionBy(key, blk).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    w_in = Window.partitionBy(key, "__blk").orderBy(order)
+    w_blk = Window.partitionBy(key, "__blk")
+    rows = _blocked(df, order, block_size).withColumn("__rn", F.row_number().over(w_in))
     for out, s in srcs.items():
-        rows = rows.withColumn(f"__in_{out}", F.coalesce(F.sum(s).over(w_in), F.lit(0)))
-    blocks = rows.groupBy(key, blk).agg(*[F.sum(s).alias(f"__b_{out}") for out, s in srcs.items()])
-    w_b = Window.partitionBy(key).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        key, blk, *[F.coalesce(F.sum(f"__b_{out}").over(w_b), F.lit(0)).alias(f"__o_{out}") for out in srcs]
-    )
-    out_df = rows.join(blocks, [key, blk], "inner")
-    return out_df.select(
-        *df.columns, *[(F.col(f"__o_{o}") + F.col(f"__in_{o}")).alias(o) for o in srcs]
+        rows = rows.withColumn(
+            f"__in_{out}", F.coalesce(F.sum(s).over(w_in.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ).withColumn(f"__b_{out}", F.sum(s).over(w_blk))
+    w_b = Window.partitionBy(key).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.filter(F.col("__rn") == 1).select(
+        key, "__blk", *[F.coalesce(F.sum(f"__b_{out}").over(w_b), F.lit(0)).alias(f"__o_{out}") for out in srcs]
     )
+    out_df = rows.join(blocks, [key, "__blk"], "inner")
+    return out_df.select(*df.columns, *[(F.col(f"__o_{o}") + F.col(f"__in_{o}")).alias(o) for o in srcs])
