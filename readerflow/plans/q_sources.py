@@ -21,14 +21,14 @@ REQUESTABLE = [t for t, _ in K.CATALOG] + [UNKNOWN_TITLE]
 
 # ------------------------------------------------------------------ S1, S2
 def _requests(spark, sf):
-    d = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    d = table(spark, sf, "documents")
     titles = F.array(*[F.lit(t) for t in REQUESTABLE])
     return d.select("doc_id", F.element_at(titles, (F.col("doc_id") % len(REQUESTABLE) + 1).cast("int")).alias("title"))
 
 
 REQUESTS_SQL = (
     "SELECT doc_id, ([" + ", ".join(sql_literal(t) for t in REQUESTABLE) + f"])[doc_id % {len(REQUESTABLE)} + 1] AS title "
-    "FROM documents WHERE lang = 'en'"
+    "FROM documents"
 )
 
 
@@ -43,11 +43,11 @@ def q_catalog_lookup(spark, sf):
 @query(
     "catalog_search",
     f"""SELECT q.doc_id, q.q, cat.title, cat.book_id FROM
-  (SELECT doc_id, lower({S.words('text')}[1]) AS q FROM documents WHERE lang = 'en') q
+  (SELECT doc_id, lower({S.words('text')}[1]) AS q FROM documents) q
   JOIN {CATALOG_SQL} ON contains(lower(cat.title), q.q)""",
 )
 def q_catalog_search(spark, sf):
-    d = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    d = table(spark, sf, "documents")
     queries = d.select("doc_id", F.lower(F.element_at(words("text"), 1)).alias("q"))
     return B.catalog_search(queries).select("doc_id", "q", "title", "book_id")
 

@@ -34,7 +34,7 @@ def spread(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 def fx_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents").filter(F.col("lang") == "en").select("doc_id", "text"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     bid = F.col("doc_id").cast("string")
     text = F.col("text")
     half = F.floor(F.length(text) / 2).cast("int")
@@ -82,7 +82,7 @@ SELECT doc_id AS book_id,
   || chr(13) || chr(10) || '*** END OF THE PROJECT GUTENBERG EBOOK BOOK ' || CAST(doc_id AS VARCHAR)
   || ' ***' || chr(13) || chr(10) || 'End of the Project Gutenberg eBook. Footer ' || CAST(doc_id AS VARCHAR)
   AS raw_text
-FROM documents WHERE lang = 'en'
+FROM documents
 """
 
 
