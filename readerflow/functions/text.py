@@ -138,6 +138,12 @@ def words(col: Column | str) -> Column:
     return F.filter(F.split(_c(col), WS_CLASS + "+", -1), lambda t: t != F.lit(""))
 
 
+def first_word(col: Column | str) -> Column:
+    """``s.split()[0]`` (null when there is no token), scanning only the prefix."""
+    w = F.regexp_extract(_c(col), "^" + WS_CLASS + "*([^" + WS_CLASS[1:-1] + "]+)", 1)
+    return F.when(w != F.lit(""), w)
+
+
 def render(template: str, **fields: Column) -> Column:
     """``template.format(**fields)`` as one ``concat``: single pass, so a value
     that itself contains ``{name}`` is never substituted again."""

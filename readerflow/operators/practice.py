@@ -26,15 +26,16 @@ def token_set(col) -> Column:
     return F.array_distinct(T.words(F.lower(_c(col))))
 
 
+def set_overlap(target_set, answer_set) -> Column:
+    """|answer ∩ target| / |target| * 100 over two token sets; 0 for an empty target."""
+    t, a = _c(target_set), _c(answer_set)
+    return F.when(F.size(t) == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, t)) / F.size(t) * F.lit(100.0))
+
+
 def word_overlap(target, answer) -> Column:
     """|answer ∩ target| / |target| * 100 over distinct tokens; 0 when the
     target has no tokens. Recall only: order, repeats and extra words do not count."""
-    t = token_set(target)
-    a = token_set(answer)
-    return (
-        F.when(F.size(t) == 0, F.lit(0.0))
-        .otherwise(F.size(F.array_intersect(a, t)) / F.size(t) * F.lit(100.0))
-    )
+    return set_overlap(token_set(target), token_set(answer))
 
 
 def display_round(col) -> Column:
@@ -49,12 +50,13 @@ def nonblank(col) -> Column:
 
 def score_attempts(attempts: DataFrame) -> DataFrame:
     """Dictation check: overlap and its display value for non-blank answers."""
-    scored = attempts.filter(nonblank("answer"))
-    pct = word_overlap("target", "answer")
-    return scored.select(
-        "learner_id", "book_id", "dlg_ord",
-        pct.alias("accuracy"), display_round(pct).alias("accuracy_display"),
+    keys = ["learner_id", "book_id", "dlg_ord"]
+    # token sets as columns first: referenced three times, evaluated once
+    sets = attempts.filter(nonblank("answer")).select(
+        *keys, token_set("target").alias("__t"), token_set("answer").alias("__a")
     )
+    scored = sets.select(*keys, set_overlap("__t", "__a").alias("accuracy"))
+    return scored.withColumn("accuracy_display", display_round("accuracy"))
 
 
 def attempt_target(attempts: DataFrame, dialogues: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.text import sql_literal, words
+from ..functions.text import first_word, sql_literal
 from ..operators import rules as R
 from ..operators import voice as V
 from ..sources import books as B
@@ -48,7 +48,7 @@ def q_catalog_lookup(spark, sf):
 )
 def q_catalog_search(spark, sf):
     d = table(spark, sf, "documents")
-    queries = d.select("doc_id", F.lower(F.element_at(words("text"), 1)).alias("q"))
+    queries = d.select("doc_id", F.lower(first_word("text")).alias("q"))
     return B.catalog_search(queries).select("doc_id", "q", "title", "book_id")
 
 
