@@ -60,7 +60,8 @@ def scan_landed_books(spark: SparkSession, path: str) -> DataFrame:
     ``wholetext`` keeps a file in one value; zero-byte files produce no row,
     so the next location wins for them.
     """
-    raw = spark.read.option("wholetext", "true").text(path).select(
+    # wholetext must be the text() argument: the method's default overrides .option()
+    raw = spark.read.text(path, wholetext=True).select(
         F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("__file"), F.col("value").alias("raw_text")
     )
     book_id = F.coalesce(*[F.when(F.col("__file").rlike(p), F.regexp_extract("__file", p, 1)) for p, _ in FILE_PATTERNS])
@@ -70,15 +71,18 @@ def scan_landed_books(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def book_scan_fallback(candidates: DataFrame) -> DataFrame:
+def book_scan_fallback(candidates: DataFrame, requested: DataFrame | None = None) -> DataFrame:
     """S3: per book, the non-empty candidate with the lowest priority; a book
     without one gets an empty text (and priority null), like a failed fetch.
+    ``requested(book_id)`` adds books that have no landed file at all.
 
     ``min_by`` is a partial aggregate: each map task keeps one candidate per
     book, so a book with many candidates cannot skew the shuffle.
     """
     ok = F.when(F.length("raw_text") > 0, F.col("priority"))
     best = candidates.groupBy("book_id").agg(F.min_by(F.struct(F.col("priority"), F.col("raw_text")), ok).alias("b"))
+    if requested is not None:
+        best = requested.select("book_id").distinct().join(best, "book_id", "left")
     return best.select(
         "book_id",
         F.col("b.priority").alias("priority"),

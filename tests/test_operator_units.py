@@ -194,12 +194,13 @@ def test_scan_landed_books(spark, tmp_path):
     d = tmp_path / "landed"
     d.mkdir()
     (d / "7-0.txt").write_text("")  # empty: skipped, next location wins
-    (d / "7.txt").write_text("second")
+    (d / "7.txt").write_text("second\nline two\n")
     (d / "pg7.txt").write_text("third")
-    (d / "pg8.txt").write_text("only")
+    (d / "pg8.txt").write_text("only\n\nbook")
     cands = B.scan_landed_books(spark, str(d))
+    assert cands.count() == 3  # one row per non-empty file, whole text
     best = {r.book_id: (r.priority, r.raw_text) for r in B.book_scan_fallback(cands).collect()}
-    assert best == {7: (2, "second"), 8: (3, "only")}
+    assert best == {7: (2, "second\nline two\n"), 8: (3, "only\n\nbook")}
 
 
 def test_catalog_lookup_and_search(spark):
