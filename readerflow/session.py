@@ -49,3 +49,34 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested SQL settings for a cluster run over ``input_bytes`` of data.
+
+    Scan splits of ``target_partition_bytes`` (whole row groups still bound a
+    split from below), an initial shuffle width of at least 3 waves over the
+    cores or one partition per target size, and AQE to coalesce small shuffle
+    partitions and split skewed ones at runtime. Per-task memory stays near the
+    target size, so sorts and aggregations spill gracefully instead of failing.
+    """
+    waves = 3 * max(1, total_cores)
+    by_size = -(-int(input_bytes) // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(max(waves, by_size)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        # AQE's runtime broadcast decision is taken on measured sizes
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
