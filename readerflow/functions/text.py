@@ -51,8 +51,12 @@ def collapse_newlines(col: Column | str) -> Column:
 
 
 def collapse_blanks(col: Column | str) -> Column:
-    """T5: runs of space/tab -> one space (other whitespace untouched)."""
-    return F.regexp_replace(_c(col), "[ \t]+", " ")
+    """T5: runs of space/tab -> one space (other whitespace untouched).
+
+    Written as ``[ \t]{2,}|\t`` rather than ``[ \t]+``: the same result, but a
+    single space (most of any text) is no longer a match to replace.
+    """
+    return F.regexp_replace(_c(col), "[ \t]{2,}|\t", " ")
 
 
 def truncate(col: Column | str, max_chars: int | None) -> Column:

@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 
 def materialize(df: DataFrame, **cols: Column) -> DataFrame:
-    """``df.withColumns(cols)`` behind a pushdown barrier."""
+    """``df.withColumns(cols)`` behind a pushdown barrier.
+
+    The expressions are computed in an ordinary projection (whole-stage
+    codegen, common-subexpression elimination); the Generate above it only
+    repackages the computed columns, and predicates on them stop there.
+    """
     keep = [c for c in df.columns if c not in cols]
-    packed = F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))
-    return df.select(*keep, F.inline_outer(packed))
+    tmp = {n: f"__m_{n}" for n in cols}
+    computed = df.select(*keep, *[c.alias(tmp[n]) for n, c in cols.items()])
+    packed = F.array(F.struct(*[F.col(tmp[n]).alias(n) for n in cols]))
+    return computed.select(*keep, F.inline_outer(packed))
