@@ -25,8 +25,12 @@ def spread(df: DataFrame) -> DataFrame:
     On large inputs the scan already has more splits than cores and this is
     a no-op, so no full shuffle of the corpus is ever added.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001 - e.g. no RDD access (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 # ----------------------------------------------------------------------------
