@@ -62,7 +62,7 @@ def scan_landed_books(spark: SparkSession, path: str) -> DataFrame:
     """
     # wholetext must be the text() argument: the method's default overrides .option()
     raw = spark.read.text(path, wholetext=True).select(
-        F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("__file"), F.col("value").alias("raw_text")
+        F.col("_metadata.file_name").alias("__file"), F.col("value").alias("raw_text")
     )
     book_id = F.coalesce(*[F.when(F.col("__file").rlike(p), F.regexp_extract("__file", p, 1)) for p, _ in FILE_PATTERNS])
     priority = F.coalesce(*[F.when(F.col("__file").rlike(p), F.lit(n)) for p, n in FILE_PATTERNS])
