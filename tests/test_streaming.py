@@ -53,3 +53,22 @@ def test_ingest_stream_equals_batch(spark, tmp_path, layout):
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     exp = sorted(tuple(r) for r in CH.chapters(CH.clean_books(books)).collect())
     assert got == exp
+
+
+def test_progress_days_independent_of_session_zone(spark, tmp_path):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        events = table(spark, SF, "events")
+        stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(SF)
+        q = ST1.start_progress(feedback_from_events(stream), str(tmp_path / "out"), str(tmp_path / "ck"))
+        q.awaitTermination()
+        got = {(r.learner_id, r.day): r.n_practice for r in ST1.read_progress(spark, str(tmp_path / "out")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    import pandas as pd
+
+    pdf = events.toPandas()
+    pdf = pdf[pdf.event_type != "view"]
+    exp = pdf.groupby([pdf.user_id, pd.to_datetime(pdf.ts).dt.strftime("%Y-%m-%d")]).size().to_dict()
+    assert got == {(int(k[0]), k[1]): int(v) for k, v in exp.items()}
