@@ -11,8 +11,9 @@ order values, so every window partition is bounded:
 3. join the two on (key, block): position = block offset + row number; the
    neighbour of a block's first/last row comes from the previous/next block.
 
-The rows side and the block aggregation share one hash partitioning on
-(key, block), so Spark reuses the exchange.
+The rows side and the block statistics share one hash partitioning on
+(key, block): static planning reuses that exchange; under AQE the input may
+be read twice (2x input cost, never a single task per key).
 """
 
 from __future__ import annotations
@@ -41,8 +42,7 @@ def ordered_positions(
 
     ``order`` must be unique within ``key`` and integral. Block statistics
     are window aggregates over the same (key, block) partitioning as the row
-    windows, so both sides of the final join share one (reused) exchange and
-    the input is computed once.
+    windows, so both sides of the final join have identical exchanges.
     """
     w_in = Window.partitionBy(key, "__blk").orderBy(order)
     w_blk = Window.partitionBy(key, "__blk")
