@@ -66,3 +66,22 @@ def test_chapter_split_matches_python_re(spark, texts):
             (parts[j].strip(), parts[j + 1].strip()) for j in range(1, len(parts), 2)
         ]
         assert arrs[i] == exp
+
+
+UNI = st.sampled_from(list("ab \nCHAPTERchapterIVX1") + ["ı", "İ", "٣", " ", "\x85", "\xa0", "　", "\x1c", "\r", "\t"])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet=UNI, max_size=50), min_size=20, max_size=40))
+def test_chapter_split_unicode_matches_python_re(spark, texts):
+    import re
+
+    pat = re.compile(r"(CHAPTER\s+[IVXLC\d]+[^\n]*)", re.IGNORECASE)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "book_id bigint, text string")
+    arrs = {r.book_id: [(c.title, c.body) for c in r.chapters] for r in CH.with_chapter_array(df).collect()}
+    for i, t in enumerate(texts):
+        parts = pat.split(t)
+        exp = [("Full Text", t)] if len(parts) <= 1 else [
+            (parts[j].strip(), parts[j + 1].strip()) for j in range(1, len(parts), 2)
+        ]
+        assert arrs[i] == exp, repr(t)
