@@ -30,7 +30,6 @@ from .functions import model_json as J
 from .functions.text import preprocess
 from .operators import chapters as CH
 from .operators import conversation as C
-from .operators import dialogues as D
 from .operators import inference as I
 from .operators import voice as V
 from .sources import books as B
@@ -80,8 +79,7 @@ def extract_dialogues(
 
 def roleplay_requests(dialogues: DataFrame, start: int = 0, n: int = K.ROLEPLAY_DEFAULT_LINES) -> DataFrame:
     """L5-L7 + C1 + X5 prompt per book."""
-    s = D.roleplay_slice(dialogues, start, n)
-    t = C.transcripts(D.first_lines(s, start))
+    t = C.transcripts(dialogues, start, n)
     p = C.roleplay_prompt("context", "transcript")
     return t.select("book_id", p.alias("prompt")).withColumn("prompt_hash", I.prompt_hash("prompt"))
 

@@ -103,7 +103,8 @@ def chat_requests(messages: DataFrame, setups: DataFrame, block_size: int = DEFA
     a request carries its history as the span of earlier turns
     (``history_from``..``turn - 1`` of ``messages``) with running message and
     character totals computed by a blocked prefix sum (no conversation is
-    processed by one task). ``render_history`` turns spans into text.
+    processed by one task). A client reads the history rows themselves from
+    ``messages`` by turn range.
     """
     m = messages.select("conv_id", "turn", "role", "content").withColumn(
         "__len", F.length(F.coalesce("content", F.lit(""))).cast("bigint")
@@ -192,12 +193,19 @@ def transcript_line(speaker: Column | str, line: Column | str) -> Column:
     return T.render(K.TRANSCRIPT_LINE, speaker=F.coalesce(s, F.lit(K.UNKNOWN_SPEAKER)), line=F.coalesce(ln, F.lit("")))
 
 
-def transcripts(lines: DataFrame) -> DataFrame:
-    """``speaker: "line" `` rows joined by newlines, per book, in order.
+def transcripts(dialogues: DataFrame, start: int = 0, n: int = K.ROLEPLAY_DEFAULT_LINES) -> DataFrame:
+    """C1 over a role-play slice: lines ``[start, start + n)`` of each book
+    (L5), at most 8 of them (L6), as ``speaker: "line" `` joined by newlines.
 
-    Input is an already bounded slice (at most 8 lines per book, L5/L6), so
-    the per-book list is bounded.
+    The slice is taken here, so each per-book list holds at most 8 rows
+    whatever the size of the dialogue table.
     """
+    from .dialogues import first_lines, roleplay_slice
+
+    return _transcript_lists(first_lines(roleplay_slice(dialogues, start, n), start))
+
+
+def _transcript_lists(lines: DataFrame) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct(F.col("dlg_ord").alias("o"), transcript_line("speaker", "line").alias("t"))))
     return lines.groupBy("book_id").agg(
         F.count(F.lit(1)).alias("n_lines"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import sql_literal, sql_render
 from ..operators import conversation as C
-from ..operators import dialogues as D
 from ..sources.fixtures import fx_dialogues, fx_messages, fx_setups, with_fixtures
 from .registry import query
 
@@ -42,8 +41,7 @@ FROM (
 
 @query("transcript", TRANSCRIPT_SQL)
 def q_transcript(spark, sf):
-    lines = D.first_lines(D.roleplay_slice(fx_dialogues(spark, sf), 0, K.ROLEPLAY_MAX_LINES), 0)
-    t = C.transcripts(lines)
+    t = C.transcripts(fx_dialogues(spark, sf), 0, K.ROLEPLAY_MAX_LINES)
     return t.select("book_id", "n_lines", "context", "transcript", C.roleplay_prompt("context", "transcript").alias("prompt"))
 
 

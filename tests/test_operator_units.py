@@ -130,6 +130,8 @@ def test_score_band(spark):
 def test_transcript(spark):
     lines = spark.createDataFrame([(1, 0, "A", "hi", "ctx"), (1, 1, "B", "yo", "")], "book_id bigint, dlg_ord bigint, speaker string, line string, context string")
     assert C.transcripts(lines).first().transcript == 'A: "hi" \nB: "yo" '
+    many = spark.createDataFrame([(1, i, "A", f"l{i}", "") for i in range(20)], "book_id bigint, dlg_ord bigint, speaker string, line string, context string")
+    assert C.transcripts(many, 2, 10).first().n_lines == 8
 
 
 SETUP = "conv_id bigint, scenario string, user_role string, ai_roles array<string>, opening_line string, vocabulary_tips array<string>"
