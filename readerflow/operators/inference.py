@@ -123,7 +123,14 @@ def batch_infer(
     also the number of concurrent client sessions.
     Returns ``RESULT_SCHEMA`` rows; with ``out_path`` they are appended to a
     Parquet table there and read back, which is what callers should use.
+    Results already in ``out_path`` count as cached, so re-running after a
+    failed or interrupted job only asks for the prompts still missing (the
+    file commit protocol publishes a job's files only when it succeeds).
     """
+    spark = prompts.sparkSession
+    if out_path is not None and _exists(spark, out_path):
+        done = spark.read.parquet(out_path).select("prompt_hash")
+        cache = done if cache is None else cache.select("prompt_hash").unionByName(done)
     todo = new_prompts(prompts.select("prompt_hash", "prompt"), cache).dropDuplicates(["prompt_hash"])
     if partitions:
         todo = todo.repartition(int(partitions))
@@ -149,7 +156,14 @@ def batch_infer(
     if out_path is None:
         return result
     result.write.mode("append").parquet(out_path)
-    return prompts.sparkSession.read.parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
+def _exists(spark, path: str) -> bool:
+    """Whether a (possibly remote) path exists, via the Hadoop file system API."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def batch_transcribe(

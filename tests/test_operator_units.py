@@ -256,3 +256,12 @@ def test_batch_infer_cache_and_dedup(spark, tmp_path):
     assert sorted(r.prompt_hash for r in res.collect()) == ["h1", "h2"]
     dlg, rej = I.explode_responses(res, ["prompt_hash"])
     assert sorted(r.line for r in dlg.collect()) == ["p-1", "p-2"] and rej.count() == 0
+
+
+def test_batch_infer_resumes_without_duplicates(spark, tmp_path):
+    out = str(tmp_path / "res")
+    first = spark.createDataFrame([("h1", "p-1"), ("h2", "p-2")], "prompt_hash string, prompt string")
+    I.batch_infer(first, CountingClient, template="t", out_path=out)
+    more = spark.createDataFrame([("h1", "p-1"), ("h2", "p-2"), ("h4", "p-4")], "prompt_hash string, prompt string")
+    res = I.batch_infer(more, CountingClient, template="t", out_path=out)
+    assert sorted(r.prompt_hash for r in res.collect()) == ["h1", "h2", "h4"]
