@@ -133,7 +133,7 @@ def q_append_turn(spark, sf):
 @query(
     "collect_user_lines",
     _ctes("fx_messages")
-    + "\nSELECT conv_id, count(*) AS n_lines, to_json(list(content ORDER BY turn)) AS lines_json "
+    + "\nSELECT conv_id, count(*) AS n_lines, CAST(to_json(list(content ORDER BY turn)) AS VARCHAR) AS lines_json "
     "FROM fx_messages WHERE role = 'user' GROUP BY conv_id",
 )
 def q_collect_user_lines(spark, sf):

@@ -40,15 +40,23 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN"}
+
+
 def compare(spark, con, q, sf_dir: str) -> dict:
     sdf = q.build(spark, sf_dir)
     s_cols = list(sdf.columns)
+    s_types = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
     s_rows = sdf.collect()
+    rel = con.sql(q.sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     cur = con.execute(q.sql)
     d_cols = [c[0] for c in cur.description]
     d_rows = cur.fetchall()
     out = {"name": q.name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
-           "cols_match": sorted(s_cols) == sorted(d_cols), "spark_cols": s_cols, "oracle_cols": d_cols}
+           "cols_match": sorted(s_cols) == sorted(d_cols), "spark_cols": s_cols, "oracle_cols": d_cols,
+           "types_match": s_types == d_types, "spark_types": s_types, "oracle_types": d_types}
     if out["cols_match"]:
         order = sorted(s_cols)
         si = [s_cols.index(c) for c in order]
@@ -61,5 +69,5 @@ def compare(spark, con, q, sf_dir: str) -> dict:
             out["only_oracle"] = list((dc - sc).elements())[:3]
     else:
         out["values_match"] = False
-    out["ok"] = out["values_match"] and out["spark_rows"] == out["oracle_rows"]
+    out["ok"] = out["values_match"] and out["types_match"] and out["spark_rows"] == out["oracle_rows"]
     return out
