@@ -115,6 +115,18 @@ def q_dedup_chapters(spark, sf):
     return CH.chapters(CH.clean_books(_books(spark, sf)))
 
 
+@query("split_chapters_whole", _chapter_sql("SELECT book_id, chapter_pos, title, body FROM split_rows", max_chars=None))
+def q_split_chapters_whole(spark, sf):
+    """T8 on whole texts (no T6 cut)."""
+    return CH.split_chapters(CH.clean_books(_books(spark, sf), max_chars=None))
+
+
+@query("dedup_chapters_whole", _chapter_sql("SELECT book_id, chapter_ord, title, body FROM chapters", max_chars=None))
+def q_dedup_chapters_whole(spark, sf):
+    """T8 + T9 on whole texts (no T6 cut)."""
+    return CH.chapters(CH.clean_books(_books(spark, sf), max_chars=None))
+
+
 DEFAULT_CHAPTERS_SQL = _chapter_sql(
     f"SELECT book_id, chapter_ord, title, CAST(length(body) AS BIGINT) AS n_chars FROM chapters "
     f"WHERE chapter_ord <= {K.DEFAULT_CHAPTERS}"
