@@ -14,6 +14,8 @@ and speech services are injected clients (see ``operators.inference``).
 | chat_roleplay(msgs, input,..) | chat_replies(messages, setups, client) |
 | evaluate_response(t, u)       | evaluate_responses(attempts, client)   |
 | translate_to_modern(text)     | modernise(lines, client)               |
+| (inline) translation hint     | hints(lines, client)                   |
+| (inline) conversation review  | analyse_conversations(messages, client)|
 | text_to_speech(text, voice..) | speech_requests(lines)                 |
 | transcribe_audio(bytes)       | transcribe(spark, audio_dir, client)   |
 """
@@ -124,6 +126,21 @@ def modernise(lines: DataFrame, client_factory, out_path: str, text_col: str = "
     return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("modern")), "prompt_hash", "inner")
 
 
+def hints(lines: DataFrame, client_factory, out_path: str, text_col: str = "line") -> DataFrame:
+    """Translation hint per line."""
+    req = lines.select("book_id", "dlg_ord", I.hint_prompt(text_col).alias("prompt"))
+    req = req.withColumn("prompt_hash", I.prompt_hash("prompt"))
+    res = I.batch_infer(req, client_factory, template="hint", json_mode=False, out_path=out_path)
+    return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("hint")), "prompt_hash", "inner")
+
+
+def analyse_conversations(messages: DataFrame, client_factory, out_path: str) -> DataFrame:
+    """F7 + F8 + A7 + X9: one review per conversation with at least two messages."""
+    req = C.analysis_prompts(messages).withColumn("prompt_hash", I.prompt_hash("prompt"))
+    res = I.batch_infer(req, client_factory, template="analysis", json_mode=False, out_path=out_path)
+    return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("analysis")), "prompt_hash", "inner")
+
+
 def speech_requests(lines: DataFrame, text_col: str = "line", key_col: str = "voice_key", rate_col: str = "rate") -> DataFrame:
     """V3: synthesis request manifest (the synthesiser itself is external)."""
     return V.voice_manifest(lines, text_col, key_col, rate_col)
@@ -135,7 +152,7 @@ def transcribe(spark: SparkSession, audio_dir: str, client_factory, glob: str =
 
 
 __all__ = [
-    "chat_replies", "evaluate_responses", "extract_chapters", "extract_dialogues", "extraction_requests",
-    "fetch_books", "modernise", "preprocess", "preprocess_books", "roleplay_requests", "roleplay_setups",
+    "analyse_conversations", "chat_replies", "evaluate_responses", "extract_chapters", "extract_dialogues",
+    "extraction_requests", "fetch_books", "hints", "modernise", "preprocess", "preprocess_books", "roleplay_requests", "roleplay_setups",
     "speech_requests", "transcribe",
 ]

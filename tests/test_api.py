@@ -59,3 +59,11 @@ def test_new_scenario_keeps_old_rows(spark):
 def test_chat_replies(spark, tmp_path):
     out = api.chat_replies(fx_messages(spark, SF), fx_setups(spark, SF), EchoClient, str(tmp_path / "c"))
     assert out.count() == fx_messages(spark, SF).filter("role = 'user'").count()
+
+
+def test_hints_modernise_analysis(spark, tmp_path):
+    d = fx_dialogues(spark, SF)
+    assert api.hints(d, EchoClient, str(tmp_path / "h")).count() == d.count()
+    assert api.modernise(d, EchoClient, str(tmp_path / "m")).count() == d.count()
+    a = api.analyse_conversations(fx_messages(spark, SF), EchoClient, str(tmp_path / "a"))
+    assert a.count() == C.message_counts(fx_messages(spark, SF)).filter("analysable").count()
