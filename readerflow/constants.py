@@ -190,7 +190,6 @@ TRANSCRIPT_LINE = '{speaker}: "{line}" '
 TRANSCRIPT_JOINER = "\n"
 KEY_EXPRESSION_JOINER = " · "
 ISSUE_JOINER = ", "
-PREVIEW_FORMAT = "#{n} {speaker}: {line}..."
 
 # --------------------------------------------------------------------------
 # Our own parameters (not from the reproduced application)

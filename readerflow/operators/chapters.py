@@ -16,9 +16,6 @@ from .. import constants as K
 from ..functions import text as T
 from .barrier import materialize
 
-CHAPTER_STRUCT = "struct<pos:int,title:string,body:string>"
-
-
 def clean_books(
     books: DataFrame,
     footer: str = "exact",

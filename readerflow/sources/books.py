@@ -8,14 +8,25 @@ order wins, as a ``min_by`` aggregate per book.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 
 TITLE_PATTERN = r"^(.*?)\s*\(([^()]*)\)\s*$"
+
+
+def _file_pattern(location: str) -> str:
+    """Landed file name pattern of a download location: its last path
+    segment, with the book id captured."""
+    name = location.rsplit("/", 1)[-1]
+    return "^" + re.escape(name).replace(re.escape("{book_id}"), r"(\d+)") + "$"
+
+
 # Landed file name -> (book id, location priority), in location order.
-FILE_PATTERNS = [(r"^(\d+)-0\.txt$", 1), (r"^(\d+)\.txt$", 2), (r"^pg(\d+)\.txt$", 3)]
+FILE_PATTERNS = [(_file_pattern(loc), i + 1) for i, loc in enumerate(K.BOOK_LOCATIONS)]
 
 
 # ------------------------------------------------------------------ S1, S2
