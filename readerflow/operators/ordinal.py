@@ -12,8 +12,8 @@ order values, so every window partition is bounded:
    neighbour of a block's first/last row comes from the previous/next block.
 
 The rows side and the block statistics share one hash partitioning on
-(key, block): static planning reuses that exchange; under AQE the input may
-be read twice (2x input cost, never a single task per key).
+(key, block); both sides of the final join contain the same exchange, which
+Spark reuses (static and adaptive plans), so the input is shuffled once.
 """
 
 from __future__ import annotations
