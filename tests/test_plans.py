@@ -51,3 +51,16 @@ def test_plans_stay_small(spark):
         if name in STREAMING:
             continue
         assert len(plan(load_all()[name].build(spark, SF))) < 200_000, name
+
+
+def test_blocked_window_exchange_is_reused(spark):
+    # run the DataFrame's own plan so AQE finalises it, then inspect that plan
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = load_all()["prev_next"].build(spark, SF)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "isFinalPlan=true" in final
+    assert "ReusedExchange" in final and "hashpartitioning(book_id" in final
