@@ -131,7 +131,9 @@ def batch_infer(
     if out_path is not None and _exists(spark, out_path):
         done = spark.read.parquet(out_path).select("prompt_hash")
         cache = done if cache is None else cache.select("prompt_hash").unionByName(done)
-    todo = new_prompts(prompts.select("prompt_hash", "prompt"), cache).dropDuplicates(["prompt_hash"])
+    # de-duplicate first: copies collapse map-side, and the cache anti-join then
+    # finds its left side already hash-partitioned by prompt_hash
+    todo = new_prompts(prompts.select("prompt_hash", "prompt").dropDuplicates(["prompt_hash"]), cache)
     if partitions:
         todo = todo.repartition(int(partitions))
 
