@@ -88,3 +88,11 @@ def learner_totals(day_rows: DataFrame) -> DataFrame:
     )
     avg = F.col("__sum") / F.col("n_practice")
     return t.select("learner_id", "n_practice", avg.alias("avg_accuracy"), display_round(avg).alias("avg_display"))
+
+
+def compact_progress(spark: SparkSession, out_path: str, state_path: str) -> DataFrame:
+    """Write the current (learner_id, day) state to ``state_path`` (overwrite)
+    and return it; older ``batch_id`` partitions of the log are then redundant
+    and can be expired by the caller's retention policy."""
+    read_progress(spark, out_path).write.mode("overwrite").parquet(state_path)
+    return spark.read.parquet(state_path)

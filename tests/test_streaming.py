@@ -35,6 +35,8 @@ def test_progress_stream_shuffled_files_equals_batch(spark, tmp_path):
     assert got == exp
     totals = {r.learner_id: r.n_practice for r in ST1.learner_totals(ST1.read_progress(spark, str(tmp_path / "out"))).collect()}
     assert sum(totals.values()) == fb.count()
+    state = ST1.compact_progress(spark, str(tmp_path / "out"), str(tmp_path / "state"))
+    assert {(r.learner_id, r.day): (r.n_practice, r.score_sum) for r in state.collect()} == got
 
 
 import pytest
