@@ -85,3 +85,38 @@ def test_chapter_split_unicode_matches_python_re(spark, texts):
             (parts[j].strip(), parts[j + 1].strip()) for j in range(1, len(parts), 2)
         ]
         assert arrs[i] == exp, repr(t)
+
+
+ROWS = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B", None]),
+        st.sampled_from(["Beginner", "Intermediate", "Advanced", "Expert", None]),
+        st.text(alphabet=st.sampled_from(list("abc ABC%")), max_size=12),
+    ),
+    min_size=10, max_size=40,
+)
+CHOICE = st.tuples(
+    st.lists(st.sampled_from(["Beginner", "Intermediate", "Advanced"]), unique=True),
+    st.sampled_from([["전체"], [], ["A"], ["전체", "B"], ["Unknown"], ["A", "Unknown"]]),
+    st.sampled_from(["", "a", "AB", "%", "c a"]),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ROWS, CHOICE)
+def test_dialogue_filter_matches_python_rules(spark, rows, choice):
+    from readerflow.operators import dialogues as D
+
+    levels, speakers, kw = choice
+    data = [(1, i, s, d, ln) for i, (s, d, ln) in enumerate(rows)]
+    df = spark.createDataFrame(data, "book_id bigint, dlg_ord bigint, speaker string, difficulty string, line string")
+    got = sorted(r.dlg_ord for r in D.filter_dialogues(df, levels, speakers, kw).collect())
+
+    def keep(s, d, ln):
+        ok_d = (d if d is not None else "Intermediate") in levels
+        ok_s = speakers == ["전체"] or (s if s is not None else "Unknown") in speakers
+        ok_k = not kw or kw.lower() in ln.lower()
+        return ok_d and ok_s and ok_k
+
+    exp = [i for i, (s, d, ln) in enumerate(rows) if keep(s, d, ln)]
+    assert got == exp and set(got) <= set(range(len(rows)))
