@@ -120,3 +120,17 @@ def test_dialogue_filter_matches_python_rules(spark, rows, choice):
 
     exp = [i for i, (s, d, ln) in enumerate(rows) if keep(s, d, ln)]
     assert got == exp and set(got) <= set(range(len(rows)))
+
+
+WORDS = st.lists(st.sampled_from(["the", "The", "CAT", "cat,", "dog", "Éte", "éte", "a", " ", "\t", "\n", " "]), max_size=12).map(" ".join)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(WORDS, WORDS), min_size=20, max_size=40))
+def test_word_overlap_equals_python_sets(spark, pairs):
+    df = spark.createDataFrame(pairs, "target string, answer string")
+    got = [r[0] for r in df.select(P.word_overlap("target", "answer")).collect()]
+    for (t, a), g in zip(pairs, got):
+        tw, aw = set(t.lower().split()), set(a.lower().split())
+        exp = len(aw & tw) / len(tw) * 100 if tw else 0
+        assert abs(g - exp) < 1e-9, (t, a, g, exp)
