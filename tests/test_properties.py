@@ -134,3 +134,22 @@ def test_word_overlap_equals_python_sets(spark, pairs):
         tw, aw = set(t.lower().split()), set(a.lower().split())
         exp = len(aw & tw) / len(tw) * 100 if tw else 0
         assert abs(g - exp) < 1e-9, (t, a, g, exp)
+
+
+HEADS = st.lists(st.tuples(st.sampled_from(["CHAPTER I", "CHAPTER II", "Chapter 3", "CHAPTER IV x"]),
+                           st.sampled_from(["a", "b", "c d", ""])), min_size=1, max_size=8)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(HEADS, min_size=10, max_size=25))
+def test_dedup_is_insertion_ordered_dict(spark, books):
+    texts = ["\n".join(f"{h}\n{b}" for h, b in pairs) for pairs in books]
+    df = spark.createDataFrame(list(enumerate(texts)), "book_id bigint, text string")
+    got = {}
+    for r in CH.chapters(df).collect():
+        got.setdefault(r.book_id, []).append((r.chapter_ord, r.title, r.body))
+    for i, pairs in enumerate(books):
+        exp = dict(pairs)  # first position, last body
+        rows = sorted(got[i])
+        assert [(t, b) for _, t, b in rows] == list(exp.items())
+        assert [o for o, _, _ in rows] == list(range(1, len(exp) + 1))
