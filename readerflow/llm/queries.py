@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from . import op3_line_dedup, op4_warc
 from .op1_quality_fm import op1
 from .op2_quality_rules import op2
+from .op3_line_dedup import op3
+from .op4_warc import op4
+from .op5_html_extract import op5
 from .op9_toxicity import op9
 
 QUERIES = {
     "op1_quality_fm": op1,
     "op2_quality_rules": op2,
+    "op3_line_dedup": op3,
+    "op4_warc": op4,
+    "op5_html_extract": op5,
     "op9_toxicity": op9,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_line_dedup": op3_line_dedup.ORACLE,
+    "op4_warc": op4_warc.ORACLE,
+}
