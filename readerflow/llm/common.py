@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def slices(batch: pa.RecordBatch, text_col: str, max_bytes: int = 4 << 20) -> It
     """Cut a batch so that the texts of a slice stay near ``max_bytes`` (a longer single text is its own slice)."""
     if batch.num_rows == 0:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
     cut = np.cumsum(sizes.astype(np.int64)) // max_bytes
     edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), batch.num_rows]
     for a, b in zip(edges, edges[1:]):

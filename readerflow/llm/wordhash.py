@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _MULT = 0x9E3779B97F4A7C15
 _INV = pow(_MULT, -1, 1 << 64)
@@ -55,18 +56,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-class Words:
-    """Word hashes of the texts of one Arrow column slice (null text: no word).
+class Bytes:
+    """The bytes of the texts of one Arrow column slice and hashes of their spans (null text: empty).
 
     ``data``: the bytes, each text followed by one newline; ``start``: where each
-    text begins in them (one more entry at the end); ``hash``: of each word;
-    ``first``: index of each text's first word (one more entry at the end);
-    ``doc``: the text that a word belongs to.
+    text begins in them (one more entry at the end); ``n``: number of texts.
     """
 
     def __init__(self, column: pa.Array, fold: bool = False) -> None:
-        texts = pa.compute.fill_null(column.cast(pa.large_binary()), b"")
-        joined = pa.compute.binary_join_element_wise(texts, pa.scalar(b"\n", pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+        texts = pc.fill_null(column.cast(pa.large_binary()), b"")
+        joined = pc.binary_join_element_wise(texts, pa.scalar(b"\n", pa.large_binary()), pa.scalar(b"", pa.large_binary()))
         self.n = len(joined)
         if self.n == 0:
             self.data = np.zeros(0, np.uint8)
@@ -75,19 +74,10 @@ class Words:
             offs = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset:joined.offset + self.n + 1]
             self.data = np.frombuffer(joined.buffers()[2], np.uint8)[offs[0]:offs[-1]]
             self.start = offs - offs[0]
-        self.ws = IS_WS[self.data]
         n = len(self.data)
         up, self._down = powers(n + 1)
         self._sum = np.zeros(n + 1, np.uint64)
         np.cumsum(_bytes_table(fold)[self.data] * up[:n], out=self._sum[1:])
-        word = np.zeros(n + 2, np.int8)
-        word[1:-1] = ~self.ws
-        step = np.diff(word)
-        self.begin, self.end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-        self.hash = self.spans(self.begin, self.end)
-        self.first = np.searchsorted(self.begin, self.start)
-        self.count = np.diff(self.first)
-        self.doc = np.repeat(np.arange(self.n), self.count)
 
     def spans(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of the bytes of each span; equal bytes give equal hashes at any place."""
@@ -99,6 +89,24 @@ class Words:
         np.cumsum(flag, out=total[1:])
         return total[self.start[1:]] - total[self.start[:-1]]
 
+
+class Words(Bytes):
+    """Word hashes besides. ``hash``: of each word; ``first``: index of each text's
+    first word (one more entry at the end); ``doc``: the text that a word belongs to.
+    """
+
+    def __init__(self, column: pa.Array, fold: bool = False) -> None:
+        super().__init__(column, fold)
+        self.ws = IS_WS[self.data]
+        word = np.zeros(len(self.data) + 2, np.int8)
+        word[1:-1] = ~self.ws
+        step = np.diff(word)
+        self.begin, self.end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        self.hash = self.spans(self.begin, self.end)
+        self.first = np.searchsorted(self.begin, self.start)
+        self.count = np.diff(self.first)
+        self.doc = np.repeat(np.arange(self.n), self.count)
+
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, index of the first word) of every window of ``n`` words inside one text."""
         m = len(self.hash) - n + 1
