@@ -160,6 +160,19 @@ def quality_scores(docs: DataFrame, machine: Machine, id_col: str = "doc_id", te
     return rows.mapInArrow(run, f"doc_id {kind}, score double")
 
 
+def keep_good(docs: DataFrame, machine: Machine, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows that score at least ``threshold``, with all their columns; filtered in place, without a join."""
+
+    def run(batches):
+        for batch in batches:
+            for b in slices(batch, text_col):
+                part = pa.RecordBatch.from_arrays([b.column(text_col), *(b.column(m) for m in machine.metadata)], names=["text", *machine.metadata])
+                z = machine.logits(*inputs(part, machine.metadata), b.num_rows)
+                yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1(spark, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality_scores(docs, fit(docs, labels, metadata=("n_chars",)))

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import op3_line_dedup, op4_warc
 from .op1_quality_fm import op1
 from .op2_quality_rules import op2
 from .op3_line_dedup import op3
 from .op4_warc import op4
 from .op5_html_extract import op5
+from .op6_suffix_dedup import op6
+from .op7_packing import op7
+from .op8_decontaminate import op8
 from .op9_toxicity import op9
+from .op10_near_dedup import op10
 
 QUERIES = {
     "op1_quality_fm": op1,
@@ -16,9 +22,16 @@ QUERIES = {
     "op3_line_dedup": op3,
     "op4_warc": op4,
     "op5_html_extract": op5,
+    "op6_suffix_dedup": op6,
+    "op7_packing": op7,
+    "op8_decontaminate": op8,
     "op9_toxicity": op9,
+    "op10_near_dedup": op10,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op3_line_dedup": op3_line_dedup.ORACLE,
     "op4_warc": op4_warc.ORACLE,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
