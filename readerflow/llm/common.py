@@ -56,3 +56,17 @@ def slices(batch: pa.RecordBatch, text_col: str, max_bytes: int = 4 << 20) -> It
     edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), batch.num_rows]
     for a, b in zip(edges, edges[1:]):
         yield batch.slice(a, b - a)
+
+
+def put(df: DataFrame, path: str, schema: str, files: int | None = None) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back: the lineage ends there.
+
+    ``files``: at most so many, for tables that follow a shuffle; partitions are then joined without another one.
+    """
+    (df if files is None else df.coalesce(files)).write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def few_files(spark: SparkSession) -> int:
+    """Files for a small table after a shuffle: an eighth of the shuffle partitions, 8 at least."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from readerflow.session import scratch_path
 
+from .common import few_files, put
+
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component) of every end of an edge (a, b); component is the smallest id reachable.
@@ -20,16 +22,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     spark, root = edges.sparkSession, scratch_path(edges.sparkSession, "components")
     schema = f"u {edges.schema['a'].dataType.simpleString()}, v {edges.schema['a'].dataType.simpleString()}"
 
-    def put(df: DataFrame, k) -> DataFrame:
-        df.write.parquet(f"{root}/{k}")
-        return spark.read.schema(schema).parquet(f"{root}/{k}")
+    files = few_files(spark)
 
     def print_of(df: DataFrame):
         r = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         return r["n"], r["s"]
 
     # every edge from the larger to the smaller end
-    now = put(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "start")
+    now = put(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{root}/start", schema, files)
     seen = print_of(now)
     for k in range(max_rounds):
         if seen[0] == 0:
@@ -40,7 +40,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low2, "u")
         moved = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low2.select("u", F.col("m").alias("v")))
-        now = put(moved.where("u <> v").distinct(), k)
+        now = put(moved.where("u <> v").distinct(), f"{root}/{k}", schema, files)
         got = print_of(now)
         if got == seen:
             break

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from readerflow.session import scratch_path
 
-from .common import slices, table
+from .common import few_files, put, slices, table
 from .components import connected_components
 from .streams import sorted_groups
 from .wordhash import Words, keyed, mix
@@ -257,28 +257,27 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = rows.schema["doc_id"].dataType.simpleString()
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def put(df: DataFrame, name: str, schema: str) -> DataFrame:
-        df.write.parquet(f"{root}/{name}")
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
+    files = few_files(spark)
+    at = lambda name: f"{root}/{name}"
 
     sig_schema = f"doc_id {kind}, n long, h1 long, h2 long, sig binary"
-    all_rows = put(rows.mapInArrow(_signatures, sig_schema), "signatures", sig_schema)
+    all_rows = put(rows.mapInArrow(_signatures, sig_schema), at("signatures"), sig_schema)
 
     # one representative for each distinct set
     some = all_rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = put(some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes", f"n long, h1 long, h2 long, rep {kind}, copies long")
+    classes = put(some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), at("classes"), f"n long, h1 long, h2 long, rep {kind}, copies long", files)
     reps = some.join(classes.select("n", "h1", "h2", F.col("rep").alias("doc_id")), ["n", "h1", "h2", "doc_id"], "left_semi") \
         .select(F.col("doc_id").alias("rep"), "sig").distinct()
-    reps = put(reps, "reps", f"rep {kind}, sig binary")
+    reps = put(reps, at("reps"), f"rep {kind}, sig binary", files)
 
     # trees: levels of nodes until all leaves are small enough
     node_schema = f"node long, rep {kind}"
     level = reps.mapInArrow(_roots(trees, threshold), node_schema)
     leaves = None
     for k in range(1, MAX_LEVELS + 1):
-        level = put(level, f"paths-{k}", node_schema)
+        level = put(level, at(f"paths-{k}"), node_schema, files)
         counts = level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        nodes = put(level.join(counts, "node"), f"level-{k}", f"{node_schema}, size long")
+        nodes = put(level.join(counts, "node"), at(f"level-{k}"), f"{node_schema}, size long", files)
         limit = CELL if k < GRID_LEVEL else BIG if k < MAX_LEVELS else 1 << 62
         done = nodes.where(F.col("size") <= limit)
         leaves = done if leaves is None else leaves.unionByName(done)
@@ -290,7 +289,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     link_schema = f"a {kind}, b {kind}"
     loose = (_cells(leaves, "node").join(reps, "rep").select("cell", "rep", "sig")
              .repartition(width, "cell").sortWithinPartitions("cell", "rep").mapInArrow(_loose_links(LOOSE), link_schema))
-    families = put(connected_components(put(loose.distinct(), "loose", link_schema)).withColumnRenamed("id", "rep"), "families", f"rep {kind}, component {kind}")
+    families = put(connected_components(put(loose.distinct(), at("loose"), link_schema, files)).withColumnRenamed("id", "rep"), at("families"), f"rep {kind}, component {kind}", files)
 
     # exact confirmation, each family in cells; in the trees' leaves where a family is very large
     sizes = families.groupBy("component").agg(F.count("*").alias("size"))
@@ -301,12 +300,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = rows.join(families.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_full_sets, f"rep {kind}, set binary")
     exact = (cells.join(sets, "rep").select("cell", "rep", "set")
              .repartition(width, "cell").sortWithinPartitions("cell", "rep").mapInArrow(_exact_links(num, den), link_schema))
-    comps = connected_components(put(exact.distinct(), "links", link_schema))
+    comps = connected_components(put(exact.distinct(), at("links"), link_schema, files))
 
     out = (all_rows.drop("sig").join(classes.where("copies > 1").drop("copies"), ["n", "h1", "h2"], "left")
            .withColumn("rep", F.coalesce("rep", "doc_id"))
            .join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
-           .withColumn("component_id", F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))))
+           .withColumn("component_id", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).otherwise(F.col("doc_id"))))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from readerflow.session import scratch_path
 
-from .common import slices, table
+from .common import few_files, put, slices, table
 from .streams import sorted_groups
 from .wordhash import Bytes, mix
 
@@ -250,20 +250,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
     spark, root = docs.sparkSession, scratch_path(docs.sparkSession, "suffix")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def put(df: DataFrame, name: str, schema: str) -> DataFrame:
-        df.write.parquet(f"{root}/{name}")
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
+    files = few_files(spark)
+    at = lambda name: f"{root}/{name}"
 
     long_docs = docs.where(F.octet_length("text") >= length)
     grams = long_docs.select("text").mapInArrow(_anchor_rows(length, gram, True), "g long")
     shared = grams.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
     schema = "did long, r1 long, r2 long, pos long, g long, ctx long, ll int, rl int"
     found = long_docs.mapInArrow(_anchor_rows(length, gram, False), schema).join(shared, "g", "left_semi").select(*[c.split()[0] for c in schema.split(", ")])
-    found = put(found, "anchors", schema)
+    found = put(found, at("anchors"), schema, files)
 
     # equal contexts: wholly repeated around the anchor
     classes = found.groupBy("g", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("did", "r1", "r2", "pos")).alias("o"))
-    classes = put(classes.select("g", "ctx", "n", "o.*"), "classes", "g long, ctx long, n long, did long, r1 long, r2 long, pos long")
+    classes = put(classes.select("g", "ctx", "n", "o.*"), at("classes"), "g long, ctx long, n long, did long, r1 long, r2 long, pos long", files)
     same = found.join(classes.where("n > 1").select("g", "ctx"), ["g", "ctx"], "left_semi").where(F.col("ll") + F.col("rl") >= length)
     covers = [same.select("r1", "r2", (F.col("pos") - F.col("ll")).alias("lo"), (F.col("pos") + F.col("rl")).alias("hi"))]
 
@@ -273,7 +272,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
               .agg(F.collect_list(F.struct("pos", "g", "ctx", "n")).alias("want")))
     texts = long_docs.select("text", "did", "r1", "r2").mapInArrow(_blobs, "blob binary, did long, r1 long, r2 long")
     level = texts.join(wanted, ["did", "r1", "r2"]).select("blob", "r1", "r2", "want").mapInArrow(_contexts(length, gram), ROW)
-    level = put(level, "level-0", ROW)
+    level = put(level, at("level-0"), ROW)
 
     k = 0
     while True:
@@ -282,19 +281,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
         small = level.join(hot_keys, "key", "left_anti") if k or not hot_keys.isEmpty() else level
         spans = (small.select(*_NAMES).repartition(width, "key").sortWithinPartitions("key", "ctx")
                  .mapInArrow(_compare(length), "r1 long, r2 long, lo long, hi long"))
-        covers.append(put(spans, f"spans-{k}", "r1 long, r2 long, lo long, hi long"))
+        covers.append(put(spans, at(f"spans-{k}"), "r1 long, r2 long, lo long, hi long"))
         if hot_keys.isEmpty():
             break
         k += 1
         hot = level.join(hot_keys, "key", "left_semi").select(*_NAMES)
-        parts = put(hot.repartition(width, "key", "ctx").mapInArrow(_quarters(length), ROW), f"parts-{k}", ROW)
+        parts = put(hot.repartition(width, "key", "ctx").mapInArrow(_quarters(length), ROW), at(f"parts-{k}"), ROW, files)
         groups = parts.groupBy("key", "ctx").agg(F.sum("n").alias("n"), F.min(F.struct("r1", "r2", "pos")).alias("o"))
-        groups = put(groups.select("key", "ctx", "n", "o.*"), f"groups-{k}", "key long, ctx long, n long, r1 long, r2 long, pos long")
+        groups = put(groups.select("key", "ctx", "n", "o.*"), at(f"groups-{k}"), "key long, ctx long, n long, r1 long, r2 long, pos long", files)
         equal = parts.join(groups.where("n > 1").select("key", "ctx"), ["key", "ctx"], "left_semi")
         covers.append(equal.select("r1", "r2", (F.col("pos") - F.octet_length("left")).alias("lo"), (F.col("pos") + F.octet_length("right")).alias("hi")))
         still = groups.groupBy("key").agg(F.count("*").alias("k"), F.sum((F.col("n") == 1).cast("long")).alias("s")).where("k > 1 AND s > 0").select("key")
         reps = groups.join(still, "key", "left_semi")
-        level = put(parts.drop("n").join(reps, ["key", "ctx", "r1", "r2", "pos"]).select(*_NAMES), f"level-{k}", ROW)
+        level = put(parts.drop("n").join(reps, ["key", "ctx", "r1", "r2", "pos"]).select(*_NAMES), at(f"level-{k}"), ROW, files)
         if level.isEmpty():
             break
     out = covers[0]
