@@ -33,6 +33,7 @@ from .functions.text import preprocess
 from .operators import chapters as CH
 from .operators import conversation as C
 from .operators import inference as I
+from .operators import practice as P
 from .operators import voice as V
 from .sources import books as B
 from .sources import media as M
@@ -40,12 +41,14 @@ from .sources import media as M
 
 def fetch_books(spark: SparkSession, landed_dir: str, requested: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """S3 + S4: (loaded books (book_id, priority, raw_text), load_errors).
-    ``requested(book_id)`` reports requested books without any usable file."""
-    return B.split_loaded(B.book_scan_fallback(B.scan_landed_books(spark, landed_dir), requested))
+    ``requested(book_id)`` reports requested books without any usable file;
+    files too large for one value are reported too."""
+    books, errors = B.split_loaded(B.book_scan_fallback(B.scan_landed_books(spark, landed_dir), requested))
+    return books, errors.unionByName(B.oversized_files(spark, landed_dir))
 
 
-def preprocess_books(books: DataFrame, max_chars: int | None = K.MAX_BOOK_CHARS, footer: str = "exact") -> DataFrame:
-    """(book_id, raw_text) -> (book_id, text, n_chars)."""
+def preprocess_books(books: DataFrame, max_chars: int | None = None, footer: str = "exact") -> DataFrame:
+    """(book_id, raw_text) -> (book_id, text, n_chars), whole texts by default."""
     return CH.clean_books(books, footer, max_chars)
 
 
@@ -54,11 +57,18 @@ def extract_chapters(clean: DataFrame, anchored: bool = False) -> DataFrame:
     return CH.chapters(clean, anchored)
 
 
-def extraction_requests(clean: DataFrame, n_chapters: int = K.DEFAULT_CHAPTERS) -> DataFrame:
-    """L1-L4 + X1: one extraction prompt per book over its first chapters."""
+def extraction_requests(clean: DataFrame, window_chars: int = K.MAX_PROMPT_CHARS) -> DataFrame:
+    """X1 over whole books: one prompt per (book_id, chapter_ord, window_no)."""
+    w = CH.chapter_windows(clean, window_chars)
+    return w.select("book_id", "chapter_ord", "window_no", "title", I.extraction_prompt("window").alias("prompt")).withColumn(
+        "prompt_hash", I.prompt_hash("prompt"))
+
+
+def first_window_requests(clean: DataFrame, n_chapters: int = K.DEFAULT_CHAPTERS) -> DataFrame:
+    """L1-L4 + X1: one prompt per book over the first window of its first chapters."""
     comb = CH.with_default_combined(clean.select("book_id", "text"), n=n_chapters)
-    p = I.extraction_prompt("combined")
-    return comb.select("book_id", p.alias("prompt")).withColumn("prompt_hash", I.prompt_hash("prompt"))
+    p = I.extraction_prompt(CH.prompt_window("combined"))
+    return comb.select("book_id", "has_headings", p.alias("prompt")).withColumn("prompt_hash", I.prompt_hash("prompt"))
 
 
 def extract_dialogues(
@@ -67,16 +77,23 @@ def extract_dialogues(
     out_path: str,
     cache: DataFrame | None = None,
     partitions: int | None = None,
+    whole: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Prompts -> model (new prompts only, results written to ``out_path``)
-    -> (dialogues, rejects) keyed by book_id."""
-    req = extraction_requests(clean)
+    -> (dialogues, rejects) keyed by book_id, and by chapter_ord and window_no
+    unless only the first window is asked for (``whole=False``). Books whose
+    answers come from ``cache`` (``inference.RESULT_SCHEMA`` rows) are in the
+    result like the others; requests that failed are among the rejects."""
+    req, keys = (extraction_requests(clean), ["book_id", "chapter_ord", "window_no"]) if whole else (first_window_requests(clean), ["book_id"])
     res = I.batch_infer(
         req, client_factory, template="extraction", temperature=K.TEMPERATURES["extraction"],
         cache=cache, partitions=partitions, out_path=out_path,
     )
-    answered = req.select("book_id", "prompt_hash").join(res.select("prompt_hash", "raw"), "prompt_hash", "inner")
-    return I.explode_responses(answered, ["book_id"])
+    joined = req.select(*keys, "prompt_hash").join(res.select("prompt_hash", "raw", "status", "error"), "prompt_hash", "inner")
+    dialogues, rejects = I.explode_responses(joined.filter(F.col("status") == "ok"), keys)
+    failed = joined.filter(F.col("status") != "ok").select(
+        *keys, F.lit(None).cast("bigint").alias("dlg_ord"), F.concat(F.lit("request failed: "), F.coalesce("error", F.lit(""))).alias("reason"))
+    return dialogues, rejects.unionByName(failed)
 
 
 def roleplay_requests(dialogues: DataFrame, start: int = 0, n: int = K.ROLEPLAY_DEFAULT_LINES) -> DataFrame:
@@ -91,31 +108,51 @@ def roleplay_setups(dialogues: DataFrame, client_factory, out_path: str, start:
     req = roleplay_requests(dialogues, start, n)
     res = I.batch_infer(req, client_factory, template="roleplay_setup", temperature=K.TEMPERATURES["roleplay_setup"], out_path=out_path)
     j = req.select("book_id", "prompt_hash").join(res.select("prompt_hash", "raw"), "prompt_hash", "inner")
-    return j.select("book_id", J.parse_status("raw").alias("status"), J.parse_object("raw", J.SETUP_SCHEMA).alias("setup"))
+    return J.parsed(j, J.SETUP_SCHEMA, out="setup").select("book_id", "status", "setup")
 
 
 def chat_replies(messages: DataFrame, setups: DataFrame, client_factory, out_path: str) -> DataFrame:
-    """One chat request per user turn (system prompt + history span + turn).
+    """A reply for each conversation whose last message is the user's.
 
-    The client receives the rendered system prompt and current message; the
-    history span (``history_from``..``turn - 1``) is read by the caller's
-    client from ``messages`` when it needs the earlier turns.
+    The prompt is the JSON list of all messages that the model is sent (system
+    message, history in turn order, user's message), so two conversations share
+    an answer only if they agree in all of it.
     """
-    req = C.chat_requests(messages, setups)
-    prompt = F.concat_ws("\n", "system_prompt", "user_content")
-    r = req.select("conv_id", "turn", prompt.alias("prompt")).withColumn("prompt_hash", I.prompt_hash("prompt"))
+    r = C.open_requests(messages, setups).withColumn("prompt_hash", I.prompt_hash("prompt"))
     res = I.batch_infer(r, client_factory, template="chat", temperature=K.TEMPERATURES["chat"], json_mode=False, out_path=out_path)
-    return r.select("conv_id", "turn", "prompt_hash").join(res.select("prompt_hash", "raw"), "prompt_hash", "inner")
+    return r.select("conv_id", "turn", "n_messages", "prompt_hash").join(res.select("prompt_hash", "raw", "status"), "prompt_hash", "inner")
 
 
 def evaluate_responses(attempts: DataFrame, client_factory, out_path: str) -> DataFrame:
-    """Feedback rows parsed from the model's JSON answer per attempt."""
-    req = attempts.select("learner_id", "book_id", "dlg_ord", I.feedback_prompt("target", "answer").alias("prompt"))
+    """One feedback row per attempt: its keys (learner_id, book_id, dlg_ord,
+    and ts and mode where given), status and the feedback fields, as P3, A4-A6
+    and the feedback card read them. Attempts whose request failed have status
+    ``error`` and no fields."""
+    keys = ["learner_id", "book_id", "dlg_ord", *[c for c in ("ts", "mode") if c in attempts.columns]]
+    req = attempts.select(*keys, I.feedback_prompt("target", "answer").alias("prompt"))
     req = req.withColumn("prompt_hash", I.prompt_hash("prompt"))
     res = I.batch_infer(req, client_factory, template="feedback", temperature=K.TEMPERATURES["feedback"], out_path=out_path)
-    j = req.drop("prompt").join(res.select("prompt_hash", "raw"), "prompt_hash", "inner")
-    return j.select("learner_id", "book_id", "dlg_ord", J.parse_status("raw").alias("status"),
-                    J.parse_object("raw", J.FEEDBACK_SCHEMA).alias("feedback"))
+    j = req.drop("prompt").join(res.select("prompt_hash", "raw", F.col("status").alias("__call")), "prompt_hash", "inner").drop("prompt_hash")
+    fb = J.parse_feedback(j).withColumn("status", F.when(F.col("__call") == "ok", F.col("status")).otherwise(F.lit("error")))
+    return fb.drop("raw", "__call")
+
+
+def record_practice(evaluations: DataFrame) -> DataFrame:
+    """The evaluations that are appended to the practice history: answered
+    ones in shadowing mode (a reply that is no JSON object is not recorded)."""
+    return P.recorded(evaluations).filter(F.col("status").isin(J.STATUS_OK, J.STATUS_BAD_SCORE))
+
+
+def spoken_practice(recordings: DataFrame, transcripts: DataFrame, dialogues: DataFrame, client_factory, out_path: str) -> DataFrame:
+    """Spoken shadowing: ``recordings(path, learner_id, book_id, dlg_ord, ts)``
+    with their transcripts become attempts, which are evaluated."""
+    return evaluate_responses(P.spoken_attempts(recordings, transcripts, dialogues).withColumn("mode", F.lit(P.RECORDED_MODE)), client_factory, out_path)
+
+
+def spoken_turns(recordings: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """Spoken role-play: ``recordings(path, conv_id)`` -> (conv_id, user_input), to be appended as a user turn."""
+    heard = transcripts.filter(F.col("status") == "ok").select("path", F.col("text").alias("user_input"))
+    return recordings.select("path", "conv_id").join(heard, "path", "inner").drop("path")
 
 
 def modernise(lines: DataFrame, client_factory, out_path: str, text_col: str = "line") -> DataFrame:
@@ -135,7 +172,8 @@ def hints(lines: DataFrame, client_factory, out_path: str, text_col: str = "line
 
 
 def analyse_conversations(messages: DataFrame, client_factory, out_path: str) -> DataFrame:
-    """F7 + F8 + A7 + X9: one review per conversation with at least two messages."""
+    """F7 + F8 + A7 + X9: reviews of conversations with at least two messages, one
+    per chunk of the user's lines."""
     req = C.analysis_prompts(messages).withColumn("prompt_hash", I.prompt_hash("prompt"))
     res = I.batch_infer(req, client_factory, template="analysis", json_mode=False, out_path=out_path)
     return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("analysis")), "prompt_hash", "inner")
@@ -146,13 +184,13 @@ def speech_requests(lines: DataFrame, text_col: str = "line", key_col: str = "vo
     return V.voice_manifest(lines, text_col, key_col, rate_col)
 
 
-def transcribe(spark: SparkSession, audio_dir: str, client_factory, glob: str = "*.wav") -> DataFrame:
-    """S5 + U4: transcripts of recorded audio files."""
-    return I.batch_transcribe(M.scan_audio(spark, audio_dir, glob), client_factory)
+def transcribe(spark: SparkSession, audio_dir: str, client_factory, out_path: str | None = None, glob: str = "*.wav") -> DataFrame:
+    """S5 + U4: transcripts of recorded audio files, kept at ``out_path``."""
+    return I.batch_transcribe(M.scan_audio(spark, audio_dir, glob), client_factory, out_path=out_path)
 
 
 __all__ = [
     "analyse_conversations", "chat_replies", "evaluate_responses", "extract_chapters", "extract_dialogues",
-    "extraction_requests", "fetch_books", "hints", "modernise", "preprocess", "preprocess_books", "roleplay_requests", "roleplay_setups",
-    "speech_requests", "transcribe",
+    "extraction_requests", "fetch_books", "first_window_requests", "hints", "modernise", "preprocess", "preprocess_books", "record_practice",
+    "roleplay_requests", "roleplay_setups", "speech_requests", "spoken_practice", "spoken_turns", "transcribe",
 ]

@@ -33,14 +33,10 @@ BOOK_LOCATIONS = [
     "https://www.gutenberg.org/cache/epub/{book_id}/pg{book_id}.txt",
 ]
 
-# Header/footer markers: the regex is "\*\*\* START OF (THIS|THE) PROJECT GUTENBERG"
-# (and END); both alternatives are literal, so they are kept as literal variants.
-START_MARKERS = ["*** START OF THIS PROJECT GUTENBERG", "*** START OF THE PROJECT GUTENBERG"]
-END_MARKERS = ["*** END OF THIS PROJECT GUTENBERG", "*** END OF THE PROJECT GUTENBERG"]
-
-# Chapter heading pattern (case-insensitive): CHAPTER\s+[IVXLC\d]+[^\n]*
-HEADING_WORD = "CHAPTER"
-HEADING_NUMERALS = "IVXLC"
+# Header and footer markers, and the chapter heading (matched case-insensitively).
+START_MARKER = r"\*\*\* START OF (THIS|THE) PROJECT GUTENBERG"
+END_MARKER = r"\*\*\* END OF (THIS|THE) PROJECT GUTENBERG"
+HEADING = r"(CHAPTER\s+[IVXLC\d]+[^\n]*)"
 FULL_TEXT_TITLE = "Full Text"
 
 # Limits and defaults.
@@ -195,6 +191,17 @@ ISSUE_JOINER = ", "
 # Our own parameters (not from the reproduced application)
 # --------------------------------------------------------------------------
 
+
+def _literals(marker: str) -> list[str]:
+    """The literal strings that a marker with one group of alternatives stands for."""
+    plain = marker.replace("\\*", "*")
+    head, _, rest = plain.partition("(")
+    choices, _, tail = rest.partition(")")
+    return [head + c + tail for c in choices.split("|")]
+
+
+START_MARKERS, END_MARKERS = _literals(START_MARKER), _literals(END_MARKER)
+
 # Offline rule-based difficulty tiers (U3): ours, documented in README.
 RULE_BEGINNER_MAX_WORDS = 8
 RULE_BEGINNER_MAX_WORD_LEN = 4.5

@@ -22,13 +22,9 @@ WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
 
 # (?iU): case-insensitive with Unicode case folding, Unicode \d; whitespace via WS_CLASS.
-HEADING_PATTERN = (
-    "(?iU)(" + K.HEADING_WORD + WS_CLASS + "+[" + K.HEADING_NUMERALS + "\\d]+[^\\n]*)"
-)
+HEADING_PATTERN = "(?iU)" + K.HEADING.replace(r"\s", WS_CLASS)
 # Anchored variant for clean corpora: heading must start a line and end a word.
-HEADING_PATTERN_ANCHORED = (
-    "(?imU)^(" + K.HEADING_WORD + WS_CLASS + "+[" + K.HEADING_NUMERALS + "\\d]+\\b[^\\n]*)"
-)
+HEADING_PATTERN_ANCHORED = "(?imU)^" + K.HEADING.replace(r"\s", WS_CLASS).replace(r"]+[^", r"]+\b[^")
 
 
 def _c(col: Column | str) -> Column:
@@ -65,8 +61,8 @@ def truncate(col: Column | str, max_chars: int | None) -> Column:
     return c if max_chars is None else F.substring(c, 1, int(max_chars))
 
 
-def preprocess(col: Column | str, max_chars: int | None = K.MAX_BOOK_CHARS) -> Column:
-    """T3 -> T4 -> T5 -> T6, in that order."""
+def preprocess(col: Column | str, max_chars: int | None = None) -> Column:
+    """T3 -> T4 -> T5 (-> T6 where a limit is given), in that order."""
     return truncate(collapse_blanks(collapse_newlines(norm_crlf(col))), max_chars)
 
 

@@ -19,10 +19,11 @@ from .barrier import materialize
 def clean_books(
     books: DataFrame,
     footer: str = "exact",
-    max_chars: int | None = K.MAX_BOOK_CHARS,
+    max_chars: int | None = None,
     text_col: str = "raw_text",
 ) -> DataFrame:
-    """(book_id, raw_text) -> (book_id, text, n_chars)."""
+    """(book_id, raw_text) -> (book_id, text, n_chars). The whole text
+    is kept; ``max_chars`` applies the cut T6."""
     text = T.preprocess(T.strip_markers(F.col(text_col), footer), max_chars)
     clean = materialize(books.select("book_id", text_col), text=text).drop(text_col)
     return clean.withColumn("n_chars", F.length("text").cast("bigint"))
@@ -127,6 +128,63 @@ def select_chapters(chapter_rows: DataFrame, selection: DataFrame) -> DataFrame:
     )
 
 
+def _picked(clean: DataFrame, selection: DataFrame, anchored: bool) -> DataFrame:
+    """(book_id, picks): the chosen chapters of each book in selection order.
+
+    The selection, a few short rows a book, is grouped first; one join on
+    book_id then brings the two together and the chapters are picked by title
+    inside the book's row, so no chapter body is exploded, joined or grouped.
+    """
+    wish = selection.groupBy("book_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("sel_ord").cast("bigint").alias("sel_ord"), "title"))).alias("__wish"))
+    d = clean.select("book_id", "text").join(wish, "book_id", "inner")
+    d = dedup_chapter_array(with_chapter_array(d, anchored=anchored)).drop("text")
+    by_title = F.map_from_entries(F.transform("chapters", lambda c: F.struct(c["title"], F.struct(c["chapter_ord"].alias("chapter_ord"), c["body"].alias("body")))))
+    d = materialize(d, __map=by_title).drop("chapters")
+    hits = F.transform("__wish", lambda w: F.struct(
+        w["sel_ord"].alias("sel_ord"), w["title"].alias("title"), F.try_element_at("__map", w["title"]).alias("c")))
+    d = materialize(d, __hits=hits)
+    return d.select("book_id", F.filter("__hits", lambda h: h["c"].isNotNull()).alias("picks"))
+
+
+def selected_chapters(clean: DataFrame, selection: DataFrame, anchored: bool = False) -> DataFrame:
+    """L2 from whole books: (book_id, sel_ord, chapter_ord, title, body)."""
+    rows = _picked(clean, selection, anchored).select("book_id", F.inline_outer("picks")).filter(F.col("sel_ord").isNotNull())
+    return rows.select("book_id", "sel_ord", F.col("c.chapter_ord").cast("bigint").alias("chapter_ord"), "title", F.col("c.body").alias("body"))
+
+
+def combine_selection(
+    clean: DataFrame,
+    selection: DataFrame,
+    max_chapter_chars: int = K.MAX_CHAPTER_CHARS,
+    extra_limits: dict[str, int] | None = None,
+    anchored: bool = False,
+) -> DataFrame:
+    """L2 + L3 from whole books: (book_id, n_selected, combined[, extra columns]);
+    books without a chosen chapter give no row."""
+    limits = {"combined": max_chapter_chars, **(extra_limits or {})}
+
+    def cut(n: int):
+        return lambda p: F.substring(p["c"]["body"], 1, n)
+
+    p = _picked(clean, selection, anchored).filter(F.size("picks") > 0)
+    return p.select(
+        "book_id", F.size("picks").cast("bigint").alias("n_selected"),
+        *[F.array_join(F.transform("picks", cut(n)), K.CHAPTER_JOINER).alias(a) for a, n in limits.items()],
+    )
+
+
+def chapter_windows(clean: DataFrame, window_chars: int = K.MAX_PROMPT_CHARS, anchored: bool = False) -> DataFrame:
+    """Whole books as (book_id, chapter_ord, window_no, title, window): consecutive
+    windows of at most ``window_chars`` characters that together are every
+    chapter's whole body. An empty body gives no window."""
+    rows = chapters(clean, anchored).withColumn("__n", F.length("body")).filter(F.col("__n") > 0)
+    rows = rows.select("book_id", "chapter_ord", "title", "body", F.explode(F.sequence(F.lit(0), ((F.col("__n") - 1) / window_chars).cast("int"))).alias("__w"))
+    return rows.select(
+        "book_id", "chapter_ord", F.col("__w").cast("bigint").alias("window_no"), "title",
+        F.substring("body", F.col("__w") * window_chars + 1, F.lit(window_chars)).alias("window"))
+
+
 def combine_chapters(
     selected: DataFrame,
     max_chapter_chars: int = K.MAX_CHAPTER_CHARS,
@@ -137,8 +195,8 @@ def combine_chapters(
     in selection order -> (book_id, n_selected, combined[, extra columns]).
 
     ``extra_limits`` adds more cuts of the same selection in the same pass
-    (alias -> chars). The group is bounded: a book is at most
-    ``MAX_BOOK_CHARS`` long, so it has a bounded number of chapters, each cut.
+    (alias -> chars). For rows that are already selected; from whole books,
+    :func:`combine_selection` does the same inside the book's row.
     """
     limits = {"combined": max_chapter_chars, **(extra_limits or {})}
     widest = max(limits.values())

@@ -16,7 +16,7 @@ from ..functions import text as T
 from .ordinal import DEFAULT_BLOCK, running_totals
 
 CHAT_ROLES = ("user", "assistant")
-CHUNK = 256  # lines per first-level chunk when assembling a conversation's list
+CHUNK = 256  # consecutive turns in a chunk of a conversation's lines
 
 
 # ------------------------------------------------------------------ C5, C6
@@ -95,40 +95,66 @@ def new_scenario(setups: DataFrame, conv_id_offset: Column | int) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C3
+def message_digest(turn="turn", role="role", content="content") -> Column:
+    """48 bits of a message's SHA-256, with its turn: their running sum tells ordered histories apart."""
+    text = F.concat_ws("\x1f", F.col(turn).cast("string"), F.col(role), F.coalesce(F.col(content), F.lit("")))
+    return F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("bigint")
+
+
+def _with_system(df: DataFrame, setups: DataFrame) -> DataFrame:
+    none = T.render(K.CHAT_SYSTEM_PROMPT, roles=F.lit(""), scenario=F.lit(""))
+    return df.join(system_prompt(setups), "conv_id", "left").withColumn("system_prompt", F.coalesce("system_prompt", none))
+
+
 def chat_requests(messages: DataFrame, setups: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """One model request per user turn: system message + every earlier
-    message of the conversation in turn order + the user message.
+    """C3 as a log: for each user turn, what its request consisted of.
 
     Materialising each history would be quadratic in conversation length, so
-    a request carries its history as the span of earlier turns
-    (``history_from``..``turn - 1`` of ``messages``) with running message and
-    character totals computed by a blocked prefix sum (no conversation is
-    processed by one task). A client reads the history rows themselves from
-    ``messages`` by turn range.
+    a row carries its history as a span of earlier turns
+    (``history_from``..``turn - 1``), running message and character totals and
+    a running digest of the ordered history, all by a blocked prefix sum (no
+    conversation is processed by one task). :func:`open_requests` builds the
+    requests that are still to be answered, with the messages in them.
     """
-    m = messages.select("conv_id", "turn", "role", "content").withColumn(
+    m = messages.select("conv_id", "turn", "role", "content", message_digest().cast("decimal(38,0)").alias("__digest")).withColumn(
         "__len", F.length(F.coalesce("content", F.lit(""))).cast("bigint")
     )
-    tot = running_totals(m, "conv_id", "turn", {"n_prior": "*", "prior_chars": "__len"}, block_size)
-    first = messages.groupBy("conv_id").agg(F.min("turn").alias("history_from"))
-    sp = system_prompt(setups)
-    req = (
-        tot.filter(F.col("role") == "user")
-        .join(first, "conv_id", "inner")
-        .join(sp, "conv_id", "left")
-        .withColumn("system_prompt", F.coalesce("system_prompt", T.render(K.CHAT_SYSTEM_PROMPT, roles=F.lit(""), scenario=F.lit(""))))
-    )
+    tot = running_totals(m, "conv_id", "turn", {"n_prior": "*", "prior_chars": "__len", "history_digest": "__digest"}, block_size, first="history_from")
+    req = _with_system(tot.filter(F.col("role") == "user"), setups)
     return req.select(
         "conv_id",
         "turn",
         "history_from",
         (F.col("n_prior") + 2).cast("bigint").alias("n_messages"),
         (F.col("prior_chars") + F.length("system_prompt") + F.col("__len")).cast("bigint").alias("n_chars"),
+        F.col("history_digest").cast("string").alias("history_digest"),
         "system_prompt",
         F.col("content").alias("user_content"),
     )
 
 
+def open_requests(messages: DataFrame, setups: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The request for each conversation that waits for a reply, i.e. whose
+    last message is the user's: (conv_id, turn, n_messages, prompt), ``prompt``
+    being the JSON list of the system message, every earlier message in turn
+    order, and the user's. One request a conversation, so nothing is copied per
+    turn; the list is what the model is sent, whole, and is built in chunks.
+    """
+    last = messages.groupBy("conv_id").agg(F.max_by(F.struct("turn", "role"), "turn").alias("l"))
+    waiting = last.filter(F.col("l.role") == "user").select("conv_id", F.col("l.turn").alias("__last"))
+    entry = F.to_json(F.struct("role", F.coalesce("content", F.lit("")).alias("content")))
+    m = messages.join(waiting, "conv_id", "inner").select("conv_id", "turn", "__last", entry.alias("__entry"))
+    parts = m.withColumn("__chunk", F.floor(F.col("turn") / F.lit(chunk))).groupBy("conv_id", "__last", "__chunk").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "__entry"))).alias("__items"))
+    parts = parts.select("conv_id", "__last", "__chunk", F.size("__items").alias("__n"), F.array_join(F.transform("__items", lambda x: x["__entry"]), ",").alias("__json"))
+    whole = parts.groupBy("conv_id", "__last").agg(F.array_sort(F.collect_list(F.struct("__chunk", "__json"))).alias("__parts"), F.sum("__n").alias("__n"))
+    req = _with_system(whole, setups)
+    system = F.to_json(F.struct(F.lit("system").alias("role"), F.col("system_prompt").alias("content")))
+    body = F.array_join(F.transform("__parts", lambda x: x["__json"]), ",")
+    return req.select("conv_id", F.col("__last").alias("turn"), (F.col("__n") + 1).cast("bigint").alias("n_messages"),
+                      F.concat(F.lit("["), system, F.lit(","), body, F.lit("]")).alias("prompt"))
+
+
 # ------------------------------------------------------------------ F7, F8, A7, X9, C1
 def message_counts(messages: DataFrame) -> DataFrame:
     """messages per conversation and whether analysis is allowed (>= 2)."""
@@ -142,47 +168,30 @@ def user_messages(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("role") == "user")
 
 
-def ordered_list(df: DataFrame, key: str, order: str, value: str, chunk: int = CHUNK) -> DataFrame:
-    """A7 helper: the ``value`` strings of each key as a JSON array, in order.
-
-    Two levels: chunks of at most ``chunk`` consecutive order values are
-    collected and rendered first (bounded groups, hot keys spread over many
-    tasks), then the rendered chunks are concatenated per key in chunk order.
-    """
-    c = df.withColumn("__chunk", F.floor(F.col(order) / F.lit(chunk)))
-    parts = c.groupBy(key, "__chunk").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))).alias("__items")
-    )
-    parts = parts.select(
-        key, "__chunk",
-        F.expr("substring(to_json(transform(__items, x -> x.v)), 2)").alias("__json"),
-        F.size("__items").alias("__n"),
-    )
-    # strip the closing bracket of each chunk's array and join chunks with commas
-    parts = parts.withColumn("__json", F.expr("substring(__json, 1, length(__json) - 1)"))
-    out = parts.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("__chunk").alias("c"), F.col("__json").alias("j")))).alias("__chunks"),
-        F.sum("__n").alias("n_lines"),
-    )
-    return out.select(
-        key,
-        F.col("n_lines").cast("bigint").alias("n_lines"),
-        F.concat(F.lit("["), F.array_join(F.transform("__chunks", lambda x: x["j"]), ","), F.lit("]")).alias("lines_json"),
-    )
+def list_chunks(df: DataFrame, key: str, order: str, value: str, chunk: int = CHUNK) -> DataFrame:
+    """A7 helper: (key, chunk_no, n_lines, lines_json), the ``value`` strings of
+    each key as JSON arrays of at most ``chunk`` consecutive order values. No
+    row grows with the length of its key, and a hot key spreads over many tasks."""
+    c = df.withColumn("chunk_no", F.floor(F.col(order) / F.lit(chunk)).cast("bigint"))
+    parts = c.groupBy(key, "chunk_no").agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))).alias("__items"))
+    return parts.select(
+        key, "chunk_no", F.size("__items").cast("bigint").alias("n_lines"),
+        F.expr("to_json(transform(__items, x -> x.v))").alias("lines_json"))
 
 
 def collect_user_lines(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The user's lines of each conversation as a JSON array."""
-    return ordered_list(user_messages(messages), "conv_id", "turn", "content", chunk)
+    """The user's lines of each conversation as JSON arrays, one a chunk."""
+    return list_chunks(user_messages(messages), "conv_id", "turn", "content", chunk)
 
 
 def analysis_prompts(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Analysis request for conversations with at least two messages."""
+    """Analysis requests for conversations with at least two messages, one
+    for each chunk of the user's lines (chunk 0 with no lines if there are none)."""
     ok = message_counts(messages).filter("analysable").select("conv_id")
-    lines = collect_user_lines(messages, chunk)
-    j = ok.join(lines, "conv_id", "left")
+    j = ok.join(collect_user_lines(messages, chunk), "conv_id", "left")
     return j.select(
-        "conv_id",
+        "conv_id", F.coalesce("chunk_no", F.lit(0)).cast("bigint").alias("chunk_no"),
         T.render(K.ANALYSIS_PROMPT, lines=F.coalesce("lines_json", F.lit("[]"))).alias("prompt"),
     )
 

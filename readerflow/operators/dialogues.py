@@ -127,6 +127,14 @@ def preview_labels(df: DataFrame, position_col: str = "dlg_ord") -> DataFrame:
     return df.select("book_id", "dlg_ord", T.preview_label(position_col, "speaker", "line").alias("label"))
 
 
+def picker_labels(df: DataFrame, predicate: Column, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """T10 of the practice picker: the number is the row's place in the filtered
+    list, or in the whole list of a book where nothing passes the filter (F5)."""
+    kept = empty_fallback(df, predicate)
+    placed = ordered_positions(kept.select("book_id", "dlg_ord", "speaker", "line"), "book_id", "dlg_ord", block_size, prefix="cur_")
+    return placed.select("book_id", "dlg_ord", T.preview_label(F.col("cur_position") - 1, "speaker", "line").alias("label"))
+
+
 def cap_expressions(col: str = "key_expressions", n: int = 3) -> Column:
     """At most ``n`` key expressions (the prompt asks for it; not enforced upstream)."""
     return F.slice(F.coalesce(F.col(col), F.array().cast("array<string>")), 1, n)
@@ -152,14 +160,17 @@ def distinct_speakers(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ L5-L8
-def clamp_lines(n: int) -> int:
-    return max(K.ROLEPLAY_MIN_LINES, min(K.ROLEPLAY_MAX_LINES, int(n)))
+def check_lines(n: int) -> int:
+    """The number of role-play lines; a value outside the allowed range is an error."""
+    if not K.ROLEPLAY_MIN_LINES <= int(n) <= K.ROLEPLAY_MAX_LINES:
+        raise ValueError(f"n must be {K.ROLEPLAY_MIN_LINES}..{K.ROLEPLAY_MAX_LINES}, got {n}")
+    return int(n)
 
 
 def roleplay_slice(df: DataFrame, start: int | Column = 0, n: int = K.ROLEPLAY_DEFAULT_LINES) -> DataFrame:
-    """Contiguous lines [start, start + n) of the unfiltered list, n in 3..10."""
+    """Contiguous lines [start, start + n) of the unfiltered list; n outside 3..10 raises."""
     s = F.lit(start) if isinstance(start, int) else start
-    n = clamp_lines(n)
+    n = check_lines(n)
     return df.filter((F.col("dlg_ord") >= s) & (F.col("dlg_ord") < s + F.lit(n)))
 
 

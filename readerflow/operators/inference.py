@@ -6,7 +6,8 @@ executors). Prompts are rendered JVM-side, de-duplicated by ``prompt_hash``,
 checked against a result cache with a left-anti join, and only the new ones
 cross into Python through ``mapInPandas`` (Arrow batches). Results should be
 written once and read back (``out_path``): task retries may call the model
-again, but nothing downstream re-evaluates the model.
+again, but nothing downstream re-evaluates the model. Only answers count as
+done; a failed request is asked again on the next run.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ from ..functions import text as T
 # Ship this module's functions by value: executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-RESULT_SCHEMA = "prompt_hash string, template string, raw string, status string, error string"
+DIALOGUE_COLUMNS = [*J.DIALOGUE_FIELDS, "key_expressions"]
+RESULT_SCHEMA = "request_key string, prompt_hash string, template string, model string, raw string, status string, error string"
+TRANSCRIPT_SCHEMA = "request_key string, path string, model string, text string, status string, error string"
 
 
 class ModelClient(Protocol):
@@ -45,9 +48,10 @@ def prompt_hash(prompt: Column | str) -> Column:
 
 
 def extraction_prompt(text: Column | str) -> Column:
-    """Extraction prompt over the first ``MAX_PROMPT_CHARS`` of the text."""
+    """Extraction prompt over a text, all of it; callers pass windows (or,
+    for the first window only, ``chapters.prompt_window``)."""
     t = F.col(text) if isinstance(text, str) else text
-    return T.render(K.EXTRACTION_PROMPT, text=F.substring(t, 1, K.MAX_PROMPT_CHARS))
+    return T.render(K.EXTRACTION_PROMPT, text=t)
 
 
 def feedback_prompt(target: Column | str, user_input: Column | str) -> Column:
@@ -77,29 +81,67 @@ def explode_responses(responses: DataFrame, key_cols: list[str]) -> tuple[DataFr
     rejects: key_cols + dlg_ord + reason for non-object elements, and one row
     (dlg_ord null) per malformed response.
     """
+    e = exploded_items(responses, key_cols)
+    dialogues = e.filter("is_object").select(*key_cols, "dlg_ord", *DIALOGUE_COLUMNS)
+    return dialogues, e.filter("NOT is_object").select(*key_cols, "dlg_ord", "reason")
+
+
+def exploded_items(responses: DataFrame, key_cols: list[str]) -> DataFrame:
+    """X2 + X3 in one pass, each response parsed once: one row per list element
+    (``is_object``, D5 fields or ``reason``) and one per malformed response
+    (``dlg_ord`` null)."""
     u = responses.select(*key_cols, J.unwrap_dialogues("raw").alias("u"))
     # posexplode_outer: no inferred size(items) > 0 filter re-parsing the JSON below
-    items = u.select(*key_cols, F.posexplode_outer("u.items").alias("dlg_ord", "item")).filter(
-        F.col("dlg_ord").isNotNull()
-    )
-    dialogues = items.filter(J.variant_kind(F.col("item")) == "OBJECT").select(
-        *key_cols, F.col("dlg_ord").cast("bigint").alias("dlg_ord"), *J.dialogue_fields(F.col("item"))
-    )
-    bad_items = items.filter(J.variant_kind(F.col("item")) != "OBJECT").select(
-        *key_cols, F.col("dlg_ord").cast("bigint").alias("dlg_ord"), J.reject_reason(F.col("item")).alias("reason")
-    )
-    bad_resp = u.filter(F.col("u.status") == J.STATUS_MALFORMED).select(
-        *key_cols, F.lit(None).cast("bigint").alias("dlg_ord"), F.lit("malformed response").alias("reason")
+    items = u.select(*key_cols, F.col("u.status").alias("__status"), F.posexplode_outer("u.items").alias("dlg_ord", "item")).filter(
+        F.col("dlg_ord").isNotNull() | (F.col("__status") == J.STATUS_MALFORMED)
     )
-    return dialogues, bad_items.unionByName(bad_resp)
+    is_object = F.coalesce(J.variant_kind(F.col("item")) == "OBJECT", F.lit(False))
+    reason = F.when(F.col("dlg_ord").isNull(), F.lit("malformed response")).when(~is_object, J.reject_reason(F.col("item")))
+    return items.select(
+        *key_cols, F.col("dlg_ord").cast("bigint").alias("dlg_ord"), is_object.alias("is_object"),
+        *J.dialogue_fields(F.col("item")), reason.alias("reason"))
 
 
 # ------------------------------------------------------------------ U1, J5
-def new_prompts(prompts: DataFrame, cache: DataFrame | None) -> DataFrame:
-    """Prompts whose hash has no cached result (left-anti join)."""
+def request_key(prompt: Column | str, template: str, model: str, temperature: float | None, json_mode: bool) -> Column:
+    """What an answer depends on: the prompt and every setting of the call."""
+    p = F.col(prompt) if isinstance(prompt, str) else prompt
+    return F.sha2(F.concat_ws("\x1f", F.lit(template), F.lit(model), F.lit(str(temperature)), F.lit(str(json_mode)), p), 256)
+
+
+def new_prompts(prompts: DataFrame, cache: DataFrame | None, key: str = "prompt_hash") -> DataFrame:
+    """Prompts whose key has no cached result (left-anti join on the keys)."""
     if cache is None:
         return prompts
-    return prompts.join(cache.select("prompt_hash").distinct(), "prompt_hash", "left_anti")
+    return prompts.join(cache.select(key).distinct(), key, "left_anti")
+
+
+def best_results(results: DataFrame, key: str = "request_key") -> DataFrame:
+    """One row per request: an answer where there is one, else an error."""
+    rank = F.struct((F.col("status") != "ok").alias("failed"), *[F.col(c) for c in results.columns if c != key])
+    best = results.groupBy(key).agg(F.min(rank).alias("b"))
+    return best.select(*[F.col(key) if c == key else F.col(f"b.{c}").alias(c) for c in results.columns])
+
+
+def _calls(items, call, concurrency: int, retries: int, wait_seconds: float):
+    """(value, error) per item: ``concurrency`` calls at a time, each tried again ``retries`` times."""
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(item):
+        for k in range(retries + 1):
+            try:
+                return call(item), None
+            except Exception as e:  # noqa: BLE001 - one failed request must not fail the batch
+                error = f"{type(e).__name__}: {e}"
+                if k < retries:
+                    time.sleep(wait_seconds * 2**k)
+        return None, error
+
+    if concurrency == 1:
+        return [one(i) for i in items]
+    with ThreadPoolExecutor(concurrency) as pool:
+        return list(pool.map(one, items))
 
 
 def batch_infer(
@@ -113,52 +155,62 @@ def batch_infer(
     cache: DataFrame | None = None,
     partitions: int | None = None,
     out_path: str | None = None,
+    concurrency: int = 4,
+    retries: int = 2,
+    wait_seconds: float = 0.5,
 ) -> DataFrame:
-    """Run each distinct new prompt once through an injected model client.
-
-    ``prompts(prompt_hash, prompt)``. Duplicates are removed first: the
-    de-duplication is a partial aggregate, so a prompt repeated in a third of
-    all rows collapses map-side instead of landing in one task. The unique
-    prompts are then dealt round-robin over ``partitions`` tasks, which is
-    also the number of concurrent client sessions.
-    Returns ``RESULT_SCHEMA`` rows; with ``out_path`` they are appended to a
-    Parquet table there and read back, which is what callers should use.
-    Results already in ``out_path`` count as cached, so re-running after a
-    failed or interrupted job only asks for the prompts still missing (the
-    file commit protocol publishes a job's files only when it succeeds).
+    """Ask an injected model client once for each distinct new prompt.
+
+    ``prompts(prompt_hash, prompt)``. The key of a request covers the template,
+    model, temperature and mode besides the prompt, so results of other
+    settings are never taken for it. Answers already held, in ``cache``
+    (``RESULT_SCHEMA`` rows) or in the table at ``out_path``, are not asked for
+    again; failures are, on the next run. Prompts with an answer are dropped by
+    key before anything is shuffled by prompt, and repeated prompts collapse
+    map-side. ``partitions`` sets the number of tasks, by default the shuffle
+    width; each keeps ``concurrency`` calls in flight and tries a failed one
+    ``retries`` times more. The client must then be safe to share by threads.
+
+    Returns one row per distinct prompt of ``prompts``: its answer, cached or
+    new, or its error. With ``out_path`` new results are appended to a Parquet
+    table there and read back, which is what callers should use: a job's files
+    are published only if it succeeds, so an interrupted one is resumed.
     """
     spark = prompts.sparkSession
+    asked = prompts.select("prompt_hash", "prompt", request_key("prompt", template, model, temperature, json_mode).alias("request_key"))
+    held = [] if cache is None else [cache.select(*_names(RESULT_SCHEMA))]
     if out_path is not None and _exists(spark, out_path):
-        done = spark.read.parquet(out_path).select("prompt_hash")
-        cache = done if cache is None else cache.select("prompt_hash").unionByName(done)
-    # de-duplicate first: copies collapse map-side, and the cache anti-join then
-    # finds its left side already hash-partitioned by prompt_hash
-    todo = new_prompts(prompts.select("prompt_hash", "prompt").dropDuplicates(["prompt_hash"]), cache)
+        held.append(spark.read.schema(RESULT_SCHEMA).parquet(out_path))
+    done = None
+    for h in held:
+        ok = h.filter(F.col("status") == "ok")
+        done = ok if done is None else done.unionByName(ok)
+    todo = new_prompts(asked, done, "request_key").dropDuplicates(["request_key"])
     if partitions:
         todo = todo.repartition(int(partitions))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
         for pdf in batches:
-            raws, statuses, errors = [], [], []
-            for p in pdf["prompt"]:
-                try:
-                    raws.append(client.complete(p, model=model, temperature=temperature, json_mode=json_mode))
-                    statuses.append("ok")
-                    errors.append(None)
-                except Exception as e:  # noqa: BLE001 - one failed request must not fail the batch
-                    raws.append(None)
-                    statuses.append("error")
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame(
-                {"prompt_hash": pdf["prompt_hash"], "template": template, "raw": raws, "status": statuses, "error": errors}
-            )
-
-    result = todo.mapInPandas(run, RESULT_SCHEMA)
-    if out_path is None:
-        return result
-    result.write.mode("append").parquet(out_path)
-    return spark.read.parquet(out_path)
+            got = _calls(pdf["prompt"], lambda p: client.complete(p, model=model, temperature=temperature, json_mode=json_mode), concurrency, retries, wait_seconds)
+            yield pd.DataFrame({
+                "request_key": pdf["request_key"], "prompt_hash": pdf["prompt_hash"], "template": template, "model": model,
+                "raw": [v for v, _ in got], "status": ["ok" if e is None else "error" for _, e in got], "error": [e for _, e in got],
+            })
+
+    new = todo.mapInPandas(run, RESULT_SCHEMA)
+    if out_path is not None:
+        new.write.mode("append").parquet(out_path)
+        new = spark.read.schema(RESULT_SCHEMA).parquet(out_path)
+        if cache is not None:
+            new = new.unionByName(held[0])
+    elif done is not None:
+        new = new.unionByName(done)
+    return best_results(new.join(asked.select("request_key").distinct(), "request_key", "left_semi"))
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def _exists(spark, path: str) -> bool:
@@ -174,26 +226,46 @@ def batch_transcribe(
     *,
     model: str = K.TRANSCRIBE_MODEL,
     language: str = K.TRANSCRIBE_LANGUAGE,
+    out_path: str | None = None,
+    concurrency: int = 4,
+    retries: int = 2,
+    wait_seconds: float = 0.5,
 ) -> DataFrame:
-    """U4: audio manifest rows (path, content) -> (path, text, status, error)."""
+    """U4: audio rows (path, content) -> ``TRANSCRIPT_SCHEMA`` rows.
+
+    The key is the recording's content with the model and language. With
+    ``out_path`` results are kept in a Parquet table: recordings with a
+    transcript there are not sent again, failed ones are, and what is returned
+    is read back, so that a second action does not call the service.
+    """
+    spark = audio.sparkSession
+    asked = audio.select("path", "content", F.sha2(F.concat(F.lit(f"{model}|{language}|").cast("binary"), "content"), 256).alias("request_key"))
+    todo = asked
+    if out_path is not None and _exists(spark, out_path):
+        done = spark.read.schema(TRANSCRIPT_SCHEMA).parquet(out_path).filter(F.col("status") == "ok")
+        todo = new_prompts(asked, done, "request_key")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
+
+        def call(item):
+            path, content = item
+            ext = path.rsplit(".", 1)[-1] if "." in path else "wav"
+            return client.transcribe(bytes(content), model=model, language=language, file_ext=ext)
+
         for pdf in batches:
-            texts, statuses, errors = [], [], []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                ext = path.rsplit(".", 1)[-1] if "." in path else "wav"
-                try:
-                    texts.append(client.transcribe(bytes(content), model=model, language=language, file_ext=ext))
-                    statuses.append("ok")
-                    errors.append(None)
-                except Exception as e:  # noqa: BLE001
-                    texts.append(None)
-                    statuses.append("error")
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({"path": pdf["path"], "text": texts, "status": statuses, "error": errors})
-
-    return audio.select("path", "content").mapInPandas(run, "path string, text string, status string, error string")
+            got = _calls(list(zip(pdf["path"], pdf["content"])), call, concurrency, retries, wait_seconds)
+            yield pd.DataFrame({
+                "request_key": pdf["request_key"], "path": pdf["path"], "model": model,
+                "text": [v for v, _ in got], "status": ["ok" if e is None else "error" for _, e in got], "error": [e for _, e in got],
+            })
+
+    new = todo.mapInPandas(run, TRANSCRIPT_SCHEMA)
+    if out_path is None:
+        return new
+    new.write.mode("append").parquet(out_path)
+    held = best_results(spark.read.schema(TRANSCRIPT_SCHEMA).parquet(out_path))
+    return asked.select("path", "request_key").join(held.drop("path"), "request_key").select(*_names(TRANSCRIPT_SCHEMA))
 
 
 class EchoClient:
@@ -208,5 +280,33 @@ class EchoClient:
         import re
 
         body = prompt.split("Text: ", 1)[-1]
-        spans = re.findall(r'"([^"\n]{1,200})"', body)
+        spans = re.findall(r'"([^"\n]+)"', body)
         return json.dumps({"dialogues": [{"speaker": "Unknown", "line": s} for s in spans]})
+
+
+class EchoCoach:
+    """Deterministic offline stand-in for the evaluation model: the score follows from the prompt's length."""
+
+    def complete(self, prompt: str, *, model: str, temperature: float | None, json_mode: bool) -> str:
+        import json
+
+        n = len(prompt)
+        return json.dumps({
+            "accuracy_score": n % 101 if n % 3 else n % 101 + 0.5, "pronunciation_issues": [f"w{n % 7}"] if n % 2 else [],
+            "fluency_feedback": f"{n} characters", "grammar_note": "Check tense" if n % 4 == 0 else None, "encouragement": "Keep going!"})
+
+
+class EchoPartner:
+    """Deterministic offline stand-in for the chat model: a digest of all that it was sent."""
+
+    def complete(self, prompt: str, *, model: str, temperature: float | None, json_mode: bool) -> str:
+        import hashlib
+
+        return "reply " + hashlib.sha256(prompt.encode()).hexdigest()[:16]
+
+
+class EchoTranscriber:
+    """Deterministic offline stand-in for a speech service: the recording's bytes are its text."""
+
+    def transcribe(self, audio: bytes, *, model: str, language: str, file_ext: str) -> str:
+        return audio.decode("utf-8")

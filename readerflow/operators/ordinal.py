@@ -2,18 +2,17 @@
 
 A plain ``row_number()/lag()/lead() OVER (PARTITION BY key ORDER BY o)`` sends
 every row of a key to one task; a key holding a third of the data would make
-one straggler. Here rows are cut into blocks of ``block_size`` consecutive
-order values, so every window partition is bounded:
+one straggler. Here the rows of a key are cut into blocks of consecutive rows:
 
-1. rows: ``row_number/lag/lead`` over (key, block) -- at most ``block_size`` rows.
-2. blocks: ``count/min/max`` per (key, block) with partial aggregation, then a
-   running sum and ``lag/lead`` over the (small) block table per key.
-3. join the two on (key, block): position = block offset + row number; the
+1. blocks: a key of more than ``block_size`` rows is cut at the quantiles of its
+   order values (at most ``MAX_BLOCKS`` of them), so the blocks are even however
+   sparse or clustered the values are; other keys are one block. Counts and
+   quantiles are partial aggregates, one row per large key.
+2. rows: ``row_number/lag/lead`` over (key, block).
+3. block table: ``count/min/max`` per (key, block), then a running sum and
+   ``lag/lead`` over the (small) block table per key.
+4. join the two on (key, block): position = block offset + row number; the
    neighbour of a block's first/last row comes from the previous/next block.
-
-The rows side and the block statistics share one hash partitioning on
-(key, block); both sides of the final join contain the same exchange, which
-Spark reuses (static and adaptive plans), so the input is shuffled once.
 """
 
 from __future__ import annotations
@@ -24,10 +23,21 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK = 1 << 16
 
 
-def _blocked(df: DataFrame, order: str, block_size: int) -> DataFrame:
-    # non-nullable on purpose: the join's inferred isnotnull(__blk) then folds
-    # away, both join inputs stay identical and their exchange is reused
-    return df.withColumn("__blk", F.coalesce(F.floor(F.col(order) / F.lit(block_size)), F.lit(0).cast("bigint")))
+MAX_BLOCKS = 512
+
+
+def _blocked(df: DataFrame, key: str, order: str, block_size: int) -> DataFrame:
+    """``df`` with ``__blk``, the number of its key's quantiles below the row."""
+    cuts = [k / MAX_BLOCKS for k in range(1, MAX_BLOCKS)]
+    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.percentile_approx(order, F.lit(cuts), F.lit(10 * MAX_BLOCKS)).alias("__all"))
+    # as many of the quantiles as make blocks of about block_size rows
+    step = F.greatest(F.lit(1), F.ceil(F.lit(MAX_BLOCKS * block_size) / F.col("__rows"))).cast("int")
+    large = stats.filter(F.col("__rows") > block_size).select(
+        F.col(key).alias("__key"), F.array_distinct(F.filter("__all", lambda x, i: (i + 1) % step == 0)).alias("__cuts"))
+    d = df.join(large, df[key] == large["__key"], "left").drop("__key")
+    # non-nullable on purpose: the join's inferred isnotnull(__blk) then folds away
+    below = F.size(F.filter("__cuts", lambda c: c < F.col(order)))
+    return d.withColumn("__blk", F.coalesce(F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(below), F.lit(0)).cast("bigint")).drop("__cuts")
 
 
 def ordered_positions(
@@ -47,7 +57,7 @@ def ordered_positions(
     w_in = Window.partitionBy(key, "__blk").orderBy(order)
     w_blk = Window.partitionBy(key, "__blk")
     rows = (
-        _blocked(df, order, block_size)
+        _blocked(df, key, order, block_size)
         .withColumn("__rn", F.row_number().over(w_in))
         .withColumn("__lag", F.lag(order).over(w_in))
         .withColumn("__lead", F.lead(order).over(w_in))
@@ -80,25 +90,28 @@ def running_totals(
     order: str,
     values: dict[str, str],
     block_size: int = DEFAULT_BLOCK,
+    first: str | None = None,
 ) -> DataFrame:
     """Add exclusive running sums within ``key`` by ``order``: for each row,
     ``out = sum(src)`` over the rows of the same key with a smaller ``order``
     (``values`` maps out-name -> source column; source ``"*"`` counts rows).
+    ``first`` names a further column, the least ``order`` of the key.
 
     Same blocking as :func:`ordered_positions`: bounded windows per block plus
     a small per-block prefix table, so no key is processed by one task.
     """
     srcs = {out: (F.lit(1) if src == "*" else F.col(src)) for out, src in values.items()}
+    blocked = _blocked(df, key, order, block_size)
     w_in = Window.partitionBy(key, "__blk").orderBy(order)
-    w_blk = Window.partitionBy(key, "__blk")
-    rows = _blocked(df, order, block_size).withColumn("__rn", F.row_number().over(w_in))
-    for out, s in srcs.items():
-        rows = rows.withColumn(
-            f"__in_{out}", F.coalesce(F.sum(s).over(w_in.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        ).withColumn(f"__b_{out}", F.sum(s).over(w_blk))
+    rows = blocked
+    for out, c in srcs.items():
+        rows = rows.withColumn(f"__in_{out}", F.coalesce(F.sum(c).over(w_in.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # the block table is a partial aggregate: one short row per block and map task is shuffled, not the input again
+    sums = blocked.groupBy(key, "__blk").agg(F.min(order).alias("__lo"), *[F.sum(c).alias(f"__b_{out}") for out, c in srcs.items()])
     w_b = Window.partitionBy(key).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.filter(F.col("__rn") == 1).select(
-        key, "__blk", *[F.coalesce(F.sum(f"__b_{out}").over(w_b), F.lit(0)).alias(f"__o_{out}") for out in srcs]
-    )
+    blocks = sums.select(
+        key, "__blk", F.min("__lo").over(Window.partitionBy(key)).alias("__first"),
+        *[F.coalesce(F.sum(f"__b_{out}").over(w_b), F.lit(0)).alias(f"__o_{out}") for out in srcs])
     out_df = rows.join(blocks, [key, "__blk"], "inner")
-    return out_df.select(*df.columns, *[(F.col(f"__o_{o}") + F.col(f"__in_{o}")).alias(o) for o in srcs])
+    extra = [F.col("__first").alias(first)] if first else []
+    return out_df.select(*df.columns, *extra, *[(F.col(f"__o_{o}") + F.col(f"__in_{o}")).alias(o) for o in srcs])

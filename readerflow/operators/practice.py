@@ -105,25 +105,38 @@ def learner_progress(feedback: DataFrame) -> DataFrame:
     ).withColumn("avg_display", display_round("avg_accuracy"))
 
 
-def progress_summary(feedback: DataFrame, dialogue_counts: DataFrame, learner_book: Column) -> DataFrame:
-    """Shown only when the learner's book has dialogues (total > 0).
+def progress_summary(learners: DataFrame, feedback: DataFrame, dialogue_counts: DataFrame) -> DataFrame:
+    """One row per learner whose book has dialogues (total > 0).
 
-    ``dialogue_counts(book_id, n_dialogues)`` is one row per book;
-    ``learner_book`` maps a feedback row to the book its learner studies.
-    Learners with no recorded practice show count 0 and no average.
+    ``learners(learner_id, book_id)`` says which book a learner studies and
+    drives the result: learners without any recorded practice show count 0 and
+    no average. ``dialogue_counts(book_id, n_dialogues)`` is one row per book.
     """
-    fb = feedback.withColumn("book_id", learner_book)
-    r = F.col("mode") == RECORDED_MODE
-    per_learner = fb.groupBy("learner_id", "book_id").agg(
-        F.count_if(r).alias("n_practice"),
-        F.avg(F.when(r, score_value())).alias("avg_accuracy"),
-    )
-    return per_learner.join(dialogue_counts.filter(F.col("n_dialogues") > 0), "book_id", "inner").select(
-        "learner_id",
-        "n_dialogues",
-        F.col("n_practice").cast("bigint").alias("n_practice"),
-        F.when(F.col("n_practice") > 0, display_round("avg_accuracy")).alias("avg_display"),
-    )
+    done = learner_progress(feedback).select("learner_id", "n_practice", "avg_display")
+    counts = dialogue_counts.filter(F.col("n_dialogues") > 0)
+    return learners.select("learner_id", "book_id").join(counts, "book_id", "inner").join(done, "learner_id", "left").select(
+        "learner_id", "book_id", "n_dialogues", F.coalesce("n_practice", F.lit(0)).cast("bigint").alias("n_practice"), "avg_display")
+
+
+def feedback_card(feedback: DataFrame) -> DataFrame:
+    """The card shown for an evaluation: score (missing: 0) with its band and
+    colour, the issue words or null when there are none, the grammar note only
+    if there is one, and empty text for missing remarks."""
+    note = F.col("grammar_note")
+    issues = F.when(F.size(F.coalesce("pronunciation_issues", F.array().cast("array<string>"))) > 0, issue_text())
+    return feedback.select(
+        *[c for c in ("learner_id", "book_id", "dlg_ord", "ts", "mode") if c in feedback.columns],
+        score_value().alias("score"), score_band().alias("band"), score_color().alias("color"), issues.alias("issues"),
+        F.coalesce("fluency_feedback", F.lit("")).alias("fluency"),
+        F.when(note != F.lit(""), note).alias("grammar_note"), F.coalesce("encouragement", F.lit("")).alias("encouragement"))
+
+
+def spoken_attempts(recordings: DataFrame, transcripts: DataFrame, dialogues: DataFrame) -> DataFrame:
+    """Spoken practice: ``recordings(path, learner_id, book_id, dlg_ord, ts)``
+    with a transcript become attempts on their line; recordings that could not
+    be transcribed give none."""
+    heard = transcripts.filter(F.col("status") == "ok").select("path", F.col("text").alias("answer"))
+    return attempt_target(recordings.join(heard, "path", "inner"), dialogues)
 
 
 def issue_words(feedback: DataFrame) -> DataFrame:

@@ -26,9 +26,10 @@ def voice_locale(name: Column | str) -> Column:
     return F.when(n.contains("US"), "en-US").when(n.contains("GB"), "en-GB").otherwise("en-AU")
 
 
-def clamp_rate(rate: Column | str) -> Column:
+def rate_in_range(rate: Column | str) -> Column:
+    """Whether a rate is one that the speed control offers; the rate itself is passed on as it is."""
     r = F.col(rate) if isinstance(rate, str) else rate
-    return F.least(F.greatest(r.cast("double"), F.lit(K.MIN_RATE)), F.lit(K.MAX_RATE))
+    return r.cast("double").between(K.MIN_RATE, K.MAX_RATE)
 
 
 def slow_rate(rate: Column | str) -> Column:
@@ -63,7 +64,8 @@ def voice_manifest(lines: DataFrame, text_col: str = "line", key_col: str = "voi
         voice_locale("voice_name").alias("locale"),
         "gender",
         F.lit(K.AUDIO_ENCODING).alias("encoding"),
-        clamp_rate(rate_col).alias("rate"),
-        slow_rate(clamp_rate(rate_col)).alias("slow_rate"),
+        F.col(rate_col).cast("double").alias("rate"),
+        rate_in_range(rate_col).alias("rate_in_range"),
+        slow_rate(rate_col).alias("slow_rate"),
         F.lit(K.DEFAULT_PITCH).alias("pitch"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import text as T
 from ..operators import chapters as CH
-from ..sources.fixtures import fx_books, with_fixtures
+from ..sources.fixtures import fx_books, table, with_fixtures
 from . import sqlgen as S
 from .registry import query
 
@@ -82,7 +82,7 @@ def q_collapse_blanks(spark, sf):
 @query(
     "truncate_book",
     _sql(
-        f"SELECT book_id, CAST(length({S.preprocess(_stripped_sql())}) AS BIGINT) AS n_default, "
+        f"SELECT book_id, CAST(length({S.preprocess(_stripped_sql(), K.MAX_BOOK_CHARS)}) AS BIGINT) AS n_default, "
         f"{S.preprocess(_stripped_sql(), SMALL_BOOK)} AS text_small FROM fx_books"
     ),
 )
@@ -90,7 +90,7 @@ def q_truncate_book(spark, sf):
     s = T.strip_markers("raw_text")
     return _books(spark, sf).select(
         "book_id",
-        F.length(T.preprocess(s)).cast("bigint").alias("n_default"),
+        F.length(T.preprocess(s, K.MAX_BOOK_CHARS)).cast("bigint").alias("n_default"),
         T.preprocess(s, SMALL_BOOK).alias("text_small"),
     )
 
@@ -101,7 +101,7 @@ def q_book_length(spark, sf):
 
 
 # ---------------------------------------------------------------- T8, T9, L1
-def _chapter_sql(body: str, footer: str = "exact", max_chars=K.MAX_BOOK_CHARS) -> str:
+def _chapter_sql(body: str, footer: str = "exact", max_chars=None) -> str:
     return with_fixtures("", "fx_books") + ",\n" + S.chapter_ctes(footer, max_chars) + "\n" + body
 
 
@@ -128,14 +128,14 @@ def q_dedup_chapters_whole(spark, sf):
 
 
 DEFAULT_CHAPTERS_SQL = _chapter_sql(
-    f"SELECT book_id, chapter_ord, title, CAST(length(body) AS BIGINT) AS n_chars FROM chapters "
+    f"SELECT book_id, chapter_ord, title, CAST(length(body) AS BIGINT) AS n_chars, sha256(body) AS body_hash FROM chapters "
     f"WHERE chapter_ord <= {K.DEFAULT_CHAPTERS}"
 )
 
 
 def default_chapters_df(spark, sf):
     ch = CH.default_chapters(CH.chapters(CH.clean_books(_books(spark, sf))))
-    return ch.select("book_id", "chapter_ord", "title", F.length("body").cast("bigint").alias("n_chars"))
+    return ch.select("book_id", "chapter_ord", "title", F.length("body").cast("bigint").alias("n_chars"), F.sha2("body", 256).alias("body_hash"))
 
 
 query("default_chapters", DEFAULT_CHAPTERS_SQL)(default_chapters_df)
@@ -157,9 +157,9 @@ _SELECTION_SQL = " UNION ALL ".join(
 )
 
 
-def _selected(spark, sf):
+def _clean_and_selection(spark, sf):
     books = _books(spark, sf)
-    return CH.select_chapters(CH.chapters(CH.clean_books(books)), _selection(books))
+    return CH.clean_books(books), _selection(table(spark, sf, "documents").select(F.col("doc_id").alias("book_id")))
 
 
 _SELECTED_SQL = (
@@ -170,11 +170,11 @@ _SELECTED_SQL = (
 
 @query(
     "select_chapters",
-    _chapter_sql(f"SELECT book_id, sel_ord, chapter_ord, title, CAST(length(body) AS BIGINT) AS n_chars FROM ({_SELECTED_SQL})"),
+    _chapter_sql(f"SELECT book_id, sel_ord, chapter_ord, title, CAST(length(body) AS BIGINT) AS n_chars, sha256(body) AS body_hash FROM ({_SELECTED_SQL})"),
 )
 def q_select_chapters(spark, sf):
-    return _selected(spark, sf).select(
-        "book_id", "sel_ord", "chapter_ord", "title", F.length("body").cast("bigint").alias("n_chars")
+    return CH.selected_chapters(*_clean_and_selection(spark, sf)).select(
+        "book_id", "sel_ord", "chapter_ord", "title", F.length("body").cast("bigint").alias("n_chars"), F.sha2("body", 256).alias("body_hash")
     )
 
 
@@ -191,7 +191,7 @@ COMBINE_SQL = _chapter_sql(
 
 
 def _combine(spark, sf):
-    return CH.combine_chapters(_selected(spark, sf), extra_limits={"combined_small": SMALL_CHAPTER})
+    return CH.combine_selection(*_clean_and_selection(spark, sf), extra_limits={"combined_small": SMALL_CHAPTER})
 
 
 @query("combine_chapters", COMBINE_SQL)
@@ -208,7 +208,7 @@ def q_combine_chapters(spark, sf):
     ),
 )
 def q_prompt_window(spark, sf):
-    c = CH.combine_chapters(_selected(spark, sf))
+    c = CH.combine_selection(*_clean_and_selection(spark, sf))
     return c.select(
         "book_id",
         CH.prompt_window("combined").alias("prompt_text"),

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import api
 from .. import constants as K
 from ..functions.text import sql_literal, sql_render
 from ..operators import conversation as C
+from ..operators import inference as I
+from ..session import scratch_path
 from ..sources.fixtures import fx_dialogues, fx_messages, fx_setups, with_fixtures
 from .registry import query
 
@@ -53,9 +56,25 @@ FROM fx_setups s WHERE s.conv_id NOT IN (SELECT conv_id FROM fx_messages)
 """
 
 
-@query("opening_turn", _ctes("fx_setups", "fx_messages") + "\n" + OPENING_SQL)
+# a tenth of the conversations has lost its messages, so that there is a scene to open
+@query("opening_turn", _ctes("fx_setups", "fx_messages") + "\n" + OPENING_SQL.replace("FROM fx_messages)", "FROM fx_messages WHERE conv_id % 10 <> 7)"))
 def q_opening_turn(spark, sf):
-    return C.opening_turns(fx_setups(spark, sf), fx_messages(spark, sf))
+    return C.opening_turns(fx_setups(spark, sf), fx_messages(spark, sf).filter(F.col("conv_id") % 10 != 7))
+
+
+# ------------------------------------------------------------------ C7
+SCENARIO_STEP = 1_000_000
+
+
+@query(
+    "new_scenario",
+    _ctes("fx_setups") + f"\nSELECT conv_id + {SCENARIO_STEP} AS conv_id, scenario, user_role, opening_line FROM fx_setups "
+    "UNION ALL SELECT conv_id, scenario, user_role, opening_line FROM fx_setups",
+)
+def q_new_scenario(spark, sf):
+    """A restarted scene is a new conversation; the old one stays."""
+    s = fx_setups(spark, sf)
+    return C.new_scenario(s, SCENARIO_STEP).unionByName(s).select("conv_id", "scenario", "user_role", "opening_line")
 
 
 @query(
@@ -79,13 +98,15 @@ def q_system_prompt(spark, sf):
 
 # ------------------------------------------------------------------ C3
 CHAT_SQL = _ctes("fx_setups", "fx_messages") + f""",
-m AS (SELECT conv_id, turn, role, content, CAST(length(coalesce(content, '')) AS BIGINT) AS len FROM fx_messages),
-tot AS (SELECT *, count(*) OVER w AS n_prior, coalesce(sum(len) OVER w, 0) AS prior_chars FROM m
+m AS (SELECT conv_id, turn, role, content, CAST(length(coalesce(content, '')) AS BIGINT) AS len,
+      CAST('0x' || substr(sha256(CAST(turn AS VARCHAR) || chr(31) || role || chr(31) || coalesce(content, '')), 1, 12) AS BIGINT) AS digest FROM fx_messages),
+tot AS (SELECT *, count(*) OVER w AS n_prior, coalesce(sum(len) OVER w, 0) AS prior_chars,
+        CAST(CAST(coalesce(sum(digest) OVER w, 0) AS HUGEINT) AS VARCHAR) AS history_digest FROM m
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 first AS (SELECT conv_id, min(turn) AS history_from FROM fx_messages GROUP BY conv_id),
 sp AS (SELECT conv_id, {SQL_SYSTEM} AS system_prompt FROM fx_setups)
 SELECT t.conv_id, t.turn, f.history_from, CAST(t.n_prior + 2 AS BIGINT) AS n_messages,
-  CAST(t.prior_chars + length(sp.system_prompt) + t.len AS BIGINT) AS n_chars,
+  CAST(t.prior_chars + length(sp.system_prompt) + t.len AS BIGINT) AS n_chars, t.history_digest,
   sp.system_prompt, t.content AS user_content
 FROM tot t JOIN first f ON t.conv_id = f.conv_id LEFT JOIN sp ON t.conv_id = sp.conv_id
 WHERE t.role = 'user'
@@ -97,14 +118,33 @@ def q_chat_history(spark, sf):
     return C.chat_requests(fx_messages(spark, sf), fx_setups(spark, sf))
 
 
+CHAT_REPLY_SQL = _ctes("fx_setups", "fx_messages") + f""",
+waiting AS (SELECT conv_id, max(turn) AS turn FROM fx_messages GROUP BY conv_id HAVING arg_max(role, turn) = 'user'),
+hist AS (SELECT m.conv_id, w.turn, count(*) + 1 AS n_messages,
+  string_agg(CAST(json_object('role', m.role, 'content', coalesce(m.content, '')) AS VARCHAR), ',' ORDER BY m.turn) AS body
+  FROM fx_messages m JOIN waiting w ON m.conv_id = w.conv_id GROUP BY m.conv_id, w.turn),
+r AS (SELECT h.conv_id, h.turn, h.n_messages,
+  '[' || CAST(json_object('role', 'system', 'content', {SQL_SYSTEM}) AS VARCHAR) || ',' || h.body || ']' AS prompt
+  FROM hist h JOIN fx_setups s ON h.conv_id = s.conv_id)
+SELECT conv_id, turn, CAST(n_messages AS BIGINT) AS n_messages, sha256(prompt) AS prompt_hash, 'reply ' || substr(sha256(prompt), 1, 16) AS raw, 'ok' AS status FROM r
+"""
+
+
+@query("chat_reply", CHAT_REPLY_SQL)
+def q_chat_reply(spark, sf):
+    """Replies to the conversations that wait for one, by a stand-in whose answer covers all it is sent."""
+    out = api.chat_replies(fx_messages(spark, sf), fx_setups(spark, sf), I.EchoPartner, scratch_path(spark, "chat_reply"))
+    return out.select("conv_id", "turn", "n_messages", "prompt_hash", "raw", "status")
+
+
 # ------------------------------------------------------------------ C4
 def _reply(col):
-    return F.concat(F.lit("Reply to: "), F.substring(col, 1, 20))
+    return F.concat(F.lit("Reply to: "), col)
 
 
 APPEND_SQL = _ctes("fx_setups", "fx_messages") + f""",
 last_user AS (SELECT conv_id, max(turn) AS t FROM fx_messages WHERE role = 'user' GROUP BY conv_id),
-inputs AS (SELECT m.conv_id, m.content AS user_input, 'Reply to: ' || substring(m.content, 1, 20) AS ai_reply
+inputs AS (SELECT m.conv_id, m.content AS user_input, 'Reply to: ' || m.content AS ai_reply
            FROM fx_messages m JOIN last_user l ON m.conv_id = l.conv_id AND m.turn = l.t),
 hist AS (SELECT m.* FROM fx_messages m LEFT JOIN last_user l ON m.conv_id = l.conv_id AND m.turn = l.t WHERE l.t IS NULL),
 lastt AS (SELECT conv_id, max(turn) AS lt FROM hist GROUP BY conv_id),
@@ -133,8 +173,9 @@ def q_append_turn(spark, sf):
 @query(
     "collect_user_lines",
     _ctes("fx_messages")
-    + "\nSELECT conv_id, count(*) AS n_lines, CAST(to_json(list(content ORDER BY turn)) AS VARCHAR) AS lines_json "
-    "FROM fx_messages WHERE role = 'user' GROUP BY conv_id",
+    + f"\nSELECT conv_id, CAST(turn // {C.CHUNK} AS BIGINT) AS chunk_no, count(*) AS n_lines, "
+    "CAST(to_json(list(content ORDER BY turn)) AS VARCHAR) AS lines_json "
+    "FROM fx_messages WHERE role = 'user' GROUP BY 1, 2",
 )
 def q_collect_user_lines(spark, sf):
     return C.collect_user_lines(fx_messages(spark, sf))
@@ -168,10 +209,10 @@ def q_min_messages(spark, sf):
 
 
 ANALYSIS_SQL = _ctes("fx_setups", "fx_messages", extra=ALL_MSGS_SQL) + f"""
-SELECT c.conv_id, {sql_render(K.ANALYSIS_PROMPT, lines="coalesce(u.lines_json, '[]')")} AS prompt
+SELECT c.conv_id, CAST(coalesce(u.chunk_no, 0) AS BIGINT) AS chunk_no, {sql_render(K.ANALYSIS_PROMPT, lines="coalesce(u.lines_json, '[]')")} AS prompt
 FROM (SELECT conv_id FROM all_msgs GROUP BY conv_id HAVING count(*) >= {K.MIN_MESSAGES_FOR_ANALYSIS}) c
-LEFT JOIN (SELECT conv_id, to_json(list(content ORDER BY turn)) AS lines_json
-           FROM all_msgs WHERE role = 'user' GROUP BY conv_id) u ON c.conv_id = u.conv_id
+LEFT JOIN (SELECT conv_id, turn // {C.CHUNK} AS chunk_no, to_json(list(content ORDER BY turn)) AS lines_json
+           FROM all_msgs WHERE role = 'user' GROUP BY 1, 2) u ON c.conv_id = u.conv_id
 """
 
 

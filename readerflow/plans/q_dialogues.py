@@ -110,6 +110,20 @@ def q_preview_label(spark, sf):
     return D.preview_labels(_dlg(spark, sf))
 
 
+PICKER_SQL = f"""
+f AS (SELECT *, {SQL_STRICT} AS passed FROM fx_dialogues),
+kept AS (SELECT * FROM f WHERE passed OR book_id NOT IN (SELECT book_id FROM f WHERE passed))
+SELECT book_id, dlg_ord, '#' || CAST(row_number() OVER (PARTITION BY book_id ORDER BY dlg_ord) AS VARCHAR) || ' ' || coalesce(speaker, '') || ': '
+  || substring(coalesce(line, ''), 1, {K.PREVIEW_LINE_CHARS}) || '...' AS label FROM kept
+"""
+
+
+@query("picker_label", with_fixtures("", "fx_dialogues") + ",\n" + PICKER_SQL)
+def q_picker_label(spark, sf):
+    """T10 as the picker numbers its rows: by place in the filtered or fallback list."""
+    return D.picker_labels(_dlg(spark, sf), _strict())
+
+
 @query(
     "join_list_text",
     _sql(
@@ -205,7 +219,7 @@ def q_prev_next(spark, sf):
     return D.prev_next(practice)
 
 
-CAP_N = 2
+CAP_N = 3  # the number that the prompt asks for
 
 
 @query(
@@ -217,7 +231,7 @@ CAP_N = 2
     ),
 )
 def q_cap_expressions(spark, sf):
-    capped = D.cap_expressions("key_expressions", CAP_N)
+    capped = D.cap_expressions("key_expressions")
     return _dlg(spark, sf).select(
         "book_id",
         "dlg_ord",

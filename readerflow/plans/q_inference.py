@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import api
 from .. import constants as K
 from ..functions import model_json as J
 from ..functions.text import sql_literal, sql_render
 from ..operators import chapters as CH
 from ..operators import inference as I
-from ..sources.fixtures import fx_attempts, fx_books, fx_dialogues, fx_feedback, fx_responses, fx_setups, with_fixtures
+from ..session import scratch_path
+from ..sources import media as M
+from ..sources.fixtures import fx_attempts, fx_books, fx_dialogues, fx_feedback, fx_responses, fx_setups, table, with_fixtures
 from . import sqlgen as S
 from .registry import query
 
@@ -37,7 +40,9 @@ w AS (
 @query(
     "unwrap_dialogues",
     with_fixtures("", "fx_responses") + ",\n" + UNWRAP_CTE
-    + "SELECT prompt_hash, book_id, turn, status, CAST(json_array_length(items) AS BIGINT) AS n_items FROM w",
+    + "SELECT prompt_hash, book_id, turn, status, CAST(json_array_length(items) AS BIGINT) AS n_items, "
+    "CASE WHEN items IS NOT NULL THEN sha256(coalesce(array_to_string(list_transform(json_extract(items, '$[*]'), "
+    "lambda x: coalesce(json_extract_string(x, '$.line'), '')), '|'), '')) END AS lines_hash FROM w",
 )
 def q_unwrap_dialogues(spark, sf):
     r = fx_responses(spark, sf)
@@ -45,6 +50,7 @@ def q_unwrap_dialogues(spark, sf):
     return u.select(
         "prompt_hash", "book_id", "turn", F.col("u.status").alias("status"),
         F.array_size("u.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.transform("u.items", lambda x: F.coalesce(F.try_variant_get(x, "$.line", "string"), F.lit(""))), "|"), 256).alias("lines_hash"),
     )
 
 
@@ -61,35 +67,34 @@ SELECT prompt_hash, CAST(pos AS BIGINT) AS dlg_ord, json_type(item) = 'OBJECT' A
        THEN coalesce(array_to_string(json_extract_string(item, '$.key_expressions[*]'), {SEP}), '') END AS key_text,
   CASE WHEN json_type(item) <> 'OBJECT' THEN 'not an object' END AS reason
 FROM e
+UNION ALL
+SELECT prompt_hash, NULL, false, NULL, NULL, NULL, NULL, NULL, 'malformed response' FROM w WHERE status = 'malformed'
 """
 
 
 @query("explode_dialogues", EXPLODE_SQL)
 def q_explode_dialogues(spark, sf):
-    r = fx_responses(spark, sf)
-    dlg, rej = I.explode_responses(r, ["prompt_hash"])
-    ok = dlg.select(
-        "prompt_hash", "dlg_ord", F.lit(True).alias("is_object"), "speaker", "line", "context", "difficulty",
-        F.coalesce(F.array_join("key_expressions", K.KEY_EXPRESSION_JOINER), F.lit("")).alias("key_text"),
-        F.lit(None).cast("string").alias("reason"),
-    )
-    bad = rej.filter(F.col("dlg_ord").isNotNull()).select(
-        "prompt_hash", "dlg_ord", F.lit(False).alias("is_object"),
-        *[F.lit(None).cast("string").alias(c) for c in ("speaker", "line", "context", "difficulty", "key_text")],
-        F.lit("not an object").alias("reason"),
+    e = I.exploded_items(fx_responses(spark, sf), ["prompt_hash"])
+    return e.select(
+        "prompt_hash", "dlg_ord", "is_object", "speaker", "line", "context", "difficulty",
+        F.when(F.col("is_object"), F.coalesce(F.array_join("key_expressions", K.KEY_EXPRESSION_JOINER), F.lit(""))).alias("key_text"),
+        F.split("reason", ":").getItem(0).alias("reason"),
     )
-    return ok.unionByName(bad)
 
 
 # ------------------------------------------------------------------ X4
 
 
+# scores as models send them: whole numbers, fractions, numbers in quotes, other text, none
 FEEDBACK_RAW_SQL = """
 SELECT learner_id, ts, CASE WHEN accuracy_score IS NOT NULL AND accuracy_score % 13 = 0 THEN 'not json ' || CAST(accuracy_score AS VARCHAR)
-  ELSE CAST(json_object('accuracy_score', accuracy_score, 'pronunciation_issues', pronunciation_issues,
-       'fluency_feedback', fluency_feedback, 'grammar_note', grammar_note, 'encouragement', encouragement) AS VARCHAR) END AS raw
+  ELSE '{"accuracy_score":' || CASE WHEN accuracy_score IS NULL THEN 'null' WHEN accuracy_score % 5 = 1 THEN CAST(accuracy_score AS VARCHAR) || '.5'
+       WHEN accuracy_score % 5 = 2 THEN '"' || CAST(accuracy_score AS VARCHAR) || '"' WHEN accuracy_score % 5 = 3 THEN '"n/a"'
+       ELSE CAST(accuracy_score AS VARCHAR) END || ',' || substring(CAST(json_object('pronunciation_issues', pronunciation_issues,
+       'fluency_feedback', fluency_feedback, 'grammar_note', grammar_note, 'encouragement', encouragement) AS VARCHAR), 2) END AS raw
 FROM fx_feedback
 """
+SQL_RAW_SCORE = "json_extract_string(raw, '$.accuracy_score')"
 
 
 @query(
@@ -97,8 +102,9 @@ FROM fx_feedback
     with_fixtures("", "fx_feedback") + f""",
 r AS ({FEEDBACK_RAW_SQL})
 SELECT learner_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
-  CASE WHEN {SQL_KIND} = 'OBJECT' THEN 'ok' ELSE 'malformed' END AS status,
-  CASE WHEN {SQL_KIND} = 'OBJECT' THEN TRY_CAST(json_extract_string(raw, '$.accuracy_score') AS INTEGER) END AS accuracy_score,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN CASE WHEN {SQL_RAW_SCORE} IS NOT NULL AND TRY_CAST({SQL_RAW_SCORE} AS DOUBLE) IS NULL
+       THEN 'bad_score' ELSE 'ok' END ELSE 'malformed' END AS status,
+  CASE WHEN {SQL_KIND} = 'OBJECT' THEN TRY_CAST({SQL_RAW_SCORE} AS DOUBLE) END AS accuracy_score,
   CASE WHEN {SQL_KIND} = 'OBJECT' THEN CAST(coalesce(len(json_extract_string(raw, '$.pronunciation_issues[*]')), 0) AS BIGINT) END AS n_issues,
   CASE WHEN {SQL_KIND} = 'OBJECT' THEN json_extract_string(raw, '$.fluency_feedback') END AS fluency_feedback,
   CASE WHEN {SQL_KIND} = 'OBJECT' THEN json_extract_string(raw, '$.grammar_note') END AS grammar_note,
@@ -108,24 +114,23 @@ FROM r
 )
 def q_parse_feedback(spark, sf):
     f = fx_feedback(spark, sf)
-    obj = F.to_json(F.struct("accuracy_score", "pronunciation_issues", "fluency_feedback", "grammar_note", "encouragement"))
-    raw = F.when(
-        F.col("accuracy_score").isNotNull() & (F.col("accuracy_score") % 13 == 0),
-        F.concat(F.lit("not json "), F.col("accuracy_score").cast("string")),
-    ).otherwise(obj)
-    p = f.select("learner_id", "ts", raw.alias("raw")).select(
-        "learner_id", "ts", J.parse_status("raw").alias("status"), J.parse_object("raw", J.FEEDBACK_SCHEMA).alias("fb")
+    n, text = F.col("accuracy_score"), F.col("accuracy_score").cast("string")
+    score = (
+        F.when(n.isNull(), F.lit("null")).when(n % 5 == 1, F.concat(text, F.lit(".5")))
+        .when(n % 5 == 2, F.concat(F.lit('"'), text, F.lit('"'))).when(n % 5 == 3, F.lit('"n/a"')).otherwise(text)
     )
-    ok = F.col("status") == J.STATUS_OK
+    rest = F.to_json(F.struct("pronunciation_issues", "fluency_feedback", "grammar_note", "encouragement"))
+    raw = F.when(n.isNotNull() & (n % 13 == 0), F.concat(F.lit("not json "), text)).otherwise(
+        F.concat(F.lit('{"accuracy_score":'), score, F.lit(","), F.substring(rest, 2, 2**30)))
+    p = J.parse_feedback(f.select("learner_id", "ts", raw.alias("raw")))
+    ok = F.col("status") != J.STATUS_MALFORMED
     return p.select(
         "learner_id",
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_text"),
         "status",
-        F.col("fb.accuracy_score").alias("accuracy_score"),
-        F.when(ok, F.coalesce(F.array_size("fb.pronunciation_issues"), F.lit(0))).cast("bigint").alias("n_issues"),
-        F.col("fb.fluency_feedback").alias("fluency_feedback"),
-        F.col("fb.grammar_note").alias("grammar_note"),
-        F.col("fb.encouragement").alias("encouragement"),
+        "accuracy_score",
+        F.when(ok, F.coalesce(F.array_size("pronunciation_issues"), F.lit(0))).cast("bigint").alias("n_issues"),
+        "fluency_feedback", "grammar_note", "encouragement",
     )
 
 
@@ -169,9 +174,7 @@ def q_parse_setup(spark, sf):
     s = fx_setups(spark, sf)
     obj = F.to_json(F.struct("scenario", "user_role", "ai_roles", "opening_line", "vocabulary_tips"))
     raw = F.when(F.col("conv_id") % 7 == 0, F.lit('{"scenario": ')).otherwise(obj)
-    p = s.select("conv_id", raw.alias("raw")).select(
-        "conv_id", J.parse_status("raw").alias("status"), J.parse_object("raw", J.SETUP_SCHEMA).alias("s")
-    )
+    p = J.parsed(s.select("conv_id", raw.alias("raw")), J.SETUP_SCHEMA, out="s")
     ok = F.col("status") == J.STATUS_OK
 
     def joined(c):
@@ -188,28 +191,42 @@ def q_parse_setup(spark, sf):
 
 
 # ------------------------------------------------------------------ X1, X7, X8
-def _extraction_prompts(spark, sf):
-    comb = CH.with_default_combined(CH.clean_books(fx_books(spark, sf)).select("book_id", "text"))
-    return comb.select("book_id", "has_headings", I.extraction_prompt("combined").alias("prompt")).withColumn(
-        "prompt_hash", I.prompt_hash("prompt")
-    )
+def _clean(spark, sf):
+    return CH.clean_books(fx_books(spark, sf)).select("book_id", "text")
 
 
-EXTRACTION_SQL = (
-    with_fixtures("", "fx_books") + ",\n" + S.chapter_ctes() + f""",
+CHAPTERS_SQL = with_fixtures("", "fx_books") + ",\n" + S.chapter_ctes()
+FIRST_SQL = CHAPTERS_SQL + f""",
 comb AS (SELECT book_id, string_agg(substring(body, 1, {K.MAX_CHAPTER_CHARS}), chr(10) || chr(10) ORDER BY chapter_ord) AS combined
          FROM chapters WHERE chapter_ord <= {K.DEFAULT_CHAPTERS} GROUP BY book_id),
 prompts AS (SELECT book_id, {sql_render(K.EXTRACTION_PROMPT, text=f'substring(combined, 1, {K.MAX_PROMPT_CHARS})')} AS prompt FROM comb)
 """
+
+
+@query(
+    "extraction_prompt_first",
+    FIRST_SQL + "SELECT book_id, sha256(prompt) AS prompt_hash, CAST(length(prompt) AS BIGINT) AS n_chars FROM prompts",
 )
+def q_extraction_prompt_first(spark, sf):
+    """X1 as the app asks: the first window of the first chapters."""
+    return api.first_window_requests(_clean(spark, sf)).select("book_id", "prompt_hash", F.length("prompt").cast("bigint").alias("n_chars"))
+
+
+WINDOWS_SQL = CHAPTERS_SQL + f""",
+wins AS (SELECT book_id, chapter_ord, title, body, unnest(range(CAST(ceil(length(body) / {K.MAX_PROMPT_CHARS}.0) AS BIGINT))) AS window_no FROM chapters),
+prompts AS (SELECT book_id, chapter_ord, window_no, title, substring(body, window_no * {K.MAX_PROMPT_CHARS} + 1, {K.MAX_PROMPT_CHARS}) AS win,
+  {sql_render(K.EXTRACTION_PROMPT, text=f'substring(body, window_no * {K.MAX_PROMPT_CHARS} + 1, {K.MAX_PROMPT_CHARS})')} AS prompt FROM wins)
+"""
 
 
 @query(
     "extraction_prompt",
-    EXTRACTION_SQL + "SELECT book_id, sha256(prompt) AS prompt_hash, CAST(length(prompt) AS BIGINT) AS n_chars FROM prompts",
+    WINDOWS_SQL + "SELECT book_id, chapter_ord, window_no, sha256(prompt) AS prompt_hash, CAST(length(prompt) AS BIGINT) AS n_chars FROM prompts",
 )
 def q_extraction_prompt(spark, sf):
-    return _extraction_prompts(spark, sf).select("book_id", "prompt_hash", F.length("prompt").cast("bigint").alias("n_chars"))
+    """X1 over whole books, window by window."""
+    r = api.extraction_requests(_clean(spark, sf))
+    return r.select("book_id", "chapter_ord", "window_no", "prompt_hash", F.length("prompt").cast("bigint").alias("n_chars"))
 
 
 @query(
@@ -231,28 +248,65 @@ def q_hint_prompt(spark, sf):
 
 
 # ------------------------------------------------------------------ U1, J5
-@query("batch_infer", None, note="external model: deterministic offline client; rows-only check")
-def q_batch_infer(spark, sf):
-    prompts = _extraction_prompts(spark, sf)
-    return I.batch_infer(
-        prompts, I.EchoClient, template="extraction", temperature=K.TEMPERATURES["extraction"], partitions=8
-    )
+SQL_QUOTES = """regexp_extract_all(prompt[strpos(prompt, 'Text: ') + 6:], '"([^"\\n]+)"', 1)"""
 
 
-def _cache(prompts):
-    """Results already held for books without chapter headings ("Full Text")."""
-    return prompts.filter(~F.col("has_headings")).select("prompt_hash")
+@query(
+    "batch_infer",
+    WINDOWS_SQL + f"""
+SELECT book_id, chapter_ord, window_no, 'ok' AS status, CAST(len({SQL_QUOTES}) AS BIGINT) AS n_lines,
+  sha256(coalesce(array_to_string({SQL_QUOTES}, '|'), '')) AS lines_hash FROM prompts
+""",
+)
+def q_batch_infer(spark, sf):
+    """Every window of every book through a deterministic stand-in model."""
+    req = api.extraction_requests(_clean(spark, sf))
+    res = I.batch_infer(req, I.EchoClient, template="extraction", temperature=K.TEMPERATURES["extraction"], out_path=scratch_path(spark, "batch_infer"))
+    j = req.select("book_id", "chapter_ord", "window_no", "prompt_hash").join(res.select("prompt_hash", "raw", "status"), "prompt_hash")
+    lines = F.transform(J.unwrap_dialogues("raw")["items"], lambda x: F.try_variant_get(x, "$.line", "string"))
+    j = j.select("book_id", "chapter_ord", "window_no", "status", lines.alias("lines"))
+    return j.select("book_id", "chapter_ord", "window_no", "status", F.array_size("lines").cast("bigint").alias("n_lines"),
+                    F.sha2(F.array_join("lines", "|"), 256).alias("lines_hash"))
 
 
 @query(
     "infer_cache",
-    EXTRACTION_SQL + f""",
-cached AS (SELECT DISTINCT sha256(p.prompt) AS prompt_hash FROM prompts p
-           JOIN (SELECT book_id FROM split_rows GROUP BY book_id HAVING count(*) = 1 AND max(title) = {sql_literal(K.FULL_TEXT_TITLE)}) nh
-           ON p.book_id = nh.book_id)
-SELECT book_id, sha256(prompt) AS prompt_hash FROM prompts WHERE sha256(prompt) NOT IN (SELECT prompt_hash FROM cached)
+    WINDOWS_SQL + f""",
+cached AS (SELECT DISTINCT sha256(prompt) AS prompt_hash FROM prompts WHERE title = {sql_literal(K.FULL_TEXT_TITLE)})
+SELECT book_id, chapter_ord, window_no, sha256(prompt) AS prompt_hash FROM prompts WHERE sha256(prompt) NOT IN (SELECT prompt_hash FROM cached)
 """,
 )
 def q_infer_cache(spark, sf):
-    prompts = _extraction_prompts(spark, sf)
-    return I.new_prompts(prompts, _cache(prompts)).select("book_id", "prompt_hash")
+    """Prompts without a cached answer. Answers are held for books without
+    chapter headings; the keys are written once, prompts are not."""
+    path = scratch_path(spark, "infer_cache")
+    api.extraction_requests(_clean(spark, sf)).select("book_id", "chapter_ord", "window_no", "title", "prompt_hash").write.parquet(path)
+    keys = spark.read.parquet(path)
+    cache = keys.filter(F.col("title") == K.FULL_TEXT_TITLE)
+    return I.new_prompts(keys, cache).select("book_id", "chapter_ord", "window_no", "prompt_hash")
+
+
+# ------------------------------------------------------------------ S5, U4
+def _recordings(spark, sf) -> str:
+    """A folder of stand-in recordings: conversation turns, a line each."""
+    path = scratch_path(spark, "recordings")
+    turns = table(spark, sf, "conversations").select(F.concat_ws("|", "conv_id", "turn", F.translate("text", "\n", " ")).alias("value"))
+    turns.write.text(path)
+    return path
+
+
+_TURN_SQL = "CAST(conv_id AS VARCHAR) || '|' || CAST(turn AS VARCHAR) || '|' || translate(text, chr(10), ' ')"
+
+
+@query("audio_scan", f"SELECT CAST(sum(octet_length(encode({_TURN_SQL})) + 1) AS BIGINT) AS n_bytes, true AS lengths_match FROM conversations")
+def q_audio_scan(spark, sf):
+    """Recordings as rows; their sizes add up to what was recorded."""
+    a = M.scan_audio(spark, _recordings(spark, sf), "*.txt")
+    return a.agg(F.sum("length").cast("bigint").alias("n_bytes"), F.bool_and(F.octet_length("content") == F.col("length")).alias("lengths_match"))
+
+
+@query("batch_transcribe", f"SELECT 'ok' AS status, {_TURN_SQL} AS line FROM conversations")
+def q_batch_transcribe(spark, sf):
+    """U4: every recording through a deterministic stand-in, kept in a table; shown line by line."""
+    t = I.batch_transcribe(M.scan_audio(spark, _recordings(spark, sf), "*.txt"), I.EchoTranscriber, out_path=scratch_path(spark, "transcripts"))
+    return t.select("status", F.explode(F.split("text", "\n")).alias("line")).filter(F.col("line") != "")

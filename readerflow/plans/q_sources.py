@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.text import first_word, sql_literal
+from ..functions.text import sql_literal, sql_text, words
 from ..operators import rules as R
 from ..operators import voice as V
+from ..session import scratch_path
 from ..sources import books as B
+from ..sources import media as M
 from ..sources.fixtures import fx_books, fx_dialogues, table, with_fixtures
 from . import sqlgen as S
 from .registry import query
@@ -43,22 +45,29 @@ def q_catalog_lookup(spark, sf):
 @query(
     "catalog_search",
     f"""SELECT q.doc_id, q.q, cat.title, cat.book_id FROM
-  (SELECT doc_id, lower({S.words('text')}[1]) AS q FROM documents) q
+  (SELECT DISTINCT doc_id, lower(w) AS q FROM (SELECT doc_id, unnest({S.words('text')}) AS w FROM documents)) q
   JOIN {CATALOG_SQL} ON contains(lower(cat.title), q.q)""",
 )
 def q_catalog_search(spark, sf):
     d = table(spark, sf, "documents")
-    queries = d.select("doc_id", F.lower(first_word("text")).alias("q"))
+    queries = d.select("doc_id", F.explode(F.array_distinct(F.transform(words("text"), F.lower))).alias("q"))
     return B.catalog_search(queries).select("doc_id", "q", "title", "book_id")
 
 
 # ------------------------------------------------------------------ S3, S4, S7
+HOLLOW = K.START_MARKERS[0] + " EBOOK ***\n \n" + K.END_MARKERS[0] + " EBOOK ***"
+_HOLLOW_SQL = f"""CASE WHEN book_id % 13 = 5 THEN CASE WHEN book_id % 2 = 0 THEN ' ' || chr(10) || chr(9) || chr(10)
+  ELSE {sql_text(HOLLOW)} END ELSE raw_text END"""
+
+
 def _candidates(spark, sf):
     """Landed copies per book: location 1 when id % 3 <> 0, location 2 for even
-    ids, location 3 always; books with id % 11 = 0 only have an empty copy."""
+    ids, location 3 always; books with id % 11 = 0 only have an empty copy, and
+    the best copy of those with id % 13 = 5 holds white space or markers only."""
     b = fx_books(spark, sf)
     bad = F.col("book_id") % 11 == 0
-    p1 = b.filter((F.col("book_id") % 3 != 0) & ~bad).select("book_id", F.lit(1).alias("priority"), "raw_text")
+    hollow = F.when(F.col("book_id") % 13 == 5, F.when(F.col("book_id") % 2 == 0, F.lit(" \n\t\n")).otherwise(F.lit(HOLLOW))).otherwise(F.col("raw_text"))
+    p1 = b.filter((F.col("book_id") % 3 != 0) & ~bad).select("book_id", F.lit(1).alias("priority"), hollow.alias("raw_text"))
     p2 = b.filter((F.col("book_id") % 2 == 0) & ~bad).select(
         "book_id", F.lit(2).alias("priority"), F.concat(F.lit("MIRROR COPY "), "raw_text").alias("raw_text")
     )
@@ -69,9 +78,9 @@ def _candidates(spark, sf):
     return p1.unionByName(p2).unionByName(p3)
 
 
-CANDIDATES_SQL = """
+CANDIDATES_SQL = f"""
 cands AS (
-  SELECT book_id, 1 AS priority, raw_text FROM fx_books WHERE book_id % 3 <> 0 AND book_id % 11 <> 0
+  SELECT book_id, 1 AS priority, {_HOLLOW_SQL} AS raw_text FROM fx_books WHERE book_id % 3 <> 0 AND book_id % 11 <> 0
   UNION ALL SELECT book_id, 2, 'MIRROR COPY ' || raw_text FROM fx_books WHERE book_id % 2 = 0 AND book_id % 11 <> 0
   UNION ALL SELECT book_id, 3, CASE WHEN book_id % 11 = 0 THEN '' ELSE 'CACHE COPY ' || raw_text END FROM fx_books),
 best AS (
@@ -84,16 +93,16 @@ best AS (
 @query(
     "book_scan_fallback",
     with_fixtures("", "fx_books") + ",\n" + CANDIDATES_SQL
-    + "SELECT book_id, priority, CAST(length(raw_text) AS BIGINT) AS n_chars FROM best",
+    + "SELECT book_id, priority, CAST(length(raw_text) AS BIGINT) AS n_chars, sha256(raw_text) AS text_hash FROM best",
 )
 def q_book_scan_fallback(spark, sf):
     best = B.book_scan_fallback(_candidates(spark, sf))
-    return best.select("book_id", "priority", F.length("raw_text").cast("bigint").alias("n_chars"))
+    return best.select("book_id", "priority", F.length("raw_text").cast("bigint").alias("n_chars"), F.sha2("raw_text", 256).alias("text_hash"))
 
 
 @query(
     "empty_book_reject",
-    with_fixtures("", "fx_books") + ",\n" + CANDIDATES_SQL + "SELECT book_id, 'empty text' AS reason FROM best WHERE length(raw_text) = 0",
+    with_fixtures("", "fx_books") + ",\n" + CANDIDATES_SQL + f"SELECT book_id, 'empty text' AS reason FROM best WHERE {S.strip_markers('raw_text')} = ''",
 )
 def q_empty_book_reject(spark, sf):
     _, errors = B.split_loaded(B.book_scan_fallback(_candidates(spark, sf)))
@@ -104,7 +113,8 @@ def q_empty_book_reject(spark, sf):
     "replace_on_reload",
     with_fixtures(
         """SELECT book_id, arg_max(load_seq, CASE WHEN length(raw_text) > 0 THEN load_seq END) AS load_seq,
-  CAST(length(arg_max(raw_text, CASE WHEN length(raw_text) > 0 THEN load_seq END)) AS BIGINT) AS n_chars
+  CAST(length(arg_max(raw_text, CASE WHEN length(raw_text) > 0 THEN load_seq END)) AS BIGINT) AS n_chars,
+  sha256(arg_max(raw_text, CASE WHEN length(raw_text) > 0 THEN load_seq END)) AS text_hash
 FROM (SELECT book_id, 1 AS load_seq, 'CACHE COPY ' || raw_text AS raw_text FROM fx_books
       UNION ALL SELECT book_id, 2, raw_text FROM fx_books
       UNION ALL SELECT book_id, 3, '' FROM fx_books WHERE book_id % 9 = 0) GROUP BY book_id""",
@@ -119,7 +129,50 @@ def q_replace_on_reload(spark, sf):
         .unionByName(b.filter(F.col("book_id") % 9 == 0).select("book_id", F.lit(3).alias("load_seq"), F.lit("").alias("raw_text")))
     )
     latest = B.latest_loads(loads)
-    return latest.select("book_id", "load_seq", F.length("raw_text").cast("bigint").alias("n_chars"))
+    return latest.select("book_id", "load_seq", F.length("raw_text").cast("bigint").alias("n_chars"), F.sha2("raw_text", 256).alias("text_hash"))
+
+
+# dialogues carry the load that they were extracted from: odd lines the first, even lines the second
+_LOADED_SQL = "SELECT book_id, dlg_ord, line, 1 + (dlg_ord + 1) % 2 AS load_seq FROM fx_dialogues"
+
+
+@query(
+    "reload_clears_dialogues",
+    with_fixtures(
+        f"""SELECT d.book_id, d.dlg_ord, d.line FROM ({_LOADED_SQL}) d
+JOIN (SELECT book_id, CASE WHEN book_id % 4 = 0 THEN 1 ELSE 2 END AS load_seq FROM (SELECT DISTINCT book_id FROM fx_dialogues)) l
+ON d.book_id = l.book_id AND d.load_seq = l.load_seq""",
+        "fx_dialogues",
+    ),
+)
+def q_reload_clears_dialogues(spark, sf):
+    """The dialogues of a replaced load go; a failed reload (every fourth book) clears nothing."""
+    d = fx_dialogues(spark, sf).withColumn("load_seq", (1 + (F.col("dlg_ord") + 1) % 2).cast("int"))
+    books = d.select("book_id").distinct()
+    loads = books.select("book_id", F.lit(1).alias("load_seq"), F.lit("first").alias("raw_text")).unionByName(
+        books.select("book_id", F.lit(2).alias("load_seq"), F.when(F.col("book_id") % 4 == 0, F.lit("")).otherwise(F.lit("second")).alias("raw_text")))
+    return B.drop_superseded(d, B.latest_loads(loads)).select("book_id", "dlg_ord", "line")
+
+
+# ------------------------------------------------------------------ S6
+@query(
+    "write_keyed_reload",
+    with_fixtures(
+        "SELECT book_id, dlg_ord, CASE WHEN book_id % 5 = 0 THEN 'again: ' || line ELSE line END AS line FROM fx_dialogues "
+        "WHERE book_id % 7 <> 3 AND (book_id % 5 <> 0 OR dlg_ord % 2 = 0)",
+        "fx_dialogues",
+    ),
+)
+def q_write_keyed_reload(spark, sf):
+    """A keyed table after a reload of some books (fewer lines, other text),
+    some of which come back without any line; all other books stay."""
+    path = scratch_path(spark, "keyed")
+    d = fx_dialogues(spark, sf).select("book_id", "dlg_ord", "line")
+    M.write_keyed(d, path, "book_id", 16)
+    again = d.filter((F.col("book_id") % 5 == 0) & (F.col("book_id") % 7 != 3) & (F.col("dlg_ord") % 2 == 0)).withColumn("line", F.concat(F.lit("again: "), "line"))
+    reloaded = d.select("book_id").distinct().filter((F.col("book_id") % 5 == 0) | (F.col("book_id") % 7 == 3))
+    M.write_keyed(again, path, "book_id", 16, replace=reloaded)
+    return spark.read.parquet(path).select("book_id", "dlg_ord", "line")
 
 
 # ------------------------------------------------------------------ J2, V1-V3
@@ -134,19 +187,20 @@ def _voice_lines(spark, sf):
     return d.select(
         "book_id", "dlg_ord", "line",
         F.element_at(keys, ((F.col("book_id") + F.col("dlg_ord")) % len(VOICE_CHOICES) + 1).cast("int")).alias("voice_key"),
-        (F.lit(0.5) + (F.col("dlg_ord") % 11) / F.lit(10.0)).alias("rate"),
+        (F.lit(0.25) + (F.col("dlg_ord") % 17) / F.lit(8.0)).alias("rate"),
     )
 
 
 VOICE_LINES_SQL = f"""
 vl AS (SELECT book_id, dlg_ord, line,
   ([{", ".join(sql_literal(k) for k in VOICE_CHOICES)}])[(book_id + dlg_ord) % {len(VOICE_CHOICES)} + 1] AS voice_key,
-  CAST(0.5 AS DOUBLE) + (dlg_ord % 11) / CAST(10.0 AS DOUBLE) AS rate FROM fx_dialogues),
+  CAST(0.25 AS DOUBLE) + (dlg_ord % 17) / CAST(8.0 AS DOUBLE) AS rate FROM fx_dialogues),
 vj AS (SELECT vl.*, coalesce(v.voice_name, {sql_literal(_DEF[0])}) AS voice_name, coalesce(v.gender, {sql_literal(_DEF[1])}) AS gender
        FROM vl LEFT JOIN {VOICES_SQL} ON vl.voice_key = v.voice_key)
 """
 SQL_LOCALE = "CASE WHEN contains(voice_name, 'US') THEN 'en-US' WHEN contains(voice_name, 'GB') THEN 'en-GB' ELSE 'en-AU' END"
-SQL_RATE = f"least(greatest(rate, CAST({K.MIN_RATE} AS DOUBLE)), CAST({K.MAX_RATE} AS DOUBLE))"
+SQL_RATE = "rate"
+SQL_RATE_OK = f"rate BETWEEN CAST({K.MIN_RATE} AS DOUBLE) AND CAST({K.MAX_RATE} AS DOUBLE)"
 SQL_SLOW = f"greatest(CAST({K.MIN_RATE} AS DOUBLE), {SQL_RATE} - CAST({K.SLOW_RATE_STEP} AS DOUBLE))"
 
 
@@ -168,14 +222,14 @@ def q_voice_locale(spark, sf):
 @query("slow_rate", _vsql(f"SELECT book_id, dlg_ord, {SQL_RATE} AS rate, {SQL_SLOW} AS slow_rate FROM vl"))
 def q_slow_rate(spark, sf):
     v = _voice_lines(spark, sf)
-    return v.select("book_id", "dlg_ord", V.clamp_rate("rate").alias("rate"), V.slow_rate(V.clamp_rate("rate")).alias("slow_rate"))
+    return v.select("book_id", "dlg_ord", "rate", V.slow_rate("rate").alias("slow_rate"))
 
 
 @query(
     "voice_manifest",
     _vsql(
         f"SELECT book_id, dlg_ord, line AS text, voice_name, {SQL_LOCALE} AS locale, gender, "
-        f"{sql_literal(K.AUDIO_ENCODING)} AS encoding, {SQL_RATE} AS rate, {SQL_SLOW} AS slow_rate, "
+        f"{sql_literal(K.AUDIO_ENCODING)} AS encoding, {SQL_RATE} AS rate, {SQL_RATE_OK} AS rate_in_range, {SQL_SLOW} AS slow_rate, "
         f"CAST({K.DEFAULT_PITCH} AS DOUBLE) AS pitch FROM vj"
     ),
 )
@@ -188,10 +242,10 @@ ROLE_CAP = {"user": "User", "assistant": "Assistant", "system": "System"}
 
 
 def fx_quoted(spark, sf):
-    """Narrative paragraphs rendered from conversation turns: a quoted first
-    sentence with "said <Role>", two quotes without a speaker, or no quote."""
+    """Narrative paragraphs rendered from whole conversation turns: a quoted
+    line with "said <Role>", two quotes without a speaker, or no quote."""
     c = table(spark, sf, "conversations")
-    sentence = F.regexp_extract("text", r'^[^.!?\n"]+', 0)
+    sentence = F.translate(F.col("text"), "\n\"", " '")
     role = F.coalesce(*[F.when(F.col("role") == k, F.lit(v)) for k, v in ROLE_CAP.items()], F.lit("Someone"))
     text = (
         F.when(F.col("turn") % 3 == 0, F.concat(F.lit("Scene "), F.col("conv_id").cast("string"), F.lit('. "'), sentence, F.lit('," said '), role, F.lit(".")))
@@ -201,7 +255,7 @@ def fx_quoted(spark, sf):
     return c.select(F.col("conv_id").alias("book_id"), F.col("turn").alias("para_ord"), text.alias("text"))
 
 
-SQL_SENTENCE = "regexp_extract(text, '^[^.!?\\n\"]+', 0)"
+SQL_SENTENCE = "translate(text, chr(10) || chr(34), ' ' || chr(39))"
 SQL_ROLE = "CASE role " + " ".join(f"WHEN {sql_literal(k)} THEN {sql_literal(v)}" for k, v in ROLE_CAP.items()) + " ELSE 'Someone' END"
 FX_QUOTED_SQL = f"""
 fx_quoted AS (SELECT conv_id AS book_id, turn AS para_ord,

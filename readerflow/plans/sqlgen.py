@@ -11,14 +11,14 @@ from .. import constants as K
 from ..functions.text import WHITESPACE, sql_literal
 
 WS_CHARS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
-HEADING_RE = "(?i)(" + K.HEADING_WORD + r"[\s\v\x1c-\x1f]+[" + K.HEADING_NUMERALS + r"0-9]+[^\n]*)"
+HEADING_RE = "(?i)" + K.HEADING.replace(r"\s", r"[\s\v\x1c-\x1f]").replace(r"\d", "0-9")
 
 
 def strip_ws(x: str) -> str:
     return f"trim({x}, {WS_CHARS})"
 
 
-def preprocess(x: str, max_chars: int | None = K.MAX_BOOK_CHARS) -> str:
+def preprocess(x: str, max_chars: int | None = None) -> str:
     s = f"replace({x}, chr(13) || chr(10), chr(10))"
     s = f"regexp_replace({s}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
     s = f"regexp_replace({s}, '[ \\t]+', ' ', 'g')"
@@ -55,11 +55,11 @@ def cut_markers(x: str, footer: str = "exact") -> str:
     return body
 
 
-def clean_text(x: str, footer: str = "exact", max_chars: int | None = K.MAX_BOOK_CHARS) -> str:
+def clean_text(x: str, footer: str = "exact", max_chars: int | None = None) -> str:
     return preprocess(strip_markers(x, footer), max_chars)
 
 
-def clean_books_cte(footer: str = "exact", max_chars: int | None = K.MAX_BOOK_CHARS) -> str:
+def clean_books_cte(footer: str = "exact", max_chars: int | None = None) -> str:
     return f"SELECT book_id, {clean_text('raw_text', footer, max_chars)} AS text FROM fx_books"
 
 
@@ -92,7 +92,7 @@ FROM (
 """
 
 
-def chapter_ctes(footer: str = "exact", max_chars: int | None = K.MAX_BOOK_CHARS) -> str:
+def chapter_ctes(footer: str = "exact", max_chars: int | None = None) -> str:
     """CTE chain clean -> sp -> split_rows -> chapters (after fx_books)."""
     return (
         f"clean AS ({clean_books_cte(footer, max_chars)}),\n"

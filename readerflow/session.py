@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,6 +25,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")  # as JSON readers do: the last of repeated keys counts
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="readerflow-ckpt-"))
         .getOrCreate()
     )
@@ -35,12 +37,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and written tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (tests,
-    local runs) a fresh folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only a local session without one (tests)
+    gets a fresh folder. On a cluster a machine's own folder would lose rows, so
+    there the setting is required.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="readerflow-ckpt-"))
         d = sc.getCheckpointDir()
     return d
@@ -74,6 +79,7 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
         # AQE's runtime broadcast decision is taken on measured sizes
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.variant.allowDuplicateKeys": "true",
     }
 
 

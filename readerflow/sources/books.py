@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions import text as T
+
+# Largest landed file that is read as one value.
+MAX_FILE_BYTES = 256 << 20
 
 TITLE_PATTERN = r"^(.*?)\s*\(([^()]*)\)\s*$"
 
@@ -65,52 +69,74 @@ def catalog_search(queries: DataFrame, q_col: str = "q") -> DataFrame:
 
 
 # ------------------------------------------------------------------ S3, S4, S7
-def scan_landed_books(spark: SparkSession, path: str) -> DataFrame:
-    """S3 source: every landed file as one row (book_id, priority, raw_text).
-
-    ``wholetext`` keeps a file in one value; zero-byte files produce no row,
-    so the next location wins for them.
-    """
-    # wholetext must be the text() argument: the method's default overrides .option()
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("__file"), F.col("value").alias("raw_text")
-    )
+def _landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, content) of the landed files with their book id and location priority."""
+    raw = spark.read.format("binaryFile").load(path).withColumn("__file", F.regexp_extract("path", "([^/]+)$", 1))
     book_id = F.coalesce(*[F.when(F.col("__file").rlike(p), F.regexp_extract("__file", p, 1)) for p, _ in FILE_PATTERNS])
     priority = F.coalesce(*[F.when(F.col("__file").rlike(p), F.lit(n)) for p, n in FILE_PATTERNS])
-    return raw.select(book_id.cast("bigint").alias("book_id"), priority.alias("priority"), "raw_text").filter(
+    return raw.select(book_id.cast("bigint").alias("book_id"), priority.alias("priority"), "path", "length", "content").filter(
         F.col("book_id").isNotNull()
     )
 
 
-def book_scan_fallback(candidates: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+def scan_landed_books(spark: SparkSession, path: str, max_file_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """S3 source: every landed file as one row (book_id, priority, raw_text).
+
+    A file is one value, so files over ``max_file_bytes`` are not read; they
+    are reported by :func:`oversized_files`. The size condition reaches the
+    file listing. Zero-byte files give no row, so the next location wins.
+    """
+    files = _landed_files(spark, path).filter((F.col("length") > 0) & (F.col("length") <= max_file_bytes))
+    return files.select("book_id", "priority", F.decode("content", "UTF-8").alias("raw_text"))
+
+
+def oversized_files(spark: SparkSession, path: str, max_file_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """(book_id, reason) of landed files that are too large for one value; their content is not read."""
+    big = _landed_files(spark, path).filter(F.col("length") > max_file_bytes)
+    return big.select("book_id", F.concat(F.lit("file too large: "), F.col("length").cast("string"), F.lit(" bytes")).alias("reason"))
+
+
+def book_scan_fallback(candidates: DataFrame, requested: DataFrame | None = None, repeated: bool = False) -> DataFrame:
     """S3: per book, the non-empty candidate with the lowest priority; a book
     without one gets an empty text (and priority null), like a failed fetch.
     ``requested(book_id)`` adds books that have no landed file at all.
 
-    ``min_by`` is a partial aggregate: each map task keeps one candidate per
-    book, so a book with many candidates cannot skew the shuffle.
+    The winner is chosen on (book_id, priority, hash of the text) alone: those
+    few bytes are what the aggregation shuffles and sorts, and the texts follow
+    in one join, which AQE broadcasts where the winners are few. Several
+    candidates of one book and priority: the least hash wins; where equal
+    copies may have landed twice, ``repeated`` keeps one of them.
     """
-    ok = F.when(F.length("raw_text") > 0, F.col("priority"))
-    best = candidates.groupBy("book_id").agg(F.min_by(F.struct(F.col("priority"), F.col("raw_text")), ok).alias("b"))
+    c = candidates.select("book_id", "priority", "raw_text", F.xxhash64("raw_text").alias("__h"))
+    ok = F.when(F.length("raw_text") > 0, F.struct("priority", "__h"))
+    best = c.select("book_id", ok.alias("__ok")).groupBy("book_id").agg(F.min("__ok").alias("b"))
     if requested is not None:
         best = requested.select("book_id").distinct().join(best, "book_id", "left")
-    return best.select(
-        "book_id",
-        F.col("b.priority").alias("priority"),
-        F.coalesce(F.col("b.raw_text"), F.lit("")).alias("raw_text"),
-    )
-
-
-def split_loaded(books: DataFrame, text_col: str = "raw_text") -> tuple[DataFrame, DataFrame]:
-    """(loaded, load_errors); an empty text is a load failure."""
-    ok = F.coalesce(F.length(text_col) > 0, F.lit(False))
+    won = best.select("book_id", F.col("b.priority").alias("priority"), F.col("b.__h").alias("__h"))
+    texts = won.filter(F.col("priority").isNotNull()).join(c, ["book_id", "priority", "__h"])
+    # copies that are equal in all three give one row; the text stays out of the key
+    texts = texts.groupBy("book_id", "priority").agg(F.first("raw_text").alias("raw_text")) if repeated else texts
+    empty = won.filter(F.col("priority").isNull()).select("book_id", F.lit(None).cast(c.schema["priority"].dataType).alias("priority"), F.lit("").alias("raw_text"))
+    return texts.select("book_id", "priority", "raw_text").unionByName(empty)
+
+
+def split_loaded(books: DataFrame, text_col: str = "raw_text", footer: str = "exact") -> tuple[DataFrame, DataFrame]:
+    """(loaded, load_errors); a text without anything but white space
+    between its markers is a load failure."""
+    ok = F.coalesce(T.strip_markers(text_col, footer) != F.lit(""), F.lit(False))
     return books.filter(ok), books.filter(~ok).select("book_id", F.lit("empty text").alias("reason"))
 
 
 def latest_loads(loads: DataFrame, seq_col: str = "load_seq", text_col: str = "raw_text") -> DataFrame:
     """A successful (non-empty) load replaces the previous one; failed
-    loads change nothing. Latest per book by ``max_by`` (partial aggregate)."""
-    ok = F.when(F.length(text_col) > 0, F.col(seq_col))
-    cols = [c for c in loads.columns if c != "book_id"]
-    best = loads.groupBy("book_id").agg(F.max_by(F.struct(*cols), ok).alias("b"))
-    return best.filter(F.col("b").isNotNull()).select("book_id", *[F.col(f"b.{c}").alias(c) for c in cols])
+    loads change nothing. The latest (book_id, load_seq) is found first; the
+    texts are not aggregated but follow in a semi-join. ``load_seq`` is unique
+    within a book."""
+    good = loads.filter(F.length(text_col) > 0)
+    latest = good.select("book_id", seq_col).groupBy("book_id").agg(F.max(seq_col).alias(seq_col))
+    return good.join(latest, ["book_id", seq_col], "left_semi").select(*loads.columns)
+
+
+def drop_superseded(derived: DataFrame, latest: DataFrame, seq_col: str = "load_seq") -> DataFrame:
+    """Rows derived from a load (dialogues, chapters) stay only while that load is their book's latest."""
+    return derived.join(latest.select("book_id", seq_col), ["book_id", seq_col], "left_semi")

@@ -18,27 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Scan-parallelism guard for CPU-heavy per-row work (regex over whole
-    texts): when a scan yields fewer partitions than the cluster has cores
-    (e.g. one unsplittable row group), deal rows round-robin over all cores.
-    On large inputs the scan already has more splits than cores and this is
-    a no-op, so no full shuffle of the corpus is ever added.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # noqa: BLE001 - e.g. no RDD access (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 # ----------------------------------------------------------------------------
 # fx_books(book_id, raw_text)
 # ----------------------------------------------------------------------------
 
 def fx_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return books_from_documents(table(spark, sf_dir, "documents"))
+
+
+def books_from_documents(documents: DataFrame) -> DataFrame:
+    """The fx_books projection of a documents frame (batch or streaming)."""
+    d = documents.select("doc_id", "text")
     bid = F.col("doc_id").cast("string")
     text = F.col("text")
     half = F.floor(F.length(text) / 2).cast("int")
@@ -48,6 +38,7 @@ def fx_books(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("CHAPTER I. One" + crlf),
             F.substring(text, F.lit(1), half),
             F.lit("\n\n\n\n\t\tChapter 2\t  Two\n"),
+            F.lit('"Well met, reader of book '), bid, F.lit(',"\tsaid Ann. "'), F.repeat(F.lit("Read on. "), (F.col("doc_id") % 40).cast("int")), F.lit('"\n'),
             F.substring(text, half + 1, F.lit(2**31 - 1)),
             F.when(
                 F.col("doc_id") % 5 == 0,
@@ -78,6 +69,8 @@ SELECT doc_id AS book_id,
        'CHAPTER I. One' || chr(13) || chr(10)
        || substring(text, 1, CAST(floor(length(text) / 2) AS INTEGER))
        || chr(10) || chr(10) || chr(10) || chr(10) || chr(9) || chr(9) || 'Chapter 2' || chr(9) || '  Two' || chr(10)
+       || '"Well met, reader of book ' || CAST(doc_id AS VARCHAR) || ',"' || chr(9) || 'said Ann. "'
+       || repeat('Read on. ', CAST(doc_id % 40 AS INTEGER)) || '"' || chr(10)
        || substring(text, CAST(floor(length(text) / 2) AS INTEGER) + 1)
        || CASE WHEN doc_id % 5 = 0
                THEN chr(10) || 'CHAPTER I. One' || chr(10) || 'Repeated body ' || CAST(doc_id AS VARCHAR)
@@ -112,9 +105,9 @@ def fx_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Scene "), cid.cast("string")).alias("context"),
         difficulty.alias("difficulty"),
         F.when(turn % 3 == 2, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("In other words: "), F.substring("text", 1, 40)))
+        .otherwise(F.concat(F.lit("In other words: "), "text"))
         .alias("modern_equivalent"),
-        F.slice(words("text"), 1, 3).alias("key_expressions"),
+        words("text").alias("key_expressions"),
     )
 
 
@@ -126,8 +119,8 @@ SELECT conv_id AS book_id, turn AS dlg_ord,
   CASE WHEN turn % 4 = 0 THEN 'Beginner' WHEN turn % 4 = 1 THEN 'Intermediate'
        WHEN turn % 4 = 2 AND conv_id % 6 = 0 THEN 'Expert'
        WHEN turn % 4 = 2 THEN 'Advanced' END AS difficulty,
-  CASE WHEN turn % 3 = 2 THEN NULL ELSE 'In other words: ' || substring(text, 1, 40) END AS modern_equivalent,
-  list_filter(string_split_regex(text, '\s+'), lambda t: t <> '')[1:3] AS key_expressions
+  CASE WHEN turn % 3 = 2 THEN NULL ELSE 'In other words: ' || text END AS modern_equivalent,
+  list_filter(string_split_regex(text, '\s+'), lambda t: t <> '') AS key_expressions
 FROM conversations
 """
 
@@ -230,7 +223,7 @@ def fx_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("text").alias("line"),
             F.concat(F.lit("Scene "), cid.cast("string")).alias("context"),
             difficulty.alias("difficulty"),
-            F.slice(words("text"), 1, 3).alias("key_expressions"),
+            words("text").alias("key_expressions"),
         )
     )
     shape = (cid + turn) % 5
@@ -265,7 +258,7 @@ FROM (
       'speaker', role, 'line', text, 'context', 'Scene ' || CAST(conv_id AS VARCHAR),
       'difficulty', CASE WHEN turn % 4 = 0 THEN 'Beginner' WHEN turn % 4 = 1 THEN 'Intermediate'
                          WHEN turn % 4 = 2 THEN 'Advanced' END,
-      'key_expressions', list_filter(string_split_regex(text, '\s+'), lambda t: t <> '')[1:3]) AS VARCHAR) AS obj
+      'key_expressions', list_filter(string_split_regex(text, '\s+'), lambda t: t <> '')) AS VARCHAR) AS obj
   FROM conversations)
 """
 
@@ -310,7 +303,7 @@ def fx_setups(spark: SparkSession, sf_dir: str) -> DataFrame:
     largest one, which have no messages."""
     c = table(spark, sf_dir, "conversations")
     first = c.filter(F.col("turn") == 0).select(
-        *_setup_cols(F.col("conv_id"), F.when(F.col("role") == "system", F.substring("text", 1, 80)).otherwise(F.lit("A quiet scene.")))
+        *_setup_cols(F.col("conv_id"), F.when(F.col("role") == "system", F.col("text")).otherwise(F.lit("A quiet scene.")))
     )
     extra = c.agg(F.max("conv_id").alias("m")).select(F.explode(F.sequence(F.col("m") + 1, F.col("m") + 3)).alias("conv_id"))
     extra = extra.select(*_setup_cols(F.col("conv_id"), F.lit("Empty scene")))
@@ -326,7 +319,7 @@ _SETUP_COLS_SQL = """
 
 FX_SETUPS_SQL = f"""
 SELECT cid AS conv_id, scenario, {_SETUP_COLS_SQL}
-FROM (SELECT conv_id AS cid, CASE WHEN role = 'system' THEN substring(text, 1, 80) ELSE 'A quiet scene.' END AS scenario
+FROM (SELECT conv_id AS cid, CASE WHEN role = 'system' THEN text ELSE 'A quiet scene.' END AS scenario
       FROM conversations WHERE turn = 0)
 UNION ALL
 SELECT cid AS conv_id, 'Empty scene' AS scenario, {_SETUP_COLS_SQL}

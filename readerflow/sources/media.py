@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +45,47 @@ def write_table(
     w.parquet(path)
 
 
-def write_keyed(df: DataFrame, path: str, key: str, buckets: int, mode: str = "overwrite") -> None:
-    """S6 for keyed tables: partition by a hash bucket of ``key`` so a reload
-    of some keys rewrites only their buckets, and rows of one key stay together."""
-    write_table(df.withColumn("bucket", key_bucket(key, buckets)), path, ["bucket"], mode)
+def write_keyed(df: DataFrame, path: str, key: str, buckets: int, replace: DataFrame | None = None) -> None:
+    """S6 for keyed tables: partitioned by a hash bucket of ``key``, so rows of
+    one key stay together and a reload of some keys rewrites only their buckets.
+
+    The keys of ``df`` (or of ``replace``, which may hold keys without any row
+    left) are replaced; all other keys of the touched buckets are kept. The new
+    content of those buckets is staged beside the table and then moved in, so
+    the table is never read while it is overwritten.
+    """
+    spark = df.sparkSession
+    new = df.withColumn("bucket", key_bucket(key, buckets))
+    if not exists(spark, path):
+        return write_table(new, path, ["bucket"])
+    gone = (df if replace is None else replace.select(key).unionByName(df.select(key))).select(F.col(key).alias("__key")).distinct()
+    touched = [r[0] for r in gone.select(key_bucket("__key", buckets)).distinct().collect()]  # at most ``buckets`` numbers
+    old = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
+    kept = old.join(gone, old[key].eqNullSafe(gone["__key"]), "left_anti")
+    stage = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex[:12]}"
+    merged = kept.select(*new.columns).unionByName(new)
+    write_table(merged, stage, ["bucket"])
+    staged = spark.read.schema(merged.schema).parquet(stage)
+    write_table(staged, path, ["bucket"])
+    # a bucket that lost its last row is not in the staged table: dynamic overwrite leaves it, so it is removed by name
+    left = {r[0] for r in staged.select("bucket").distinct().collect()}
+    for b in set(touched) - left:
+        delete(spark, f"{path.rstrip('/')}/bucket={b}")
+    delete(spark, stage)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a (possibly remote) path exists."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a (possibly remote) folder of this table."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)

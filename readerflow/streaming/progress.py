@@ -1,12 +1,12 @@
 """ST1: learner progress over a feedback stream.
 
-Recorded (shadowing) feedback is aggregated per (learner, UTC day) with a
-watermark on event time, in update mode. Each micro-batch's updated groups
-are written to their own ``batch_id`` partition (dynamic overwrite), so a
-replayed batch rewrites the same files: the sink is idempotent. The current
-state of a group is its row from the highest batch id; per-learner totals
-(A4, A5) are sums over the day rows. Results equal the batch query whenever
-no event arrives later than the watermark allows.
+Counts and sums add up, so the stream keeps no state: each micro-batch is
+aggregated per (learner, UTC day) and written as partial sums to its own
+``batch_id`` partition (dynamic overwrite), so a replayed batch rewrites the same
+files. Progress is the sum over the batches. No watermark is needed and no row
+is ever late: a row of any day counts in the batch that it arrives with.
+Compaction adds the batches so far into one versioned state; per-learner totals
+(A4, A5) are sums over the day rows.
 """
 
 from __future__ import annotations
@@ -16,36 +16,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.practice import RECORDED_MODE, display_round, score_value
+from ..sources.media import exists
 
-DAY = "1 day"
+PARTIAL_SCHEMA = "learner_id bigint, day string, n_practice bigint, score_sum double"
 
 
-def event_time(col: str = "ts") -> F.Column:
-    """A TIMESTAMP_NTZ wall-clock column read as UTC, whatever the session zone
-    (``withWatermark`` needs TIMESTAMP)."""
-    return F.expr(f"cast(convert_timezone('UTC', current_timezone(), {col}) as timestamp)")
-
-
-def progress_updates(feedback: DataFrame, watermark: str = DAY) -> DataFrame:
-    """Streaming aggregate: (learner_id, day, n_practice, score_sum)."""
+def partial_progress(feedback: DataFrame) -> DataFrame:
+    """(learner_id, day, n_practice, score_sum) of the recorded rows of a frame."""
     rec = feedback.filter(F.col("mode") == RECORDED_MODE).select(
-        "learner_id",
-        event_time("ts").alias("event_time"),
-        F.to_date("ts").cast("string").alias("day"),
-        score_value().cast("bigint").alias("score"),
-    )
-    return (
-        rec.withWatermark("event_time", watermark)
-        .groupBy("learner_id", F.window("event_time", DAY), "day")
-        .agg(F.count(F.lit(1)).alias("n_practice"), F.sum("score").alias("score_sum"))
-        .drop("window")
-    )
+        F.col("learner_id").cast("bigint").alias("learner_id"), F.to_date("ts").cast("string").alias("day"), score_value().cast("double").alias("score"))
+    return rec.groupBy("learner_id", "day").agg(F.count(F.lit(1)).alias("n_practice"), F.sum("score").alias("score_sum"))
 
 
-def upsert_log_writer(out_path: str):
+def partial_writer(out_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            partial_progress(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
@@ -55,29 +41,36 @@ def upsert_log_writer(out_path: str):
     return write
 
 
-def start_progress(
-    feedback: DataFrame, out_path: str, checkpoint: str, watermark: str = DAY, available_now: bool = True
-) -> StreamingQuery:
-    w = (
-        progress_updates(feedback, watermark)
-        .writeStream.outputMode("update")
-        .foreachBatch(upsert_log_writer(out_path))
-        .option("checkpointLocation", checkpoint)
-    )
+def start_progress(feedback: DataFrame, out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """``feedback`` has a TIMESTAMP_NTZ ``ts`` (UTC wall clock), so days do not depend on the session's zone."""
+    w = feedback.select("learner_id", "ts", "mode", "accuracy_score").writeStream.foreachBatch(partial_writer(out_path)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
-def read_progress(spark: SparkSession, out_path: str) -> DataFrame:
-    """Current (learner_id, day) state: the row of the latest batch per group."""
-    log = spark.read.parquet(out_path)
-    latest = log.groupBy("learner_id", "day").agg(
-        F.max_by(F.struct("n_practice", "score_sum"), "batch_id").alias("s")
-    )
-    return latest.select(
-        "learner_id", "day", F.col("s.n_practice").alias("n_practice"), F.col("s.score_sum").alias("score_sum"),
-        (F.col("s.score_sum") / F.col("s.n_practice")).alias("avg_accuracy"),
-    )
+def _log(spark: SparkSession, out_path: str) -> DataFrame:
+    schema = f"{PARTIAL_SCHEMA}, batch_id bigint"
+    return spark.read.schema(schema).parquet(out_path) if exists(spark, out_path) else spark.createDataFrame([], schema)
+
+
+def _state(spark: SparkSession, state_path: str | None) -> tuple[DataFrame | None, int]:
+    """The newest compacted state and the last batch in it."""
+    if state_path is None or not exists(spark, state_path):
+        return None, -1
+    states = spark.read.schema(f"{PARTIAL_SCHEMA}, upto bigint").parquet(state_path)
+    upto = states.agg(F.max("upto")).first()[0]
+    return (None, -1) if upto is None else (states.filter(F.col("upto") == upto), upto)
+
+
+def read_progress(spark: SparkSession, out_path: str, state_path: str | None = None) -> DataFrame:
+    """Current (learner_id, day) rows: the compacted state plus all newer batches."""
+    state, upto = _state(spark, state_path)
+    cols = ["learner_id", "day", "n_practice", "score_sum"]
+    parts = _log(spark, out_path).filter(F.col("batch_id") > upto).select(*cols)
+    if state is not None:
+        parts = parts.unionByName(state.select(*cols))
+    rows = parts.groupBy("learner_id", "day").agg(F.sum("n_practice").alias("n_practice"), F.sum("score_sum").alias("score_sum"))
+    return rows.withColumn("avg_accuracy", F.col("score_sum") / F.col("n_practice"))
 
 
 def learner_totals(day_rows: DataFrame) -> DataFrame:
@@ -91,8 +84,15 @@ def learner_totals(day_rows: DataFrame) -> DataFrame:
 
 
 def compact_progress(spark: SparkSession, out_path: str, state_path: str) -> DataFrame:
-    """Write the current (learner_id, day) state to ``state_path`` (overwrite)
-    and return it; older ``batch_id`` partitions of the log are then redundant
-    and can be expired by the caller's retention policy."""
-    read_progress(spark, out_path).write.mode("overwrite").parquet(state_path)
-    return spark.read.parquet(state_path)
+    """Add the old state and all newer batches into a new version of the state
+    (partition ``upto``, the last batch in it) and return the current rows.
+
+    Older versions and the ``batch_id`` partitions up to ``upto`` are then
+    redundant and may expire; a version is read only once it is complete.
+    """
+    _, upto = _state(spark, state_path)
+    last = _log(spark, out_path).agg(F.max("batch_id")).first()[0]
+    if last is not None and last > upto:
+        rows = read_progress(spark, out_path, state_path).drop("avg_accuracy").withColumn("upto", F.lit(last).cast("bigint"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upto").parquet(state_path)
+    return read_progress(spark, out_path, state_path)
