@@ -9,7 +9,8 @@ from readerflow.sources.fixtures import fx_dialogues
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
-PYTHON_ALLOWED = {"batch_infer"}
+# queries whose answers come from an injected client write and read back its table, so their plans have no Python either
+PYTHON_ALLOWED: set[str] = set()
 STREAMING = {"stream_progress", "stream_ingest"}
 
 
@@ -31,7 +32,6 @@ def test_fixed_dimensions_broadcast(spark, name):
 
 @pytest.mark.parametrize("name", ["split_chapters", "dedup_chapters", "default_chapters", "extraction_prompt"])
 def test_chapter_pipeline_has_no_keyed_shuffle(spark, name):
-    # only the scan-parallelism guard's round-robin spread may appear
     p = plan(load_all()[name].build(spark, SF))
     assert "hashpartitioning" not in p and "rangepartitioning" not in p
 
@@ -53,14 +53,25 @@ def test_plans_stay_small(spark):
         assert len(plan(load_all()[name].build(spark, SF))) < 200_000, name
 
 
-def test_blocked_window_exchange_is_reused(spark):
-    # run the DataFrame's own plan so AQE finalises it, then inspect that plan
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = load_all()["prev_next"].build(spark, SF)
-        df.collect()
-        final = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert "isFinalPlan=true" in final
-    assert "ReusedExchange" in final and "hashpartitioning(book_id" in final
+BODY_COLUMNS = ("raw_text", "text", "body")
+
+
+@pytest.mark.parametrize("name", ["select_chapters", "combine_chapters", "prompt_window", "book_scan_fallback", "replace_on_reload"])
+def test_no_body_under_a_keyed_exchange(spark, name):
+    """Selections and winners are found on short rows; texts are not sorted, grouped or exploded before a shuffle."""
+    df = load_all()[name].build(spark, "/root/testdata/sf0.01")
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    lines = final.splitlines()
+    for i, line in enumerate(lines):
+        assert not ("Aggregate" in line and any(f"{c}#" in line.split("output=")[0] for c in BODY_COLUMNS)), line
+        if "Exchange hashpartitioning" in line:
+            below = " ".join(lines[i + 1:i + 3])
+            assert "array_join" not in below and "regexp_extract_all" not in below, line
+
+
+def test_chat_log_shuffles_block_sums_not_messages_twice(spark):
+    df = load_all()["chat_history"].build(spark, SF)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert "partial_sum" in final and final.count("SortAggregate") == 0

@@ -22,11 +22,11 @@ def test_positions_on_hot_key(spark):
     out = O.ordered_positions(df, "k", "o", block_size=64)
     hot = out.filter("k = 0")
     assert hot.agg(F.min("position"), F.max("position"), F.countDistinct("position")).first() == (1, 5000, 5000)
-    row = hot.filter("o = 3 * 64").first()  # first row of the second block
+    row = hot.filter("o = 3 * 64").first()
     assert (row.position, row.prev, row.next) == (65, 3 * 63, 3 * 65)
-    # window partitions are (k, block): at most ceil(64 / 3) + 1 rows each
-    per_block = df.withColumn("b", F.floor(F.col("o") / 64)).groupBy("k", "b").count().agg(F.max("count")).first()[0]
-    assert per_block <= 22
+    # window partitions are (k, block)
+    per_block = O._blocked(df, "k", "o", 64).groupBy("k", "__blk").count().agg(F.max("count")).first()[0]
+    assert per_block <= 128
 
 
 def test_running_totals_on_hot_key(spark):
@@ -49,8 +49,31 @@ def test_fallback_and_lists_on_hot_key(spark):
                       F.col("line").alias("content"))
     import json
 
-    lines = {r.conv_id: json.loads(r.lines_json) for r in C.collect_user_lines(msgs, chunk=100).collect()}
-    assert len(lines[1]) == 4000 and lines[1][-1] == "needle"
+    rows = C.collect_user_lines(msgs, chunk=100).filter("conv_id = 1").orderBy("chunk_no").collect()
+    lines = [x for r in rows for x in json.loads(r.lines_json)]
+    assert len(lines) == 4000 and lines[-1] == "needle" and max(r.n_lines for r in rows) == 100
+
+
+def test_million_line_conversation_stays_in_chunks(spark):
+    msgs = spark.range(1_000_000).select(F.lit(1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
+                                         F.col("id").cast("string").alias("content"))
+    r = C.collect_user_lines(msgs).agg(F.max("n_lines"), F.sum("n_lines"), F.count("*")).first()
+    assert tuple(r) == (C.CHUNK, 1_000_000, -(-1_000_000 // C.CHUNK))
+
+
+def test_blocks_are_even_on_sparse_and_clustered_orders(spark):
+    """Time-like orders with large gaps, and orders crowded into one corner, still give blocks of a bounded size."""
+    sparse = spark.range(20_000).select(F.lit(0).cast("bigint").alias("k"), (F.col("id") * 1_000_003).alias("o"))
+    crowded = spark.range(20_000).select(F.lit(1).cast("bigint").alias("k"), F.when(F.col("id") < 19_999, F.col("id")).otherwise(F.lit(10**12)).alias("o"))
+    df = sparse.unionByName(crowded)
+    sizes = O._blocked(df, "k", "o", 500).groupBy("k", "__blk").count().groupBy("k").agg(F.max("count"), F.count("*")).collect()
+    assert all(most <= 1000 and 20 <= n <= 80 for _, most, n in sizes), sizes
+    out = O.ordered_positions(df, "k", "o", block_size=500)
+    assert out.groupBy("k").agg(F.min("position"), F.max("position"), F.countDistinct("position")).count() == 2
+    w = Window.partitionBy("k").orderBy("o")
+    ref = df.select("k", "o", F.row_number().over(w).alias("p"), F.lag("o").over(w).alias("a"), F.lead("o").over(w).alias("b"))
+    bad = out.join(ref, ["k", "o"]).filter("position <> p OR NOT (prev <=> a) OR NOT (next <=> b)")
+    assert bad.count() == 0
 
 
 def test_fallback_many_candidates_one_book(spark):
