@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from readerflow.operators.barrier import materialize
 from readerflow.session import scratch_path
 
-from .common import LOWER, UPPER, WS, table
+from .common import LOWER, UPPER, WS, put, table
 
 MIN_CHARS = 10
 KEY = ("h1", "h2")
@@ -51,9 +51,8 @@ def key_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
 class LineRuns:
     """The levelled runs; ``first`` of a key never changes once it is in a run."""
 
-    def __init__(self, spark: SparkSession, root: str, fanout: int = 2, buckets: int | None = None) -> None:
-        self.spark, self.root, self.fanout = spark, root, fanout
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def __init__(self, spark: SparkSession, root: str, fanout: int = 2, buckets: int = 8) -> None:
+        self.spark, self.root, self.fanout, self.buckets = spark, root, fanout, buckets
         self.levels: list[list[str]] = [[]]
 
     def tables(self) -> list[str]:
@@ -64,7 +63,7 @@ class LineRuns:
 
     def _write(self, run: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex[:16]}"
-        (run.repartition(self.buckets, *KEY).sortWithinPartitions(*KEY)
+        (run.repartition(self.buckets, *KEY).coalesce(self.buckets).sortWithinPartitions(*KEY)
          .write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", self._path(name)).format("parquet").saveAsTable(name))
         return name
 
@@ -94,22 +93,21 @@ class LineRuns:
 
     def owners(self) -> DataFrame:
         """(h1, h2, first) of all keys, read without the buckets: both join sides may then be split where skewed."""
-        paths = [self._path(t) for t in self.tables()]
-        return self.spark.read.parquet(*paths)
+        tables = self.tables()
+        return self.spark.read.schema(self.spark.table(tables[0]).schema).parquet(*map(self._path, tables))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), min_chars: int = MIN_CHARS,
-                n_batches: int = 4, fanout: int = 2) -> DataFrame:
+                n_batches: int = 4, fanout: int = 2, bucket_lines: int = 250_000) -> DataFrame:
     """Per row: doc_id, n_lines, n_dropped, text (the lines kept) and the columns of ``keep``."""
     spark = docs.sparkSession
     root = scratch_path(spark, "line-dedup")
     shares = [k / n_batches for k in range(1, n_batches)]
     bounds = (docs.agg(F.percentile_approx(id_col, shares).alias("b")).first()["b"] or []) if shares else []
     number = sum([(F.col("doc_id") > b).cast("int") for b in bounds], F.lit(0))
-    (key_lines(docs, id_col, text_col, min_chars).withColumn("batch", number)
-     .write.partitionBy("batch").parquet(f"{root}/lines"))
-    lines = spark.read.schema("doc_id " + docs.schema[id_col].dataType.simpleString() + ", rid long, pos int, h1 long, h2 long, batch int").parquet(f"{root}/lines")
-    runs = LineRuns(spark, root, fanout)
+    kind = docs.schema[id_col].dataType.simpleString()
+    lines = put(key_lines(docs, id_col, text_col, min_chars).withColumn("batch", number), f"{root}/lines", f"doc_id {kind}, rid long, pos int, h1 long, h2 long, batch int")
+    runs = LineRuns(spark, root, fanout, max(1, -(-lines.count() // bucket_lines)))
     for k in range(n_batches):
         runs.admit(lines.where(F.col("batch") == k))
     drops = (lines.drop("batch").join(runs.owners().hint("merge"), list(KEY)).where("doc_id > first")
