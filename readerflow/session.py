@@ -51,6 +51,19 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    That holds for local sessions and for nodes that share the installation;
+    other clusters ship the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
