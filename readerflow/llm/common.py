@@ -47,7 +47,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_train: int
     return texts.join(F.broadcast(chosen), "__id").select("text", F.col("__y").alias("label"), *extra)
 
 
-def slices(batch: pa.RecordBatch, text_col: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text_col: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a slice stay near ``max_bytes`` (a longer single text is its own slice)."""
     if batch.num_rows == 0:
         return
