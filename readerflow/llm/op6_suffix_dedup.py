@@ -258,11 +258,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
     shared = grams.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
     schema = "did long, r1 long, r2 long, pos long, g long, ctx long, ll int, rl int"
     found = long_docs.mapInArrow(_anchor_rows(length, gram, False), schema).join(shared, "g", "left_semi").select(*[c.split()[0] for c in schema.split(", ")])
-    found = put(found, at("anchors"), schema, files)
+    found = put(found, at("anchors"), schema)
 
     # equal contexts: wholly repeated around the anchor
     classes = found.groupBy("g", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("did", "r1", "r2", "pos")).alias("o"))
-    classes = put(classes.select("g", "ctx", "n", "o.*"), at("classes"), "g long, ctx long, n long, did long, r1 long, r2 long, pos long", files)
+    classes = put(classes.select("g", "ctx", "n", "o.*"), at("classes"), "g long, ctx long, n long, did long, r1 long, r2 long, pos long")
     same = found.join(classes.where("n > 1").select("g", "ctx"), ["g", "ctx"], "left_semi").where(F.col("ll") + F.col("rl") >= length)
     covers = [same.select("r1", "r2", (F.col("pos") - F.col("ll")).alias("lo"), (F.col("pos") + F.col("rl")).alias("hi"))]
 
