@@ -12,7 +12,7 @@ from ..operators import voice as V
 from ..session import scratch_path
 from ..sources import books as B
 from ..sources import media as M
-from ..sources.fixtures import fx_books, fx_dialogues, table, with_fixtures
+from ..sources.fixtures import documents, fx_books, fx_dialogues, table, with_fixtures
 from . import sqlgen as S
 from .registry import query
 
@@ -49,8 +49,8 @@ def q_catalog_lookup(spark, sf):
   JOIN {CATALOG_SQL} ON contains(lower(cat.title), q.q)""",
 )
 def q_catalog_search(spark, sf):
-    d = table(spark, sf, "documents")
-    queries = d.select("doc_id", F.explode(F.array_distinct(F.transform(words("text"), F.lower))).alias("q"))
+    d = documents(spark, sf)
+    queries = d.select("doc_id", F.explode(F.filter(F.array_distinct(F.transform(words("text"), F.lower)), B.may_match)).alias("q"))
     return B.catalog_search(queries).select("doc_id", "q", "title", "book_id")
 
 

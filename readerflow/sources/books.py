@@ -55,6 +55,12 @@ def _catalog_array() -> Column:
     return F.array(*[F.struct(F.lit(t).alias("title"), F.lit(i).cast("bigint").alias("book_id")) for t, i in K.CATALOG])
 
 
+def may_match(q: Column) -> Column:
+    """Whether a search string occurs in any title at all: one look into all of
+    them, to drop strings before they become rows."""
+    return F.lit("\n".join(t.lower() for t, _ in K.CATALOG)).contains(q)
+
+
 def catalog_search(queries: DataFrame, q_col: str = "q") -> DataFrame:
     """Case-insensitive substring search over title and author.
 

@@ -30,6 +30,6 @@ def test_entry_smoke(spark):
     import __spark_entry__ as E
 
     df = E.entry(spark)
-    assert df.columns == ["book_id", "chapter_ord", "title", "n_chars"]
+    assert df.columns == ["book_id", "chapter_ord", "title", "n_chars", "body_hash"]
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
