@@ -123,6 +123,29 @@ def test_near_large_family(documents, monkeypatch):
     assert got == brute.near_components(rows)
 
 
+@pytest.mark.parametrize("share, lowered", [(0.7, 24), (0.97, 24), (0.97, 200)])
+def test_near_links_in_hot_groups(documents, monkeypatch, share, lowered):
+    """Lone pairs inside a template below the threshold, and its near copies, beyond BIG documents a node or a family."""
+    rng = random.Random(12)
+    template, rows = _say(rng, 140).split(), []
+    for i in range(150):
+        own = int(140 * (1 - share)) + rng.randint(0, 6)
+        w = [*template[: 140 - own], *(f"own{i}x{k}" for k in range(own))]
+        rows.append((2 * i, " ".join(w)))
+        if i % 2 == 0:
+            w[rng.randint(5, 100)] = "other"
+            w[-1] = "end"
+            rows.append((2 * i + 1, " ".join(w[: rng.choice([140, 135])])))
+    monkeypatch.setattr(op10, "CELL", 16)
+    monkeypatch.setattr(op10, "BIG", lowered)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in op10.near_components(documents(rows)).collect()}
+    assert got == brute.near_components(rows)
+
+
+def test_near_recall_of_the_trees():
+    assert op10.missed(op10.TREES, 0.85) < 1e-4
+
+
 def test_near_odd_rows(documents):
     assert op10.near_components(documents([])).count() == 0
     rows = [(7, "a b c d e f g"), (7, "a b c d e f g"), (None, "a b c d e f g"), (3, "A b c d e f g")]
