@@ -36,17 +36,15 @@ def _buckets(w: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (mix(h) >> np.uint64(64 - bits)).astype(np.int64), np.concatenate([w.doc, w.doc[at]])
 
 
-def ngram_counts(docs: DataFrame, trusted: DataFrame, max_trusted: int = 20_000, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
+def ngram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """(bucket, corpus, target): counts over all documents and over those whose id is in ``trusted``.
 
     Each task adds up its documents in two arrays first, so the shuffle carries
-    at most 2**bits rows a task whatever the skew of words. The corpus counts
-    cover every document. The trusted multinomial is fitted on at most
-    ``max_trusted`` ids, the first by hash; being bounded, they are broadcast.
+    at most 2**bits rows a task whatever the skew of words. Both counts cover
+    every document: the ids are joined without a bound, by a shuffle of the
+    documents at every size.
     """
-    ids = F.broadcast(
-        trusted.select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct()
-        .orderBy(F.xxhash64("__id"), "__id").limit(max_trusted).withColumn("__t", F.lit(True)))
+    ids = trusted.select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct().withColumn("__t", F.lit(True)).hint("merge")
     rows = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
             .join(ids, "__id", "left").select("text", F.coalesce("__t", F.lit(False)).alias("t")))
 

@@ -93,6 +93,13 @@ def test_ratio_equals_plain_counts(spark, documents):
     assert op2.judge(documents([]), ratios).count() == 0
 
 
+def test_ratio_counts_every_trusted_document(spark):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('w', id % 7) AS text")
+    want = spark.range(1, 30_000).selectExpr("id AS doc_id")
+    n = op2.ngram_counts(docs, want, bits=10).agg(F.sum("corpus"), F.sum("target")).first()
+    assert tuple(n) == (30_000, 29_999)
+
+
 def test_rules_keep_good_documents(spark):
     out = op2.op2(spark, SF).join(table(spark, SF, "labels"), "doc_id").where("NOT base_failed")
     n = {(r["quality"], r["kept"]): r["count"] for r in out.groupBy("quality", "kept").count().collect()}
