@@ -111,6 +111,19 @@ def test_page_with_everything(trees):
         "Third one is here to end the article with some more words in it.")
 
 
+@pytest.mark.parametrize("html, want", [
+    ('<p>a</p><svg viewBox="0 0 1 1"/><p>bbb</p>', "a bbb"),
+    ("<video-player src=x></video-player><p>bbb</p>", "bbb"),
+    ("<button-bar>z</button-bar><article><p>bbb</p></article>", "z bbb"),
+    ("<article><p>so <math><mi>x</mi></math> is</p></article>", "so x is"),
+    ("<script-box>in</script-box><p>bbb</p>", "in bbb"),
+    *((f"<p>a</p><{t}>in<p>bbb</p>", "a in bbb") for t in "noscript template svg iframe object select button math canvas audio video".split()),
+    *((f"<p>a</p><{t} x=1>in<p>no</p></{t} ><p>bbb</p>", "a bbb") for t in "script style textarea title".split()),
+])
+def test_only_raw_text_is_no_text(html, want):
+    assert " ".join(" ".join(x for _, _, x in op5.parse(html).pieces).split()) == want
+
+
 def test_odd_pages(spark, trees):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None, None), (2, "u", ""), (3, "u", "   "), (4, "u", "<"), (5, "u", "<p"), (6, "u", "</p></div><article>"), (7, "u", deep), (8, "u", "<p>" + "word " * 200_000), (9, "u", "<a b='"), (9, "u", "<a b='"), (None, "u", "<p>x</p>")]
