@@ -17,6 +17,7 @@ CONTRACT = {
     "op3_line_dedup": "doc_id n_lines n_dropped kept_sha256", "op4_warc": "page_id payload_bytes payload_digest record_type refers_to",
     "op5_html_extract": "page_id url text n_chars", "op6_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op9_toxicity": "doc_id held_out score predicted", "op10_near_dedup": "doc_id n_shingles component_id kept",
+    "op11_importance": "doc_id n_features weight score rank", "op13_url_filters": "page_id host path rule verdict",
 }
 
 
@@ -30,7 +31,7 @@ def test_oracle(spark, name):
 def test_contract(spark, name):
     out = QUERIES[name](spark, TINY)
     assert set(CONTRACT[name].split()) <= set(out.columns)
-    source = "pages" if name in ("op4_warc", "op5_html_extract") else "documents"
+    source = "pages" if name in ("op4_warc", "op5_html_extract", "op13_url_filters") else "documents"
     assert out.count() == table(spark, TINY, source).count()
 
 
@@ -38,7 +39,7 @@ def test_registered():
     import __spark_entry__ as e
 
     assert set(QUERIES) <= set(e.queries()) and set(ORACLES) <= set(e.oracle_sql())
-    assert len(QUERIES) == 11
+    assert len(QUERIES) == 14
 
 
 def test_near_dedup_whole_table(spark):
