@@ -9,6 +9,12 @@ shuffle). A suffix is known by its context: the bytes up to ``length`` to the
 right and up to ``length - gram`` to the left, which is all that strings of
 ``length`` bytes around the anchor can reach.
 
+Periodic stretches. In a run of period p < ``length - gram + 1`` that is at least
+``length + p`` long, each string of ``length`` bytes comes again p bytes further
+on, so the whole run is covered and is reported as such where it is read. Only
+its first p strings, which are all the different ones, and the strings that reach
+over its ends choose anchors; without that each byte of a run could be one.
+
 Groups. Suffixes of equal grams meet in one group; equal contexts are counted
 and collapsed before. A group sorts its contexts to the right (enhanced suffix
 array: order and common prefixes), scans the common prefixes with a stack for
@@ -51,12 +57,46 @@ LIMIT = 2048
 SLICE = 512 << 10
 
 
-def anchors(b: Bytes, length: int, gram: int) -> np.ndarray:
-    """Positions (in ``b.data``) of the least gram of every window of ``length`` bytes inside a text."""
+def _matching(data: np.ndarray, p: int, at: int, stop: int, step: int) -> int:
+    """How many bytes from ``at`` on (``step`` 1: forwards, -1: the ones before it) equal those ``p`` bytes further on; ``stop`` bounds the places."""
+    n, block = 0, 64
+    while True:
+        lo, hi = (at + n, min(stop, at + n + block)) if step > 0 else (max(stop, at - n - block), at - n)
+        if hi <= lo:
+            return n
+        differ = np.flatnonzero(data[lo:hi] != data[lo + p:hi + p])
+        if len(differ):
+            return n + int(differ[0] if step > 0 else hi - lo - 1 - differ[-1])
+        n, block = n + hi - lo, min(2 * block, 1 << 20)
+
+
+def periodic_runs(b: Bytes, pos: np.ndarray, g: np.ndarray, length: int, gram: int) -> list[tuple[int, int, int]]:
+    """(begin, end, period) of the maximal periodic runs of at least ``length`` and a period, from the anchors: a run shows as equal grams a period apart."""
+    gap = np.diff(pos)
+    near = np.flatnonzero((g[1:] == g[:-1]) & (gap < length - gram + 1))
+    runs: list[tuple[int, int, int]] = []
+    for j in near.tolist():
+        at, p = int(pos[j]), int(gap[j])
+        if runs and runs[-1][2] == p and at < runs[-1][1] - p:
+            continue
+        d = int(np.searchsorted(b.start, at, side="right")) - 1
+        lo, hi = int(b.start[d]), int(b.start[d + 1]) - 1
+        begin = at - _matching(b.data, p, at, lo, -1)
+        end = at + _matching(b.data, p, at, hi - p, 1) + p
+        if end - begin >= length + p:
+            runs.append((begin, end, p))
+    return runs
+
+
+def anchors(b: Bytes, length: int, gram: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Positions (in ``b.data``) of the least gram of every window of ``length`` bytes inside a text, and the periodic runs.
+
+    Windows inside a run choose none but for the first period.
+    """
     n = len(b.data)
     count = n - length + 1
     if count <= 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), []
     at = np.arange(n - gram + 1)
     bits = np.uint64(int(n).bit_length())
     key = (b.spans(at, at + gram) >> bits << bits) | at.astype(np.uint64)  # ties: the leftmost
@@ -65,26 +105,46 @@ def anchors(b: Bytes, length: int, gram: int) -> np.ndarray:
     ahead = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()[:count]
     behind = np.minimum.accumulate(rows, axis=1).ravel()[w - 1:w - 1 + count]
     room = np.repeat(b.start[1:] - 1, np.diff(b.start))[:count] - np.arange(count) >= length
+    window = np.flatnonzero(room)
     pos = (np.minimum(ahead, behind)[room] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    chosen = _distinct(pos)
+    runs = periodic_runs(b, chosen, b.spans(chosen, chosen + gram), length, gram)
+    if runs:
+        stays = np.ones(len(pos), bool)
+        for begin, end, p in runs:
+            stays[np.searchsorted(window, begin + p):np.searchsorted(window, end - length, side="right")] = False
+        chosen = _distinct(pos[stays])
+    return chosen, runs
+
+
+def _distinct(pos: np.ndarray) -> np.ndarray:
     return np.unique(pos[np.concatenate([[True], pos[1:] != pos[:-1]])]) if len(pos) else pos
 
 
 def _anchor_rows(length: int, gram: int, only_gram: bool):
+    """Rows of the anchors. A periodic run is a row of its own: ``pos`` its begin, ``rl`` its length, which is more than that of any context."""
+
     def run(batches):
         for batch in batches:
             for s in slices(batch, "text", SLICE):
                 b = Bytes(s.column("text"))
-                p = anchors(b, length, gram)
-                g = pa.array(b.spans(p, p + gram).view(np.int64))
+                p, runs = anchors(b, length, gram)
+                g = b.spans(p, p + gram)
                 if only_gram:
-                    yield pa.RecordBatch.from_arrays([g], names=["g"])
+                    yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64))], names=["g"])
                     continue
                 d = np.searchsorted(b.start, p, side="right") - 1
                 lo, hi = np.maximum(b.start[d], p - (length - gram)), np.minimum(b.start[d + 1] - 1, p + length)
                 ctx = mix(b.spans(lo, hi) + (p - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                if runs:
+                    begin, end = (np.array([r[k] for r in runs], np.int64) for k in (0, 1))
+                    p, lo, hi = np.concatenate([p, begin]), np.concatenate([lo, begin]), np.concatenate([hi, end])
+                    d = np.searchsorted(b.start, p, side="right") - 1
+                    own = mix(s.column("r1").to_numpy().view(np.uint64)[d[len(g):]] ^ begin.astype(np.uint64))  # spread over the partitions
+                    g, ctx = np.concatenate([g, own]), np.concatenate([ctx, own])
                 ids = s.select(["did", "r1", "r2"]).take(pa.array(d))
                 yield pa.RecordBatch.from_arrays(
-                    [*ids.columns, pa.array(p - b.start[d], pa.int64()), g, pa.array(ctx.view(np.int64)), pa.array(p - lo, pa.int32()), pa.array(hi - p, pa.int32())],
+                    [*ids.columns, pa.array(p - b.start[d], pa.int64()), pa.array(g.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(p - lo, pa.int32()), pa.array(hi - p, pa.int32())],
                     names=["did", "r1", "r2", "pos", "g", "ctx", "ll", "rl"])
 
     return run
@@ -255,19 +315,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limi
 
     long_docs = docs.where(F.octet_length("text") >= length)
     grams = long_docs.select("text").mapInArrow(_anchor_rows(length, gram, True), "g long")
-    shared = grams.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
+    # tables of distinct grams are written before they are joined: a join of two plain exchanges can be split where a gram is hot
+    shared = put(grams.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g", F.lit(True).alias("twice")), at("shared"), "g long, twice boolean", files)
     schema = "did long, r1 long, r2 long, pos long, g long, ctx long, ll int, rl int"
-    found = long_docs.mapInArrow(_anchor_rows(length, gram, False), schema).join(shared, "g", "left_semi").select(*[c.split()[0] for c in schema.split(", ")])
-    found = put(found, at("anchors"), schema)
+    found = long_docs.mapInArrow(_anchor_rows(length, gram, False), schema).join(shared, "g", "left").where(F.col("twice") | (F.col("rl") > length))
+    found = put(found.select(*[c.split()[0] for c in schema.split(", ")]), at("anchors"), schema)
+    runs, found = found.where(F.col("rl") > length), found.where(F.col("rl") <= length)
 
     # equal contexts: wholly repeated around the anchor
     classes = found.groupBy("g", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("did", "r1", "r2", "pos")).alias("o"))
     classes = put(classes.select("g", "ctx", "n", "o.*"), at("classes"), "g long, ctx long, n long, did long, r1 long, r2 long, pos long")
     same = found.join(classes.where("n > 1").select("g", "ctx"), ["g", "ctx"], "left_semi").where(F.col("ll") + F.col("rl") >= length)
-    covers = [same.select("r1", "r2", (F.col("pos") - F.col("ll")).alias("lo"), (F.col("pos") + F.col("rl")).alias("hi"))]
+    covers = [d.select("r1", "r2", (F.col("pos") - F.col("ll")).alias("lo"), (F.col("pos") + F.col("rl")).alias("hi")) for d in (runs, same)]
 
     # different contexts of one gram: fetched from the texts, once for each context
     open_groups = classes.groupBy("g").agg(F.count("*").alias("k"), F.sum((F.col("n") == 1).cast("long")).alias("s")).where("k > 1 AND s > 0").select("g")
+    open_groups = put(open_groups, at("open"), "g long", files)
     wanted = (classes.join(open_groups, "g", "left_semi").groupBy("did", "r1", "r2")
               .agg(F.collect_list(F.struct("pos", "g", "ctx", "n")).alias("want")))
     texts = long_docs.select("text", "did", "r1", "r2").mapInArrow(_blobs, "blob binary, did long, r1 long, r2 long")

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from brute_path import brute
 
@@ -69,6 +70,30 @@ def test_repeats_equal_brute_force(documents, limit):
     assert got == sorted((str(i), *x) for (i, _), x in zip(rows, brute.repeats([t for _, t in rows], 60)))
 
 
+def test_repeats_periodic(documents, monkeypatch):
+    """Runs of all kinds of periods, texts that hold one of a run's strings once, a text over several slices."""
+    rng = random.Random(7)
+    run = ("abcde" * 100)[:240]
+    rows = [(0, "a" * 300), (1, "zz" + "a" * 61), (2, "a" * 60), (3, "b" * 60), (4, "x" + run + "y"), (5, _say(rng, 9) + run[3:63] + _say(rng, 9)), (6, "cd" * 31 + "c"), (7, "cd" * 30),
+            (8, "q" + "cd" * 30), (9, ("p" * 30 + "q") * 9 + "r" + ("p" * 30 + "q") * 2), (10, "é" * 200), (11, "w" + "é" * 30 + "v"), (12, "ab" * 20 + "ba" * 40 + "ab" * 15), (13, "k" * 59), (14, "fghij" * 12)]
+    rows += [(20 + k, "".join(rng.choice(["a" * 70, "ab" * 40, "abc" * 25, "x", "a" * 20, "ab" * 10, "yz"]) for _ in range(rng.randint(1, 6)))) for k in range(60)]
+    rows += [(100, "".join(rng.choice("abcdefgh") for _ in range(3000)) + "t" * 3000 + _say(rng, 500))]
+    want = sorted((str(i), *x) for (i, _), x in zip(rows, brute.repeats([t for _, t in rows], 60)))
+    for size, limit in ((op6.SLICE, 2048), (700, 3)):
+        monkeypatch.setattr(op6, "SLICE", size)
+        got = op6.remove_repeats(documents(rows), length=60, gram=12, limit=limit).collect()
+        assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == want
+
+
+def test_repeats_periodic_long(documents):
+    """A run of one letter, longer than a slice of texts, has few anchors and goes whole."""
+    for text, most in (("a" * 600_000, 2), ("lorem ipsum dolor " * 34_000, 40)):
+        chosen, runs = op6.anchors(op6.Bytes(pa.array([text])), 400, 128)
+        assert len(chosen) <= most and [(a, b) for a, b, _ in runs] == [(0, len(text))]
+    got = op6.remove_repeats(documents([(1, "a" * 600_000), (2, "x" + "a" * 400 + "y"), (3, "x" + "a" * 399 + "y")])).collect()
+    assert sorted((r["doc_id"], r["n_removed"], r["n_spans"]) for r in got) == [(1, 600_000, 1), (2, 400, 1), (3, 0, 0)]
+
+
 def test_repeats_odd_tables(documents):
     assert op6.remove_repeats(documents([])).count() == 0
     assert [r["n_removed"] for r in op6.remove_repeats(documents([(1, None), (2, "short")])).collect()] == [0, 0]
