@@ -104,11 +104,12 @@ def roleplay_requests(dialogues: DataFrame, start: int = 0, n: int = K.ROLEPLAY_
 
 
 def roleplay_setups(dialogues: DataFrame, client_factory, out_path: str, start: int = 0, n: int = K.ROLEPLAY_DEFAULT_LINES) -> DataFrame:
-    """(book_id, status, setup struct) from the model's JSON answer."""
+    """(book_id, status, setup struct, error) from the model's JSON answer; a failed request has status ``error``."""
     req = roleplay_requests(dialogues, start, n)
     res = I.batch_infer(req, client_factory, template="roleplay_setup", temperature=K.TEMPERATURES["roleplay_setup"], out_path=out_path)
-    j = req.select("book_id", "prompt_hash").join(res.select("prompt_hash", "raw"), "prompt_hash", "inner")
-    return J.parsed(j, J.SETUP_SCHEMA, out="setup").select("book_id", "status", "setup")
+    j = req.select("book_id", "prompt_hash").join(res.select("prompt_hash", "raw", F.col("status").alias("__call"), "error"), "prompt_hash", "inner")
+    status = F.when(F.col("__call") == "ok", F.col("status")).otherwise(F.lit("error"))
+    return J.parsed(j, J.SETUP_SCHEMA, out="setup").select("book_id", status.alias("status"), "setup", "error")
 
 
 def chat_replies(messages: DataFrame, setups: DataFrame, client_factory, out_path: str) -> DataFrame:
@@ -156,19 +157,19 @@ def spoken_turns(recordings: DataFrame, transcripts: DataFrame) -> DataFrame:
 
 
 def modernise(lines: DataFrame, client_factory, out_path: str, text_col: str = "line") -> DataFrame:
-    """Modern rewrite per line."""
+    """Modern rewrite per line, with the call's status and error."""
     req = lines.select("book_id", "dlg_ord", I.modernise_prompt(text_col).alias("prompt"))
     req = req.withColumn("prompt_hash", I.prompt_hash("prompt"))
     res = I.batch_infer(req, client_factory, template="modernise", temperature=K.TEMPERATURES["modernise"], json_mode=False, out_path=out_path)
-    return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("modern")), "prompt_hash", "inner")
+    return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("modern"), "status", "error"), "prompt_hash", "inner")
 
 
 def hints(lines: DataFrame, client_factory, out_path: str, text_col: str = "line") -> DataFrame:
-    """Translation hint per line."""
+    """Translation hint per line, with the call's status and error."""
     req = lines.select("book_id", "dlg_ord", I.hint_prompt(text_col).alias("prompt"))
     req = req.withColumn("prompt_hash", I.prompt_hash("prompt"))
     res = I.batch_infer(req, client_factory, template="hint", json_mode=False, out_path=out_path)
-    return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("hint")), "prompt_hash", "inner")
+    return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("hint"), "status", "error"), "prompt_hash", "inner")
 
 
 def analyse_conversations(messages: DataFrame, client_factory, out_path: str) -> DataFrame:
@@ -176,7 +177,7 @@ def analyse_conversations(messages: DataFrame, client_factory, out_path: str) ->
     per chunk of the user's lines."""
     req = C.analysis_prompts(messages).withColumn("prompt_hash", I.prompt_hash("prompt"))
     res = I.batch_infer(req, client_factory, template="analysis", json_mode=False, out_path=out_path)
-    return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("analysis")), "prompt_hash", "inner")
+    return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("analysis"), "status", "error"), "prompt_hash", "inner")
 
 
 def speech_requests(lines: DataFrame, text_col: str = "line", key_col: str = "voice_key", rate_col: str = "rate") -> DataFrame:

@@ -3,27 +3,31 @@
 A hosted model is an external service, so the engine never embeds one: the
 caller injects ``client_factory`` (called once per partition on the
 executors). Prompts are rendered JVM-side, de-duplicated by ``prompt_hash``,
-checked against a result cache with a left-anti join, and only the new ones
-cross into Python through ``mapInPandas`` (Arrow batches). Results should be
-written once and read back (``out_path``): task retries may call the model
-again, but nothing downstream re-evaluates the model. Only answers count as
-done; a failed request is asked again on the next run.
+checked against a bucketed store of answers, and only the new ones cross into
+Python through ``mapInPandas`` (Arrow batches). Results should be written once
+and read back (``out_path``): new answers are committed slice by slice (see
+``ledger``), task retries may call the model again, but nothing downstream
+re-evaluates the model. Only answers count as done; a failed request is asked
+again on the next run.
 """
 
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import model_json as J
 from ..functions import text as T
+from ..session import scratch_path
+from .ledger import AnswerStore, key_part, slices
 
 # Ship this module's functions by value: executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -110,10 +114,16 @@ def request_key(prompt: Column | str, template: str, model: str, temperature: fl
 
 
 def new_prompts(prompts: DataFrame, cache: DataFrame | None, key: str = "prompt_hash") -> DataFrame:
-    """Prompts whose key has no cached result (left-anti join on the keys)."""
+    """Prompts whose key has no cached result (left-anti join on the keys).
+
+    A cache that is bucketed by the key (``ledger.AnswerStore``) is read without a shuffle."""
     if cache is None:
         return prompts
-    return prompts.join(cache.select(key).distinct(), key, "left_anti")
+    return prompts.join(cache.select(key), key, "left_anti")
+
+
+def with_request_key(prompts: DataFrame, template: str, model: str = K.DEFAULT_MODEL, temperature: float | None = None, json_mode: bool = True) -> DataFrame:
+    return prompts.withColumn("request_key", request_key("prompt", template, model, temperature, json_mode))
 
 
 def best_results(results: DataFrame, key: str = "request_key") -> DataFrame:
@@ -155,6 +165,7 @@ def batch_infer(
     cache: DataFrame | None = None,
     partitions: int | None = None,
     out_path: str | None = None,
+    slice_requests: int = 10_000,
     concurrency: int = 4,
     retries: int = 2,
     wait_seconds: float = 0.5,
@@ -164,30 +175,19 @@ def batch_infer(
     ``prompts(prompt_hash, prompt)``. The key of a request covers the template,
     model, temperature and mode besides the prompt, so results of other
     settings are never taken for it. Answers already held, in ``cache``
-    (``RESULT_SCHEMA`` rows) or in the table at ``out_path``, are not asked for
-    again; failures are, on the next run. Prompts with an answer are dropped by
-    key before anything is shuffled by prompt, and repeated prompts collapse
-    map-side. ``partitions`` sets the number of tasks, by default the shuffle
-    width; each keeps ``concurrency`` calls in flight and tries a failed one
-    ``retries`` times more. The client must then be safe to share by threads.
+    (``RESULT_SCHEMA`` rows) or in the store at ``out_path``, are not asked for
+    again; failures are, on the next run. ``partitions`` sets the number of
+    tasks (and of buckets of a new store), by default the shuffle width; each
+    keeps ``concurrency`` calls in flight and tries a failed one ``retries``
+    times more. The client must then be safe to share by threads.
 
     Returns one row per distinct prompt of ``prompts``: its answer, cached or
-    new, or its error. With ``out_path`` new results are appended to a Parquet
-    table there and read back, which is what callers should use: a job's files
-    are published only if it succeeds, so an interrupted one is resumed.
+    new, or its error. With ``out_path``, which is what callers should use, the
+    requests are evaluated and written once; then ranges of about
+    ``slice_requests`` requests are asked and committed one after the other, so
+    that a run which breaks off loses at most the answers of one slice.
     """
-    spark = prompts.sparkSession
-    asked = prompts.select("prompt_hash", "prompt", request_key("prompt", template, model, temperature, json_mode).alias("request_key"))
-    held = [] if cache is None else [cache.select(*_names(RESULT_SCHEMA))]
-    if out_path is not None and _exists(spark, out_path):
-        held.append(spark.read.schema(RESULT_SCHEMA).parquet(out_path))
-    done = None
-    for h in held:
-        ok = h.filter(F.col("status") == "ok")
-        done = ok if done is None else done.unionByName(ok)
-    todo = new_prompts(asked, done, "request_key").dropDuplicates(["request_key"])
-    if partitions:
-        todo = todo.repartition(int(partitions))
+    asked = with_request_key(prompts.select("prompt_hash", "prompt"), template, model, temperature, json_mode)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
@@ -198,26 +198,49 @@ def batch_infer(
                 "raw": [v for v, _ in got], "status": ["ok" if e is None else "error" for _, e in got], "error": [e for _, e in got],
             })
 
-    new = todo.mapInPandas(run, RESULT_SCHEMA)
+    held = None if cache is None else cache.select(*_names(RESULT_SCHEMA)).filter(F.col("status") == "ok")
     if out_path is not None:
-        new.write.mode("append").parquet(out_path)
-        new = spark.read.schema(RESULT_SCHEMA).parquet(out_path)
-        if cache is not None:
-            new = new.unionByName(held[0])
-    elif done is not None:
-        new = new.unionByName(done)
+        return _infer_in_slices(asked, run, held, out_path, partitions, slice_requests)
+    todo = new_prompts(asked, held, "request_key").dropDuplicates(["request_key"])
+    new = (todo.repartition(int(partitions)) if partitions else todo).mapInPandas(run, RESULT_SCHEMA)
+    if held is not None:
+        new = new.unionByName(held)
     return best_results(new.join(asked.select("request_key").distinct(), "request_key", "left_semi"))
 
 
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
+def _infer_in_slices(asked: DataFrame, run, held: DataFrame | None, out_path: str, partitions: int | None, slice_requests: int) -> DataFrame:
+    spark = asked.sparkSession
+    store = AnswerStore(spark, out_path, RESULT_SCHEMA, partitions)
+    width = partitions or store.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "requests")
+    # one evaluation of the prompts: each partition is a bucket of keys, in the order that slices take them
+    marked = asked.join(store.answered().withColumn("__held", F.lit(True)), "request_key", "left")
+    if held is not None:
+        marked = marked.join(held.select("request_key").withColumn("__cached", F.lit(True)), "request_key", "left").withColumn("__held", F.coalesce("__held", "__cached"))
+    marked = marked.dropDuplicates(["request_key"]).select(
+        key_part().alias("part"), "request_key", "prompt_hash", F.col("__held").isNotNull().alias("held"), F.when(F.col("__held").isNull(), F.col("prompt")).alias("prompt"))
+    marked.sortWithinPartitions("part").write.parquet(path)
+    requests = spark.read.schema(marked.schema).parquet(path)
+    todo = requests.filter(~F.col("held"))
+    counts = [(r["part"], r["n"]) for r in todo.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()]  # at most 65,536 numbers
+    name, plan = uuid.uuid4().hex[:12], slices(counts, slice_requests)
+    for k, (first, last, n) in enumerate(plan):
+        part = todo.filter(F.col("part").between(first, last)).select("request_key", "prompt_hash", "prompt")
+        seen = Observation()
+        new = part.repartition(width, "request_key").mapInPandas(run, RESULT_SCHEMA).observe(seen, F.count_if(F.col("status") == "ok").alias("ok"))
+        store.append(new)
+        store.note(name, k, len(plan), first, last, n, seen.get["ok"], n - seen.get["ok"])
+    kept = store.rows() if held is None else store.rows().unionByName(held)
+    return best_results(kept.join(requests.select("request_key"), "request_key", "left_semi"))
+
+
+def infer_progress(spark, out_path: str) -> DataFrame:
+    """The ledger of a store: one row for each finished slice of each run."""
+    return AnswerStore(spark, out_path, RESULT_SCHEMA).ledger()
 
 
-def _exists(spark, path: str) -> bool:
-    """Whether a (possibly remote) path exists, via the Hadoop file system API."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def batch_transcribe(
@@ -233,17 +256,24 @@ def batch_transcribe(
 ) -> DataFrame:
     """U4: audio rows (path, content) -> ``TRANSCRIPT_SCHEMA`` rows.
 
-    The key is the recording's content with the model and language. With
-    ``out_path`` results are kept in a Parquet table: recordings with a
-    transcript there are not sent again, failed ones are, and what is returned
-    is read back, so that a second action does not call the service.
+    The key is the recording's content with the model and language, so equal
+    recordings are sent once, under the least of their paths. Which ones are
+    new is found on (path, key) rows; only the bytes of those are then joined,
+    by path. With ``out_path`` results are kept in a bucketed store
+    (``ledger.AnswerStore``): recordings with a transcript there are not sent
+    again, failed ones are, and what is returned is read back, so that a second
+    action does not call the service. One row for each recording.
     """
     spark = audio.sparkSession
-    asked = audio.select("path", "content", F.sha2(F.concat(F.lit(f"{model}|{language}|").cast("binary"), "content"), 256).alias("request_key"))
-    todo = asked
-    if out_path is not None and _exists(spark, out_path):
-        done = spark.read.schema(TRANSCRIPT_SCHEMA).parquet(out_path).filter(F.col("status") == "ok")
-        todo = new_prompts(asked, done, "request_key")
+    asked = audio.select("path", F.sha2(F.concat(F.lit(f"{model}|{language}|").cast("binary"), "content"), 256).alias("request_key"))
+    store = None if out_path is None else AnswerStore(spark, out_path, TRANSCRIPT_SCHEMA)
+    if store is not None:
+        # the recordings are hashed once
+        path = scratch_path(spark, "recordings")
+        asked.write.parquet(path)
+        asked = spark.read.schema(asked.schema).parquet(path)
+    todo = new_prompts(asked, store and store.answered(), "request_key").groupBy("request_key").agg(F.min("path").alias("path"))
+    todo = todo.join(audio.select("path", "content"), "path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
@@ -261,11 +291,10 @@ def batch_transcribe(
             })
 
     new = todo.mapInPandas(run, TRANSCRIPT_SCHEMA)
-    if out_path is None:
-        return new
-    new.write.mode("append").parquet(out_path)
-    held = best_results(spark.read.schema(TRANSCRIPT_SCHEMA).parquet(out_path))
-    return asked.select("path", "request_key").join(held.drop("path"), "request_key").select(*_names(TRANSCRIPT_SCHEMA))
+    if store is not None:
+        store.append(new)
+        new = best_results(store.rows())
+    return asked.select("path", "request_key").join(new.drop("path"), "request_key").select(*_names(TRANSCRIPT_SCHEMA))
 
 
 class EchoClient:

@@ -10,6 +10,7 @@ from ..functions import model_json as J
 from ..functions.text import sql_literal, sql_render
 from ..operators import chapters as CH
 from ..operators import inference as I
+from ..operators.ledger import AnswerStore
 from ..session import scratch_path
 from ..sources import media as M
 from ..sources.fixtures import fx_attempts, fx_books, fx_dialogues, fx_feedback, fx_responses, fx_setups, table, with_fixtures
@@ -277,13 +278,26 @@ SELECT book_id, chapter_ord, window_no, sha256(prompt) AS prompt_hash FROM promp
 """,
 )
 def q_infer_cache(spark, sf):
-    """Prompts without a cached answer. Answers are held for books without
-    chapter headings; the keys are written once, prompts are not."""
+    """Requests without an answer in the store. It holds answers for books
+    without chapter headings, failures for first chapters and another model's
+    answers for all; only the first are taken for done. Keys are written once,
+    prompts are not."""
+    settings = dict(template="extraction", temperature=K.TEMPERATURES["extraction"])
+    req = I.with_request_key(api.extraction_requests(_clean(spark, sf)), **settings)
+    req = req.withColumn("other", I.request_key("prompt", model="another", json_mode=True, **settings))
     path = scratch_path(spark, "infer_cache")
-    api.extraction_requests(_clean(spark, sf)).select("book_id", "chapter_ord", "window_no", "title", "prompt_hash").write.parquet(path)
+    req.drop("prompt").write.parquet(path)
     keys = spark.read.parquet(path)
-    cache = keys.filter(F.col("title") == K.FULL_TEXT_TITLE)
-    return I.new_prompts(keys, cache).select("book_id", "chapter_ord", "window_no", "prompt_hash")
+
+    def results(rows, key, model, status):
+        return rows.select(F.col(key).alias("request_key"), "prompt_hash", F.lit("extraction").alias("template"), F.lit(model).alias("model"), F.lit("[]").alias("raw"), F.lit(status).alias("status"),
+                           F.lit(None).cast("string").alias("error"))
+
+    store = AnswerStore(spark, scratch_path(spark, "infer_store"), I.RESULT_SCHEMA)
+    store.append(results(keys.filter(F.col("title") == K.FULL_TEXT_TITLE), "request_key", K.DEFAULT_MODEL, "ok")
+                 .unionByName(results(keys.filter((F.col("chapter_ord") == 1) & (F.col("title") != K.FULL_TEXT_TITLE)), "request_key", K.DEFAULT_MODEL, "error"))
+                 .unionByName(results(keys, "other", "another", "ok")))
+    return I.new_prompts(keys, store.answered(), "request_key").select("book_id", "chapter_ord", "window_no", "prompt_hash")
 
 
 # ------------------------------------------------------------------ S5, U4
