@@ -174,15 +174,52 @@ def combine_selection(
     )
 
 
+# What a paragraph that is too long for a window is cut into: quotations within it, sentences, stray marks ...
+ATOMS = r'"[^"]*"\s*|“[^”]*”\s*|[^"“.!?]+[.!?]*\s*|[.!?]+\s*|["“]'
+# ... and, where one of these is still too long, words.
+WORDS = r"\S+\s*|\s+"
+
+
+def _cut_long(parts: Column, budget: int, cut) -> Column:
+    """Parts over the budget replaced by their cuts."""
+    return F.flatten(F.transform(parts, lambda p: F.when(F.length(p) > budget, cut(p)).otherwise(F.array(p))))
+
+
+def text_atoms(text: Column, budget: int) -> Column:
+    """The text as an array of parts that windows keep whole, none over the budget: paragraphs (with the blank lines
+    after them); of a longer one its quotations and sentences; of a longer one of these words; of a longer word pieces."""
+    a = F.split(text, r"(?<=\n\n)(?!\n)", -1)
+    for pattern in (ATOMS, WORDS):
+        a = _cut_long(a, budget, lambda p, x=pattern: F.regexp_extract_all(p, F.lit(x), F.lit(0)))
+    pieces = lambda p: F.transform(F.sequence(F.lit(1), F.length(p), F.lit(budget)), lambda at: F.substring(p, at, F.lit(budget)))
+    return _cut_long(a, budget, pieces)
+
+
+def pack_windows(atoms: Column, budget: int) -> Column:
+    """Greedy fold: consecutive parts joined for as long as they stay within the budget."""
+    none = F.lit("")
+    start = F.struct(F.array().cast("array<string>").alias("done"), none.alias("now"), F.lit(0).alias("n"))
+
+    def step(s, p):
+        fits = s["n"] + F.length(p) <= budget
+        return F.struct(
+            F.when(fits, s["done"]).otherwise(F.concat(s["done"], F.array(s["now"]))).alias("done"),
+            F.when(fits, F.concat(s["now"], p)).otherwise(p).alias("now"),
+            F.when(fits, s["n"] + F.length(p)).otherwise(F.length(p)).alias("n"))
+
+    return F.aggregate(atoms, start, step, lambda s: F.when(s["n"] > 0, F.concat(s["done"], F.array(s["now"]))).otherwise(s["done"]))
+
+
 def chapter_windows(clean: DataFrame, window_chars: int = K.MAX_PROMPT_CHARS, anchored: bool = False) -> DataFrame:
     """Whole books as (book_id, chapter_ord, window_no, title, window): consecutive
     windows of at most ``window_chars`` characters that together are every
-    chapter's whole body. An empty body gives no window."""
-    rows = chapters(clean, anchored).withColumn("__n", F.length("body")).filter(F.col("__n") > 0)
-    rows = rows.select("book_id", "chapter_ord", "title", "body", F.explode(F.sequence(F.lit(0), ((F.col("__n") - 1) / window_chars).cast("int"))).alias("__w"))
-    return rows.select(
-        "book_id", "chapter_ord", F.col("__w").cast("bigint").alias("window_no"), "title",
-        F.substring("body", F.col("__w") * window_chars + 1, F.lit(window_chars)).alias("window"))
+    chapter's whole body, cut at natural borders (:func:`text_atoms`): a
+    quotation within one paragraph is only cut if it is longer than a window
+    itself. An empty body gives no window."""
+    rows = chapters(clean, anchored).filter(F.length("body") > 0)
+    rows = materialize(rows, atoms=text_atoms(F.col("body"), window_chars)).drop("body")
+    rows = rows.select("book_id", "chapter_ord", "title", F.posexplode(pack_windows(F.col("atoms"), window_chars)).alias("window_no", "window"))
+    return rows.select("book_id", "chapter_ord", F.col("window_no").cast("bigint").alias("window_no"), "title", "window")
 
 
 def combine_chapters(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as T
-from .ordinal import DEFAULT_BLOCK, running_totals
+from .ordinal import DEFAULT_BLOCK, ordered_positions, running_totals
 
 CHAT_ROLES = ("user", "assistant")
 CHUNK = 256  # consecutive turns in a chunk of a conversation's lines
@@ -69,21 +69,30 @@ def opening_turns(setups: DataFrame, messages: DataFrame, turn: int = -1) -> Dat
     )
 
 
-def append_turns(messages: DataFrame, inputs: DataFrame, setups: DataFrame) -> DataFrame:
+def display_names(setups: DataFrame) -> DataFrame:
+    """(conv_id, user_name, ai_name) of each conversation."""
+    return setups.select("conv_id", user_display().alias("user_name"), ai_display().alias("ai_name"))
+
+
+def append_turns(messages: DataFrame, inputs: DataFrame, setups: DataFrame, order: str | None = None, block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """C4: for each ``inputs(conv_id, user_input, ai_reply)`` row append the user
     message and then the assistant reply after the conversation's last turn.
 
-    Last turn per conversation is a partial+final max aggregate.
+    ``order`` names an integral column, unique within a conversation, by which
+    its inputs are numbered; without one, a conversation has one input. Last
+    turn per conversation is a partial+final max aggregate; the numbering is
+    done in blocks, so no conversation is processed by one task. The streaming
+    form is ``streaming.chat``.
     """
     last = messages.groupBy("conv_id").agg(F.max("turn").alias("__last"))
-    s = setups.select("conv_id", ai_display().alias("__ai"), user_display().alias("__user"))
-    j = inputs.join(last, "conv_id", "left").join(s, "conv_id", "left")
-    base = F.coalesce(F.col("__last"), F.lit(-1)).cast("bigint")
+    numbered = inputs.withColumn("__position", F.lit(1)) if order is None else ordered_positions(inputs, "conv_id", order, block_size, "__")
+    j = numbered.join(last, "conv_id", "left").join(display_names(setups), "conv_id", "left")
+    base = (F.coalesce(F.col("__last"), F.lit(-1)) + 2 * F.col("__position") - 2).cast("bigint")
     rows = F.array(
         F.struct((base + 1).alias("turn"), F.lit("user").alias("role"), F.col("user_input").alias("content"),
-                 F.coalesce("__user", F.lit(K.DEFAULT_USER_ROLE)).alias("display_role")),
+                 F.coalesce("user_name", F.lit(K.DEFAULT_USER_ROLE)).alias("display_role")),
         F.struct((base + 2).alias("turn"), F.lit("assistant").alias("role"), F.col("ai_reply").alias("content"),
-                 F.coalesce("__ai", F.lit(K.DEFAULT_AI_ROLE)).alias("display_role")),
+                 F.coalesce("ai_name", F.lit(K.DEFAULT_AI_ROLE)).alias("display_role")),
     )
     return j.select("conv_id", F.inline(rows))
 

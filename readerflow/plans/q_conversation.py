@@ -9,8 +9,11 @@ from .. import constants as K
 from ..functions.text import sql_literal, sql_render
 from ..operators import conversation as C
 from ..operators import inference as I
+from ..operators.ordinal import ordered_positions
 from ..session import scratch_path
 from ..sources.fixtures import fx_dialogues, fx_messages, fx_setups, with_fixtures
+from ..streaming import chat as CHAT
+from .q_streaming import finish
 from .registry import query
 
 SQL_AI = f"coalesce(array_to_string(ai_roles, {sql_literal(K.CHAT_ROLES_JOINER)}), {sql_literal(K.DEFAULT_AI_ROLE)})"
@@ -169,6 +172,52 @@ def q_append_turn(spark, sf):
     return C.append_turns(history, inputs.drop("turn"), fx_setups(spark, sf))
 
 
+# every user message after a conversation's first message is an input of it, numbered by turn
+MANY_SQL = _ctes("fx_setups", "fx_messages") + f""",
+firstt AS (SELECT conv_id, min(turn) AS t FROM fx_messages GROUP BY conv_id),
+hist AS (SELECT m.conv_id, max(m.turn) AS lt FROM fx_messages m JOIN firstt f ON m.conv_id = f.conv_id AND m.turn = f.t WHERE m.conv_id % 3 <> 0 GROUP BY m.conv_id),
+inputs AS (SELECT m.conv_id, row_number() OVER (PARTITION BY m.conv_id ORDER BY m.turn) AS seq, m.content
+           FROM fx_messages m JOIN firstt f ON m.conv_id = f.conv_id AND m.turn > f.t WHERE m.role = 'user'),
+j AS (SELECT i.*, coalesce(lt, -1) + 2 * seq - 2 AS base, s.user_role, s.ai_roles FROM inputs i LEFT JOIN hist ON i.conv_id = hist.conv_id LEFT JOIN fx_setups s ON i.conv_id = s.conv_id)
+SELECT conv_id, CAST(base + 1 AS BIGINT) AS turn, 'user' AS role, content, {SQL_USER} AS display_role FROM j
+UNION ALL
+SELECT conv_id, CAST(base + 2 AS BIGINT) AS turn, 'assistant' AS role, 'Reply to: ' || content AS content, {SQL_AI} AS display_role FROM j
+"""
+
+
+def _many_inputs(spark, sf):
+    """(history, inputs with their number): two conversations in three begin with a message of their own."""
+    msgs = fx_messages(spark, sf)
+    first = msgs.groupBy("conv_id").agg(F.min("turn").alias("__first"))
+    m = msgs.join(first, "conv_id")
+    history = m.filter((F.col("turn") == F.col("__first")) & (F.col("conv_id") % 3 != 0)).drop("__first")
+    inputs = ordered_positions(m.filter((F.col("turn") > F.col("__first")) & (F.col("role") == "user")), "conv_id", "turn")
+    return history, inputs.select("conv_id", F.col("position").alias("input_seq"), F.col("content").alias("user_input"), _reply(F.col("content")).alias("ai_reply"))
+
+
+@query("append_turns_many", MANY_SQL)
+def q_append_turns_many(spark, sf):
+    """C4: all inputs of every conversation in one batch."""
+    history, inputs = _many_inputs(spark, sf)
+    return C.append_turns(history, inputs, fx_setups(spark, sf), "input_seq")
+
+
+@query("append_turn_stream", MANY_SQL)
+def q_append_turn_stream(spark, sf):
+    """C4 as a stream over files in which later inputs come first and some come twice."""
+    history, inputs = _many_inputs(spark, sf)
+    path = scratch_path(spark, "inputs")
+    late = F.col("input_seq") % 2 == 1
+    inputs.filter(~late).write.parquet(path)
+    inputs.filter(late | (F.col("conv_id") % 5 == 0)).write.mode("append").parquet(path)
+    heads = scratch_path(spark, "heads")
+    history.groupBy("conv_id").agg(F.max("turn").alias("last_turn")).write.parquet(heads)
+    stream = spark.readStream.schema(CHAT.INPUT_SCHEMA).option("maxFilesPerTrigger", 16).parquet(path)
+    out = scratch_path(spark, "turns")
+    finish(CHAT.start_turns(stream, spark.read.parquet(heads), fx_setups(spark, sf), out, scratch_path(spark, "turns-checkpoint")))
+    return CHAT.read_turns(spark, out)
+
+
 # ------------------------------------------------------------------ A7, F7, F8, X9
 @query(
     "collect_user_lines",

@@ -213,10 +213,25 @@ def q_extraction_prompt_first(spark, sf):
     return api.first_window_requests(_clean(spark, sf)).select("book_id", "prompt_hash", F.length("prompt").cast("bigint").alias("n_chars"))
 
 
-WINDOWS_SQL = CHAPTERS_SQL + f""",
-wins AS (SELECT book_id, chapter_ord, title, body, unnest(range(CAST(ceil(length(body) / {K.MAX_PROMPT_CHARS}.0) AS BIGINT))) AS window_no FROM chapters),
-prompts AS (SELECT book_id, chapter_ord, window_no, title, substring(body, window_no * {K.MAX_PROMPT_CHARS} + 1, {K.MAX_PROMPT_CHARS}) AS win,
-  {sql_render(K.EXTRACTION_PROMPT, text=f'substring(body, window_no * {K.MAX_PROMPT_CHARS} + 1, {K.MAX_PROMPT_CHARS})')} AS prompt FROM wins)
+N_SQL, ATOMS_SQL, WORDS_SQL = K.MAX_PROMPT_CHARS, sql_literal(CH.ATOMS), sql_literal(CH.WORDS)
+
+
+def _cut_sql(parts: str, cut: str) -> str:
+    return f"flatten(list_transform({parts}, lambda p: CASE WHEN length(p) > {N_SQL} THEN {cut} ELSE [p] END))"
+
+
+# the windows of a chapter, each from the end of the one before to the last border that is in reach
+WINDOWS_SQL = CHAPTERS_SQL.replace("WITH", "WITH RECURSIVE", 1) + f""",
+paras AS (SELECT *, string_split(regexp_replace(body, '(\\n\\n+)', '\\1' || chr(1), 'g'), chr(1)) AS a FROM chapters WHERE body <> ''),
+sentences AS (SELECT * REPLACE ({_cut_sql('a', f'regexp_extract_all(p, {ATOMS_SQL})')} AS a) FROM paras),
+word_parts AS (SELECT * REPLACE ({_cut_sql('a', f'regexp_extract_all(p, {WORDS_SQL})')} AS a) FROM sentences),
+atoms AS (SELECT * REPLACE ({_cut_sql('a', f'list_transform(range(0, length(p), {N_SQL}), lambda i: substring(p, i + 1, {N_SQL}))')} AS a) FROM word_parts),
+sizes AS (SELECT book_id, chapter_ord, unnest(range(len(a))) AS k, length(unnest(a)) AS n FROM atoms),
+ends AS (SELECT book_id, chapter_ord, list(e ORDER BY k) AS ends FROM (SELECT *, sum(n) OVER (PARTITION BY book_id, chapter_ord ORDER BY k) AS e FROM sizes) GROUP BY ALL),
+w AS (SELECT book_id, chapter_ord, 0::BIGINT AS window_no, 0::HUGEINT AS s, list_max(list_filter(ends, lambda x: x <= {N_SQL})) AS e, ends FROM ends
+      UNION ALL SELECT book_id, chapter_ord, window_no + 1, e, list_max(list_filter(ends, lambda x: x <= e + {N_SQL})), ends FROM w WHERE e < list_max(ends)),
+wins AS (SELECT book_id, chapter_ord, window_no, title, substring(body, (s + 1)::BIGINT, (e - s)::BIGINT) AS win FROM w JOIN chapters USING (book_id, chapter_ord)),
+prompts AS (SELECT book_id, chapter_ord, window_no, title, win, {sql_render(K.EXTRACTION_PROMPT, text='win')} AS prompt FROM wins)
 """
 
 

@@ -13,6 +13,7 @@ from ..session import scratch_path
 from ..sources import books as B
 from ..sources import media as M
 from ..sources.fixtures import documents, fx_books, fx_dialogues, table, with_fixtures
+from ..sources.tables import KeyedTable
 from . import sqlgen as S
 from .registry import query
 
@@ -109,25 +110,28 @@ def q_empty_book_reject(spark, sf):
     return errors
 
 
+# reloads that bring no text: nothing, white space, markers with white space between
+FAILED_LOADS = ["", " \n\t\n", f"head\n{K.START_MARKERS[0]} X ***\n \n{K.END_MARKERS[0]} X ***\nfoot\n"]
+
+
 @query(
     "replace_on_reload",
-    with_fixtures(
-        """SELECT book_id, arg_max(load_seq, CASE WHEN length(raw_text) > 0 THEN load_seq END) AS load_seq,
-  CAST(length(arg_max(raw_text, CASE WHEN length(raw_text) > 0 THEN load_seq END)) AS BIGINT) AS n_chars,
-  sha256(arg_max(raw_text, CASE WHEN length(raw_text) > 0 THEN load_seq END)) AS text_hash
-FROM (SELECT book_id, 1 AS load_seq, 'CACHE COPY ' || raw_text AS raw_text FROM fx_books
+    with_fixtures("", "fx_books") + f""",
+loads AS (SELECT book_id, 1 AS load_seq, 'CACHE COPY ' || raw_text AS raw_text FROM fx_books
       UNION ALL SELECT book_id, 2, raw_text FROM fx_books
-      UNION ALL SELECT book_id, 3, '' FROM fx_books WHERE book_id % 9 = 0) GROUP BY book_id""",
-        "fx_books",
-    ),
+      UNION ALL SELECT book_id, 3 + k, t FROM fx_books, (VALUES {', '.join(f"({k}, {sql_literal(t)})" for k, t in enumerate(FAILED_LOADS))}) f(k, t) WHERE (book_id + k) % 9 = 0),
+good AS (SELECT * FROM loads WHERE {S.strip_markers('raw_text')} <> '')
+SELECT book_id, max(load_seq) AS load_seq, CAST(length(arg_max(raw_text, load_seq)) AS BIGINT) AS n_chars, sha256(arg_max(raw_text, load_seq)) AS text_hash FROM good GROUP BY book_id
+""",
 )
 def q_replace_on_reload(spark, sf):
     b = fx_books(spark, sf)
     loads = (
         b.select("book_id", F.lit(1).alias("load_seq"), F.concat(F.lit("CACHE COPY "), "raw_text").alias("raw_text"))
         .unionByName(b.select("book_id", F.lit(2).alias("load_seq"), "raw_text"))
-        .unionByName(b.filter(F.col("book_id") % 9 == 0).select("book_id", F.lit(3).alias("load_seq"), F.lit("").alias("raw_text")))
     )
+    for k, t in enumerate(FAILED_LOADS):
+        loads = loads.unionByName(b.filter((F.col("book_id") + k) % 9 == 0).select("book_id", F.lit(3 + k).alias("load_seq"), F.lit(t).alias("raw_text")))
     latest = B.latest_loads(loads)
     return latest.select("book_id", "load_seq", F.length("raw_text").cast("bigint").alias("n_chars"), F.sha2("raw_text", 256).alias("text_hash"))
 
@@ -175,6 +179,25 @@ def q_write_keyed_reload(spark, sf):
     return spark.read.parquet(path).select("book_id", "dlg_ord", "line")
 
 
+@query(
+    "atomic_reload",
+    with_fixtures(
+        "SELECT book_id, dlg_ord, CASE WHEN book_id % 5 = 0 THEN 'again: ' || line ELSE line END AS line, true AS seen_old FROM fx_dialogues "
+        "WHERE book_id % 7 <> 3 AND (book_id % 5 <> 0 OR dlg_ord % 2 = 0)",
+        "fx_dialogues",
+    ),
+)
+def q_atomic_reload(spark, sf):
+    """As ``write_keyed_reload``, switched at once: the version before the reload is still whole beside the new one."""
+    d = fx_dialogues(spark, sf).select("book_id", "dlg_ord", "line")
+    t = KeyedTable(spark, scratch_path(spark, "atomic"))
+    first = t.replace(d, "book_id", 16)
+    again = d.filter((F.col("book_id") % 5 == 0) & (F.col("book_id") % 7 != 3) & (F.col("dlg_ord") % 2 == 0)).withColumn("line", F.concat(F.lit("again: "), "line"))
+    t.replace(again, "book_id", 16, gone=d.select("book_id").distinct().filter((F.col("book_id") % 5 == 0) | (F.col("book_id") % 7 == 3)))
+    before = t.read(first).select("book_id", "dlg_ord").withColumn("__was", F.lit(True))
+    return t.read().join(before, ["book_id", "dlg_ord"], "left").select("book_id", "dlg_ord", "line", F.coalesce("__was", F.lit(False)).alias("seen_old"))
+
+
 # ------------------------------------------------------------------ J2, V1-V3
 VOICE_CHOICES = [k for k, _, _ in K.VOICES] + ["Robot Voice (Unknown)"]
 VOICES_SQL = "(VALUES " + ", ".join(f"({sql_literal(k)}, {sql_literal(n)}, {sql_literal(g)})" for k, n, g in K.VOICES) + ") v(voice_key, voice_name, gender)"

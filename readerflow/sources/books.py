@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as T
+from ..operators.barrier import materialize
 
 # Largest landed file that is read as one value.
 MAX_FILE_BYTES = 256 << 20
@@ -129,16 +130,21 @@ def book_scan_fallback(candidates: DataFrame, requested: DataFrame | None = None
 def split_loaded(books: DataFrame, text_col: str = "raw_text", footer: str = "exact") -> tuple[DataFrame, DataFrame]:
     """(loaded, load_errors); a text without anything but white space
     between its markers is a load failure."""
-    ok = F.coalesce(T.strip_markers(text_col, footer) != F.lit(""), F.lit(False))
+    ok = loaded(text_col, footer)
     return books.filter(ok), books.filter(~ok).select("book_id", F.lit("empty text").alias("reason"))
 
 
-def latest_loads(loads: DataFrame, seq_col: str = "load_seq", text_col: str = "raw_text") -> DataFrame:
-    """A successful (non-empty) load replaces the previous one; failed
-    loads change nothing. The latest (book_id, load_seq) is found first; the
-    texts are not aggregated but follow in a semi-join. ``load_seq`` is unique
-    within a book."""
-    good = loads.filter(F.length(text_col) > 0)
+def loaded(text_col: str = "raw_text", footer: str = "exact") -> Column:
+    """Whether a text has anything but white space between its markers."""
+    return F.coalesce(T.strip_markers(text_col, footer) != F.lit(""), F.lit(False))
+
+
+def latest_loads(loads: DataFrame, seq_col: str = "load_seq", text_col: str = "raw_text", footer: str = "exact") -> DataFrame:
+    """A successful load replaces the previous one; failed ones change
+    nothing. As in S4, a load without a text between its markers has failed.
+    The latest (book_id, load_seq) is found first; the texts are not aggregated
+    but follow in a semi-join. ``load_seq`` is unique within a book."""
+    good = materialize(loads, **{text_col: F.col(text_col)}).filter(loaded(text_col, footer))
     latest = good.select("book_id", seq_col).groupBy("book_id").agg(F.max(seq_col).alias(seq_col))
     return good.join(latest, ["book_id", seq_col], "left_semi").select(*loads.columns)
 

@@ -52,9 +52,18 @@ def write_keyed(df: DataFrame, path: str, key: str, buckets: int, replace: DataF
     The keys of ``df`` (or of ``replace``, which may hold keys without any row
     left) are replaced; all other keys of the touched buckets are kept. The new
     content of those buckets is staged beside the table and then moved in, so
-    the table is never read while it is overwritten.
+    the table is never read while it is overwritten. Readers may meet some
+    buckets old and some new meanwhile; ``tables.KeyedTable`` replaces them all
+    at once. The number of buckets is kept with the table: another one would
+    leave old rows in buckets that are not touched, so it raises.
     """
     spark = df.sparkSession
+    layout = f"{path.rstrip('/')}__layout"
+    if not exists(spark, layout):
+        spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.parquet(layout)
+    held = spark.read.schema("buckets int").parquet(layout).first()[0]
+    if held != buckets:
+        raise ValueError(f"the table at {path} has {held} buckets, not {buckets}")
     new = df.withColumn("bucket", key_bucket(key, buckets))
     if not exists(spark, path):
         return write_table(new, path, ["bucket"])
