@@ -14,6 +14,9 @@ and surroundings).
 
 Only the contents of script, style, title and textarea are no text; every other
 element is a node or part of one, so nothing else is dropped before the trees.
+Buttons, labels, selections and noscript parts are nodes like blocks, so that they
+can go while the text around them stays. Reading a page takes time in proportion
+to its length, however broken its tags and quotes are.
 
 Defined results: null, empty and text-free html gives an empty text; repeated
 rows are extracted each; an empty table gives an empty result. Only page_id, url
@@ -22,6 +25,7 @@ and html are read, so further columns never clash.
 
 from __future__ import annotations
 
+import bisect
 import html as html_lib
 import random
 import re
@@ -34,23 +38,22 @@ from pyspark.sql import functions as F
 
 from .common import slices, table
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S | re.I)
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style", "textarea", "title")}
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+QUOTED = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+")
+MARK = re.compile("[>\"']")
 ATTRS = re.compile(r"\b(class|id|role|data-keep)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html body head article section main header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
     "blockquote pre figure figcaption form fieldset legend address details summary dialog menu hgroup center hr search".split())
 INLINE_SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+# parts of forms and notices in the run of a text: nodes of their own, though they begin no block
+EMBEDDED = frozenset("noscript select option optgroup datalist button label".split())
 CLOSES_P = BLOCK - {"html", "body", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary"}
 LIMITS = frozenset("table ul ol dl td th article section div body html".split())
 TAGS = ["html", "body", "article", "main", "section", "div", "p", "h1", "h2", "h3", "li", "ul", "td", "table", "blockquote", "pre", "figure",
-        "header", "footer", "nav", "aside", "form", "address", "dialog", "menu"]
+        "header", "footer", "nav", "aside", "form", "address", "dialog", "menu", "noscript", "select", "option", "button", "label"]
 GROUPS = [
     ("body", r"article|content|entry|story|main|post|text|prose|body"),
     ("menu", r"nav|menu|breadcrumb|pagination|pager|toc|skip"),
@@ -64,7 +67,7 @@ GROUPS = [
     ("social", r"share|social|follow|like|tags?$|byline|meta|author"),
 ]
 GROUP_RE = [re.compile(p) for _, p in GROUPS]
-NEGATIVE_TAGS = frozenset(("nav", "footer", "aside", "form", "dialog", "menu", "search"))
+NEGATIVE_TAGS = frozenset(("nav", "footer", "aside", "form", "dialog", "menu", "search", "noscript", "select", "button", "label"))
 N_FEATURES = 20 + len(GROUPS)
 
 
@@ -91,11 +94,89 @@ def _attr_bits(tokens: str) -> int:
     return bits
 
 
+class Ends:
+    """Where start tags end in one page: at the first ``>`` outside of quotes, or, if the quotes do not close, at the first one.
+
+    What a search for closing quotes runs over and fails on is remembered, so that no stretch is searched twice.
+    """
+
+    def __init__(self, doc: str) -> None:
+        self.doc = doc
+        self.marks: list[int] | None = None  # places of > " ', made where quotes first fail to close
+        self.next_same: list[int] = []
+        self.dead: set[int] = set()
+
+    def find(self, at: int) -> int:
+        """Place of the end of the start tag whose attributes begin at ``at``; there is a ``>`` behind."""
+        if self.marks is None:
+            stop = QUOTED.match(self.doc, at).end()
+            if stop < len(self.doc) and self.doc[stop] == ">":
+                return stop
+            self.marks = [m.start() for m in MARK.finditer(self.doc, at)]
+            later: dict[str, int] = {}
+            self.next_same = [0] * len(self.marks)
+            for k in range(len(self.marks) - 1, -1, -1):
+                c = self.doc[self.marks[k]]
+                self.next_same[k] = later.get(c, -1)
+                later[c] = k
+        k, seen = bisect.bisect_left(self.marks, at), []
+        while k < len(self.marks) and k not in self.dead:
+            if self.doc[self.marks[k]] == ">":
+                return self.marks[k]
+            seen.append(k)
+            if self.next_same[k] < 0:
+                break
+            k = self.next_same[k] + 1
+        self.dead.update(seen)
+        return self.doc.find(">", at)
+
+
+def tokens(doc: str):
+    """(begin, end, name of an end tag, name of a start tag, its attributes) of comments, declarations, raw text and tags, in one pass.
+
+    Comments without an end and the contents of raw-text elements without an end tag reach to the end of the page. A ``<`` that begins none of these is text.
+    """
+    ends, last, at = Ends(doc), doc.rfind(">"), doc.find("<")
+    while at >= 0:
+        c = doc[at + 1:at + 2]
+        stop = end = tag = None
+        attrs = ""
+        if doc.startswith("<!--", at):
+            stop = doc.find("-->", at + 4)
+            stop = len(doc) if stop < 0 else stop + 3
+        elif last > at:
+            if c in ("!", "?") and c:
+                stop = doc.find(">", at) + 1
+            elif c == "/":
+                m = NAME.match(doc, at + 2)
+                if m and m.end() <= last:
+                    end, stop = m[0], doc.find(">", m.end()) + 1
+            elif m := NAME.match(doc, at + 1):
+                raw = RAW.get(m[0].lower())
+                if raw is not None and m.end() <= last:
+                    stop = doc.find(">", m.end()) + 1
+                    close = raw.search(doc, stop)
+                    stop = doc.find(">", close.end()) + 1 if close else 0
+                    stop = stop or len(doc)
+                elif m.end() <= last:
+                    stop = ends.find(m.end())
+                    tag, attrs, stop = m[0], doc[m.end():stop], stop + 1
+        if stop is None:
+            at = doc.find("<", at + 1)
+            continue
+        yield at, stop, end, tag, attrs
+        at = doc.find("<", stop)
+
+
 def parse(html: str | None) -> Page:
     """One pass over the tags; missing and stray end tags are repaired as browsers do for the common cases."""
     page = Page()
     tag_no = {t: k for k, t in enumerate(TAGS)}
     stack: list[tuple[str, int]] = []  # (tag, node or the node around an inline tag)
+    # places in the stack of each open tag, of the open blocks and of the open limits
+    held: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    limits: list[int] = []
     block, links, top = 0, 0, -1
     at, doc = 0, html or ""
 
@@ -114,6 +195,11 @@ def parse(html: str | None) -> Page:
         nonlocal top, links, block
         while len(stack) > to:
             tag, node = stack.pop()
+            held[tag].pop()
+            if tag in LIMITS:
+                limits.pop()
+            if tag in BLOCK:
+                blocks.pop()
             if tag == "a":
                 links -= 1
             if tag in BLOCK:
@@ -126,7 +212,7 @@ def parse(html: str | None) -> Page:
         nonlocal top, links, block
         found = ATTRS.findall(attrs) if attrs and "=" in attrs and tag != "a" else ()
         names = " ".join(a or b or c for k, a, b, c in found if k.lower() != "data-keep")
-        if tag in BLOCK or names or top < 0:
+        if tag in BLOCK or tag in EMBEDDED or names or top < 0:
             k = len(page.tag)
             page.tag.append(tag_no.get(tag, len(TAGS)))
             page.parent.append(top)
@@ -144,14 +230,22 @@ def parse(html: str | None) -> Page:
             page.last.append(0)
             page.keep.append(next((int(a or b or c) for k2, a, b, c in found if k2.lower() == "data-keep"), -1) if found else -1)
             top = k
+        held.setdefault(tag, []).append(len(stack))
+        if tag in LIMITS:
+            limits.append(len(stack))
+        if tag in BLOCK:
+            blocks.append(len(stack))
         stack.append((tag, top))
         if tag == "a":
             links += 1
         if tag in BLOCK:
             block += 1
 
-    for m in TOKEN.finditer(doc):
-        s = m.start()
+    def place(names) -> int:
+        """Place of the innermost open element of these names, or -1."""
+        return max((held[t][-1] for t in names if held.get(t)), default=-1)
+
+    for s, stop, end, tag, attrs in tokens(doc):
         if s > at:
             if top < 0:
                 if doc[at:s].strip():
@@ -159,44 +253,30 @@ def parse(html: str | None) -> Page:
                     text(doc[at:s])
             else:
                 text(doc[at:s])
-        at = m.end()
-        end, tag = m[2], m[3] or m[5]
+        at = stop
         if end:
             end = end.lower()
-            if end in ("p", "br") and not any(t == end for t, _ in stack):
-                block += 1
-                continue
-            for k in range(len(stack) - 1, -1, -1):
-                t = stack[k][0]
-                if t == end:
-                    pop(k)
-                    break
-                if (end not in BLOCK and t in BLOCK) or (end in ("p", "li") and t in LIMITS):
-                    break
+            k = place((end,))
+            if k < 0:
+                block += end in ("p", "br")
+            elif not (end not in BLOCK and blocks and blocks[-1] > k or end in ("p", "li") and limits and limits[-1] > k):
+                pop(k)
         elif tag:
-            tag, attrs = tag.lower(), m[4] or m[6] or ""
+            tag = tag.lower()
             if tag in VOID:
                 if tag == "br" and top >= 0:
                     page.pieces.append((top, block, " "))
                 elif tag == "hr":
                     block += 1
                 continue
-            if tag in ("html", "body") and any(t == tag for t, _ in stack):
+            if tag in ("html", "body") and held.get(tag):
                 continue
-            if tag == "body":
-                for k, (t, _) in enumerate(stack):
-                    if t == "head":
-                        pop(k)
-                        break
+            if tag == "body" and held.get("head"):
+                pop(held["head"][0])
             closes = INLINE_SELF_CLOSING.get(tag, ()) + (("p",) if tag in CLOSES_P else ())
-            if closes:
-                for k in range(len(stack) - 1, -1, -1):
-                    t = stack[k][0]
-                    if t in closes:
-                        pop(k)
-                        break
-                    if t in LIMITS:
-                        break
+            k = place(closes)
+            if k >= 0 and (not limits or k >= limits[-1]):
+                pop(k)
             push(tag, attrs)
             if attrs.endswith("/") and tag not in BLOCK:
                 pop(len(stack) - 1)
@@ -353,8 +433,20 @@ def training_page(rng: random.Random) -> str:
     def links(n: int, keep: int = 0) -> str:
         return el(pick(("ul", "ul", "div")), keep, "".join(el("li", keep, f'<a href="/x">{say(1, 4)}</a>') for _ in range(n)))
 
+    def embedded() -> str:
+        """A part of a form or a notice, as it stands in the run of a text."""
+        r = rng.random()
+        if r < 0.3:
+            return el("button", 0, say(1, 3), ("btn", "share", "more"), 0.4)
+        if r < 0.5:
+            return el("noscript", 0, say(1, 12))
+        if r < 0.75:
+            return el("label", 0, say(1, 3), ("field",), 0.2) + (el("select", 0, "".join(el("option", 0, say(1, 2)) for _ in range(rng.randint(1, 5)))) if rng.random() < 0.6 else "<input>")
+        return el("select", 0, "".join(el("option", 0, say(1, 2)) for _ in range(rng.randint(1, 5))))
+
     def paragraphs(n: int, keep: int, a: int, b: int) -> str:
-        some = (el("p", keep, (f"<b>{say(a, b)}</b>" if rng.random() < 0.1 else say(a, b)) + (f' <a href="/y">{say(1, 3)}</a>' if rng.random() < 0.15 else "")) for _ in range(n))
+        some = (el("p", keep, (f"<b>{say(a, b)}</b>" if rng.random() < 0.1 else say(a, b)) + (f' <a href="/y">{say(1, 3)}</a>' if rng.random() < 0.15 else "")
+                   + (" " + embedded() if rng.random() < 0.04 else "")) for _ in range(n))
         return "".join(some)
 
     body = []
@@ -382,6 +474,8 @@ def training_page(rng: random.Random) -> str:
             inside.append(ads())
         elif r < 0.19:
             inside.append(el("div", 0, links(3), ("share", "social", "related"), 1.0))
+        elif r < 0.22:
+            inside.append(embedded())
     article = el(pick(("article", "article", "main", "div", "section")), 1, "".join(inside), ("content", "article-body", "post", "entry-content", "story"), 0.5)
     if rng.random() < 0.3:
         article = el(pick(("main", "div")), 1, article, ("main", "wrapper", "container"), 0.6)
@@ -391,8 +485,10 @@ def training_page(rng: random.Random) -> str:
     if rng.random() < 0.4:
         talk = "".join(el("div", 0, el("span", 0, say(1, 2), ("author",), 1.0) + paragraphs(rng.randint(1, 2), 0, 3, 50), ("comment", "reply"), 0.9) for _ in range(rng.randint(1, 6)))
         body.append(el(pick(("section", "div")), 0, el("h3", 0, "Comments") + talk, ("comments", "discussion", "disqus", "responses"), 1.0))
+    if rng.random() < 0.15:
+        body.append(embedded())
     if rng.random() < 0.35:
-        body.append(el("form", 0, el("p", 0, say(2, 8)) + el("div", 0, say(1, 3)), ("search", "login", "signup", "contact"), 0.6))
+        body.append(el("form", 0, el("p", 0, say(2, 8)) + el("div", 0, say(1, 3)) + (embedded() if rng.random() < 0.6 else ""), ("search", "login", "signup", "contact"), 0.6))
     if rng.random() < 0.8:
         body.append(el(pick(("footer", "footer", "div")), 0, (paragraphs(1, 0, 3, 20) if rng.random() < 0.5 else say(3, 20)) + (links(3) if rng.random() < 0.4 else ""), ("footer", "site-footer", "copyright"), 0.9))
     return f'<html data-keep="1"><head data-keep="0"></head><body data-keep="1">{"".join(body)}</body></html>'

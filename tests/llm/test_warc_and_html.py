@@ -1,9 +1,12 @@
 """WARC round trip through byte ranges; main text of pages."""
 
 import hashlib
+import itertools
 import random
+import time
 import zlib
 
+import numpy as np
 import pytest
 
 from readerflow.llm import op4_warc as op4
@@ -124,6 +127,54 @@ def test_only_raw_text_is_no_text(html, want):
     assert " ".join(" ".join(x for _, _, x in op5.parse(html).pieces).split()) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ('<p>a</p><a title="x > y" href=z>b</a> c', "ab c"), ("<p title='it\">a</p>b", "ab"), ('<p x="a>b</p> c <i>d', "b c d"), ("<p>1 < 2 and <b>3</b> <3</p>", "1 < 2 and 3 <3"),
+    ('<a t="1>2" u=\'3\'>k</a><p v="open>l</p><a w=\'>m', "klm"), ("<!-- a <b> <p>x", ""), ("<p>a<!-- x --><?php y ?>b<!DOCTYPE z>c", "abc"), ("a</>b</ c>d", "a</>b</ c>d"), ("x <title>t</titles> u</title >v", "x v"),
+])
+def test_tags(html, want):
+    assert " ".join("".join(x for _, _, x in op5.parse(html).pieces).split()) == want
+
+
+@pytest.mark.parametrize("unit, tail", [
+    ("<script ", ""), ("<script ", ">"), ('<a x="', ""), ('<a x="', ">"), ("<a x=\"'", "'>"), ('<a x=">', "'"), ("<a '", '"">'), ("<", ""), ("<!--", ""), ("</script ", ""), ("<title>", ""), ("</i>", ""), ("<b></i>", ""), ("<p><b></i>", ""),
+    ("<li><b>", ""), ("<a b='><c d=\">", ""),
+])
+def test_time_is_linear(unit, tail):
+    def seconds(n):
+        t = time.perf_counter()
+        op5.parse(unit * (n // len(unit)) + tail)
+        return time.perf_counter() - t
+
+    seconds(1000)
+    assert seconds(1 << 20) < 8
+
+
+def test_many_open_tags_before_stray_ends():
+    for html in ("<b>" * 150_000 + "</i>" * 150_000, "<i><div>" + "<b>" * 150_000 + "</i>" * 150_000, "<p><table>" + "<b>" * 150_000 + "<p></p>" * 100_000):
+        t = time.perf_counter()
+        op5.parse(html)
+        assert time.perf_counter() - t < 10
+
+
+def test_parts_of_forms_go(trees):
+    body = " ".join(["This is a sentence of the article that goes on for some words."] * 6)
+    html = f"""<html><body><nav><a href=/>Home</a></nav><article><h1>A heading of it</h1><p>{body} <button>Share this</button></p><noscript>Please enable scripts.</noscript>
+    <p>{body}</p><label>Size</label><select><option>One<option>Two</select><p>{body}</p></article><form><p>Mail</p><button>Send</button></form></body></html>"""
+    assert _text(html, trees) == "\n".join(["A heading of it", body, body, body])
+
+
+def test_decoding_is_the_best_labelling(trees):
+    """Against all labellings of small trees in which nothing below a dropped node is kept."""
+    rng = random.Random(5)
+    for _ in range(60):
+        page = op5.parse("<body>" + "".join(rng.choice(["<div>", "</div>", "<section>", "</section>", "x"]) for _ in range(14)))
+        n = len(page.tag)
+        z = np.array([rng.uniform(-3, 3) for _ in range(n)])
+        value = lambda kept: sum(-np.logaddexp(0, -v) if k else -np.logaddexp(0, v) for k, v in zip(kept, z))
+        fair = [kept for kept in itertools.product([False, True], repeat=n) if all(not k or u < 0 or kept[u] for k, u in zip(kept, page.parent))]
+        assert abs(value(op5.decode(page, z)) - max(map(value, fair))) < 1e-9
+
+
 def test_odd_pages(spark, trees):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None, None), (2, "u", ""), (3, "u", "   "), (4, "u", "<"), (5, "u", "<p"), (6, "u", "</p></div><article>"), (7, "u", deep), (8, "u", "<p>" + "word " * 200_000), (9, "u", "<a b='"), (9, "u", "<a b='"), (None, "u", "<p>x</p>")]
