@@ -96,7 +96,16 @@ class Lexicon:
             elif w > hits.get(at, -1e9):
                 hits[at] = w
         if spared:
-            hits = {at: w for at, w in hits.items() if not any(x <= at <= y for x, y in spared)}
+            # both in order of their place: one pass; ``upto`` is the end of the phrases that begin before a hit
+            spared.sort()
+            left, k, upto = {}, 0, -1
+            for at in sorted(hits):
+                while k < len(spared) and spared[k][0] <= at:
+                    upto = max(upto, spared[k][1])
+                    k += 1
+                if at > upto:
+                    left[at] = hits[at]
+            hits = left
         return sum(hits.values()), len(hits), n_words
 
     def judge(self, text: str | None) -> tuple[float, int, int, float]:

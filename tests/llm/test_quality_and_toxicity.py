@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -115,6 +117,30 @@ def test_toxicity_folding_and_exceptions():
     assert lex.evidence(None) == (0.0, 0, 0)
 
 
+def test_toxicity_matcher_equals_plain_search():
+    """Heaviest stem of each word, no word that begins inside an exception phrase."""
+    rng = random.Random(9)
+    stems = {"tra": 1.0, "trash": 2.5, "clow": 3.0, "scum": 1.5, "lo": 0.5, "loser": 2.0}
+    lex = op9.Lexicon(stems)
+    vocab = ["trash", "TR4SH", "can", "bin", "class", "clown", "fish", "car", "sore", "loser", "rule", "pond", "scum", "local", "ok", "trace", "-", "clowns"]
+    for _ in range(300):
+        t = op9.fold(" ".join(rng.choice(vocab) for _ in range(rng.randint(0, 40))))
+        spans = [(m.start(), m.start() + len(p)) for p in map(op9.fold, op9.EXCEPTIONS) for m in re.finditer(f"(?={re.escape(p)})", t)]
+        hits = []
+        for m in re.finditer(r"(?<= )\S+", t):
+            fit = [w for s, w in stems.items() if m.group().startswith(s)]
+            if fit and not any(a < m.start() < b for a, b in spans):
+                hits.append(max(fit))
+        assert lex.evidence(t[1:])[:2] == (sum(hits), len(hits))
+
+
+def test_toxicity_time_is_linear():
+    text = "trash trash can clown fish " * 60_000
+    t = time.perf_counter()
+    lex = op9.Lexicon({"trash": 2.0, "clow": 1.0})
+    assert lex.evidence(text)[1] == 60_000 and time.perf_counter() - t < 10
+
+
 def test_toxicity_odd_rows(spark, documents):
     docs = documents(ODD)
     for lex in (op9.Lexicon({}), op9.fit_lexicon(docs, _labels(spark, [])), op9.fit_lexicon(docs, _labels(spark, [(4, 1, 1), (5, 1, 0), (6, 1, 0), (2, 0, None)]), min_docs=1)):
