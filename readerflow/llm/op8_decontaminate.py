@@ -190,19 +190,34 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                       rate: float = RATE, min_piece: int = MIN_PIECE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows that no item matches, with all their columns. Filters in place, without a join."""
+    """The rows that no item matches, with all their columns.
+
+    Each block's matched texts are written as two hashes before the next block
+    is read, so that a task and the driver hold one block at a time; one
+    anti-join by the hashes follows, for which Spark broadcasts them where they
+    are small.
+    """
+    spark, root = docs.sparkSession, scratch_path(docs.sparkSession, "contaminated")
+    key = ("__matched_1", "__matched_2")
+    hashed = dict(zip(key, (F.xxhash64(text_col), F.xxhash64(F.lit(1), text_col))))
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), *[c.alias(n) for n, c in hashed.items()])
+    schema = f"{key[0]} long, {key[1]} long"
+    paths = []
 
-    def clean(matcher: Matcher, at: int):
+    def matched(matcher: Matcher):
         def run(batches):
             for b in batches:
-                yield b.filter(pa.array([not matcher.matches(t, first_only=True) for t in b.column(at).to_pylist()], pa.bool_()))
+                yield b.select(list(key)).filter(pa.array([bool(matcher.matches(t, first_only=True)) for t in b.column(0).to_pylist()], pa.bool_()))
 
         return run
 
-    out = docs
-    for part in blocks(benchmark, item_col, item_text, block_chars):
-        out = out.mapInArrow(clean(Matcher(part, rate, min_piece), docs.columns.index(text_col)), docs.schema)
-    return out
+    for k, part in enumerate(blocks(benchmark, item_col, item_text, block_chars)):
+        rows.mapInArrow(matched(Matcher(part, rate, min_piece)), schema).write.parquet(f"{root}/{k}")
+        paths.append(f"{root}/{k}")
+    if not paths:
+        return docs
+    gone = spark.read.schema(schema).parquet(*paths).distinct()
+    return docs.withColumns(hashed).join(gone, list(key), "left_anti").select(*docs.columns)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,23 @@ def test_runs_compact(spark, tmp_path):
     assert sorted(tuple(r) for r in runs.owners().collect()) == [(1, 1, 0), *((k + 10, 2, k) for k in range(5))]
 
 
+# --- contamination in blocks
+
+def test_contaminated_rows_go_whatever_the_blocks(spark, documents):
+    rng = random.Random(11)
+    items = [_say(rng, 20) for _ in range(12)]
+    bench = spark.createDataFrame([(k, t) for k, t in enumerate(items)] + [(90, None), (91, "")], "item_id long, text string")
+    rows = [(k, _say(rng, 30) + " " + items[k % 12] + " " + _say(rng, 5)) for k in range(24)] + [(k, _say(rng, 60)) for k in range(30, 50)]
+    rows += [(60, None), (61, ""), (None, rows[0][1]), (None, "clean text"), (3, rows[3][1])]
+    want = sorted((str(i), t) for i, t in rows if not any(op8.normal(x) in op8.normal(t) for x in items))
+    for size in (10**6, 300, 1):
+        out = op8.drop_contaminated(documents(rows), bench, block_chars=size)
+        assert out.columns == documents(rows).columns and out._jdf.queryExecution().toString().count("MapInArrow") == 0
+        assert sorted((str(r["doc_id"]), r["text"]) for r in out.collect()) == want
+    assert op8.drop_contaminated(documents(rows), bench.limit(0)).count() == len(rows)
+    assert op8.drop_contaminated(documents([]), bench).count() == 0
+
+
 # --- repeated strings
 
 def _repeat_rows(rng):
