@@ -36,13 +36,14 @@ from .operators import inference as I
 from .operators import practice as P
 from .operators import voice as V
 from .sources import books as B
+from .sources import large_books as LB
 from .sources import media as M
 
 
 def fetch_books(spark: SparkSession, landed_dir: str, requested: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """S3 + S4: (loaded books (book_id, priority, raw_text), load_errors).
     ``requested(book_id)`` reports requested books without any usable file;
-    files too large for one value are reported too."""
+    files too large for one value are reported too (:func:`large_book_chapters` reads them)."""
     books, errors = B.split_loaded(B.book_scan_fallback(B.scan_landed_books(spark, landed_dir), requested))
     return books, errors.unionByName(B.oversized_files(spark, landed_dir))
 
@@ -180,6 +181,11 @@ def analyse_conversations(messages: DataFrame, client_factory, out_path: str) ->
     return req.drop("prompt").join(res.select("prompt_hash", F.col("raw").alias("analysis"), "status", "error"), "prompt_hash", "inner")
 
 
+def large_book_chapters(spark: SparkSession, landed_dir: str) -> DataFrame:
+    """S3 + T1-T9: (book_id, chapter_ord, title, body) of the landed books that are too large for :func:`fetch_books`."""
+    return LB.large_book_chapters(spark, landed_dir)
+
+
 def speech_requests(lines: DataFrame, text_col: str = "line", key_col: str = "voice_key", rate_col: str = "rate") -> DataFrame:
     """V3: synthesis request manifest (the synthesiser itself is external)."""
     return V.voice_manifest(lines, text_col, key_col, rate_col)
@@ -192,6 +198,6 @@ def transcribe(spark: SparkSession, audio_dir: str, client_factory, out_path: st
 
 __all__ = [
     "analyse_conversations", "chat_replies", "evaluate_responses", "extract_chapters", "extract_dialogues",
-    "extraction_requests", "fetch_books", "first_window_requests", "hints", "modernise", "preprocess", "preprocess_books", "record_practice",
+    "extraction_requests", "fetch_books", "first_window_requests", "hints", "large_book_chapters", "modernise", "preprocess", "preprocess_books", "record_practice",
     "roleplay_requests", "roleplay_setups", "speech_requests", "spoken_practice", "spoken_turns", "transcribe",
 ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import text as T
 from ..operators import chapters as CH
+from ..sources import large_books as LB
 from ..sources.fixtures import fx_books, table, with_fixtures
 from . import sqlgen as S
 from .registry import query
@@ -127,6 +128,13 @@ def q_dedup_chapters_whole(spark, sf):
     return CH.chapters(CH.clean_books(_books(spark, sf), max_chars=None))
 
 
+@query("large_book_chapters", _chapter_sql("SELECT book_id, chapter_ord, title, body FROM chapters", max_chars=None))
+def q_large_book_chapters(spark, sf):
+    """S3: chapters from lines in ranges of twenty, as the range reader gives them."""
+    b = _books(spark, sf).select("book_id", F.posexplode(F.split("raw_text", "\n", -1)).alias("n", "line"))
+    return LB.line_chapters(b.select("book_id", F.floor(F.col("n") / 20).alias("part"), F.col("n").cast("long").alias("pos"), "line"))
+
+
 DEFAULT_CHAPTERS_SQL = _chapter_sql(
     f"SELECT book_id, chapter_ord, title, CAST(length(body) AS BIGINT) AS n_chars, sha256(body) AS body_hash FROM chapters "
     f"WHERE chapter_ord <= {K.DEFAULT_CHAPTERS}"

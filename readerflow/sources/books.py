@@ -76,12 +76,17 @@ def catalog_search(queries: DataFrame, q_col: str = "q") -> DataFrame:
 
 
 # ------------------------------------------------------------------ S3, S4, S7
+def landed_key(name: Column) -> tuple[Column, Column]:
+    """(book id, location priority) of a landed file's name; null for other files."""
+    book_id = F.coalesce(*[F.when(name.rlike(p), F.regexp_extract(name, p, 1)) for p, _ in FILE_PATTERNS])
+    return book_id.cast("bigint"), F.coalesce(*[F.when(name.rlike(p), F.lit(n)) for p, n in FILE_PATTERNS])
+
+
 def _landed_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, content) of the landed files with their book id and location priority."""
     raw = spark.read.format("binaryFile").load(path).withColumn("__file", F.regexp_extract("path", "([^/]+)$", 1))
-    book_id = F.coalesce(*[F.when(F.col("__file").rlike(p), F.regexp_extract("__file", p, 1)) for p, _ in FILE_PATTERNS])
-    priority = F.coalesce(*[F.when(F.col("__file").rlike(p), F.lit(n)) for p, n in FILE_PATTERNS])
-    return raw.select(book_id.cast("bigint").alias("book_id"), priority.alias("priority"), "path", "length", "content").filter(
+    book_id, priority = landed_key(F.col("__file"))
+    return raw.select(book_id.alias("book_id"), priority.alias("priority"), "path", "length", "content").filter(
         F.col("book_id").isNotNull()
     )
 
@@ -89,8 +94,9 @@ def _landed_files(spark: SparkSession, path: str) -> DataFrame:
 def scan_landed_books(spark: SparkSession, path: str, max_file_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """S3 source: every landed file as one row (book_id, priority, raw_text).
 
-    A file is one value, so files over ``max_file_bytes`` are not read; they
-    are reported by :func:`oversized_files`. The size condition reaches the
+    A file is one value here, so files over ``max_file_bytes`` are not read;
+    they are reported by :func:`oversized_files`, and ``large_books`` gives
+    their chapters. The size condition reaches the
     file listing. Zero-byte files give no row, so the next location wins.
     """
     files = _landed_files(spark, path).filter((F.col("length") > 0) & (F.col("length") <= max_file_bytes))
