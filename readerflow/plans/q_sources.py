@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import sql_literal, sql_text, words
 from ..operators import rules as R
+from ..operators.maintained import MaintainedDialogues
 from ..operators import voice as V
 from ..session import scratch_path
 from ..sources import books as B
@@ -219,6 +220,30 @@ def q_atomic_reload(spark, sf):
     return t.read().join(before, ["book_id", "dlg_ord"], "left").select("book_id", "dlg_ord", "line", F.coalesce("__was", F.lit(False)).alias("seen_old"))
 
 
+@query(
+    "maintained_counts",
+    with_fixtures("", "fx_dialogues") + f""",
+books AS (SELECT book_id, CASE WHEN book_id % 4 = 0 THEN 1 ELSE 2 END AS load_seq FROM (SELECT DISTINCT book_id FROM fx_dialogues)),
+d AS (SELECT b.book_id, b.load_seq, coalesce(difficulty, {sql_literal(K.DEFAULT_DIFFICULTY)}) AS difficulty, coalesce(speaker, {sql_literal(K.UNKNOWN_SPEAKER)}) AS speaker
+      FROM books b JOIN ({_LOADED_SQL.replace("line,", "line, difficulty, speaker,")}) f ON b.book_id = f.book_id AND b.load_seq = f.load_seq)
+SELECT books.book_id, CAST(books.load_seq AS BIGINT) AS load_seq, count(d.book_id) AS n_dialogues, count(*) FILTER (difficulty = 'Beginner') AS n_beginner,
+  count(*) FILTER (difficulty = 'Advanced') AS n_advanced, coalesce(string_agg(DISTINCT speaker, ', ' ORDER BY speaker), '') AS speakers
+FROM books LEFT JOIN d ON books.book_id = d.book_id GROUP BY books.book_id, books.load_seq
+""",
+)
+def q_maintained_counts(spark, sf):
+    """S7 + A1-A3: facts kept under two reloads, the second of which fails for every fourth book."""
+    d = fx_dialogues(spark, sf).withColumn("load_seq", (1 + (F.col("dlg_ord") + 1) % 2).cast("int"))
+    d = d.select("book_id", "load_seq", "dlg_ord", "speaker", "difficulty", "line")
+    books = d.select("book_id").distinct()
+    t = MaintainedDialogues(spark, scratch_path(spark, "maintained"), 16)
+    t.reload(books.select("book_id", F.lit(1).alias("load_seq"), F.lit("first").alias("raw_text")), d.filter("load_seq = 1"))
+    again = F.when(F.col("book_id") % 4 == 0, F.lit(" ")).otherwise(F.lit("second"))
+    t.reload(books.select("book_id", F.lit(2).alias("load_seq"), again.alias("raw_text")), d.filter("load_seq = 2"))
+    by = F.map_from_entries("n_by_difficulty")
+    return t.facts.read().select("book_id", "load_seq", "n_dialogues", by["Beginner"].alias("n_beginner"), by["Advanced"].alias("n_advanced"), F.array_join("speakers", ", ").alias("speakers"))
+
+
 # ------------------------------------------------------------------ J2, V1-V3
 VOICE_CHOICES = [k for k, _, _ in K.VOICES] + ["Robot Voice (Unknown)"]
 VOICES_SQL = "(VALUES " + ", ".join(f"({sql_literal(k)}, {sql_literal(n)}, {sql_literal(g)})" for k, n, g in K.VOICES) + ") v(voice_key, voice_name, gender)"

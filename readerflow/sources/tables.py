@@ -78,6 +78,15 @@ class KeyedTable:
         schema = StructType.fromJson(m["schema"])
         return self._buckets(m, schema).select(*schema.names)
 
+    def read_keys(self, keys: DataFrame, key: str) -> DataFrame:
+        """The newest rows of the keys in ``keys``; only the buckets that hold these are read."""
+        m = self.manifest()
+        if m is None or m["key"] != key:
+            raise ValueError(f"no table by {key} at {self.path}")
+        schema = StructType.fromJson(m["schema"])
+        only = [r[0] for r in keys.select(key_bucket(key, m["n_buckets"])).distinct().collect()]  # at most ``n_buckets`` numbers
+        return self._buckets(m, schema, only).join(keys.select(key).distinct(), key, "left_semi").select(*schema.names)
+
     def _buckets(self, m: dict, schema: StructType, only: list[int] | None = None) -> DataFrame:
         paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(m["buckets"].items(), key=lambda x: int(x[0])) if only is None or int(b) in only]
         if not paths:
@@ -104,7 +113,9 @@ class KeyedTable:
         # a folder that a cut-off write left is never used again
         version, writer = m["version"] + 1, spark.range(1).select(F.uuid()).first()[0]
         data = f"{self.path}/data/version={version}-{writer}"
-        kept.unionByName(new).withColumn("bucket", key_bucket(key, buckets)).write.partitionBy("bucket").parquet(data)
+        # few files a bucket, and no bucket in one task: AQE joins small parts and splits large ones
+        merged = kept.unionByName(new).withColumn("bucket", key_bucket(key, buckets))
+        merged.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(data)
         fs, p = _hadoop(spark, data)
         written = [f.getPath().getName().split("=")[1] for f in fs.listStatus(p) if f.getPath().getName().startswith("bucket=")]
         held = {b: v for b, v in m["buckets"].items() if int(b) not in touched} | {b: f"{version}-{writer}" for b in written}
