@@ -191,6 +191,11 @@ def speech_requests(lines: DataFrame, text_col: str = "line", key_col: str = "vo
     return V.voice_manifest(lines, text_col, key_col, rate_col)
 
 
+def transcribe_recordings(spark: SparkSession, audio_dir: str, client_factory, out_path: str | None = None, glob: str = "*.wav") -> DataFrame:
+    """S5 + U4: transcripts of recordings of any length; long ones are cut at sample borders and sent in parts."""
+    return I.transcribe_recordings(M.scan_audio(spark, audio_dir, glob), client_factory, out_path=out_path)
+
+
 def transcribe(spark: SparkSession, audio_dir: str, client_factory, out_path: str | None = None, glob: str = "*.wav") -> DataFrame:
     """S5 + U4: transcripts of recorded audio files, kept at ``out_path``."""
     return I.batch_transcribe(M.scan_audio(spark, audio_dir, glob), client_factory, out_path=out_path)
@@ -200,4 +205,5 @@ __all__ = [
     "analyse_conversations", "chat_replies", "evaluate_responses", "extract_chapters", "extract_dialogues",
     "extraction_requests", "fetch_books", "first_window_requests", "hints", "large_book_chapters", "modernise", "preprocess", "preprocess_books", "record_practice",
     "roleplay_requests", "roleplay_setups", "speech_requests", "spoken_practice", "spoken_turns", "transcribe",
+    "transcribe_recordings",
 ]

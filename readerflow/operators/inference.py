@@ -27,6 +27,7 @@ from .. import constants as K
 from ..functions import model_json as J
 from ..functions import text as T
 from ..session import scratch_path
+from ..sources.audio import MAX_PART_BYTES, audio_parts
 from .ledger import AnswerStore, key_part, slices
 
 # Ship this module's functions by value: executors need not have the package installed.
@@ -297,6 +298,40 @@ def batch_transcribe(
     return asked.select("path", "request_key").join(new.drop("path"), "request_key").select(*_names(TRANSCRIPT_SCHEMA))
 
 
+def transcribe_recordings(
+    audio: DataFrame,
+    client_factory: Callable[[], TranscribeClient],
+    *,
+    max_bytes: int = MAX_PART_BYTES,
+    **settings,
+) -> DataFrame:
+    """U4 for recordings of any length: (path, content) -> (path, n_parts, seconds, text, status, error).
+
+    Recordings over ``max_bytes`` are cut at sample borders (``audio_parts``);
+    each part is a request of ``batch_transcribe`` (which takes ``settings``),
+    so a failed part alone is asked again. The texts of a recording are joined
+    in its order by one space, empty ones left out. A recording with a failed
+    part has no text, status ``error`` and the first failure. One too long
+    that cannot be cut is not sent. Paths must be unique.
+    """
+    parts = audio_parts(audio, max_bytes)
+    # "#7.wav": the kind of file stays the end of the name
+    ext = F.when(F.col("path").contains("."), F.regexp_extract("path", r"\.([^./]*)$", 1)).otherwise(F.lit("wav"))
+    parts = parts.withColumn("part_path", F.when(F.col("n_parts") == 1, F.col("path")).otherwise(F.concat("path", F.lit("#"), "part", F.lit("."), ext)))
+    sent = parts.filter(F.col("problem").isNull() & F.col("content").isNotNull()).select(F.col("part_path").alias("path"), "content")
+    got = batch_transcribe(sent, client_factory, **settings).select(F.col("path").alias("part_path"), "text", "status", "error")
+    one = parts.drop("content").join(got, "part_path", "left")
+    bad = F.when(F.coalesce(F.col("status"), F.lit("")) != "ok", F.struct("part", F.coalesce("problem", "error", F.lit("no content")).alias("error")))
+    # at most 2 GB / max_bytes parts a recording
+    d = one.groupBy("path").agg(
+        F.max("n_parts").alias("n_parts"), F.array_sort(F.collect_list(F.struct("part", "seconds", "text"))).alias("all"), F.min(bad).alias("bad"))
+    text = F.array_join(F.filter(F.transform("all", lambda p: p["text"]), lambda t: t != ""), " ")
+    # added up in the recording's order: doubles do not add up alike in any other
+    seconds = F.aggregate("all", F.lit(0.0), lambda total, p: total + p["seconds"])
+    return d.select("path", "n_parts", seconds.alias("seconds"), F.when(F.col("bad").isNull(), text).alias("text"),
+                    F.when(F.col("bad").isNull(), "ok").otherwise("error").alias("status"), F.col("bad.error").alias("error"))
+
+
 class EchoClient:
     """Deterministic offline stand-in for a hosted model (tests, benchmarks).
 
@@ -339,3 +374,16 @@ class EchoTranscriber:
 
     def transcribe(self, audio: bytes, *, model: str, language: str, file_ext: str) -> str:
         return audio.decode("utf-8")
+
+
+class EchoWave:
+    """Deterministic offline stand-in for speech recognition: the whole sample frames in hexadecimal."""
+
+    def transcribe(self, audio: bytes, *, model: str, language: str, file_ext: str) -> str:
+        import io
+        import wave
+
+        with wave.open(io.BytesIO(audio)) as f:
+            size = f.getnchannels() * f.getsampwidth()
+            data = f.readframes(f.getnframes())
+        return data[: len(data) // size * size].hex()

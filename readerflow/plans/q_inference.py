@@ -12,6 +12,7 @@ from ..operators import chapters as CH
 from ..operators import inference as I
 from ..operators.ledger import AnswerStore
 from ..session import scratch_path
+from ..sources import audio as A
 from ..sources import media as M
 from ..sources.fixtures import fx_attempts, fx_books, fx_dialogues, fx_feedback, fx_responses, fx_setups, table, with_fixtures
 from . import sqlgen as S
@@ -339,3 +340,68 @@ def q_batch_transcribe(spark, sf):
     """U4: every recording through a deterministic stand-in, kept in a table; shown line by line."""
     t = I.batch_transcribe(M.scan_audio(spark, _recordings(spark, sf), "*.txt"), I.EchoTranscriber, out_path=scratch_path(spark, "transcripts"))
     return t.select("status", F.explode(F.split("text", "\n")).alias("line")).filter(F.col("line") != "")
+
+
+def _le(value, n: int = 4):
+    h = F.lpad(F.hex(value.cast("bigint")), 2 * n, "0")
+    return F.unhex(F.concat(*[F.substring(h, 2 * k + 1, 2) for k in reversed(range(n))]))
+
+
+def _waves(spark, sf):
+    """Stand-in recordings (path, content): the bytes of a turn as samples behind a
+    WAV header; some with a chunk of odd length before the data, some cut off, some no WAV files."""
+    t, blob = F.col("turn"), F.col("text").cast("binary")
+    n = F.octet_length("text") + F.when(t % 5 == 3, 10).otherwise(0)
+    channels, rate, align = 1 + t % 2, 8000 * (1 + t % 3), 2 * (1 + t % 2)
+    extra = F.when(t % 4 == 1, F.concat(F.lit(bytearray(b"LIST")), _le(F.lit(5)), F.lit(bytearray(b"data!\0")))).otherwise(F.lit(bytearray()))
+    wave = F.concat(
+        F.lit(bytearray(b"RIFF")), _le(36 + F.octet_length(extra) + n), F.lit(bytearray(b"WAVEfmt ")), _le(F.lit(16)), _le(F.lit(1), 2), _le(channels, 2), _le(rate), _le(rate * align),
+        _le(align, 2), _le(F.lit(16), 2), extra, F.lit(bytearray(b"data")), _le(n), blob)
+    path = F.concat_ws("/", "conv_id", F.concat("turn", F.lit(".wav")))
+    return table(spark, sf, "conversations").select(path.alias("path"), F.when(t % 7 == 6, blob).otherwise(wave).alias("content"))
+
+
+# what the stand-in wrote, told without reading it back
+_WAVES_SQL = """WITH w AS (
+  SELECT CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) || '.wav' AS path, turn % 7 <> 6 AS wav, hex(encode(text)) AS h, octet_length(encode(text)) AS n,
+    1 + turn % 2 AS channels, 8000 * (1 + turn % 3) AS rate, 2 * (1 + turn % 2) AS align, turn % 5 = 3 AS cut, CASE WHEN turn % 4 = 1 THEN 14 ELSE 0 END AS extra
+  FROM conversations)"""
+_PART = 500
+_PARTS_SQL = f"""{_WAVES_SQL},
+s AS (SELECT *, wav AND 44 + extra + n > {_PART} AS long, CAST(floor(({_PART} - 44 - align) / align) * align AS BIGINT) AS step FROM w),
+c AS (SELECT *, CASE WHEN long THEN greatest(1, CAST(ceil((n - n % align) / step) AS BIGINT)) ELSE 1 END AS n_parts FROM s),
+e AS (SELECT *, unnest(range(n_parts)) AS part FROM c),
+p AS (SELECT *, CASE WHEN long THEN substring(h, CAST(2 * part * step + 1 AS BIGINT), CAST(CASE WHEN part = n_parts - 1 THEN 2 * n ELSE 2 * step END AS BIGINT)) ELSE h END AS data FROM e)"""
+
+
+@query("audio_facts", f"""{_WAVES_SQL}
+SELECT path, CASE WHEN NOT wav THEN CASE WHEN n = 0 THEN 'empty' ELSE 'not a WAV file' END WHEN cut THEN 'cut off' ELSE 'ok' END AS status,
+  CAST(CASE WHEN wav THEN channels END AS INTEGER) AS channels, CAST(CASE WHEN wav THEN rate END AS BIGINT) AS sample_rate, CASE WHEN wav THEN 16 END AS bits,
+  CAST(CASE WHEN wav THEN 44 + extra END AS BIGINT) AS data_offset, CAST(CASE WHEN wav THEN n // align END AS BIGINT) AS frames, CASE WHEN wav THEN (n // align) / rate END AS seconds
+FROM w""")
+def q_audio_facts(spark, sf):
+    """Channels, rate and duration of recordings, read from their headers in the row."""
+    return A.audio_facts(_waves(spark, sf)).select("path", "status", "channels", "sample_rate", "bits", "data_offset", "frames", "seconds")
+
+
+@query("audio_parts", f"""{_PARTS_SQL}
+SELECT path, CAST(part AS INTEGER) AS part, CAST(n_parts AS INTEGER) AS n_parts, CASE WHEN long THEN 'cut' WHEN NOT wav AND n > {_PART} THEN 'not a WAV file' ELSE 'whole' END AS form,
+  CAST(CASE WHEN long THEN length(data) // 2 + 44 + (length(data) // 2) % 2 WHEN wav THEN n + 44 + extra ELSE n END AS BIGINT) AS n_bytes,
+  CASE WHEN long THEN md5(unhex(data)) END AS data_md5
+FROM p""")
+def q_audio_parts(spark, sf):
+    """U4: recordings over a limit cut at sample borders, each part a file; the digest is of a part's samples."""
+    d = A.audio_parts(_waves(spark, sf), _PART)
+    f = A.audio_facts(d.withColumn("whole", F.col("content"))).withColumn("data", F.expr("substring(whole, int(data_offset) + 1, int(data_bytes))"))
+    return f.select("path", "part", "n_parts", F.when(F.col("cut"), "cut").otherwise(F.coalesce("problem", F.lit("whole"))).alias("form"), F.col("length").alias("n_bytes"),
+                    F.when(F.col("cut"), F.md5("data")).alias("data_md5"))
+
+
+@query("transcribe_recordings", f"""{_PARTS_SQL}
+SELECT path, CAST(max(n_parts) AS INTEGER) AS n_parts, CASE WHEN bool_and(wav) THEN 'ok' ELSE 'error' END AS status,
+  CASE WHEN bool_and(wav) THEN string_agg(lower(CASE WHEN long THEN substring(data, 1, CAST(2 * (n - n % align - part * step) AS BIGINT)) ELSE substring(h, 1, CAST(2 * (n - n % align) AS BIGINT)) END), ' ' ORDER BY part) END AS text
+FROM p GROUP BY path""")
+def q_transcribe_recordings(spark, sf):
+    """U4: recordings of any length through a stand-in that hears their samples; long ones in parts, kept in a table."""
+    t = I.transcribe_recordings(_waves(spark, sf), I.EchoWave, max_bytes=_PART, out_path=scratch_path(spark, "wave_transcripts"), retries=0)
+    return t.select("path", "n_parts", "status", "text")
