@@ -17,7 +17,7 @@ one straggler. Here the rows of a key are cut into blocks of consecutive rows:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 1 << 16
@@ -27,7 +27,9 @@ MAX_BLOCKS = 512
 
 
 def _blocked(df: DataFrame, key: str, order: str, block_size: int) -> DataFrame:
-    """``df`` with ``__blk``, the number of its key's quantiles below the row."""
+    """``df`` with ``__blk``, the number of its key's quantiles below the row; as it is if it has been cut before."""
+    if "__blk" in df.columns:
+        return df
     cuts = [k / MAX_BLOCKS for k in range(1, MAX_BLOCKS)]
     stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.percentile_approx(order, F.lit(cuts), F.lit(10 * MAX_BLOCKS)).alias("__all"))
     # as many of the quantiles as make blocks of about block_size rows
@@ -40,6 +42,11 @@ def _blocked(df: DataFrame, key: str, order: str, block_size: int) -> DataFrame:
     return d.withColumn("__blk", F.coalesce(F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(below), F.lit(0)).cast("bigint")).drop("__cuts")
 
 
+def with_blocks(df: DataFrame, key: str, order: str, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """``df`` with its blocks in ``__blk``, which the functions below then use and keep: a chain of them cuts the keys once."""
+    return _blocked(df, key, order, block_size)
+
+
 def ordered_positions(
     df: DataFrame,
     key: str,
@@ -115,3 +122,28 @@ def running_totals(
     out_df = rows.join(blocks, [key, "__blk"], "inner")
     extra = [F.col("__first").alias(first)] if first else []
     return out_df.select(*df.columns, *extra, *[(F.col(f"__o_{o}") + F.col(f"__in_{o}")).alias(o) for o in srcs])
+
+
+def running_last(
+    df: DataFrame,
+    key: str,
+    order: str,
+    values: dict[str, Column],
+    block_size: int = DEFAULT_BLOCK,
+    inclusive: bool = False,
+) -> DataFrame:
+    """Add for each row the last value that is not null among the rows of the
+    same key with a smaller ``order`` (``inclusive``: or its own); null if none.
+
+    Same blocking as :func:`running_totals`.
+    """
+    blocked = _blocked(df, key, order, block_size)
+    w_in = Window.partitionBy(key, "__blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    rows = blocked
+    for out, c in values.items():
+        rows = rows.withColumn(f"__in_{out}", F.last(c, ignorenulls=True).over(w_in))
+    ends = blocked.groupBy(key, "__blk").agg(*[F.max_by(c, F.when(c.isNotNull(), F.col(order))).alias(f"__b_{out}") for out, c in values.items()])
+    w_b = Window.partitionBy(key).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = ends.select(key, "__blk", *[F.last(f"__b_{out}", ignorenulls=True).over(w_b).alias(f"__o_{out}") for out in values])
+    out_df = rows.join(blocks, [key, "__blk"], "inner")
+    return out_df.select(*df.columns, *[F.coalesce(f"__in_{o}", f"__o_{o}").alias(o) for o in values])

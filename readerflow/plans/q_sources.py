@@ -14,7 +14,7 @@ from ..session import scratch_path
 from ..sources import books as B
 from ..sources import media as M
 from ..sources import title_search as TS
-from ..sources.fixtures import documents, fx_books, fx_dialogues, table, with_fixtures
+from ..sources.fixtures import FX_NOVEL_SQL, documents, fx_books, fx_dialogues, fx_novel, table, with_fixtures
 from ..sources.tables import KeyedTable
 from . import sqlgen as S
 from .registry import query
@@ -352,6 +352,48 @@ def q_rule_extract(spark, sf):
     return R.rule_extract(fx_quoted(spark, sf))
 
 
+def _sql_name(piece: str, pattern: str) -> str:
+    return f"nullif(regexp_replace(regexp_replace(regexp_extract({piece}, {sql_literal(pattern)}, 1), {sql_literal(R.LEADING_NO_NAMES)}, ''), '[ \\t\\n]+', ' ', 'g'), '')"
+
+
+def _sql_tag(inside: str) -> str:
+    behind = [f"list_transform(list_filter(range(1, len(pieces)), lambda i: i % 2 = {inside}), lambda i: coalesce({_sql_name('pieces[i + 1]', R.VERB_NAME)}, {_sql_name('pieces[i + 1]', R.NAME_VERB)}))",
+              f"list_transform(list_filter(range(0, len(pieces) - 1), lambda i: i % 2 = {inside}), lambda i: {_sql_name('pieces[i + 1]', R.NAME_VERB_BEFORE)})"]
+    return f"list_filter(list_concat({', '.join(behind)}), lambda n: n IS NOT NULL)[1]"
+
+
+# the oracle reads every book one paragraph after the other, carrying its state
+@query("rule_dialogues", f"""
+WITH RECURSIVE {FX_NOVEL_SQL},
+cut AS (SELECT book_id, row_number() OVER (PARTITION BY book_id ORDER BY para_ord) AS pos, para_ord, string_split_regex(text, '{R.QUOTE_MARKS}') AS pieces FROM fx_novel),
+p AS (SELECT *, len(pieces) - 1 AS marks, len(pieces) > 1 AND {S.strip_ws('pieces[1]')} = '' AS lead FROM cut),
+m AS (SELECT book_id, pos, marks, lead FROM p),
+s AS (
+  SELECT book_id, CAST(0 AS BIGINT) AS pos, false AS open, false AS inside, CAST(0 AS BIGINT) AS run, CAST(0 AS BIGINT) AS turn FROM m WHERE pos = 1
+  UNION ALL
+  SELECT m.book_id, m.pos, (marks % 2 = 1) <> (s.open AND NOT lead AND marks % 2 = 1), s.open AND NOT lead AND marks % 2 = 1,
+    s.run + CASE WHEN marks = 0 THEN 1 ELSE 0 END, s.turn + CASE WHEN marks > 0 AND NOT (s.open AND (lead OR marks % 2 = 1)) THEN 1 ELSE 0 END
+  FROM s JOIN m ON m.book_id = s.book_id AND m.pos = s.pos + 1),
+t AS (SELECT p.*, s.inside, s.run, s.turn, CAST(s.inside AS INTEGER) AS side FROM p JOIN s USING (book_id, pos) WHERE marks > 0),
+g AS (SELECT *, {_sql_tag('side')} AS tag FROM t),
+u AS (SELECT book_id, run, turn, arg_min(tag, pos) FILTER (tag IS NOT NULL) AS tag FROM g GROUP BY ALL),
+w AS (SELECT *, last_value(tag IGNORE NULLS) OVER (PARTITION BY book_id, run, turn % 2 ORDER BY turn) AS earlier,
+  first_value(tag IGNORE NULLS) OVER (PARTITION BY book_id, run, turn % 2 ORDER BY turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS later FROM u),
+e AS (SELECT g.book_id, g.para_ord, g.turn, coalesce(w.tag, w.earlier, w.later, {sql_literal(K.UNKNOWN_SPEAKER)}) AS speaker,
+  CASE WHEN w.tag IS NOT NULL THEN 'tag' WHEN coalesce(w.earlier, w.later) IS NOT NULL THEN 'alternation' ELSE 'none' END AS how,
+  list_filter(range(len(pieces)), lambda i: i % 2 <> side) AS quoted, pieces,
+  {S.strip_ws("array_to_string(list_filter(list_transform(list_filter(range(len(pieces)), lambda i: i % 2 = side), lambda i: " + S.strip_ws('pieces[i + 1]') + "), lambda x: x <> ''), ' ')")} AS context
+  FROM g JOIN w ON g.book_id = w.book_id AND g.turn = w.turn),
+l AS (SELECT *, unnest(quoted) AS i, generate_subscripts(quoted, 1) - 1 AS span_ord FROM e)
+SELECT book_id, para_ord, CAST(span_ord AS BIGINT) AS span_ord, turn, speaker, how, sha256({S.strip_ws('pieces[i + 1]')}) AS line_hash, sha256(context) AS context_hash
+FROM l WHERE {S.strip_ws('pieces[i + 1]')} <> ''
+""")
+def q_rule_dialogues(spark, sf):
+    """Speeches of whole books, over several paragraphs, with speakers by tag and by alternation."""
+    d = R.rule_dialogues(fx_novel(spark, sf))
+    return d.select("book_id", "para_ord", "span_ord", "turn", "speaker", "how", F.sha2("line", 256).alias("line_hash"), F.sha2("context", 256).alias("context_hash"))
+
+
 SQL_WORDS = S.words("coalesce(line, '')")
 SQL_N = f"len({SQL_WORDS})"
 SQL_MEAN = f"CASE WHEN {SQL_N} > 0 THEN list_sum(list_transform({SQL_WORDS}, lambda w: length(w))) / {SQL_N} ELSE 0.0 END"

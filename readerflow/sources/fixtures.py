@@ -381,3 +381,39 @@ __all__ = [
     "table",
     "with_fixtures",
 ]
+
+
+# ----------------------------------------------------------------------------
+# fx_novel(book_id, para_ord, text): whole texts as paragraphs with speech
+# ----------------------------------------------------------------------------
+
+NOVEL_BOOKS = 20
+# (before the text, behind it), by (doc_id * 7 + doc_id // 20) % 11
+NOVEL_FORMS = [
+    ("", ""),
+    ('"', '," said Ann.'),
+    ('"', '"'),
+    ("\u201c", "\u201d Mr. Brown replied, \u201cYes.\u201d"),
+    ('Then Ben said, "', '"'),
+    ("\u201c", ""),
+    ("\u201c", "\u201d"),
+    ("", "\u201d"),
+    ("", '" he said.'),
+    ('"', '" she cried. "Well."'),
+    (' "', '" '),
+]
+
+
+def fx_novel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir)
+    form = (F.col("doc_id") * 7 + F.floor(F.col("doc_id") / NOVEL_BOOKS)) % len(NOVEL_FORMS)
+    before, behind = (F.get(F.array(*[F.lit(f[k]) for f in NOVEL_FORMS]), form.cast("int")) for k in (0, 1))
+    return d.select((F.col("doc_id") % NOVEL_BOOKS).alias("book_id"), F.floor(F.col("doc_id") / NOVEL_BOOKS).alias("para_ord"), F.concat(before, F.coalesce("text", F.lit("")), behind).alias("text"))
+
+
+_NOVEL_LISTS = [", ".join("'" + f[k] + "'" for f in NOVEL_FORMS) for k in (0, 1)]
+FX_NOVEL_SQL = f"""fx_novel AS (
+SELECT doc_id % {NOVEL_BOOKS} AS book_id, doc_id // {NOVEL_BOOKS} AS para_ord,
+  [{_NOVEL_LISTS[0]}][(doc_id * 7 + doc_id // {NOVEL_BOOKS}) % {len(NOVEL_FORMS)} + 1] || coalesce(text, '') ||
+  [{_NOVEL_LISTS[1]}][(doc_id * 7 + doc_id // {NOVEL_BOOKS}) % {len(NOVEL_FORMS)} + 1] AS text
+FROM documents)"""
