@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, slices, table
+from readerflow.session import scratch_path
+
+from .common import held_out, put, slices, table
 from .wordhash import Words, keyed, mix
 
 BITS = 16
@@ -39,29 +41,32 @@ def _buckets(w: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
 def ngram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """(bucket, corpus, target): counts over all documents and over those whose id is in ``trusted``.
 
-    Each task adds up its documents in two arrays first, so the shuffle carries
-    at most 2**bits rows a task whatever the skew of words. Both counts cover
-    every document: the ids are joined without a bound, by a shuffle of the
-    documents at every size.
+    Each task adds up its documents in one array first, so the shuffle carries
+    at most 2**bits rows a task whatever the skew of words. The corpus is
+    counted where it is read. Both counts cover every document: the trusted ids
+    are written first and joined without a bound, so that Spark, which then knows
+    their size, sends them to the tasks if they are few and shuffles by id if not.
     """
-    ids = trusted.select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct().withColumn("__t", F.lit(True)).hint("merge")
-    rows = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-            .join(ids, "__id", "left").select("text", F.coalesce("__t", F.lit(False)).alias("t")))
+    kind = trusted.schema[id_col].dataType.simpleString()
+    ids = trusted.select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct()
+    ids = put(ids, scratch_path(docs.sparkSession, "trusted"), f"__id {kind}")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        corpus, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        counts = np.zeros(1 << bits, np.int64)
         for batch in batches:
             for b in slices(batch, "text"):
-                w = Words(b.column(0))
-                t = b.column(1).to_numpy(zero_copy_only=False)
-                bucket, doc = _buckets(w, bits)
-                corpus += np.bincount(bucket, minlength=1 << bits)
-                target += np.bincount(bucket[t[doc]], minlength=1 << bits)
-        at = np.flatnonzero(corpus)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(corpus[at]), pa.array(target[at])], names=["bucket", "corpus", "target"])
+                counts += np.bincount(_buckets(Words(b.column(0)), bits)[0], minlength=1 << bits)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
+
+    def count(texts: DataFrame) -> DataFrame:
+        return texts.select("text").mapInArrow(run, "bucket long, n long")
 
-    return (rows.mapInArrow(run, "bucket long, corpus long, target long")
-            .groupBy("bucket").agg(F.sum("corpus").alias("corpus"), F.sum("target").alias("target")))
+    none = F.lit(0).cast("long")
+    corpus = count(rows).select("bucket", F.col("n").alias("corpus"), none.alias("target"))
+    target = count(rows.join(ids, "__id", "left_semi")).select("bucket", none.alias("corpus"), F.col("n").alias("target"))
+    return corpus.unionByName(target).groupBy("bucket").agg(F.sum("corpus").alias("corpus"), F.sum("target").alias("target"))
 
 
 def ratio_table(counts: DataFrame, bits: int = BITS, alpha: float = ALPHA) -> np.ndarray:

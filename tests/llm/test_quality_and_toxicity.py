@@ -100,6 +100,22 @@ def test_ratio_counts_every_trusted_document(spark):
     want = spark.range(1, 30_000).selectExpr("id AS doc_id")
     n = op2.ngram_counts(docs, want, bits=10).agg(F.sum("corpus"), F.sum("target")).first()
     assert tuple(n) == (30_000, 29_999)
+    # rows without an id and repeated rows are counted; so is a trusted id given twice, once
+    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, "a"), (1, "a"), (2, "c")], "doc_id long, text string")
+    n = op2.ngram_counts(odd, spark.createDataFrame([(1,), (1,), (None,)], "doc_id long"), bits=10).agg(F.sum("corpus"), F.sum("target")).first()
+    assert tuple(n) == (9, 2)
+
+
+def test_large_sets_of_trusted_ids_are_not_broadcast(spark):
+    docs = spark.range(2_000).selectExpr("id AS doc_id", "concat('w', id % 7) AS text")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = op2.ngram_counts(docs, spark.range(1, 2_000).selectExpr("id AS doc_id"), bits=10)
+        assert "BroadcastHashJoin" not in n._jdf.queryExecution().executedPlan().toString()
+        assert tuple(n.agg(F.sum("corpus"), F.sum("target")).first()) == (2_000, 1_999)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
 
 
 def test_rules_keep_good_documents(spark):
