@@ -13,7 +13,8 @@ through exchanges, so that a line held by a third of all documents is split.
 
 Defined results: null or empty text is one empty line; lines of shorter keys
 always stay; repeated rows of one id are one document; a null id owns nothing
-and loses nothing; an empty table gives an empty result. Further columns of the
+and loses nothing; an empty table gives an empty result. Ids may be texts too; the
+smallest is then the first by its bytes. Further columns of the
 input are ignored unless named in ``keep``.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from readerflow.operators.barrier import materialize
 from readerflow.session import scratch_path
 
-from .common import LOWER, UPPER, WS, put, table
+from .common import LOWER, UPPER, WS, table
 
 MIN_CHARS = 10
 KEY = ("h1", "h2")
@@ -48,6 +49,12 @@ def key_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
     return keys.select("doc_id", "rid", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
 
 
+def order_number(id_col: Column | str, kind: str) -> Column:
+    """A number that never falls where the id rises: the id, or the first seven bytes of a text id."""
+    c = F.col(id_col) if isinstance(id_col, str) else id_col
+    return c if kind != "string" else F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
+
+
 class LineRuns:
     """The levelled runs; ``first`` of a key never changes once it is in a run."""
 
@@ -103,14 +110,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     root = scratch_path(spark, "line-dedup")
     shares = [k / n_batches for k in range(1, n_batches)]
-    bounds = (docs.agg(F.percentile_approx(id_col, shares).alias("b")).first()["b"] or []) if shares else []
-    number = sum([(F.col("doc_id") > b).cast("int") for b in bounds], F.lit(0))
     kind = docs.schema[id_col].dataType.simpleString()
-    lines = put(key_lines(docs, id_col, text_col, min_chars).withColumn("batch", number), f"{root}/lines", f"doc_id {kind}, rid long, pos int, h1 long, h2 long, batch int")
+    bounds = (docs.agg(F.percentile_approx(order_number(id_col, kind), shares).alias("b")).first()["b"] or []) if shares else []
+    number = sum([(order_number("doc_id", kind) > b).cast("int") for b in bounds], F.lit(0))
+    # a folder for each batch: taking in one reads no other
+    key_lines(docs, id_col, text_col, min_chars).withColumn("batch", number).write.partitionBy("batch").parquet(f"{root}/lines")
+    lines = spark.read.schema(f"doc_id {kind}, rid long, pos int, h1 long, h2 long, batch int").parquet(f"{root}/lines")
     runs = LineRuns(spark, root, fanout, max(1, -(-lines.count() // bucket_lines)))
     for k in range(n_batches):
         runs.admit(lines.where(F.col("batch") == k))
-    drops = (lines.drop("batch").join(runs.owners().hint("merge"), list(KEY)).where("doc_id > first")
+    owners = runs.owners()
+    for t in runs.tables():  # the name only: the files stay
+        spark.sql(f"DROP TABLE {t}")
+    drops = (lines.drop("batch").join(owners.hint("merge"), list(KEY)).where("doc_id > first")
              .groupBy("doc_id", "rid").agg(F.collect_set("pos").alias("__drop")))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("rid"), *keep)
     rows = rows.join(drops, ["doc_id", "rid"], "left").drop("rid")

@@ -40,6 +40,18 @@ def test_lines_odd_rows(documents):
     assert op3.dedup_lines(documents([])).count() == 0
 
 
+def test_lines_of_text_ids(spark):
+    rng = random.Random(8)
+    lines = ["a line of the first kind", "a line of the second kind", "short", "a third line with words"]
+    ids = ["", "é", "a", "a:1", "abcdefgh1", "abcdefgh2", "abcdefg", "Z", "\U0001f600", "￿", *(f"doc-{k}" for k in range(30)), *(str(k) for k in range(20))]
+    rows = [(i, "\n".join(rng.choice([*lines, _say(rng, 4)]) for _ in range(rng.randint(1, 8)))) for i in ids]
+    want = brute.line_dedup([(i.encode(), t) for i, t in rows])
+    before = {t.name for t in spark.catalog.listTables()}
+    got = {r["doc_id"].encode(): (r["n_lines"], r["n_dropped"], r["text"]) for r in op3.dedup_lines(spark.createDataFrame(rows, "doc_id string, text string"), n_batches=5).collect()}
+    assert got == want
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_runs_compact(spark, tmp_path):
     runs = op3.LineRuns(spark, str(tmp_path), fanout=2, buckets=2)
     for k in range(5):
