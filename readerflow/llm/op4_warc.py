@@ -40,6 +40,7 @@ MIN_REVISIT = 1000
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
 MAX_HEADER = 1 << 16
+PAGE, NO_PAGE = "<urn:x-page:", "<urn:x-no-page>"
 
 
 def _filesystem(path: str):
@@ -56,12 +57,18 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                         F.sha1(payload).alias("digest"), F.octet_length(payload).alias("n"))
     groups = (rows.where(F.col("n") >= min_revisit).groupBy("digest").agg(F.max("page_id").alias("whole"), F.count("*").alias("copies"))
               .where("copies > 1 AND whole IS NOT NULL").drop("copies"))
-    joined = rows.join(groups, "digest", "left")
+    # short payloads have no group; they are dealt by page, so that many equal ones are not one key
+    found = F.when(F.col("n") >= min_revisit, F.col("digest")).otherwise(F.concat(F.lit("-"), F.hex(F.xxhash64("page_id", "url"))))
+    joined = rows.withColumn("found", found).join(groups.withColumnRenamed("digest", "found"), "found", "left")
     return joined.select("page_id", "url", "html", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("whole")), F.col("whole")).alias("refers_to"))
 
 
 def _urn(page_id) -> str:
-    return f"<urn:x-page:{'null' if page_id is None else page_id}>"
+    return NO_PAGE if page_id is None else f"{PAGE}{urllib.parse.quote(str(page_id), safe='')}>"
+
+
+def _page_id(urn: str | None) -> str | None:
+    return urllib.parse.unquote(urn[len(PAGE):-1]) if urn and urn.startswith(PAGE) else None
 
 
 def _member(page_id, url, html, digest, refers_to, level: int) -> bytes:
@@ -195,7 +202,6 @@ def read_range(path: str, start: int, end: int, block: int = 1 << 20):
 
 
 def _record(head: dict) -> tuple:
-    of = lambda u: (x := u.rpartition(":")[2].rstrip(">")) if u and not u.endswith(":null>") else None
     http, _, payload = head["__block"].partition(b"\r\n\r\n")
     digest = head.get("warc-payload-digest", "").partition(":")[2]
     if head["warc-type"] == "revisit":
@@ -206,7 +212,7 @@ def _record(head: dict) -> tuple:
         if digest and digest != own:
             raise ValueError(f"payload of {head.get('warc-record-id')} does not match its digest")
         digest = own
-    return of(head.get("warc-record-id")), head.get("warc-target-uri"), size, digest, head["warc-type"], of(head.get("warc-refers-to")), payload
+    return _page_id(head.get("warc-record-id")), head.get("warc-target-uri"), size, digest, head["warc-type"], _page_id(head.get("warc-refers-to")), payload
 
 
 def read_archives(manifest: DataFrame, split_bytes: int = 64 << 20, with_payload: bool = False) -> DataFrame:

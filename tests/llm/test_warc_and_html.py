@@ -48,6 +48,16 @@ def test_round_trip(spark, tmp_path, split):
     assert {(r["record_type"], r["refers_to"]) for r in by_id[None]} == {("revisit", "102"), ("response", None)}
 
 
+def test_ids_of_any_text_come_back(spark, tmp_path):
+    ids = ["a:1", "null", "", "x>y", "%41", "é ü", "a\r\nWARC-Type: revisit", "1"]
+    rows = [(i, f"http://x/{k}", f"page {k}") for k, i in enumerate(ids)] + [(None, "u", "none"), ("b:1", "u", "z" * 2000), ("b:2", "u", "z" * 2000)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = op4.read_archives(op4.write_archives(op4.plan_records(pages), f"{tmp_path}/a")).collect()
+    assert sorted(str(r["page_id"]) for r in got) == sorted(str(i) for i, _, _ in rows)
+    assert sum(r["page_id"] is None for r in got) == 1
+    assert {r["page_id"]: r["refers_to"] for r in got if r["refers_to"]} == {"b:1": "b:2"}
+
+
 def test_uncommitted_files_are_not_read(spark, tmp_path):
     manifest = op4.write_archives(op4.plan_records(_pages(spark, _rows()[:5])), f"{tmp_path}/a")
     (tmp_path / "a" / "stray.warc.gz").write_bytes(b"\x1f\x8b\x08junk")
