@@ -27,6 +27,7 @@ BITS = 16
 ALPHA = 0.5
 THRESHOLD = -0.15
 MIN_WORDS = 50
+FILTER_BITS = 1 << 23  # 131,072 rows at most
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
@@ -44,13 +45,17 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
     Each task adds up its documents in one array first, so the shuffle carries
     at most 2**bits rows a task whatever the skew of words. The corpus is
     counted where it is read. Both counts cover every document: the trusted ids
-    are written first and joined without a bound, so that Spark, which then knows
-    their size, sends them to the tasks if they are few and shuffles by id if not.
+    are joined without a bound, by a shuffle at every size. Before it a set of
+    hashed ids in ``FILTER_BITS`` bits, broadcast in rows of 64, spares the texts
+    that cannot be trusted ones; the more ids there are, the fewer it spares.
     """
     kind = trusted.schema[id_col].dataType.simpleString()
     ids = trusted.select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct()
     ids = put(ids, scratch_path(docs.sparkSession, "trusted"), f"__id {kind}")
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
+    place = F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(FILTER_BITS))
+    spared = ids.select(place.alias("p")).groupBy(F.expr("p div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(p % 64))")).alias("bits"))
+    maybe = (rows.withColumn("p", place).join(F.broadcast(spared), F.expr("p div 64 = word AND bits & shiftleft(1L, int(p % 64)) <> 0"), "left_semi").drop("p"))
 
     def run(batches):
         counts = np.zeros(1 << bits, np.int64)
@@ -65,7 +70,7 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
 
     none = F.lit(0).cast("long")
     corpus = count(rows).select("bucket", F.col("n").alias("corpus"), none.alias("target"))
-    target = count(rows.join(ids, "__id", "left_semi")).select("bucket", none.alias("corpus"), F.col("n").alias("target"))
+    target = count(maybe.join(ids.hint("merge"), "__id", "left_semi")).select("bucket", none.alias("corpus"), F.col("n").alias("target"))
     return corpus.unionByName(target).groupBy("bucket").agg(F.sum("corpus").alias("corpus"), F.sum("target").alias("target"))
 
 
