@@ -4,10 +4,16 @@ A plain ``row_number()/lag()/lead() OVER (PARTITION BY key ORDER BY o)`` sends
 every row of a key to one task; a key holding a third of the data would make
 one straggler. Here the rows of a key are cut into blocks of consecutive rows:
 
-1. blocks: a key of more than ``block_size`` rows is cut at the quantiles of its
-   order values (at most ``MAX_BLOCKS`` of them), so the blocks are even however
-   sparse or clustered the values are; other keys are one block. Counts and
-   quantiles are partial aggregates, one row per large key.
+1. blocks: rows are counted by key first, and three numbers reach the driver: the
+   largest count, and how many keys and rows are over ``block_size``. If none is,
+   every key is one block. Otherwise the large keys are cut at quantiles of their
+   order values, ``FANOUT - 1`` at most, their blocks again in the same way, and so
+   on until a block holds about ``block_size`` rows; the number of rounds follows
+   from the largest count. So the blocks are even however sparse or clustered the
+   values are, and however long the key. Quantiles are partial aggregates over the
+   rows of large keys alone. There are fewer than two cuts for each ``block_size``
+   rows; they are broadcast while that bound is below ``MAX_SENT``, else joined by
+   a shuffle.
 2. rows: ``row_number/lag/lead`` over (key, block).
 3. block table: ``count/min/max`` per (key, block), then a running sum and
    ``lag/lead`` over the (small) block table per key.
@@ -23,23 +29,47 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK = 1 << 16
 
 
-MAX_BLOCKS = 512
+FANOUT = 512
+MAX_SENT = 1 << 21  # cuts or keys sent to every task: 16 MB of numbers
 
 
 def _blocked(df: DataFrame, key: str, order: str, block_size: int) -> DataFrame:
-    """``df`` with ``__blk``, the number of its key's quantiles below the row; as it is if it has been cut before."""
+    """``df`` with ``__blk``, a number that grows with the order within a key; as it is if it has been cut before."""
     if "__blk" in df.columns:
         return df
-    cuts = [k / MAX_BLOCKS for k in range(1, MAX_BLOCKS)]
-    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.percentile_approx(order, F.lit(cuts), F.lit(10 * MAX_BLOCKS)).alias("__all"))
-    # as many of the quantiles as make blocks of about block_size rows
-    step = F.greatest(F.lit(1), F.ceil(F.lit(MAX_BLOCKS * block_size) / F.col("__rows"))).cast("int")
-    large = stats.filter(F.col("__rows") > block_size).select(
-        F.col(key).alias("__key"), F.array_distinct(F.filter("__all", lambda x, i: (i + 1) % step == 0)).alias("__cuts"))
-    d = df.join(large, df[key] == large["__key"], "left").drop("__key")
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    large = F.col("__rows") > block_size
+    most, keys, rows = counts.agg(F.max("__rows"), F.count_if(large), F.sum(F.when(large, F.col("__rows")))).first()
+    out = df.withColumn("__blk", F.lit(0).cast("bigint"))
+    if not keys:
+        return out
+    bounded = 2 * rows // block_size + keys <= MAX_SENT
+    hot = counts.filter(large & F.col(key).isNotNull()).select(F.col(key).alias("__key"))
+    sketched = out.join(F.broadcast(hot) if bounded else hot, F.col(key) == F.col("__key"), "left_semi").select(key, order, "__blk")
+    while most > block_size:
+        cuts = _cuts(sketched, key, order, block_size)
+        out, sketched = (_cut(d, cuts, key, order, bounded) for d in (out, sketched))
+        most = 5 * most // (4 * FANOUT)  # a quantile may be off by a tenth of a block at either end
+    return out
+
+
+def _cuts(rows: DataFrame, key: str, order: str, block_size: int) -> DataFrame:
+    """(__key, __in, __cuts): quantiles of the blocks with more than ``block_size`` rows, as many as make blocks of about that."""
+    shares = [k / FANOUT for k in range(1, FANOUT)]
+    stats = rows.groupBy(key, "__blk").agg(F.count(F.lit(1)).alias("__rows"), F.percentile_approx(order, F.lit(shares), F.lit(10 * FANOUT)).alias("__all"))
+    step = F.greatest(F.lit(1), F.ceil(F.lit(FANOUT * block_size) / F.col("__rows"))).cast("int")
+    return stats.filter(F.col("__rows") > block_size).select(
+        F.col(key).alias("__key"), F.col("__blk").alias("__in"), F.array_distinct(F.filter("__all", lambda x, i: (i + 1) % step == 0)).alias("__cuts"))
+
+
+def _cut(df: DataFrame, cuts: DataFrame, key: str, order: str, bounded: bool) -> DataFrame:
+    """Each block of ``df`` cut into at most ``FANOUT``: the number of cuts below the row is the last digit of the new block."""
+    d = df.join(F.broadcast(cuts) if bounded else cuts, (F.col(key) == F.col("__key")) & (F.col("__blk") == F.col("__in")), "left")
     # non-nullable on purpose: the join's inferred isnotnull(__blk) then folds away
-    below = F.size(F.filter("__cuts", lambda c: c < F.col(order)))
-    return d.withColumn("__blk", F.coalesce(F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(below), F.lit(0)).cast("bigint")).drop("__cuts")
+    below = F.coalesce(F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(F.size(F.filter("__cuts", lambda c: c < F.col(order)))), F.lit(0))
+    d = d.withColumn("__blk", F.coalesce(F.col("__blk") * FANOUT + below, F.lit(0)).cast("bigint")).drop("__key", "__in", "__cuts")
+    # a shuffled join deals rows by their old block: what follows must not take that over
+    return d if bounded else d.repartition(key, "__blk")
 
 
 def with_blocks(df: DataFrame, key: str, order: str, block_size: int = DEFAULT_BLOCK) -> DataFrame:

@@ -76,6 +76,32 @@ def test_blocks_are_even_on_sparse_and_clustered_orders(spark):
     assert bad.count() == 0
 
 
+def test_blocks_are_cut_until_they_are_small(spark, monkeypatch):
+    """More blocks than one round of quantiles makes; with cuts that are sent and with cuts that are joined."""
+    monkeypatch.setattr(O, "FANOUT", 16)
+    df = skewed(spark, hot=3000).withColumn("v", F.col("o") % 7)
+    w = Window.partitionBy("k").orderBy("o")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    ref = df.select("k", "o", F.row_number().over(w).alias("p"), F.lag("o").over(w).alias("a"), F.lead("o").over(w).alias("b"),
+                    F.coalesce(F.sum("v").over(before), F.lit(0)).alias("t"), F.last(F.when(F.col("v") == 3, F.col("o")), True).over(before).alias("l")).collect()
+    for sent in (O.MAX_SENT, 0):
+        monkeypatch.setattr(O, "MAX_SENT", sent)
+        cut = O.with_blocks(df, "k", "o", block_size=10)
+        n, most = cut.groupBy("k", "__blk").count().filter("k = 0").agg(F.count("*"), F.max("count")).first()
+        assert most <= 40 and n >= 75, (n, most)
+        pos = {(r.k, r.o): (r.position, r.prev, r.next) for r in O.ordered_positions(cut, "k", "o", 10).collect()}
+        tot = {(r.k, r.o): r.t for r in O.running_totals(cut, "k", "o", {"t": "v"}, 10).collect()}
+        lst = {(r.k, r.o): r.l for r in O.running_last(cut, "k", "o", {"l": F.when(F.col("v") == 3, F.col("o"))}, 10).collect()}
+        assert all(pos[r.k, r.o] == (r.p, r.a, r.b) and tot[r.k, r.o] == r.t and lst[r.k, r.o] == r.l for r in ref) and len(pos) == len(ref)
+
+
+def test_small_keys_are_not_sketched(spark):
+    df = skewed(spark, hot=50)
+    plan = O._blocked(df, "k", "o", 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan and "Join" not in plan
+    assert "percentile" in O._blocked(df, "k", "o", 49)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fallback_many_candidates_one_book(spark):
     c = spark.range(10000).select(F.lit(5).cast("bigint").alias("book_id"), (F.col("id") % 3 + 1).cast("int").alias("priority"),
                                   F.concat(F.lit("copy "), F.col("id").cast("string")).alias("raw_text"))
