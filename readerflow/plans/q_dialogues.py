@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import sql_literal
 from ..operators import dialogues as D
+from ..session import scratch_path
 from ..sources.fixtures import fx_dialogues, with_fixtures
+from ..sources.line_index import LineIndex
 from .registry import query
 
 # Filter choice used by the registered queries (mixed-case keyword on purpose).
@@ -63,6 +67,22 @@ def q_keyword_contains(spark, sf):
     return _dlg(spark, sf).filter(D.keyword_contains(KEYWORD)).select("book_id", "dlg_ord")
 
 
+# a frequent and a rare keyword, one across words, one too short for the index, none
+INDEXED_KEYWORDS = [KEYWORD, "Ouréa", "a b", "q", ""]
+SQL_INDEXED = f"""SELECT k.keyword, book_id, dlg_ord FROM fx_dialogues, (VALUES {", ".join(f"({sql_literal(k)})" for k in INDEXED_KEYWORDS)}) k(keyword)
+WHERE k.keyword = '' OR coalesce(contains(lower(line), lower(k.keyword)), false)"""
+
+
+@query("keyword_search_indexed", _sql(SQL_INDEXED))
+def q_keyword_search_indexed(spark, sf):
+    """F3 over dialogues stored with the trigrams of their lines: parts that cannot hold the keyword are not read."""
+    d = _dlg(spark, sf).select("book_id", "dlg_ord", "line")
+    t = LineIndex(spark, scratch_path(spark, "line_index"), d.schema, 64)
+    t.add(d)
+    found = [t.search(k).select(F.lit(k).alias("keyword"), "book_id", "dlg_ord") for k in INDEXED_KEYWORDS]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 @query("filter_dialogues", _sql(f"SELECT book_id, dlg_ord, speaker, difficulty FROM fx_dialogues WHERE {SQL_F4}"))
 def q_filter_dialogues(spark, sf):
     return D.filter_dialogues(_dlg(spark, sf), LEVELS, SPEAKERS, KEYWORD).select(
