@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from readerflow.session import scratch_path
 
 from .common import few_files, put, slices, table
-from .components import connected_components
+from .components import connected_components, join_counted
 from .streams import sorted_groups
 from .wordhash import Words, keyed, mix
 
@@ -375,7 +375,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # exact confirmation, each family in cells; what is in a very large family or node in dealt cells, and then by its rarest shingles
     sizes = families.groupBy("component").agg(F.count("*").alias("size"))
-    sized = families.join(sizes, "component")
+    sized = join_counted(families, sizes, "component", "size", families.count())
     cells = _cells(sized.where(F.col("size") <= BIG).withColumnRenamed("component", "node"), "node")
     giant = sized.where(F.col("size") > BIG).select("rep")
     cells = cells.unionByName(_dealt(hot.unionByName(leaves.join(giant, "rep", "left_semi"))))
@@ -394,7 +394,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = connected_components(links)
     if not heavy.isEmpty():
         sets = put(sets_of(heavy), at("heavy-sets"), set_schema)
-        comps = connected_components(links.unionByName(confirm(_rare_cells(sets, comps, num, den, at, files), sets, "heavy-links")))
+        stars = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        comps = connected_components(stars.unionByName(confirm(_rare_cells(sets, comps, num, den, at, files), sets, "heavy-links")))
 
     out = (all_rows.drop("sig").join(classes.where("copies > 1").drop("copies"), ["n", "h1", "h2"], "left")
            .withColumn("rep", F.coalesce("rep", "doc_id"))

@@ -5,13 +5,14 @@ import random
 import pyarrow as pa
 import pytest
 from brute_path import brute
+from pyspark.sql import functions as F
 
 from readerflow.llm import op3_line_dedup as op3
 from readerflow.llm import op6_suffix_dedup as op6
 from readerflow.llm import op7_packing as op7
 from readerflow.llm import op8_decontaminate as op8
 from readerflow.llm import op10_near_dedup as op10
-from readerflow.llm.components import connected_components
+from readerflow.llm.components import connected_components, join_counted
 
 VOCAB = [f"w{i}" for i in range(300)]
 
@@ -302,3 +303,21 @@ def test_packing_is_whole_and_free_of_conflicts(documents):
         assert sorted(r["doc_id"] for r in out if r["bin_id"] is None) == [900, 901, 902]
         assert len({r["bin_id"] for r in out if r["doc_id"] in (903, 904, 905)}) == 4
     assert op7.pack_documents(documents([])).count() == 0
+
+
+def test_hubs_are_joined_where_they_are(spark):
+    """Stars far over the bound of one task, a chain between them and small parts: the same components, with and without hubs."""
+    edges = [(0, k) for k in range(1, 3000)] + [(9000, 3000 + k) for k in range(2000)] + [(2999, 6000), (6000, 6001), (6001, 4999)] + [(20_000 + 2 * k, 20_001 + 2 * k) for k in range(50)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    want = {k: 0 for k in [*range(5000), 6000, 6001, 9000]} | {20_000 + k: 20_000 + k - k % 2 for k in range(100)}
+    for hub in (16, 10**6):
+        assert {r["id"]: r["component"] for r in connected_components(frame, hub=hub).collect()} == want
+
+
+def test_counted_join_sends_only_large_keys(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("u"), F.col("id").alias("v"))
+    stats = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("d"))
+    plain = sorted(map(tuple, rows.join(stats, "u").collect()))
+    assert sorted(map(tuple, join_counted(rows, stats, "u", "d", 1000, hub=10).collect())) == plain
+    assert sorted(map(tuple, join_counted(rows, stats, "u", "d", 1000, hub=1000).collect())) == plain
+    assert join_counted(rows.limit(0), stats.limit(0), "u", "d", 1000, hub=10).count() == 0
