@@ -3,8 +3,12 @@
 Texts are folded first (case, homoglyphs, digit and sign substitutions,
 punctuation to blanks). Terms are stems anchored at a word's start. Hits that
 lie inside an exception phrase do not count. The weighted hits, per hundred
-words and in total, give the score through a logistic curve. Stems, weights and
-curve are learned from a bounded sample of labelled rows.
+words and in total, give the score through a logistic curve. Stems, weights,
+phrases and curve are learned from a bounded sample of labelled rows: a pair of
+neighbouring words, one of which has a stem, is an exception if it is found in
+enough clean rows and in no smaller share of them than of the toxic ones; the
+stems are then weighed by what is left outside the phrases. A few fixed phrases
+are added.
 
 Defined results: null or empty text scores as a text without hits; a null id is
 in no evaluation fold; repeated rows are scored each; an empty table gives an
@@ -24,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, training_rows
+from readerflow.session import scratch_path
+
+from .common import held_out, put, training_rows
 
 MIN_STEM, MAX_STEM = 3, 10
-# phrases in which a term is harmless
+# fixed phrases in which a term is harmless
 EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish", "clown car", "sore loser rule", "pond scum")
 # characters that look like a Latin letter
 HOMOGLYPHS = {
@@ -80,21 +86,19 @@ class Lexicon:
             self._auto.append(a)
         return self._auto[0]
 
-    def evidence(self, text: str | None) -> tuple[float, int, int]:
-        """(weight of the hits, number of hits, number of words). A word counts once, by its heaviest stem."""
-        t = fold(text)
-        n_words = len(t.split())
+    def hits(self, t: str) -> dict[int, tuple[float, int]]:
+        """Place -> (weight, length) of the heaviest stem of each word of a folded text, outside the exceptions."""
         a = self.automaton()
         if not len(a):
-            return 0.0, 0, n_words
-        hits: dict[int, float] = {}
+            return {}
+        hits: dict[int, tuple[float, int]] = {}
         spared: list[tuple[int, int]] = []
         for end, (size, w) in a.iter(t):
             at = end - size + 1
             if w is None:
                 spared.append((at, end))
-            elif w > hits.get(at, -1e9):
-                hits[at] = w
+            elif at not in hits or w > hits[at][0]:
+                hits[at] = w, size
         if spared:
             # both in order of their place: one pass; ``upto`` is the end of the phrases that begin before a hit
             spared.sort()
@@ -106,7 +110,13 @@ class Lexicon:
                 if at > upto:
                     left[at] = hits[at]
             hits = left
-        return sum(hits.values()), len(hits), n_words
+        return hits
+
+    def evidence(self, text: str | None) -> tuple[float, int, int]:
+        """(weight of the hits, number of hits, number of words). A word counts once, by its heaviest stem."""
+        t = fold(text)
+        hits = self.hits(t)
+        return sum(w for w, _ in hits.values()), len(hits), len(t.split())
 
     def judge(self, text: str | None) -> tuple[float, int, int, float]:
         """(weight of the hits, number of hits, number of words, score)."""
@@ -121,41 +131,86 @@ def features(weight: float, words: int) -> tuple[float, float]:
     return math.log1p(max(0.0, weight)), math.log1p(max(0.0, 100.0 * weight / max(words, 20)))
 
 
-def _stem_counts(batches):
-    pos, neg = Counter(), Counter()
-    n = [0, 0]
-    for b in batches:
-        for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            stems = {w[:k] for w in set(fold(text).split()) for k in range(MIN_STEM, MAX_STEM + 1) if len(w) >= k}
-            (pos if y > 0 else neg).update(stems)
-            n[y > 0] += 1
-    # stems that no toxic text of this task has still count against the stem
-    terms = list(pos.keys() | neg.keys())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([*terms, ""]), pa.array([*(pos[t] for t in terms), n[1]], pa.int64()), pa.array([*(neg[t] for t in terms), n[0]], pa.int64())],
-        names=["stem", "pos", "neg"])
-
-
-def fit_lexicon(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int = 12_000, max_terms: int = 4_000,
-                min_docs: int = 4, seed_terms: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
-    """Learn stems and curve from at most ``max_train`` labelled rows; at most ``max_terms`` stems reach the driver."""
-    train = training_rows(docs, labels, label, max_train, id_col, text_col)
-    counts = (train.mapInArrow(_stem_counts, "stem string, pos long, neg long")
-              .groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    total = counts.where("stem = ''").collect()
+def _counts(terms_of):
+    """Tasks' counts (term, pos, neg) of the toxic and of the clean rows that hold a term; the empty term counts all rows."""
+
+    def run(batches):
+        pos, neg, n = Counter(), Counter(), [0, 0]
+        for b in batches:
+            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                (pos if y > 0 else neg).update(terms_of(text))
+                n[y > 0] += 1
+        # terms that no toxic text of this task has still count against the term
+        terms = list(pos.keys() | neg.keys())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*terms, ""]), pa.array([*(pos[t] for t in terms), n[1]], pa.int64()), pa.array([*(neg[t] for t in terms), n[0]], pa.int64())],
+            names=["term", "pos", "neg"])
+
+    return run
+
+
+def _prefixes(word: str) -> list[str]:
+    return [word[:k] for k in range(MIN_STEM, min(len(word), MAX_STEM) + 1)]
+
+
+def _stems(text: str | None) -> set[str]:
+    return {p for w in set(fold(text).split()) for p in _prefixes(w)}
+
+
+def _pairs_at(stems: frozenset[str]):
+    """Text -> its pairs of words with one blank between them, one of which begins with one of ``stems``."""
+
+    def run(text: str | None) -> set[str]:
+        words = fold(text).split(" ")
+        bad = {w for w in set(words) if any(p in stems for p in _prefixes(w))}
+        return {f"{v} {w}" for v, w in zip(words, words[1:]) if v and w and (v in bad or w in bad)}
+
+    return run
+
+
+def _left_stems(lexicon: Lexicon):
+    """Text -> the stems that it has outside the exceptions."""
+
+    def run(text: str | None) -> set[str]:
+        t = fold(text)
+        return {t[at:at + size] for at, (_, size) in lexicon.hits(t).items()}
+
+    return run
+
+
+def fit_lexicon(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int = 12_000, max_terms: int = 4_000, max_exceptions: int = 1_000,
+                min_docs: int = 4, seed_terms: dict[str, float] | None = None, exceptions: tuple[str, ...] = EXCEPTIONS,
+                id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
+    """Learn stems, exceptions and curve from at most ``max_train`` labelled rows; at most ``max_terms`` stems and
+    ``max_exceptions`` phrases, beside ``exceptions``, reach the driver. The rows are written once and read from there."""
+    spark = docs.sparkSession
+    train = put(training_rows(docs, labels, label, max_train, id_col, text_col).select(F.col("text").cast("string").alias("text"), "label"),
+                scratch_path(spark, "toxicity-rows"), "text string, label double")
+
+    def counted(terms_of) -> DataFrame:
+        return train.mapInArrow(_counts(terms_of), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+    counts = counted(_stems)
+    total = counts.where("term = ''").collect()
     seeds = dict(seed_terms or {})
     n1, n0 = (total[0]["pos"], total[0]["neg"]) if total else (0, 0)
     if not n1 or not n0:
-        return Lexicon({t: w for t, w in seeds.items()})
+        return Lexicon(seeds, exceptions)
     odds = F.log((F.col("pos") + 0.1) / n1) - F.log((F.col("neg") + 0.1) / n0)
-    rows = (counts.where((F.col("pos") >= min_docs) & (F.col("stem") != "")).withColumn("w", odds).where("w >= 3")
-            .orderBy(F.desc(F.col("pos") * F.col("w")), "stem").limit(max_terms).collect())
+    rows = (counts.where((F.col("pos") >= min_docs) & (F.col("term") != "")).withColumn("w", odds).where("w >= 3")
+            .orderBy(F.desc(F.col("pos") * F.col("w")), "term").limit(max_terms).collect())
     chosen: dict[str, float] = {}
-    for r in sorted(rows, key=lambda r: (len(r["stem"]), r["stem"])):
-        s = r["stem"]
+    for r in sorted(rows, key=lambda r: (len(r["term"]), r["term"])):
+        s = r["term"]
         if not any(s[:k] in chosen for k in range(MIN_STEM, len(s))):  # a shorter stem already covers it
             chosen[s] = float(r["w"])
-    lex = Lexicon({**seeds, **chosen})
+    harmless = (counted(_pairs_at(frozenset(chosen))).where((F.col("neg") >= min_docs) & (F.col("term") != "") & (F.col("neg") * n1 >= F.col("pos") * n0))
+                .orderBy(F.desc("neg"), "term").limit(max_exceptions).collect())
+    phrases = tuple(dict.fromkeys([*exceptions, *(r["term"] for r in harmless)]))
+    if harmless:
+        left = counted(_left_stems(Lexicon(chosen, phrases))).where((F.col("pos") >= min_docs) & (F.col("term") != "")).withColumn("w", odds)
+        chosen = {r["term"]: float(r["w"]) for r in left.orderBy("term").collect()}  # some of ``chosen``
+    lex = Lexicon({**seeds, **chosen}, phrases)
 
     def evidence(batches):
         for b in batches:

@@ -158,3 +158,24 @@ def test_toxicity_odd_rows(spark, documents):
         rows = op9.toxicity_scores(docs, lex).collect()
         assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
     assert op9.toxicity_scores(documents([]), op9.Lexicon({})).count() == 0
+
+
+def test_toxicity_learns_exceptions(spark, documents):
+    """A pair that clean rows share is no hit and no longer counts against its stem; a pair of toxic rows stays one."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("bdlmnpr") + rng.choice("aeiou") for _ in range(3)) for _ in range(60)]
+    body = lambda: " ".join(rng.choice(words) for _ in range(12))
+    rows, marks = [], []
+    for k in range(600):
+        toxic = k % 3 == 0
+        extra = "you vermix fool" if toxic else "the vermix plant" if k % 60 == 1 else "calm"
+        rows.append((k, f"{body()} {extra} {body()}"))
+        marks.append((k, 1, int(toxic)))
+    lex = op9.fit_lexicon(documents(rows), _labels(spark, marks))
+    assert "vermix plant" in lex.exceptions and "the vermix" in lex.exceptions and not any("you" in p.split() for p in lex.exceptions)
+    assert set(op9.EXCEPTIONS) < set(lex.exceptions)
+    assert lex.evidence("A Verm1x, plant")[1] == 1 and lex.evidence("a VERM1X plant grew")[1] == 0 and lex.evidence("you vermix")[1] >= 1
+    assert lex.judge("you vermix fool")[3] > 0.5 > lex.judge("a vermix plant grew there")[3]
+    plain = op9.fit_lexicon(documents(rows), _labels(spark, marks), max_exceptions=0)
+    stem = next(t for t in lex.weights if "vermix".startswith(t))
+    assert plain.exceptions == op9.EXCEPTIONS and lex.weights[stem] > plain.weights.get(stem, 0.0)
