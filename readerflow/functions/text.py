@@ -138,6 +138,11 @@ def words(col: Column | str) -> Column:
     return F.filter(F.split(_c(col), WS_CLASS + "+", -1), lambda t: t != F.lit(""))
 
 
+def first_words(col: Column | str, n: int) -> Column:
+    """``s.split()[:n]``, scanning only the prefix."""
+    return words(F.regexp_extract(_c(col), "^" + WS_CLASS + "*+(?:[^" + WS_CLASS[1:-1] + "]++" + WS_CLASS + "*+){0," + str(n) + "}", 0))
+
+
 def first_word(col: Column | str) -> Column:
     """``s.split()[0]`` (null when there is no token), scanning only the prefix."""
     w = F.regexp_extract(_c(col), "^" + WS_CLASS + "*([^" + WS_CLASS[1:-1] + "]+)", 1)

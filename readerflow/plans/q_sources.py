@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.text import sql_literal, sql_text, words
+from ..functions.text import first_words, sql_literal, sql_text, words
 from ..operators import rules as R
 from ..operators.maintained import MaintainedDialogues
 from ..operators import voice as V
@@ -71,7 +71,7 @@ SELECT q, name, CAST(levenshtein(q_key, name_key) AS INTEGER) AS distance FROM b
 )
 def q_catalog_search_approximate(spark, sf):
     """Misspelt titles found among the titles of all documents."""
-    t = documents(spark, sf).select("doc_id", F.regexp_replace(F.array_join(F.slice(words("text"), 1, 5), " "), "[^ -~]", "x").alias("name"))
+    t = documents(spark, sf).select("doc_id", F.regexp_replace(F.array_join(first_words("text", 5), " "), "[^ -~]", "x").alias("name"))
     changed = F.concat(F.substring("name", 5, 6), F.lit("q"), F.substring("name", 12, 1 << 20))
     q = t.select(F.concat(F.substring("name", 1, 3), F.when(F.col("doc_id") % 2 == 1, changed).otherwise(F.substring("name", 5, 1 << 20))).alias("q"))
     return TS.approximate_matches(q, t)

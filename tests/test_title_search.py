@@ -2,7 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from readerflow import constants as K
+from readerflow.functions.text import first_words
 from readerflow.sources import title_search as TS
 
 
@@ -55,3 +58,24 @@ def test_no_pairs_of_all(spark):
     q = spark.range(10).selectExpr("concat('title number ', id) AS q")
     plan = TS.approximate_matches(q, q.withColumnRenamed("q", "name"))._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_few_titles_are_compared(spark):
+    # titles of few words share their trigrams: what is compared is what shares a quarter of a title at its place
+    rng = random.Random(7)
+    few = ["the", "and", "of", "old", "sea", "house", "river"]
+    names = sorted({" ".join(rng.choice(few) for _ in range(7)) for _ in range(400)})
+    asked = [n[:3] + n[4:] for n in names[::8]]
+    q = spark.createDataFrame([(a,) for a in asked], "q string").withColumnRenamed("q", "q_key").withColumn("k", TS.edit_budget(F.col("q_key")))
+    n = spark.createDataFrame([(a,) for a in names], "name_key string")
+    met = TS.search_segments(q).join(TS.title_segments(n), "segment").count()
+    assert met < len(asked) * len(names) / 20
+    got = TS.approximate_matches(q, n, "q_key", "name_key").collect()
+    want = {(a, b, _distance(a, b)) for a in asked for b in names if abs(len(a) - len(b)) <= 3 and _distance(a, b) <= _budget(a)}
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_first_words(spark):
+    texts = ["", "  ", "a", " a b\tc ", "a\u3000b\u00a0c d", "\u2003x y z", None, "a\x1fb c" * 3]
+    got = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", first_words("t", 2).alias("w")).collect()
+    assert {r.k: r.w for r in got} == {k: None if t is None else t.split()[:2] for k, t in enumerate(texts)}
