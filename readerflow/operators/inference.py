@@ -28,13 +28,15 @@ from ..functions import model_json as J
 from ..functions import text as T
 from ..session import scratch_path
 from ..sources.audio import MAX_PART_BYTES, audio_parts
-from .ledger import AnswerStore, key_part, slices
+from .ledger import PARTS, AnswerStore, key_bucket, key_part, slices
 
 # Ship this module's functions by value: executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DIALOGUE_COLUMNS = [*J.DIALOGUE_FIELDS, "key_expressions"]
 RESULT_SCHEMA = "request_key string, prompt_hash string, template string, model string, raw string, status string, error string"
+# A slice is dealt to more tasks than there are cores only if each gets so many requests.
+TASK_REQUESTS = 1000
 TRANSCRIPT_SCHEMA = "request_key string, path string, model string, text string, status string, error string"
 
 
@@ -178,8 +180,9 @@ def batch_infer(
     settings are never taken for it. Answers already held, in ``cache``
     (``RESULT_SCHEMA`` rows) or in the store at ``out_path``, are not asked for
     again; failures are, on the next run. ``partitions`` sets the number of
-    tasks (and of buckets of a new store), by default the shuffle width; each
-    keeps ``concurrency`` calls in flight and tries a failed one ``retries``
+    tasks (and of buckets of a new store). By default a new store has the shuffle
+    width of buckets and a slice is dealt to as many tasks as there are cores, or
+    to one for each 1,000 requests, up to that width; each keeps ``concurrency`` calls in flight and tries a failed one ``retries``
     times more. The client must then be safe to share by threads.
 
     Returns one row per distinct prompt of ``prompts``: its answer, cached or
@@ -212,23 +215,33 @@ def batch_infer(
 def _infer_in_slices(asked: DataFrame, run, held: DataFrame | None, out_path: str, partitions: int | None, slice_requests: int) -> DataFrame:
     spark = asked.sparkSession
     store = AnswerStore(spark, out_path, RESULT_SCHEMA, partitions)
-    width = partitions or store.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = store.buckets or partitions or width
     path = scratch_path(spark, "requests")
-    # one evaluation of the prompts: each partition is a bucket of keys, in the order that slices take them
-    marked = asked.join(store.answered().withColumn("__held", F.lit(True)), "request_key", "left")
+    # one evaluation of the prompts: laid out by the store's buckets, so that a slice reads and writes its own buckets only
+    marked = asked.dropDuplicates(["request_key"])
+    if buckets != width:
+        marked = marked.repartition(buckets, "request_key")
+    marked = marked.join(store.answered().distinct().withColumn("__held", F.lit(True)), "request_key", "left")
     if held is not None:
-        marked = marked.join(held.select("request_key").withColumn("__cached", F.lit(True)), "request_key", "left").withColumn("__held", F.coalesce("__held", "__cached"))
-    marked = marked.dropDuplicates(["request_key"]).select(
-        key_part().alias("part"), "request_key", "prompt_hash", F.col("__held").isNotNull().alias("held"), F.when(F.col("__held").isNull(), F.col("prompt")).alias("prompt"))
-    marked.sortWithinPartitions("part").write.parquet(path)
+        marked = marked.join(held.select("request_key").distinct().withColumn("__cached", F.lit(True)), "request_key", "left").withColumn("__held", F.coalesce("__held", "__cached"))
+    marked = marked.select(
+        key_bucket(buckets).alias("bucket"), key_part(buckets).alias("part"), "request_key", "prompt_hash", F.col("__held").isNotNull().alias("held"), F.when(F.col("__held").isNull(), F.col("prompt")).alias("prompt"))
+    marked.sortWithinPartitions("bucket", "part").write.partitionBy("bucket").parquet(path)
     requests = spark.read.schema(marked.schema).parquet(path)
     todo = requests.filter(~F.col("held"))
-    counts = [(r["part"], r["n"]) for r in todo.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()]  # at most 65,536 numbers
-    name, plan = uuid.uuid4().hex[:12], slices(counts, slice_requests)
+    counts = [(r["part"], r["n"]) for r in todo.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()]  # about 65,536 numbers at most, or one a bucket
+    name, plan, each = uuid.uuid4().hex[:12], slices(counts, slice_requests), max(1, PARTS // buckets)
     for k, (first, last, n) in enumerate(plan):
-        part = todo.filter(F.col("part").between(first, last)).select("request_key", "prompt_hash", "prompt")
+        low, high = first // each, last // each
+        part = todo.filter(F.col("bucket").between(low, high) & F.col("part").between(first, last))
+        # as many tasks as can be busy, each in as few buckets as can be: a task writes a file for each of its buckets
+        tasks = partitions or min(width, max(spark.sparkContext.defaultParallelism, -(-n // TASK_REQUESTS)))
+        share = max(1, tasks // (high - low + 1))
+        dealt = (F.col("bucket") - low) * share + F.pmod(F.xxhash64("request_key"), F.lit(share))
+        part = part.repartitionById(tasks, dealt.cast("int")).select("request_key", "prompt_hash", "prompt")
         seen = Observation()
-        new = part.repartition(width, "request_key").mapInPandas(run, RESULT_SCHEMA).observe(seen, F.count_if(F.col("status") == "ok").alias("ok"))
+        new = part.mapInPandas(run, RESULT_SCHEMA).observe(seen, F.count_if(F.col("status") == "ok").alias("ok"))
         store.append(new)
         store.note(name, k, len(plan), first, last, n, seen.get["ok"], n - seen.get["ok"])
     kept = store.rows() if held is None else store.rows().unionByName(held)

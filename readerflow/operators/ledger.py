@@ -27,9 +27,15 @@ PARTS = 1 << 16
 LEDGER_SCHEMA = "run string, slice int, slices int, first_part int, last_part int, asked long, ok long, failed long, finished timestamp"
 
 
-def key_part(key: Column | str = KEY) -> Column:
-    """The first 16 bits of a hexadecimal key: what slices are ranges of."""
-    return F.conv(F.substring(key, 1, 4), 16, 10).cast("int")
+def key_bucket(buckets: int, key: str = KEY) -> Column:
+    """The bucket of a key in a table of so many buckets."""
+    return F.pmod(F.hash(key), F.lit(buckets))
+
+
+def key_part(buckets: int, key: str = KEY) -> Column:
+    """What slices are ranges of: a bucket's number and, within it, the first 16 bits of a hexadecimal key; a slice is in few buckets."""
+    each = max(1, PARTS // buckets)
+    return key_bucket(buckets, key) * each + (F.conv(F.substring(key, 1, 4), 16, 10).cast("int") * each / PARTS).cast("int")
 
 
 def slices(counts: Iterable[tuple[int, int]], size: int) -> list[tuple[int, int, int]]:

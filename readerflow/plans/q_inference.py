@@ -276,8 +276,10 @@ SELECT book_id, chapter_ord, window_no, 'ok' AS status, CAST(len({SQL_QUOTES}) A
 """,
 )
 def q_batch_infer(spark, sf):
-    """Every window of every book through a deterministic stand-in model."""
-    req = api.extraction_requests(_clean(spark, sf))
+    """Every window of every book through a deterministic stand-in model. The windows are cut once and written."""
+    req, path = api.extraction_requests(_clean(spark, sf)), scratch_path(spark, "windows")
+    req.drop("title").write.parquet(path)
+    req = spark.read.parquet(path)
     res = I.batch_infer(req, I.EchoClient, template="extraction", temperature=K.TEMPERATURES["extraction"], out_path=scratch_path(spark, "batch_infer"))
     j = req.select("book_id", "chapter_ord", "window_no", "prompt_hash").join(res.select("prompt_hash", "raw", "status"), "prompt_hash")
     lines = F.transform(J.unwrap_dialogues("raw")["items"], lambda x: F.try_variant_get(x, "$.line", "string"))

@@ -57,6 +57,19 @@ def test_slices_cover_all_parts():
     assert slices([], 10) == []
 
 
+def test_a_slice_writes_its_own_buckets_only(spark, tmp_path):
+    out, n, size = str(tmp_path / "store"), 400, 50
+    AnswerStore(spark, out, I.RESULT_SCHEMA, 64)
+    res = I.batch_infer(_prompts(spark, n), I.EchoPartner, template="t", out_path=out, slice_requests=size)
+    assert res.count() == n
+    ledger = I.infer_progress(spark, out).collect()
+    assert sum(r["asked"] for r in ledger) == n and all(r["asked"] <= size for r in ledger)
+    # each bucket is in one slice or, at a border, in two: not a file of each bucket for each slice
+    assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) <= 64 + 2 * len(ledger)
+    store = AnswerStore(spark, out, I.RESULT_SCHEMA)
+    assert store.rows().join(I.with_request_key(_prompts(spark, n), "t"), "request_key").count() == n  # each answer is in its key's bucket
+
+
 def test_cache_side_is_not_shuffled(spark, tmp_path):
     store = AnswerStore(spark, str(tmp_path / "s"), I.RESULT_SCHEMA, 16)
     prompts = I.with_request_key(_prompts(spark, 50), "t")
